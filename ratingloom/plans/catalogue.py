@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from ratingloom.plans import core, patterns  # noqa: F401
+from ratingloom.plans import core, models, patterns  # noqa: F401
