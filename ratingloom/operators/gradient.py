@@ -109,7 +109,10 @@ class Joiner:
 
     @classmethod
     def of(cls, ratings: DataFrame) -> Joiner:
-        return cls(ratings, hot_keys(ratings, "item_id"), hot_keys(ratings, "user_id"))
+        """Keeps the ratings as a written table, so no iteration derives them again."""
+        columns = ["user_id", "item_id"] + (["rating"] if "rating" in ratings.columns else [])
+        kept = materialise(ratings.select(*columns), "ratings")
+        return cls(kept, hot_keys(kept, "item_id"), hot_keys(kept, "user_id"))
 
     def with_items(self, rows: DataFrame, items: DataFrame) -> DataFrame:
         return salted_join(rows, items, "item_id", "user_id", self.hot_items)
@@ -256,10 +259,12 @@ def fit_funk_svd(
 
     Separate lambdas make it probabilistic matrix factorisation.
     """
+    joiner = Joiner.of(ratings)
+    ratings = joiner.ratings
     user, item = Layout(p=k), Layout(q=k)
     scale = scale if scale is not None else (1.0 if non_negative else 2.0 / k)
     state = start(ratings, user, item, seed, scale, 0.0 if non_negative else -0.5)
-    model = RatingModel(Factors(state, user, item), Joiner.of(ratings), _plain_prediction)
+    model = RatingModel(Factors(state, user, item), joiner, _plain_prediction)
 
     def step(m: RatingModel) -> Factors:
         f = m.factors
@@ -301,9 +306,11 @@ def fit_biased_mf(
     track: bool = False,
 ) -> RatingModel:
     """mean + b_u + b_i + p.q with one L2 weight."""
+    joiner = Joiner.of(ratings)
+    ratings = joiner.ratings
     user, item = Layout(p=k, b=1), Layout(q=k, b=1)
     factors = Factors(start(ratings, user, item, seed, 2.0 / k, -0.5), user, item, _mean(ratings))
-    model = RatingModel(factors, Joiner.of(ratings), _biased_prediction)
+    model = RatingModel(factors, joiner, _biased_prediction)
 
     def step(m: RatingModel) -> Factors:
         f = m.factors
@@ -376,9 +383,11 @@ def fit_svdpp(
     track: bool = False,
 ) -> RatingModel:
     """mean + b_u + b_i + q_i . (p_u + |N|^-1/2 sum y_j)."""
+    joiner = Joiner.of(ratings)
+    ratings = joiner.ratings
     user, item = Layout(p=k, b=1), Layout(q=k, b=1, y=k)
     factors = Factors(start(ratings, user, item, seed, 2.0 / k, -0.5), user, item, _mean(ratings))
-    model = RatingModel(factors, Joiner.of(ratings), _svdpp_prediction, implicit_profile)
+    model = RatingModel(factors, joiner, _svdpp_prediction, implicit_profile)
 
     def step(m: RatingModel) -> Factors:
         f = m.factors
@@ -441,9 +450,11 @@ def fit_asvd(
     track: bool = False,
 ) -> RatingModel:
     """No user factor: the profile comes from the residuals and the items of the history."""
+    joiner = Joiner.of(ratings)
+    ratings = joiner.ratings
     user, item = Layout(b=1), Layout(q=k, b=1, x=k, y=k)
     factors = Factors(start(ratings, user, item, seed, 2.0 / k, -0.5), user, item, _mean(ratings))
-    model = RatingModel(factors, Joiner.of(ratings), _asvd_prediction, asymmetric_profile)
+    model = RatingModel(factors, joiner, _asvd_prediction, asymmetric_profile)
 
     def step(m: RatingModel) -> Factors:
         f = m.factors
@@ -552,9 +563,11 @@ def fit_fism(
     seed: int = 0,
 ) -> HistoryModel:
     """b_i + (n - 1)^-alpha * (sum of the other items' p) . q_i with target 1 on the positives."""
+    joiner = Joiner.of(ratings)
+    ratings = joiner.ratings
     user, item = Layout(), Layout(q=k, b=1, p=k)
     state = start(ratings, user, item, seed, 2.0 / k, -0.5).filter(F.col("side") == ITEM)
-    model = HistoryModel(Factors(state, user, item), Joiner.of(ratings), alpha)
+    model = HistoryModel(Factors(state, user, item), joiner, alpha)
     for _ in range(iterations):
         f = model.factors
         err, q, p = F.col("err"), f.item.vector("iv", "q"), f.item.vector("iv", "p")

@@ -173,6 +173,7 @@ def fit_pairwise(
     user = Layout(p=k)
     item = Layout(q=k, y=k) if kind == "profile" else Layout(q=k)
     joiner = Joiner.of(ratings)
+    ratings = joiner.ratings
     model = PairModel(Factors(start(ratings, user, item, seed, 0.2, -0.5), user, item), joiner, kind, weights)
     sampler = NegativeSampler(ratings)
     for number in range(1, iterations + 1):
@@ -317,6 +318,7 @@ def fit_click_model(
     bias = {} if kind == "gmf" else {"b": 1}
     user, item = Layout(p=k, **bias), Layout(q=k, **bias)
     joiner = Joiner.of(ratings)
+    ratings = joiner.ratings
     factors = Factors(start(ratings, user, item, seed, 0.2, -0.5), user, item)
     shared = ([1.0] * k if kind == "gmf" else []) + [0.0]
     model = ClickModel(factors, joiner, kind, shared)
@@ -368,6 +370,7 @@ def fit_two_tower(
     """
     user, item = Layout(p=k), Layout(q=k)
     joiner = Joiner.of(ratings)
+    ratings = joiner.ratings
     model = PairModel(Factors(start(ratings, user, item, seed, 0.2, -0.5), user, item), joiner, "plain")
     batches = max(1, -(-ratings.count() // batch_rows))
     shrink = lam * 2.0 * dropout / (1.0 - dropout) / k

@@ -189,6 +189,7 @@ def fit_als(
     confidence 1 + alpha * r on rated and 1 on all other cells (one global Gram matrix stands for those).
     """
     joiner = Joiner.of(ratings)
+    ratings = joiner.ratings
     mean = float(ratings.agg(F.avg("rating")).first()[0] or 0.0) if biases else 0.0
     items = _first_items(ratings, k, seed)
     users = None
@@ -329,6 +330,7 @@ def fit_svd(ratings: DataFrame, k: int, iterations: int = 12, oversample: int =
     with a small Gram matrix; neither a dense matrix nor an item vector passes through the driver.
     """
     joiner = Joiner.of(ratings)
+    ratings = joiner.ratings
     n_items = ratings.select("item_id").distinct().count()
     m = max(1, min(k + oversample, n_items))
     k = min(k, m)
