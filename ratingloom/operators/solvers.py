@@ -323,7 +323,9 @@ class SpectralModel:
         return spark.createDataFrame(rows, "component int, sigma double, share double")
 
 
-def fit_svd(ratings: DataFrame, k: int, iterations: int = 12, oversample: int = 8, seed: int = 0) -> SpectralModel:
+def fit_svd(
+    ratings: DataFrame, k: int, iterations: int = 30, oversample: int = 8, seed: int = 0, tol: float = 1e-13
+) -> SpectralModel:
     """Rank-k SVD of the user x item table (missing = 0) by subspace iteration.
 
     Each round multiplies the item basis by R and R' with two join-aggregates and re-orthogonalises it
@@ -345,13 +347,18 @@ def fit_svd(ratings: DataFrame, k: int, iterations: int = 12, oversample: int =
     def users_of(items: DataFrame) -> DataFrame:
         return weighted(joiner.with_items(ratings.select("user_id", "item_id", "rating"), items), "user_id", "v", "y")
 
+    last = None
     for _ in range(iterations):
         back = joiner.with_users(ratings.select("user_id", "item_id", "rating"), materialise(users_of(basis), "users"))
         image = materialise(weighted(back, "item_id", "y", "v"), "basis")
         values, vectors = np.linalg.eigh(gram(image, "v", m))
+        sigma = np.sqrt(np.sqrt(np.maximum(np.sort(values)[::-1][:k], 0.0)))
         kept = values > values.max() * 1e-18
         whiten = vectors * np.where(kept, 1.0 / np.sqrt(np.where(kept, values, 1.0)), 0.0)
         basis = materialise(_rotated(image, "item_id", "v", whiten), "basis")
+        if last is not None and np.abs(sigma - last).max() <= tol * sigma.max():
+            break
+        last = sigma
     users = materialise(users_of(basis), "users")
     values, vectors = np.linalg.eigh(gram(users, "y", m))
     best = np.argsort(-values)[:k]

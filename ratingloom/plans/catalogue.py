@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from ratingloom.plans import core, linearmodels, models, patterns, vectors  # noqa: F401
+from ratingloom.plans import core, exchange, insight, linearmodels, models, patterns, synthetic, vectors  # noqa: F401

@@ -31,7 +31,7 @@ def inverse_sql(lam: float) -> str:
   JOIN g{BRANDS} d ON d.i = a.i AND d.j = a.i JOIN items t ON t.p = a.i JOIN items s ON s.p = a.j WHERE a.i <> a.j)"""
 
 
-def slim_sql(l1: float, l2: float) -> str:
+def slim_sql(l1: float, l2: float, digits: int = 6) -> str:
     """Cyclic coordinate descent, one table per coordinate update."""
     body = f"{_GRAM}, n AS (SELECT count(DISTINCT user_id) AS n FROM r), w0 AS MATERIALIZED (SELECT i, j, 0.0::DOUBLE AS w FROM gram)"
     step = 0
@@ -44,7 +44,7 @@ def slim_sql(l1: float, l2: float) -> str:
   JOIN (SELECT x.j, sum(g.v * x.w) AS s FROM w{step} x JOIN gram g ON g.i = {k} AND g.j = x.i GROUP BY 1) c ON c.j = w.j, n)"""
             step += 1
     return body + f"""
-  SELECT t.item_id AS item_i, s.item_id AS item_j, {r6('w')} AS sim FROM w{step} JOIN items s ON s.p = i
+  SELECT t.item_id AS item_i, s.item_id AS item_j, {r6('w', digits)} AS sim FROM w{step} JOIN items s ON s.p = i
   JOIN items t ON t.p = j WHERE w > 0"""
 
 
@@ -68,11 +68,12 @@ def _(spark, sf):
     return edges.withColumn("sim", rounded("sim"))
 
 
-@query("n15_slim_scores")
+@query("n15_slim_scores", sp.with_ratings(sp.BRANDS, f""" SELECT user_id, w.item_i AS item_id, {r6('sum(rating * w.sim)', 3)} AS score
+  FROM r JOIN ({sp.with_ratings(sp.BRANDS, slim_sql(0.001, 0.0001, digits=12))}) w ON w.item_j = r.item_id GROUP BY 1, 2"""))
 def _(spark, sf):
     ratings = views.ratings_brands(spark, sf)
     scores = neighbors.propagate(ratings, linear.fit_slim(ratings, 0.001, 0.0001, SWEEPS))
-    return scores.select("user_id", "item_id", rounded("score").alias("score"))
+    return scores.select("user_id", "item_id", rounded("score", 3).alias("score"))
 
 
 @query("u5_reconstruction_view", sp.with_ratings(sp.EVENTS, sp.COSINE + f"""

@@ -121,16 +121,37 @@ def _(spark, sf):
     return _out(gradient.fit_asvd(ratings, 2, STEPS, LR).score(ratings))
 
 
-@query("m10_truncated_svd")
+def _power_sql(steps: int) -> str:
+    """Leading right singular vector by power iteration on R'R."""
+    body = f"WITH r AS MATERIALIZED ({sp.BRANDS}), v0 AS MATERIALIZED (SELECT item_id, 1.0::DOUBLE AS v FROM (SELECT DISTINCT item_id FROM r))"
+    for s in range(1, steps + 1):
+        body += f"""
+, y{s} AS MATERIALIZED (SELECT user_id, sum(rating * v) AS y FROM r JOIN v{s - 1} USING (item_id) GROUP BY 1)
+, z{s} AS MATERIALIZED (SELECT item_id, sum(rating * y) AS z FROM r JOIN y{s} USING (user_id) GROUP BY 1)
+, v{s} AS MATERIALIZED (SELECT item_id, z / (SELECT sqrt(sum(z * z)) FROM z{s}) AS v FROM z{s})"""
+    return body + f"""
+, p AS MATERIALIZED (SELECT user_id, sum(rating * v) AS p FROM r JOIN v{steps} USING (item_id) GROUP BY 1)
+, sigma AS (SELECT sqrt(sum(p * p)) AS s FROM p)"""
+
+
+@query("m10_truncated_svd", _power_sql(14) + f" SELECT user_id, item_id, {r6('p * v', 5)} AS score FROM r JOIN p USING (user_id) JOIN v14 USING (item_id)")
+def _(spark, sf):
+    ratings = views.ratings_brands(spark, sf)
+    scores = solvers.fit_svd(ratings, 1).score(ratings)
+    return scores.select("user_id", "item_id", rounded("score", 5).alias("score"))
+
+
+@query("m10_truncated_svd_rank_10")
 def _(spark, sf):
     ratings = views.ratings_brands(spark, sf)
-    return _out(solvers.fit_svd(ratings, 5, iterations=6).score(ratings))
+    return _out(solvers.fit_svd(ratings, 10, iterations=8).score(ratings))
 
 
-@query("m11_pure_svd")
+@query("m11_pure_svd", _power_sql(14) + f""" SELECT user_id, item_id, {r6('p * v / (SELECT s FROM sigma)')} AS score
+  FROM r JOIN p USING (user_id) JOIN v14 USING (item_id)""")
 def _(spark, sf):
     ratings = views.ratings_brands(spark, sf)
-    return _out(solvers.fit_svd(ratings, 5, iterations=6).score(ratings, scale_sigma=False))
+    return _out(solvers.fit_svd(ratings, 1).score(ratings, scale_sigma=False))
 
 
 @query("m12_wrmf", st.als(sp.EVENTS, STEPS, 0.1, alpha=40.0) + _score_sql(_PQ, _BOTH))
