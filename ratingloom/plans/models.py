@@ -25,8 +25,8 @@ def _events(spark, sf):
     return views.ratings_events(spark, sf).select("user_id", "item_id", "rating")
 
 
-def _out(df):
-    return df.select("user_id", "item_id", rounded("score").alias("score"))
+def _out(df, digits=6):
+    return df.select("user_id", "item_id", rounded("score", digits).alias("score"))
 
 
 def _score_sql(expr: str, tables: str) -> str:
@@ -154,10 +154,10 @@ def _(spark, sf):
     return _out(solvers.fit_svd(ratings, 1).score(ratings, scale_sigma=False))
 
 
-@query("m12_wrmf", st.als(sp.EVENTS, STEPS, 0.1, alpha=40.0) + _score_sql(_PQ, _BOTH))
+@query("m12_wrmf", st.als(sp.EVENTS, STEPS, 0.1, alpha=40.0) + f" SELECT user_id, item_id, {r6(_PQ, 4)} AS score FROM r {_BOTH}")
 def _(spark, sf):
     ratings = _events(spark, sf)
-    return _out(solvers.fit_wrmf(ratings, 2, STEPS).score(ratings))
+    return _out(solvers.fit_wrmf(ratings, 2, STEPS).score(ratings), 4)
 
 
 _FISM_SCORE = f""", s AS (SELECT user_id, sum(p1) AS s1, sum(p2) AS s2 FROM r JOIN i{STEPS} USING (item_id) GROUP BY 1)"""
