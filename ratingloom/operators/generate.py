@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ratingloom.functions.columns import HASH_RANGE, mix, mix_unit
-from ratingloom.operators.recommend import BLOCK_ROWS, _packed
+from ratingloom.operators.recommend import BLOCK_ROWS, _packed, spread_meetings
 from ratingloom.session import materialise
 from ratingloom.skew import global_rank
 
@@ -107,7 +107,7 @@ def raw_ideal(profiles: DataFrame, item_features: DataFrame, features: Sequence[
                         }
                     )
 
-    met = left.join(right, "_ib").select("u_ids", "u_flat", "i_ids", "i_flat")
+    met = spread_meetings(left.join(right, "_ib"), user_blocks * item_blocks, "_ub", "_ib").select("u_ids", "u_flat", "i_ids", "i_flat")
     return met.mapInPandas(cells, "user_id long, item_id long, raw double")
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.operators.pairs import mirrored, pair_stats
+from ratingloom.operators.recommend import spread_meetings
 from ratingloom.session import materialise
 from ratingloom.skew import dense_ids
 
@@ -112,6 +113,7 @@ def invert_blocks(blocks: DataFrame, n_items: int, block: int) -> DataFrame:
             .join(F.broadcast(pivot), "_p")  # one block of at most block x block doubles
             .select("bi", "bj", "data", "row", "col", "pivot")
         )
+        met = spread_meetings(met, n_blocks * n_blocks, "bi", "bj")
 
         def update(r, p=p, side=side):
             inverse = np.linalg.inv(np.frombuffer(r.pivot).reshape(side, side))
@@ -192,7 +194,9 @@ def _slim_block_step(gram, weights, b, n_items, block, n_users, l1, l2) -> DataF
         out = left @ np.frombuffer(r.data).reshape(left.shape[1], -1)
         return (r.bj, np.ascontiguousarray(out).tobytes())
 
-    parts = _each_row(product, "bj int, part binary", weights.join(across, "bi").select("bj", "data", "g"))
+    blocks = weights.join(across, "bi").select("bi", "bj", "data", "g")
+    blocks = spread_meetings(blocks, (-(-n_items // block)) ** 2, "bi", "bj")
+    parts = _each_row(product, "bj int, part binary", blocks)
 
     def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         total = np.frombuffer(frame["part"].iloc[0]).copy()
@@ -200,7 +204,7 @@ def _slim_block_step(gram, weights, b, n_items, block, n_users, l1, l2) -> DataF
             total += np.frombuffer(part)
         return pd.DataFrame({"bj": [int(key[0])], "pull": [total.tobytes()]})
 
-    pull = parts.groupBy("bj").applyInPandas(add, "bj int, pull binary")  # one part per block row
+    pull = parts.groupBy("bj").applyInPandas(add, "bj int, pull binary")  # one part of block x block per block row
     own = gram.filter((F.col("bi") == b) & (F.col("bj") == b)).select(F.col("data").alias("gbb"), F.lit(b).alias("bi"))
     target = gram.filter(F.col("bi") == b).select("bj", F.col("data").alias("gbj"))
     met = (

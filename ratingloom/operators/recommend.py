@@ -14,6 +14,7 @@ from ratingloom.functions.columns import tie_safe
 from ratingloom.operators.prepare import with_titles
 
 BLOCK_ROWS = 2048
+MEETINGS_PER_TASK = 64
 
 
 def top_n(
@@ -82,6 +83,13 @@ def _packed(factors: DataFrame, key: str, vector: str, block: str, blocks: int,
     )
 
 
+def spread_meetings(met: DataFrame, meetings: int, *keys: str) -> DataFrame:
+    """At most about MEETINGS_PER_TASK block meetings per task, so an Arrow batch of blocks stays small."""
+    if meetings <= MEETINGS_PER_TASK:
+        return met
+    return met.repartition(-(-meetings // MEETINGS_PER_TASK), *keys)
+
+
 def score_blocks(
     users: DataFrame,
     items: DataFrame,
@@ -121,6 +129,7 @@ def score_blocks(
             for row in frame.itertuples(index=False):
                 yield _best_rows(row, n)
 
+    met = spread_meetings(met, user_blocks * item_blocks, "_ub", "_ib")
     partial = met.select("u_ids", "u_flat", "i_ids", "i_flat", "s_users", "s_items").mapInPandas(
         best_of_meeting, "user_id long, item_id long, score double"
     )

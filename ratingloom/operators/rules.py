@@ -137,12 +137,17 @@ def _intersect(candidates: DataFrame, bitmaps: DataFrame, sets: DataFrame) -> Da
 
 
 def fp_growth(ratings: DataFrame, min_support: float = 0.1) -> DataFrame:
-    """Frequent itemsets by MLlib's parallel FP-growth."""
-    seen = binarise(ratings)
-    baskets = seen.groupBy("user_id").agg(F.collect_set("item_id").alias("items"))
-    n_users = baskets.count()
+    """Frequent itemsets by MLlib's parallel FP-growth.
+
+    Baskets hold frequent items only, so their length is bounded by the number of those.
+    """
+    seen = materialise(binarise(ratings), "transactions")
+    n_users = seen.agg(F.count_distinct("user_id")).first()[0]
     least = min_count(n_users, min_support)
-    model = FPGrowth(itemsCol="items", minSupport=max(0.0, (least - 0.5) / max(n_users, 1))).fit(baskets)
+    kept = seen.join(_frequent_items(seen, least).select("item_id"), "item_id", "left_semi")
+    baskets = kept.groupBy("user_id").agg(F.collect_set("item_id").alias("items"))
+    n_baskets = max(1, baskets.count())
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(0.0, (least - 0.5) / n_baskets))).fit(baskets)
     return model.freqItemsets.select(
         F.array_sort("items").alias("items"),
         F.col("freq").alias("count"),

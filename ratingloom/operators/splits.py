@@ -13,9 +13,7 @@ TEST_SHARE = 0.2
 
 def _ranked(ratings: DataFrame, seed: int) -> DataFrame:
     hashed = ratings.withColumn("_h", mix("user_id", "item_id", seed))
-    ranked = group_rank_by_hash(hashed, "user_id", "_h", "item_id", "_rank", HASH_RANGE)
-    sizes = ratings.groupBy("user_id").agg(F.count("*").alias("_size"))
-    return ranked.join(sizes, "user_id")
+    return group_rank_by_hash(hashed, "user_id", "_h", "item_id", "_rank", HASH_RANGE, size="_size")
 
 
 def _labelled(ranked: DataFrame, is_test: Column) -> DataFrame:

@@ -12,6 +12,7 @@ from ratingloom.plans import sqlparts as sp
 from ratingloom.plans.registry import query
 from ratingloom.skew import global_rank
 from ratingloom.sources import views
+from ratingloom.sources.views import stored
 
 r6 = sp.r6
 BRAND_COUNT = 25  # brands of the part table, fixed by its generator
@@ -46,7 +47,7 @@ def _(spark, sf):
   tu AS (SELECT user_id FROM ri GROUP BY 1 ORDER BY count(*) DESC, user_id LIMIT 100)
   SELECT user_id, item_id, {r6('rating')} AS rating FROM ri WHERE user_id IN (SELECT user_id FROM tu)"""))
 def _(spark, sf):
-    dense = prepare.dense_subset(views.ratings_parts(spark, sf), n_items=500, n_users=100)
+    dense = prepare.dense_subset(stored(views.ratings_parts(spark, sf)), n_items=500, n_users=100)
     return dense.select("user_id", "item_id", rounded("rating").alias("rating"))
 
 
@@ -114,7 +115,7 @@ def _(spark, sf):
 @query("p10_mean_centring", sp.with_ratings(sp.PARTS, f""" SELECT user_id, item_id,
   {r6('rating - avg(rating) OVER (PARTITION BY user_id)')} AS centred FROM r"""))
 def _(spark, sf):
-    return _scores(prepare.centred(views.ratings_parts(spark, sf)), "centred")
+    return _scores(prepare.centred(stored(views.ratings_parts(spark, sf))), "centred")
 
 
 MOVIES = """SELECT p_partkey AS item_id,
@@ -221,7 +222,7 @@ def _split_out(df):
   CAST(size > 1 AND rk <= greatest(1, floor(0.2::DOUBLE * size)) AS INTEGER) AS is_test FROM (SELECT *,
   count(*) OVER (PARTITION BY user_id) AS size, {_rank_sql} AS rk FROM r)"""))
 def _(spark, sf):
-    return _split_out(splits.holdout(views.ratings_parts(spark, sf)))
+    return _split_out(splits.holdout(stored(views.ratings_parts(spark, sf))))
 
 
 @query("l2_leave_one_out", sp.with_ratings(
@@ -234,7 +235,7 @@ def _(spark, sf):
   CAST(rk <= floor(size * 0.2::DOUBLE) AS INTEGER) AS is_test FROM (SELECT *,
   count(*) OVER (PARTITION BY user_id) AS size, {_rank_sql} AS rk FROM r)"""))
 def _(spark, sf):
-    return _split_out(splits.holdout_floor(views.ratings_parts(spark, sf)))
+    return _split_out(splits.holdout_floor(stored(views.ratings_parts(spark, sf))))
 
 
 @query("l4_global_split", sp.with_ratings(
@@ -258,7 +259,7 @@ def _(spark, sf):
   SELECT user_id, item_id, score, rank FROM (SELECT *, row_number() OVER
     (PARTITION BY user_id ORDER BY score DESC, item_id) AS rank FROM grid) WHERE rank <= 10"""))
 def _(spark, sf):
-    return neighbors.popular_for_users(views.ratings_events(spark, sf), 10)
+    return neighbors.popular_for_users(stored(views.ratings_events(spark, sf)), 10)
 
 
 def _edges_out(edges):
@@ -268,7 +269,7 @@ def _edges_out(edges):
 @query("n2_item_cosine", sp.with_ratings(
     sp.BRANDS, sp.COSINE + f" SELECT i AS item_i, j AS item_j, {r6('sim')} AS sim, support FROM edges"))
 def _(spark, sf):
-    return _edges_out(neighbors.item_similarity(views.ratings_brands(spark, sf), "cosine"))
+    return _edges_out(neighbors.item_similarity(stored(views.ratings_brands(spark, sf)), "cosine"))
 
 
 def _adjusted_sql(mean: str) -> str:
@@ -280,12 +281,12 @@ def _adjusted_sql(mean: str) -> str:
 @query("n3_item_adjusted_cosine", _adjusted_sql(
     "sum(rating) OVER (PARTITION BY user_id) / (SELECT count(DISTINCT item_id) FROM r0)"))
 def _(spark, sf):
-    return _edges_out(neighbors.item_similarity(views.ratings_brands(spark, sf), "adjusted_cosine", mean_over="all"))
+    return _edges_out(neighbors.item_similarity(stored(views.ratings_brands(spark, sf)), "adjusted_cosine", mean_over="all"))
 
 
 @query("n3_item_adjusted_cosine_rated", _adjusted_sql("avg(rating) OVER (PARTITION BY user_id)"))
 def _(spark, sf):
-    return _edges_out(neighbors.item_similarity(views.ratings_brands(spark, sf), "adjusted_cosine", mean_over="rated"))
+    return _edges_out(neighbors.item_similarity(stored(views.ratings_brands(spark, sf)), "adjusted_cosine", mean_over="rated"))
 
 
 @query("n4_item_pearson", sp.with_ratings(sp.BRANDS, sp.PAIRS + f""", st AS (SELECT item_id, sum(rating) AS s,
@@ -293,26 +294,26 @@ def _(spark, sf):
   SELECT i AS item_i, j AS item_j, {r6('(a.n * xy - a.s * b.s) / sqrt((a.n * a.ss - a.s * a.s) * (b.n * b.ss - b.s * b.s))')}
     AS sim, pairs.n AS support FROM pairs JOIN st a ON a.item_id = i JOIN st b ON b.item_id = j WHERE pairs.n >= 2"""))
 def _(spark, sf):
-    return _edges_out(neighbors.item_similarity(views.ratings_brands(spark, sf), "pearson"))
+    return _edges_out(neighbors.item_similarity(stored(views.ratings_brands(spark, sf)), "pearson"))
 
 
 @query("n5_support_shrinkage", sp.with_ratings(sp.PARTS, sp.COSINE + f"""
   SELECT i AS item_i, j AS item_j, {r6('support / (support + 10.0::DOUBLE) * sim')} AS sim, support FROM edges"""))
 def _(spark, sf):
-    return _edges_out(neighbors.item_similarity(views.ratings_parts(spark, sf), "cosine", min_support=2, shrinkage=10))
+    return _edges_out(neighbors.item_similarity(stored(views.ratings_parts(spark, sf)), "cosine", min_support=2, shrinkage=10))
 
 
 @query("n6_item_knn_scores", sp.with_ratings(sp.BRANDS, sp.COSINE + sp.knn_scores(10) + f"""
   SELECT user_id, item_id, {r6('score')} AS score FROM scores"""))
 def _(spark, sf):
-    ratings = views.ratings_brands(spark, sf)
+    ratings = stored(views.ratings_brands(spark, sf))
     return _scores(neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), k=10))
 
 
 @query("n7_item_knn_all_cells", sp.with_ratings(sp.BRANDS, sp.COSINE + sp.knn_scores(10, seen=True, eps="0") + f"""
   SELECT user_id, item_id, {r6('score')} AS score FROM scores"""))
 def _(spark, sf):
-    ratings = views.ratings_brands(spark, sf)
+    ratings = stored(views.ratings_brands(spark, sf))
     edges = neighbors.item_similarity(ratings)
     return _scores(neighbors.item_knn_scores(ratings, edges, k=10, include_seen=True, epsilon=0))
 
@@ -339,13 +340,13 @@ _GAPS = """, g AS MATERIALIZED (SELECT user_id AS other_id, item_id,
 @query("n8_user_cosine", sp.with_ratings(sp.EVENTS, _user_edges("rating") +
        f" SELECT user_id, other_id, {r6('sim')} AS sim FROM uedges"))
 def _(spark, sf):
-    return neighbors.user_similarity(views.ratings_events(spark, sf)).withColumn("sim", rounded("sim"))
+    return neighbors.user_similarity(stored(views.ratings_events(spark, sf))).withColumn("sim", rounded("sim"))
 
 
 @query("n8_user_pearson", sp.with_ratings(sp.EVENTS, _user_edges(_CENTRED_X) +
        f" SELECT user_id, other_id, {r6('sim')} AS sim FROM uedges"))
 def _(spark, sf):
-    return neighbors.user_similarity(views.ratings_events(spark, sf), "pearson").withColumn("sim", rounded("sim"))
+    return neighbors.user_similarity(stored(views.ratings_events(spark, sf)), "pearson").withColumn("sim", rounded("sim"))
 
 
 def _user_knn_sql(value: str, k: int) -> str:
@@ -362,13 +363,13 @@ def _user_knn_sql(value: str, k: int) -> str:
 
 @query("n9_user_knn_scores", _user_knn_sql("rating", 20))
 def _(spark, sf):
-    ratings = views.ratings_events(spark, sf)
+    ratings = stored(views.ratings_events(spark, sf))
     return _scores(neighbors.user_knn_scores(ratings, neighbors.user_similarity(ratings), k=20))
 
 
 @query("n9_user_knn_pearson", _user_knn_sql(_CENTRED_X, 20))
 def _(spark, sf):
-    ratings = views.ratings_events(spark, sf)
+    ratings = stored(views.ratings_events(spark, sf))
     return _scores(neighbors.user_knn_scores(ratings, neighbors.user_similarity(ratings, "pearson"), k=20))
 
 
@@ -381,21 +382,21 @@ def _(spark, sf):
     WHERE NOT EXISTS (SELECT 1 FROM r s WHERE s.user_id = n.user_id AND s.item_id = g.item_id) GROUP BY 1, 2)
   JOIN means USING (user_id) WHERE den > 0"""))
 def _(spark, sf):
-    ratings = views.ratings_events(spark, sf)
+    ratings = stored(views.ratings_events(spark, sf))
     return _scores(neighbors.user_knn_fixed_scores(ratings, neighbors.user_similarity(ratings), k=20))
 
 
 @query("n11_slope_one_deviations", sp.with_ratings(
     sp.BRANDS, sp.PAIRS + f" SELECT i AS item_i, j AS item_j, {r6('dev')} AS dev, n AS freq FROM pairs"))
 def _(spark, sf):
-    return neighbors.slope_one_deviations(views.ratings_brands(spark, sf)).withColumn("dev", rounded("dev"))
+    return neighbors.slope_one_deviations(stored(views.ratings_brands(spark, sf))).withColumn("dev", rounded("dev"))
 
 
 @query("n12_slope_one_scores", sp.with_ratings(sp.BRANDS, sp.PAIRS + f""" SELECT h.user_id, p.i AS item_id,
   {r6('sum((h.rating + p.dev) * p.n) / sum(p.n)')} AS score FROM r h JOIN pairs p ON p.j = h.item_id
   WHERE NOT EXISTS (SELECT 1 FROM r s WHERE s.user_id = h.user_id AND s.item_id = p.i) GROUP BY 1, 2"""))
 def _(spark, sf):
-    ratings = views.ratings_brands(spark, sf)
+    ratings = stored(views.ratings_brands(spark, sf))
     return _scores(neighbors.slope_one_scores(ratings, neighbors.slope_one_deviations(ratings)))
 
 
@@ -407,13 +408,13 @@ _JACCARD = sp.PAIRS + """, cnt AS (SELECT item_id, count(*) AS c FROM r GROUP BY
 @query("n13_jaccard_edges", sp.with_ratings(
     sp.EVENTS, _JACCARD + f" SELECT i AS item_i, j AS item_j, {r6('sim')} AS sim, support FROM jac"))
 def _(spark, sf):
-    return _edges_out(neighbors.jaccard_edges(views.ratings_events(spark, sf)))
+    return _edges_out(neighbors.jaccard_edges(stored(views.ratings_events(spark, sf))))
 
 
 @query("n13_cooccurrence_scores", sp.with_ratings(sp.EVENTS, _JACCARD + f""" SELECT h.user_id, e.i AS item_id,
   {r6('sum(e.sim)')} AS score FROM r h JOIN jac e ON e.j = h.item_id GROUP BY 1, 2"""))
 def _(spark, sf):
-    ratings = views.ratings_events(spark, sf)
+    ratings = stored(views.ratings_events(spark, sf))
     from ratingloom.operators.prepare import binarise
 
     return _scores(neighbors.propagate(binarise(ratings), neighbors.jaccard_edges(ratings)))
@@ -422,7 +423,7 @@ def _(spark, sf):
 @query("n16_score_propagation", sp.with_ratings(sp.BRANDS, sp.COSINE + f""" SELECT h.user_id, e.i AS item_id,
   {r6('sum(h.rating * e.sim)')} AS score FROM r h JOIN edges e ON e.j = h.item_id GROUP BY 1, 2"""))
 def _(spark, sf):
-    ratings = views.ratings_brands(spark, sf)
+    ratings = stored(views.ratings_brands(spark, sf))
     return _scores(neighbors.propagate(ratings, neighbors.item_similarity(ratings)))
 
 
@@ -442,7 +443,7 @@ def _pagerank_sql(steps: int) -> str:
 @query("n17_cooccurrence_pagerank", sp.with_ratings(sp.EVENTS, _pagerank_sql(8) + f""" SELECT item_id,
   {r6('(pr - (SELECT min(pr) FROM p8)) / (SELECT max(pr) - min(pr) FROM p8)')} AS weight FROM p8"""))
 def _(spark, sf):
-    ranked = neighbors.cooccurrence_pagerank(views.ratings_events(spark, sf), max_iter=8, tol=0.0)
+    ranked = neighbors.cooccurrence_pagerank(stored(views.ratings_events(spark, sf)), max_iter=8, tol=0.0)
     return ranked.select("item_id", rounded("weight").alias("weight"))
 
 
@@ -460,7 +461,7 @@ def _on_split(view: str, split: str, body: str, k: int = 10) -> str:
     coalesce(title, 'Movie ID: ' || best.item_id || ' (Unknown)') AS title
   FROM best LEFT JOIN t ON t.item_id = best.item_id"""))
 def _(spark, sf):
-    ratings = views.ratings_brands(spark, sf)
+    ratings = stored(views.ratings_brands(spark, sf))
     scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), k=10)
     best = recommend.top_n(scores, ratings, 10, views.brand_titles(spark, sf))
     return best.select("user_id", "item_id", rounded("score").alias("score"), "rank", "title")
@@ -470,7 +471,7 @@ _EVENT_TOP = sp.COSINE + sp.knn_scores(20) + sp.top_scores(10)
 
 
 def _event_top(spark, sf, n=10):
-    ratings = views.ratings_events(spark, sf)
+    ratings = stored(views.ratings_events(spark, sf))
     scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), k=20)
     return ratings, scores, recommend.top_n(scores, ratings, n)
 
@@ -501,7 +502,7 @@ _seen_sql = " UNION ALL ".join(
 
 @query("k4_seen_policies", sp.with_ratings(sp.BRANDS, sp.COSINE + sp.knn_scores(10, seen=True, eps="0") + " " + _seen_sql))
 def _(spark, sf):
-    ratings = views.ratings_brands(spark, sf)
+    ratings = stored(views.ratings_brands(spark, sf))
     scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), 10, include_seen=True, epsilon=0)
     out = None
     for policy in ("keep", "drop", "zero", "leave"):
@@ -521,14 +522,14 @@ _METRIC_SQL = f""" SELECT {r6('sqrt(avg((rating - p) ^ 2))')} AS rmse, {r6('avg(
 
 
 def _split_scores(spark, sf, view, split, k=10):
-    train, test = splits.sides(split(view(spark, sf)))
+    train, test = splits.sides(stored(split(stored(view(spark, sf)))))
     return neighbors.item_knn_scores(train, neighbors.item_similarity(train), k=k), train, test
 
 
 @query("v1_regression_metrics", _on_split(sp.BRANDS, sp.HOLDOUT, _METRIC_SQL + """ FROM (SELECT t.rating,
   coalesce(s.score, 0) AS p FROM test t LEFT JOIN scores s USING (user_id, item_id))"""))
 def _(spark, sf):
-    train, test = splits.sides(splits.holdout(views.ratings_brands(spark, sf)))
+    train, test = splits.sides(stored(splits.holdout(stored(views.ratings_brands(spark, sf)))))
     scores = neighbors.item_knn_scores(train, neighbors.item_similarity(train), k=10, targets=test)
     out = metrics.regression_metrics(metrics.with_default(test, scores))
     return out.select(*[rounded(c).alias(c) for c in out.columns])
@@ -562,7 +563,7 @@ def _(spark, sf):
   , scores AS (SELECT h.user_id, e.i AS item_id, sum(e.sim) AS score FROM r h JOIN jac e ON e.j = h.item_id GROUP BY 1, 2)
   {sp.top_scores(10, drop_seen=False)}{_PR_SQL}""")
 def _(spark, sf):
-    train, test = splits.sides(splits.holdout(views.ratings_events(spark, sf)))
+    train, test = splits.sides(stored(splits.holdout(stored(views.ratings_events(spark, sf)))))
     scores = neighbors.propagate(prepare.binarise(train), neighbors.jaccard_edges(train))
     out = metrics.precision_recall(scores, test, train, exclude_seen=False)
     return out.select(rounded("precision").alias("precision"), rounded("recall").alias("recall"), "n_users")
@@ -609,7 +610,7 @@ def _(spark, sf):
     LEFT JOIN r s USING (user_id, item_id) WHERE user_id IN (SELECT user_id FROM pick)
   UNION ALL SELECT user_id, item_id, 'top_k', {r6('score')} FROM best WHERE user_id IN (SELECT user_id FROM pick)"""))
 def _(spark, sf):
-    ratings = views.ratings_events(spark, sf).select("user_id", "item_id", "rating")
+    ratings = stored(views.ratings_events(spark, sf).select("user_id", "item_id", "rating"))
     scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), k=20, include_seen=True)
     shown = recommend.breakdown(ratings, scores, recommend.sample_user(ratings), 10)
     return shown.withColumn("value", rounded("value"))
@@ -625,13 +626,13 @@ def _(spark, sf):
 @query("d10_pair_support", sp.with_ratings(sp.BRANDS, sp.COSINE + f""" SELECT i AS item_i, j AS item_j, support,
   {r6('sim')} AS raw, {r6('support / (support + 5.0::DOUBLE) * sim')} AS sim FROM edges"""))
 def _(spark, sf):
-    edges = neighbors.item_similarity(views.ratings_brands(spark, sf), shrinkage=5)
+    edges = neighbors.item_similarity(stored(views.ratings_brands(spark, sf)), shrinkage=5)
     return edges.select("item_i", "item_j", "support", rounded("raw").alias("raw"), rounded("sim").alias("sim"))
 
 
 @query("d10_slope_one_support", sp.with_ratings(
     sp.EVENTS, sp.PAIRS + f" SELECT i AS item_i, j AS item_j, n AS freq, {r6('dev')} AS dev FROM pairs WHERE i < j"))
 def _(spark, sf):
-    pairs = pair_stats(views.ratings_events(spark, sf))
+    pairs = pair_stats(stored(views.ratings_events(spark, sf)))
     dev = mirrored(pairs.select("item_i", "item_j", (F.col("diff") / F.col("n_co")).alias("dev"), F.col("n_co").alias("freq")), ("dev",))
     return dev.filter("item_i < item_j").select("item_i", "item_j", "freq", rounded("dev").alias("dev"))

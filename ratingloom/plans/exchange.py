@@ -66,7 +66,7 @@ def _(spark, sf):
 
 def _generated(spark, sf):
     folder = scratch_path(spark, "generated")
-    ratings = _events(spark, sf)
+    ratings = views.stored(_events(spark, sf))
     items = [row[0] for row in ratings.select("item_id").distinct().orderBy("item_id").collect()]  # columns of the wide file
     files.write_generated(folder, ratings, items, views.segment_profiles(spark, sf), views.event_features(spark, sf), EVENT_TYPES)
     return files.read_generated(spark, folder)

@@ -51,7 +51,7 @@ def _raw(spark, sf, ratings):
 
 
 def _gap(spark, sf):
-    ratings = _events(spark, sf)
+    ratings = views.stored(_events(spark, sf))
     scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), 20, include_seen=True)
     return diagnostics.expectation_gap(scores, _raw(spark, sf, ratings))
 
@@ -105,7 +105,7 @@ def _histogram_sql(source: str, col: str) -> str:
 @query("d2_similarity_histogram", sp.with_ratings(sp.EVENTS, sp.COSINE + _histogram_sql("SELECT round(sim, 9) AS s FROM edges", "s")
        + f" SELECT bin, {r6('low')} AS low, {r6('high')} AS high, count FROM h"))
 def _(spark, sf):
-    edges = neighbors.item_similarity(_events(spark, sf)).select(F.round("sim", 9).alias("s"))
+    edges = neighbors.item_similarity(views.stored(_events(spark, sf))).select(F.round("sim", 9).alias("s"))
     bins = diagnostics.histogram(edges, "s", non_zero=True)
     return bins.select("bin", rounded("low").alias("low"), rounded("high").alias("high"), "count")
 
@@ -129,7 +129,7 @@ def _(spark, sf):
     ORDER BY {sp.mix('i', '1')}, i LIMIT 30)
   SELECT i AS item_i, j AS item_j, {r6('sim')} AS sim FROM edges WHERE i IN (SELECT i FROM pick) AND j IN (SELECT i FROM pick)"""))
 def _(spark, sf):
-    sample = diagnostics.similarity_sample(neighbors.item_similarity(_events(spark, sf)), 30)
+    sample = diagnostics.similarity_sample(neighbors.item_similarity(views.stored(_events(spark, sf))), 30)
     return sample.select("item_i", "item_j", rounded("sim").alias("sim"))
 
 
@@ -137,7 +137,7 @@ def _(spark, sf):
   SELECT (SELECT count(DISTINCT item_id) FROM r) AS n_items, nz AS non_zero,
     {r6('1 - nz / ((SELECT count(DISTINCT item_id) FROM r) ^ 2)')} AS sparsity FROM c"""))
 def _(spark, sf):
-    ratings = views.ratings_parts(spark, sf)
+    ratings = views.stored(views.ratings_parts(spark, sf))
     edges = neighbors.item_similarity(ratings, min_support=3)
     return diagnostics.sparsity(edges, ratings).withColumn("sparsity", rounded("sparsity"))
 
@@ -153,7 +153,7 @@ def _(spark, sf):
   SELECT user_id, item_id, {r6('error')} AS error, row_number() OVER (ORDER BY round(error, 9) DESC, user_id, item_id) AS rank,
     {r6('(row_number() OVER (ORDER BY round(error, 9) DESC, user_id, item_id) - 1) / (count(*) OVER () - 1) * 100')} AS percentile FROM e"""))
 def _(spark, sf):
-    ratings = views.ratings_parts(spark, sf)
+    ratings = views.stored(views.ratings_parts(spark, sf))
     means = ratings.groupBy("user_id").agg(F.avg("rating").alias("prediction"))
     curve = diagnostics.error_curve(ratings.join(means, "user_id"))
     return curve.select("user_id", "item_id", rounded("error").alias("error"), "rank", rounded("percentile").alias("percentile"))
@@ -180,7 +180,7 @@ def _(spark, sf):
   SELECT user_id, item_id, {r6('coalesce(rating, 0)')} AS original, {r6('coalesce(score, 0)')} AS predicted, CAST(rating IS NULL AS INTEGER) AS is_new
   FROM r FULL JOIN scores USING (user_id, item_id) WHERE user_id IN (SELECT user_id FROM us) AND item_id IN (SELECT item_id FROM its)"""))
 def _(spark, sf):
-    ratings = _events(spark, sf)
+    ratings = views.stored(_events(spark, sf))
     scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), 20, include_seen=True)
     grid = diagnostics.prediction_grid(ratings, scores)
     return grid.select("user_id", "item_id", rounded("original").alias("original"), rounded("predicted").alias("predicted"),
@@ -196,7 +196,7 @@ def _(spark, sf):
 @query("d13_slim_coefficients", f"""SELECT count(*) AS non_zero, {r6('avg(sim)', 4)} AS mean, {r6('min(sim)', 4)} AS low, {r6('max(sim)', 4)} AS high
   FROM ({sp.with_ratings(sp.BRANDS, slim_sql(0.001, 0.0001, digits=12))})""")
 def _(spark, sf):
-    edges = linear.fit_slim(views.ratings_brands(spark, sf), 0.001, 0.0001, SWEEPS)
+    edges = linear.fit_slim(views.stored(views.ratings_brands(spark, sf)), 0.001, 0.0001, SWEEPS)
     out = diagnostics.coefficient_summary(edges)
     return out.select("non_zero", *[rounded(c, 4).alias(c) for c in ("mean", "low", "high")])
 
@@ -227,7 +227,7 @@ _FOLDS_SQL = " UNION ALL ".join(_fold_sql(s, f) for s in GRID for f in range(3))
 
 
 def _fold_report(spark, sf):
-    train, test = splits.sides(splits.global_split(_events(spark, sf)))
+    train, test = splits.sides(splits.global_split(views.stored(_events(spark, sf))))
 
     def knn(part, pairs, setting):
         edges = neighbors.item_similarity(part, shrinkage=setting["shrinkage"])
@@ -253,7 +253,7 @@ def _(spark, sf):
 
 @query("v6_als_grid_search")
 def _(spark, sf):
-    train, test = splits.sides(splits.global_split(_events(spark, sf)))
+    train, test = splits.sides(splits.global_split(views.stored(_events(spark, sf))))
 
     def als(part, pairs, setting):
         model = solvers.fit_mllib_als(part, setting["rank"], 3, setting["reg"])
@@ -291,7 +291,7 @@ def _trial_sql() -> str:
 
 
 def _trials(spark, sf):
-    train, test = splits.sides(splits.holdout(_events(spark, sf)))
+    train, test = splits.sides(views.stored(splits.holdout(views.stored(_events(spark, sf)))))
     return tuning.search(spark, train, test, SPACES, TRIALS, seed=1)
 
 

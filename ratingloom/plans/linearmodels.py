@@ -50,28 +50,28 @@ def slim_sql(l1: float, l2: float, digits: int = 6) -> str:
 
 @query("n14_ease_weights", sp.with_ratings(sp.BRANDS, inverse_sql(100.0) + f" SELECT item_i, item_j, {r6('sim')} AS sim FROM ease"))
 def _(spark, sf):
-    edges = linear.fit_ease(views.ratings_brands(spark, sf), 100.0, block=10)
+    edges = linear.fit_ease(views.stored(views.ratings_brands(spark, sf)), 100.0, block=10)
     return edges.withColumn("sim", rounded("sim"))
 
 
 @query("n14_ease_scores", sp.with_ratings(sp.BRANDS, inverse_sql(100.0) + f""" SELECT user_id, e.item_i AS item_id,
   {r6('sum(rating * sim)')} AS score FROM r JOIN ease e ON e.item_j = r.item_id GROUP BY 1, 2"""))
 def _(spark, sf):
-    ratings = views.ratings_brands(spark, sf)
+    ratings = views.stored(views.ratings_brands(spark, sf))
     scores = neighbors.propagate(ratings, linear.fit_ease(ratings, 100.0))
     return scores.select("user_id", "item_id", rounded("score").alias("score"))
 
 
 @query("n15_slim_weights", sp.with_ratings(sp.BRANDS, slim_sql(0.001, 0.0001)))
 def _(spark, sf):
-    edges = linear.fit_slim(views.ratings_brands(spark, sf), 0.001, 0.0001, SWEEPS)
+    edges = linear.fit_slim(views.stored(views.ratings_brands(spark, sf)), 0.001, 0.0001, SWEEPS)
     return edges.withColumn("sim", rounded("sim"))
 
 
 @query("n15_slim_scores", sp.with_ratings(sp.BRANDS, f""" SELECT user_id, w.item_i AS item_id, {r6('sum(rating * w.sim)', 3)} AS score
   FROM r JOIN ({sp.with_ratings(sp.BRANDS, slim_sql(0.001, 0.0001, digits=12))}) w ON w.item_j = r.item_id GROUP BY 1, 2"""))
 def _(spark, sf):
-    ratings = views.ratings_brands(spark, sf)
+    ratings = views.stored(views.ratings_brands(spark, sf))
     scores = neighbors.propagate(ratings, linear.fit_slim(ratings, 0.001, 0.0001, SWEEPS))
     return scores.select("user_id", "item_id", rounded("score", 3).alias("score"))
 
@@ -83,7 +83,7 @@ def _(spark, sf):
     LEFT JOIN scores s USING (user_id, item_id)
   UNION ALL SELECT user_id, item_id, 0.0, {r6('score')} FROM best"""))
 def _(spark, sf):
-    ratings = views.ratings_events(spark, sf)
+    ratings = views.stored(views.ratings_events(spark, sf))
     scores = neighbors.propagate(ratings, neighbors.item_similarity(ratings))
     view = embeddings.reconstruction_view(ratings, scores, 10)
     return view.select("user_id", "item_id", rounded("original").alias("original"), rounded("reconstructed").alias("reconstructed"))

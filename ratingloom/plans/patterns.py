@@ -96,8 +96,8 @@ def _(spark, sf):
     FROM held h JOIN rules USING (a)) x
   WHERE NOT EXISTS (SELECT 1 FROM r s WHERE s.user_id = x.user_id AND s.item_id = x.item_id) GROUP BY 1, 2""")
 def _(spark, sf):
-    ratings = views.ratings_brands(spark, sf)
-    found = rules.association_rules(rules.apriori(ratings, SUPPORT, 3), "confidence", 0.8)
+    ratings = views.stored(views.ratings_brands(spark, sf))
+    found = views.stored(rules.association_rules(rules.apriori(ratings, SUPPORT, 3), "confidence", 0.8))
     return rules.rule_scores(ratings, found).select("user_id", "item_id", rounded("score").alias("score"))
 
 

@@ -46,7 +46,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return os.path.join(shared_folder(spark).rstrip("/"), "ratingloom", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(_scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return os.path.join(shared_folder(spark).rstrip("/"), "ratingloom", spark.sparkContext.applicationId)
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete this application's intermediate tables; call it once the results are saved elsewhere."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(files.delete(path, True))
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:

@@ -108,9 +108,9 @@ def dense_ids(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def group_rank_by_hash(
-    df: DataFrame, key: str, order_hash: str, tie: str, name: str, hash_range: int, buckets: int = 64
+    df: DataFrame, key: str, order_hash: str, tie: str, name: str, hash_range: int, buckets: int = 64, size: str | None = None
 ) -> DataFrame:
-    """Exact 1-based rank inside each key by (order_hash, tie).
+    """Exact 1-based rank inside each key by (order_hash, tie), and the key's row count as ``size``.
 
     A key's rows are ranked bucket by bucket of the hash and shifted by the sizes of the buckets
     before, so even a key with a third of all rows is sorted by many tasks.
@@ -119,7 +119,10 @@ def group_rank_by_hash(
     cells = df.withColumn("_b", slot)
     sizes = cells.groupBy(key, "_b").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    shifts = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    if size is not None:
+        shifts = shifts.withColumn(size, F.sum("_n").over(Window.partitionBy(key)))
+    shifts = shifts.drop("_n")
     inside = Window.partitionBy(key, "_b").orderBy(order_hash, tie)
     ranked = cells.withColumn("_rn", F.row_number().over(inside))
     return (

@@ -9,6 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratingloom.session import materialise
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The derived ratings as a table of their own, as a user of the operators would have them.
+
+    Operators that read their ratings several times then scan a small table instead of joining the
+    orders again each time.
+    """
+    return materialise(df, "ratings")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
