@@ -12,11 +12,18 @@ TIE_DIGITS = 9
 
 
 def mix(user: str | Column, item: str | Column, seed: int | Column = 0) -> Column:
-    """Arithmetic hash of a pair in [0, HASH_RANGE), the same in every SQL engine."""
+    """Arithmetic hash of a pair in [0, HASH_RANGE), the same in every SQL engine.
+
+    A linear sum alone would keep the order of the pairs when the seed changes. Its fifth power modulo
+    the prime is a permutation of the range that does not.
+    """
     user = F.col(user) if isinstance(user, str) else user
     item = F.col(item) if isinstance(item, str) else item
     seed = F.lit(seed) if isinstance(seed, int) else seed
-    return F.pmod(user * 7919 + item * 104729 + seed * 31, F.lit(HASH_RANGE)).cast("long")
+    size = F.lit(HASH_RANGE)
+    base = F.pmod(user * 7919 + item * 104729 + seed * 31, size).cast("long")
+    square = F.pmod(base * base, size)
+    return F.pmod(F.pmod(square * square, size) * base, size)
 
 
 def mix_unit(user: str | Column, item: str | Column, seed: int | Column = 0) -> Column:

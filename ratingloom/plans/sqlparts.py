@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-HASH = "((({u}) * 7919 + ({i}) * 104729 + ({s}) * 31) % 1000003)"
+HASH_BASE = "CAST((({u}) * 7919 + ({i}) * 104729 + ({s}) * 31) % 1000003 AS BIGINT)"
+HASH_SQUARE = f"(({HASH_BASE} * {HASH_BASE}) % 1000003)"
+HASH = f"(((({HASH_SQUARE} * {HASH_SQUARE}) % 1000003) * {HASH_BASE}) % 1000003)"
 
 RATED = "1 + 4 * (avg(l_quantity) - 1) / 49 AS rating"
 BRAND = "CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS BIGINT)"

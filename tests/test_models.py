@@ -126,6 +126,10 @@ def test_salted_training_equals_plain(ratings, monkeypatch):
     assert salted == pytest.approx(plain)
 
 
+def hashed(a, b, seed):
+    return pow(int(a) * 7919 + int(b) * 104729 + seed * 31, 5, 1000003)
+
+
 @pytest.mark.parametrize("width", [65_536, 4])
 def test_negatives_are_the_drawn_unseen_items(spark, width, monkeypatch):
     monkeypatch.setattr(ranking, "SLICE", width)
@@ -139,8 +143,7 @@ def test_negatives_are_the_drawn_unseen_items(spark, width, monkeypatch):
         free = [i for i in items if row[i] == 0]
         for i in np.flatnonzero(row):
             for draw in (1, 2, 3):
-                salt = (4 + draw * 101) * 31
-                wide = ((u * 7919 + i * 104729 + salt) % 1000003) * 1000003 + (i * 7919 + u * 104729 + salt + 31) % 1000003
+                wide = hashed(u, i, 4 + draw * 101) * 1000003 + hashed(i, u, 4 + draw * 101 + 1)
                 if free:
                     want.add((u, int(i), draw, free[wide % len(free)]))
     assert {(r.user_id, r.item_id, r.draw, r.neg) for r in got} == want
