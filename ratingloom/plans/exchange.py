@@ -137,7 +137,6 @@ def _written_reports(spark, sf):
     return root
 
 
-_REPORT_VALUE = F.map_values("metrics")[0].alias("value")
 _BEST = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY algorithm
   ORDER BY round(CASE WHEN type = 'implicit' THEN -cost ELSE cost END, 9), trial) AS rn FROM ({REPORT_SQL} HAVING true) {{where}}) WHERE rn = 1"""
 
@@ -146,7 +145,7 @@ _BEST = f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY algorithm
   UNION ALL SELECT '20240601_000000', algorithm, trial, runtime, type, cost FROM ({_BEST.format(where='')})""")
 def _(spark, sf):
     best = files.read_report(spark, _written_reports(spark, sf), "best-hp.csv")
-    return best.select("run_time", "algorithm", "trial", "runtime", "type", _REPORT_VALUE)
+    return best.select("run_time", "algorithm", "trial", "runtime", "type", F.map_values("metrics")[0].alias("value"))
 
 
 @query("s11_report_folders", f"""SELECT run_time, count(*) AS trials, {r6('sum(cost)', 2)} AS total FROM (

@@ -1,3 +1,5 @@
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -31,3 +33,9 @@ def test_query_equals_its_sql(spark, name):
     want = sorted(map(str, (tuple(row) for row in cursor.fetchall())))
     assert sorted(columns) == sorted(got.columns)
     assert sorted(str(tuple(r)) for r in got.select(*columns).collect()) == want
+
+
+def test_queries_are_listed_without_a_session():
+    code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
