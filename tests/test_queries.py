@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from ratingloom.plans import registry
 
 SF = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -16,9 +17,11 @@ SAMPLE = ["p3_dense_subset", "l1_holdout", "n6_item_knn_scores", "k1_top_n", "f1
 
 
 def test_every_query_has_sql_but_the_listed_ones():
-    queries, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+    registry.load_all()
+    queries, oracles = registry.QUERIES, registry.ORACLES
     assert set(queries) - set(oracles) == WITHOUT_SQL
     assert not set(oracles) - set(queries)
+    assert set(queries) <= set(__spark_entry__.queries())
 
 
 @pytest.mark.skipif(not SF.exists(), reason="needs the driver tables")
