@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import language_id, line_dedup, mixing, quality_rules, token_counts, token_files, url_rules
+from ratingloom.llm import decontamination, language_id, line_dedup, mixing, quality_rules, token_counts, token_files, url_rules
 from ratingloom.session import scratch_path
 
 
@@ -37,6 +37,10 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -53,7 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_token_files, op4_token_counts, op5_url_rules, op8_mixing, op9_line_dedup, op10_quality_rules)
+    f.__name__: f for f in (op2_language_id, op3_token_files, op4_token_counts, op5_url_rules, op7_decontamination, op8_mixing, op9_line_dedup, op10_quality_rules)
 }
 
 _SPACE = "'[\\x20\\x09-\\x0D]+'"
@@ -132,4 +136,23 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-ORACLES: dict[str, str] = {"op5_url_rules": _OP5, "op8_mixing": _OP8, "op9_line_dedup": _OP9, "op10_quality_rules": _OP10}
+_ALNUM_WORDS = (
+    "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+)
+_OP7 = f"""
+WITH d AS (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(10, len(w)) AS n FROM (SELECT item_id, {_ALNUM_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT doc_id, n, i, item FROM dw JOIN bw USING (n, g)),
+words AS (SELECT doc_id, count(DISTINCT i + k)::BIGINT AS n_hit FROM (SELECT doc_id, i, unnest(range(0, n)) AS k FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item COLLATE "C") AS ids FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op5_url_rules": _OP5, "op7_decontamination": _OP7, "op8_mixing": _OP8, "op9_line_dedup": _OP9, "op10_quality_rules": _OP10}
