@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import decontamination, language_id, line_dedup, mixing, quality_rules, token_counts, token_files, url_rules
+from ratingloom.llm import decontamination, jaccard_join, language_id, line_dedup, mixing, quality_rules, token_counts, token_files, url_rules
 from ratingloom.session import scratch_path
 
 
@@ -37,6 +37,10 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -57,7 +61,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_token_files, op4_token_counts, op5_url_rules, op7_decontamination, op8_mixing, op9_line_dedup, op10_quality_rules)
+    f.__name__: f for f in (op2_language_id, op3_token_files, op4_token_counts, op5_url_rules, op6_jaccard_join, op7_decontamination, op8_mixing, op9_line_dedup, op10_quality_rules)
 }
 
 _SPACE = "'[\\x20\\x09-\\x0D]+'"
@@ -136,6 +140,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+_OP6 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.replace("text", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*)::BIGINT AS n FROM s GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT id, b FROM reach JOIN edges ON r = a)
+SELECT doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r) AS component_id
+FROM reach JOIN documents ON id = doc_id LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
 _ALNUM_WORDS = (
     "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
     "'[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
@@ -155,4 +171,4 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op5_url_rules": _OP5, "op7_decontamination": _OP7, "op8_mixing": _OP8, "op9_line_dedup": _OP9, "op10_quality_rules": _OP10}
+ORACLES: dict[str, str] = {"op5_url_rules": _OP5, "op6_jaccard_join": _OP6, "op7_decontamination": _OP7, "op8_mixing": _OP8, "op9_line_dedup": _OP9, "op10_quality_rules": _OP10}
