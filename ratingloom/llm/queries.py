@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import decontamination, jaccard_join, language_id, line_dedup, mixing, quality_rules, token_counts, token_files, url_rules
+from ratingloom.llm import decontamination, jaccard_join, language_id, line_dedup, mixing, quality_rules, substring_dedup, token_counts, token_files, url_rules
 from ratingloom.session import scratch_path
 
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = substring_dedup.dedup(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     profiles = language_id.fit(docs.filter(~language_id.held_out()))
@@ -61,12 +66,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_token_files, op4_token_counts, op5_url_rules, op6_jaccard_join, op7_decontamination, op8_mixing, op9_line_dedup, op10_quality_rules)
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_language_id, op3_token_files, op4_token_counts, op5_url_rules, op6_jaccard_join, op7_decontamination, op8_mixing, op9_line_dedup,
+        op10_quality_rules,
+    )
 }
 
 _SPACE = "'[\\x20\\x09-\\x0D]+'"
 _WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), {_SPACE}), lambda x: x <> '')"
 
+_OP1 = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+late AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY g ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM late, range(0, 20) AS r(k)),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 _OP5 = """
 WITH parsed AS (
   SELECT page_id,
@@ -171,4 +191,4 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op5_url_rules": _OP5, "op6_jaccard_join": _OP6, "op7_decontamination": _OP7, "op8_mixing": _OP8, "op9_line_dedup": _OP9, "op10_quality_rules": _OP10}
+ORACLES: dict[str, str] = {"op1_substring_dedup": _OP1, "op5_url_rules": _OP5, "op6_jaccard_join": _OP6, "op7_decontamination": _OP7, "op8_mixing": _OP8, "op9_line_dedup": _OP9, "op10_quality_rules": _OP10}
