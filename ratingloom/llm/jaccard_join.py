@@ -325,3 +325,17 @@ def link(docs: DataFrame) -> DataFrame:
     labels = components(links.union(late))
     out = members.join(labels.withColumnRenamed("id", "head"), "head", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("label", "head").alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one document, the smallest id, of each component; of rows with the same id one stays.
+
+    Rows with a null id stay. All columns come back; texts are not shuffled unless ids repeat.
+    """
+    linked = materialise(link(docs), "linked").filter("doc_id IS NOT NULL")
+    kept = only_ids(docs, "doc_id", linked.filter("doc_id <> component_id").select("doc_id"), "left_anti")
+    again = linked.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    if again.isEmpty():
+        return kept
+    once = only_ids(kept, "doc_id", again).dropDuplicates(["doc_id"])
+    return only_ids(kept, "doc_id", again, "left_anti").unionByName(once)

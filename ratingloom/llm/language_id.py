@@ -18,6 +18,7 @@ SAMPLE = 500  # labelled documents per language that a profile is fitted on
 BROADCAST_LANGUAGES = 256  # up to which the list of sampled documents is sent to all tasks
 PIECE = 1 << 20  # characters counted at once
 UNDETERMINED = "und"
+MIN_SCORE = 0.2  # texts of any profile's language score about twice this or more
 
 
 @dataclass(frozen=True)
@@ -127,6 +128,17 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(label, schema)
 
 
+def accepted(docs: DataFrame, profiles: Profiles, min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose language can be told: not ``und`` and with at least ``min_score``. All columns come back."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [nearest(text, profiles) for text in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array([lang != UNDETERMINED and score >= min_score for lang, score in found], pa.bool_()))
+
+    return docs.mapInArrow(choose, docs.schema)
+
+
 def held_out(doc_id="doc_id"):
     """True for the quarter of the ids that profiles never learn from; a null id is not held out."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % 4 == 2
