@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.session import materialise
 
 BROADCAST_IDS = 1_000_000  # long ids that a task may be sent, about 16 MB
+BATCH_BYTES = 8 << 20  # of an Arrow batch, however long its texts
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def text_frame(docs: DataFrame) -> DataFrame:
+    """``docs``, after bounding the session's Arrow batches to BATCH_BYTES where they may be larger.
+
+    Python workers hold a batch several times over; by the default, rows alone would let long texts fill them.
+    """
+    spark: SparkSession = docs.sparkSession
+    if int(spark.conf.get(_BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return docs
 
 
 def only_ids(rows: DataFrame, key: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:

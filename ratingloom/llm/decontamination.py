@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm import textpack as tp
+from ratingloom.llm.common import text_frame
 
 WINDOW = 10
 SAMPLE_EVERY = 8  # text positions between two sampled suffixes
@@ -219,7 +220,7 @@ def _search(docs: DataFrame, phrases: Phrases | None, keep_text: bool) -> DataFr
                     schema=tp.arrow_schema(SPANS),
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(work, SPANS)
+    return text_frame(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(work, SPANS)
 
 
 def _merged(w: tp.Words, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -308,7 +309,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
                         part = _cut(part, at, w, data, offsets, *_merged(w, first, size))
                 yield part
 
-    return docs.mapInArrow(work, schema).select(*columns)
+    return text_frame(docs).mapInArrow(work, schema).select(*columns)
 
 
 def _cut(part: pa.RecordBatch, at: int, w: tp.Words, data: np.ndarray, offsets: np.ndarray, spans: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.llm import textpack as tp
-from ratingloom.llm.common import components, only_ids
+from ratingloom.llm.common import components, only_ids, text_frame
 from ratingloom.session import materialise
 
 SHINGLE = 5
@@ -108,7 +108,7 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return text_frame(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def profiles(docs: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.llm import textpack as tp
+from ratingloom.llm.common import text_frame
 
 PROFILE = 300  # n-grams of a profile
 SAMPLE = 500  # labelled documents per language that a profile is fitted on
@@ -71,7 +72,7 @@ def fit(docs: DataFrame, size: int = PROFILE, sample: int = SAMPLE) -> Profiles:
     costs no more than another. Rows without a language or text are left out. What comes back to the driver has
     ``size`` rows per language.
     """
-    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    labelled = text_frame(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = labelled.select("doc_id", "lang").withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= sample).select("doc_id", "lang").distinct()
     few = labelled.select("lang").distinct().limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES
@@ -125,7 +126,7 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
                 [batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], schema=tp.arrow_schema(schema)
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(label, schema)
+    return text_frame(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(label, schema)
 
 
 def accepted(docs: DataFrame, profiles: Profiles, min_score: float = MIN_SCORE) -> DataFrame:
@@ -136,7 +137,7 @@ def accepted(docs: DataFrame, profiles: Profiles, min_score: float = MIN_SCORE)
             found = [nearest(text, profiles) for text in batch.column("text").to_pylist()]
             yield batch.filter(pa.array([lang != UNDETERMINED and score >= min_score for lang, score in found], pa.bool_()))
 
-    return docs.mapInArrow(choose, docs.schema)
+    return text_frame(docs).mapInArrow(choose, docs.schema)
 
 
 def held_out(doc_id="doc_id"):

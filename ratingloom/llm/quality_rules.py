@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm import textpack as tp
+from ratingloom.llm.common import text_frame
 
 REPEAT_WORDS = 8
 #: The characters counted as symbols.
@@ -117,7 +118,7 @@ def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     if len(rules) > 62:
         raise ValueError("the ledger has 62 bits")
-    measured = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_measure, MEASURES)
+    measured = text_frame(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_measure, MEASURES)
     bits = [F.when(F.expr(r.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, r in enumerate(rules)]
     failed = bits[0]
     for bit in bits[1:]:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm import textpack as tp
-from ratingloom.llm.common import BROADCAST_IDS
+from ratingloom.llm.common import BROADCAST_IDS, text_frame
 from ratingloom.session import materialise
 
 WINDOW = 20
@@ -35,7 +35,7 @@ _NULL_ID = -(1 << 63)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return text_frame(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def anchors(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm import textpack as tp
+from ratingloom.llm.common import text_frame
 
 REMEMBERED = 400_000  # pre-tokens whose counts a worker keeps
 SLICE_BYTES = 8 << 20
@@ -81,4 +82,4 @@ def count(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFrame:
                     schema=tp.arrow_schema(SCHEMA),
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tally, SCHEMA)
+    return text_frame(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tally, SCHEMA)

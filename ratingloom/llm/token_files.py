@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratingloom.llm import textpack as tp
+from ratingloom.llm.common import text_frame
 
 #: Fixed values of the zstandard formats.
 SKIPPABLE, SEEK_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -116,7 +117,7 @@ def encode(docs: DataFrame, tokenizer_file: str, end_id: int, width: int = 2) ->
                     schema=tp.arrow_schema(FRAMES),
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(work, FRAMES)
+    return text_frame(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(work, FRAMES)
 
 
 FRAMES = "doc_id long, frame binary, raw long, checksum long"

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm import textpack as tp
+from ratingloom.llm.common import text_frame
 
 #: Between host and path of a canonical URL; neither can hold it.
 MARK = "#"
@@ -156,5 +157,5 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, block_globs: Sequence
                 )
 
     host, path = canonical(F.col("url").cast("string"))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
+    rows = text_frame(pages).select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     return rows.select("*", F.concat(F.lit("."), "host", F.lit(MARK), "path").alias("whole")).mapInArrow(decide, schema)
