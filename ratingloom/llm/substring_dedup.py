@@ -15,7 +15,7 @@ An owner whose anchors are very frequent has its regions spread over many automa
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -29,6 +29,9 @@ from ratingloom.session import materialise
 
 WINDOW = 20
 ANCHOR = 6  # words of an anchor
+SAMPLE = 2_000  # documents, about, in which very frequent anchors are looked for
+FREQUENT, MOST_FREQUENT = 0.002, 1_000  # share of the sample's anchors from which one is spread; number of these
+SPREAD = 64  # parts of a frequent anchor's rows
 HOT_HITS = 10_000  # anchors that point to one owner, from which its regions are spread
 CHUNK_WORDS = 200_000  # of regions whose owners share an automaton
 _NULL_ID = -(1 << 63)
@@ -38,9 +41,13 @@ def _texts(docs: DataFrame) -> DataFrame:
     return text_frame(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def anchors(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR) -> DataFrame:
-    """(anchor, doc, lo, n): the windows lo to lo + n - 1 of the document have this anchor."""
-    schema = "anchor long, doc long, lo int, n int"
+def anchors(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR, frequent: Sequence[int] = ()) -> DataFrame:
+    """(anchor, part, doc, lo, n): the windows lo to lo + n - 1 of the document have this anchor.
+
+    ``part`` is 0, but for ``frequent`` anchors, whose documents are dealt over the parts 1 to SPREAD.
+    """
+    schema = "anchor long, part int, doc long, lo int, n int"
+    often = np.sort(np.array(frequent, np.int64))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,44 +66,71 @@ def anchors(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR) -> DataFr
                 first = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1]]))
                 doc = np.searchsorted(w.bounds, starts[first], "right") - 1
                 n = np.diff(np.append(first, len(starts)))
+                anchor, part = tp.signed(grams[best[first]]), np.zeros(len(first), np.int32)
+                if len(often):
+                    hot = often[np.minimum(np.searchsorted(often, anchor), len(often) - 1)] == anchor
+                    part[hot] = 1 + tp.mixed(ids[row + doc[hot]].view(np.uint64)) % np.uint64(SPREAD)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(tp.signed(grams[best[first]])), pa.array(ids[row + doc]), pa.array(starts[first] - w.bounds[doc], pa.int32()), pa.array(n, pa.int32())], schema=tp.arrow_schema(schema)
+                    [pa.array(anchor), pa.array(part), pa.array(ids[row + doc]), pa.array(starts[first] - w.bounds[doc], pa.int32()), pa.array(n, pa.int32())], schema=tp.arrow_schema(schema)
                 )
 
     return _texts(docs).select("doc", "text").filter("text IS NOT NULL").mapInArrow(work, schema)
 
 
-HITS = "owner long, doc long, lo int, n int"
+def frequent_anchors(docs: DataFrame, window: int = WINDOW) -> list[int]:
+    """Anchors that make up much of a sample of about SAMPLE documents, MOST_FREQUENT at most.
+
+    They are only dealt out differently; what is found does not depend on them.
+    """
+    share = min(1.0, SAMPLE / max(1, docs.count()))
+    rows = anchors(docs.sample(share, seed=7), window).groupBy("anchor").agg(F.count("*").alias("m"))
+    total = rows.agg(F.sum("m")).first()[0] or 0
+    top = rows.filter(F.col("m") >= max(50, FREQUENT * total)).orderBy(F.desc("m"), "anchor").limit(MOST_FREQUENT)
+    return [r.anchor for r in top.collect()]
+
+
+HITS = "owner long, doc long, lo int, n int, anchor long"
 
 
 def recurring(rows: DataFrame) -> DataFrame:
-    """(owner, doc, lo, n) for the anchors that occur more than once; streamed in anchor order, one row is held."""
+    """(owner, doc, lo, n) for the anchors that occur more than once.
+
+    The rows are streamed in anchor order, one is held. A part of a frequent anchor tells the first document it has;
+    the first of these owns the anchor.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = tp.arrow_schema(HITS)
-        held = np.zeros((0, 4), np.int64)  # the last row, if it is the only one of its anchor so far
-        tail: tuple[int, int] | None = None  # anchor and owner of the last group
+        held = np.zeros((0, 5), np.int64)  # the last row, if it is the only one of its group so far
+        tail: tuple[int, int, int] | None = None  # anchor, part and first document of the last group
         for batch in batches:
-            table = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
+            table = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5)], axis=1)
             if not len(table):
                 continue
             table = np.concatenate([held, table])
-            start = np.flatnonzero(np.concatenate([[True], table[1:, 0] != table[:-1, 0]]))
+            start = np.flatnonzero(np.concatenate([[True], (table[1:, :2] != table[:-1, :2]).any(axis=1)]))
             n = np.diff(np.append(start, len(table)))
-            owner = table[start, 1].copy()
-            keep = n > 1
-            if not len(held) and tail is not None and tail[0] == table[0, 0]:
-                owner[0], keep[0] = tail[1], True
+            owner = table[start, 2].copy()
+            keep = (n > 1) | (table[start, 1] > 0)
+            if not len(held) and tail is not None and tail[:2] == (table[0, 0], table[0, 1]):
+                owner[0], keep[0] = tail[2], True
             held = table[-1:].copy() if not keep[-1] else table[:0]
-            tail = (int(table[-1, 0]), int(owner[-1]))
+            tail = (int(table[-1, 0]), int(table[-1, 1]), int(owner[-1]))
             rows = np.repeat(keep, n)
             if rows.any():
                 found = table[rows]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(owner, n)[rows]), pa.array(np.ascontiguousarray(found[:, 1])), pa.array(found[:, 2], pa.int32()), pa.array(found[:, 3], pa.int32())], schema=schema
-                )
+                    [
+                        pa.array(np.repeat(owner, n)[rows]), pa.array(np.ascontiguousarray(found[:, 2])), pa.array(found[:, 3], pa.int32()), pa.array(found[:, 4], pa.int32()),
+                        pa.array(np.ascontiguousarray(found[:, 0]), pa.int64(), mask=found[:, 1] == 0),
+                    ],
+                    schema=schema,
+                )
 
-    return rows.repartition("anchor").sortWithinPartitions("anchor", "doc", "lo").mapInArrow(work, HITS)
+    found = materialise(rows.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "doc", "lo").mapInArrow(work, HITS), "hits")
+    # at most MOST_FREQUENT rows
+    owners = found.filter("anchor IS NOT NULL").groupBy("anchor").agg(F.min("owner").alias("first"), F.count("*").alias("m"))
+    return found.join(F.broadcast(owners), "anchor", "left").filter("m IS NULL OR m > 1").select(F.coalesce("first", "owner").alias("owner"), "doc", "lo", "n")
 
 
 REGIONS = "owner long, spread int, doc long, lo int, words string"
@@ -260,7 +294,7 @@ def locate(rows: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc, a, b): words a to b - 1 of the document stand in a window that also starts earlier; may overlap."""
-    hits = materialise(recurring(anchors(docs, window)), "hits")
+    hits = recurring(anchors(docs, window, frequent=frequent_anchors(docs, window)))
     busy = materialise(hits.groupBy("owner").agg(F.count("*").alias("m")).filter(F.col("m") > HOT_HITS), "busy")
     spread = busy.select("owner", F.ceil(F.col("m") / HOT_HITS).cast("int").alias("spread"))
     spread = F.broadcast(spread) if busy.count() <= BROADCAST_IDS else spread
