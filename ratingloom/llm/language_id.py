@@ -44,8 +44,8 @@ def count_grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for lo in range(0, len(text), PIECE):
-        # one character before and two behind, for the n-grams at the edges
-        piece = text[max(0, lo - 1) : lo + PIECE + 2].lower()
+        # one character before and one behind, for the n-grams at the edges
+        piece = text[max(0, lo - 1) : lo + PIECE + 1].lower()
         codes = np.frombuffer(piece.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
         codes[~_letters()[codes]] = 0
         if lo == 0:
