@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20  # of text worked on at once; one longer text is a slice of its own
+SLICE_BYTES = 1 << 20  # of text worked on at once; one longer text is a slice of its own
 LONG_WORD = 1 << 12  # bytes from which a word is hashed on its own
-HASH_BYTES = 1 << 19  # of words hashed at once
+HASH_BYTES = 1 << 18  # of words hashed at once
 
 _MULT = 0x9E3779B97F4A7C15
 _WINDOW_MULT = 0xD1342543DE82EF95

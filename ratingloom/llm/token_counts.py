@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from ratingloom.llm import textpack as tp
 from ratingloom.llm.common import text_frame
 
-REMEMBERED = 400_000  # pre-tokens whose counts a worker keeps
-SLICE_BYTES = 8 << 20
+REMEMBERED = 300_000  # pre-tokens whose counts a worker keeps
+SLICE_BYTES = 2 << 20
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 

@@ -15,7 +15,6 @@ import io
 import os
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator, Sequence
 from typing import BinaryIO
 
@@ -36,8 +35,9 @@ IDS = SKIPPABLE + 1  # our skippable frame with document ids
 EMPTY = struct.pack("<II", SKIPPABLE, 0)
 
 FILE_TEXT_BYTES = 48 << 20  # of text that one file holds the ids of
-SLICE_BYTES = 4 << 20
-REMEMBERED = 700_000  # pieces of text whose ids a worker keeps
+SLICE_BYTES = 1 << 20
+REMEMBERED = 2_000_000  # pieces of text whose ids a worker keeps, about 30 bytes each
+ENCODED_AT_ONCE = 2_000
 LEVEL = 3
 
 _STOPS = np.zeros(256, bool)
@@ -50,8 +50,8 @@ def _checksum(raw: bytes) -> int:
     return xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF
 
 
-def pieces(w: tp.Words) -> tuple[pa.Array, np.ndarray]:
-    """The words as strings to encode, and n + 1 bounds by text.
+def pieces(w: tp.Words) -> tp.Words:
+    """The words as pieces to encode.
 
     Two steps make more of them equal. A word of ASCII bytes without `<`, where special tokens begin, is lower-cased,
     as the tokenizer does anyway. One of `.,;:!?` at its end is cut off behind a letter or digit, where the tokenizer
@@ -72,45 +72,67 @@ def pieces(w: tp.Words) -> tuple[pa.Array, np.ndarray]:
     starts, ends = np.repeat(w.starts, n), np.repeat(w.ends, n)
     ends[first[cut]] -= 1
     starts[first[cut] + 1] = ends[first[cut]]
-    return tp.strings(lowered, starts, ends), np.concatenate([[0], np.cumsum(n)])[w.bounds]
+    return tp.Words(lowered, starts, ends, np.concatenate([[0], np.cumsum(n)])[w.bounds])
+
+
+class _Known:
+    """Ids of pieces by the hash of the piece: hashes in order, and the place and number of each piece's ids."""
+
+    def __init__(self, tokenizer, kind: str):
+        self.tokenizer, self.kind = tokenizer, np.dtype(kind)
+        self.hashes, self.first, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind)
+
+    def ids_of(self, p: tp.Words) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces in order, and n + 1 bounds by piece."""
+        hashes = tp.word_hashes(p)
+        distinct, at = np.unique(hashes, return_index=True)
+        place = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
+        new = self.hashes[place] != distinct if len(self.hashes) else np.ones(len(distinct), bool)
+        found = [np.zeros(0, np.uint32)]
+        sizes: list[int] = []
+        at = at[new]
+        for lo in range(0, len(at), ENCODED_AT_ONCE):
+            some = at[lo : lo + ENCODED_AT_ONCE]
+            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(tp.strings(p.data, p.starts[some], p.ends[some]).to_pylist(), add_special_tokens=False)]
+            sizes += map(len, encoded)
+            found.append(np.fromiter((i for ids in encoded for i in ids), np.uint32))
+        fresh = np.concatenate(found)
+        if fresh.max(initial=0) > np.iinfo(self.kind).max:
+            raise ValueError("ids need a width of 4 bytes")
+        n = np.array(sizes, np.int64)
+        where = np.searchsorted(self.hashes, distinct[new])
+        all_hashes = np.insert(self.hashes, where, distinct[new])
+        first = np.insert(self.first, where, len(self.ids) + np.cumsum(n) - n)
+        total = np.insert(self.n, where, n)
+        ids = np.concatenate([self.ids, fresh.astype(self.kind)])
+        if len(all_hashes) <= REMEMBERED:
+            self.hashes, self.first, self.n, self.ids = all_hashes, first, total, ids
+        at = np.searchsorted(all_hashes, hashes)
+        n = total[at]
+        bounds = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
+        return ids[np.arange(bounds[-1]) + np.repeat(first[at] - bounds[:-1], n)], bounds
 
 
 def encode(docs: DataFrame, tokenizer_file: str, end_id: int, width: int = 2) -> DataFrame:
     """doc_id and the frame of its ids, ``end_id`` last.
 
-    Text is cut at ASCII white space and each distinct piece of a batch is encoded once. This is exact for tokenizers
-    that lower-case, drop white space, split letters from punctuation and never join what stands on two sides of a cut.
+    Text is cut at ASCII white space and each distinct piece is encoded once, told by a 64-bit hash, as long as a
+    worker can keep its ids. This is exact for tokenizers that lower-case, drop white space, split letters from
+    punctuation and never join what stands on two sides of a cut.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_file)
+        known = _Known(Tokenizer.from_file(tokenizer_file), f"<u{width}")
         compress = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True).compress
-        known: dict[str, bytes] = {}
+        end = np.array([end_id], known.kind).tobytes()
         for batch in batches:
             for lo, hi, data, offsets in tp.slices(batch.column(1), SLICE_BYTES):
-                w = tp.words(data, offsets, tp.SPACES)
-                text, bounds = pieces(w)
-                coded = text.dictionary_encode()
-                distinct = coded.dictionary.to_pylist()
-                fresh = [x for x in distinct if x not in known]
-                made = {x: array("I", e.ids).tobytes() for x, e in zip(fresh, tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True)}
-                parts = [made[x] if x in made else known[x] for x in distinct]
-                known.update(list(made.items())[: max(0, REMEMBERED - len(known))])
-                flat = np.frombuffer(b"".join(parts), np.uint32)
-                if width == 2 and (end_id > 0xFFFF or flat.max(initial=0) > 0xFFFF):
-                    raise ValueError("ids need a width of 4 bytes")
-                flat = flat.astype(f"<u{width}")
-                sizes = np.array([len(x) // 4 for x in parts], np.int64)
-                first = np.cumsum(sizes) - sizes
-                codes = coded.indices.to_numpy()
-                n = sizes[codes] if len(codes) else np.zeros(0, np.int64)
-                total = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
-                ids = flat[np.arange(total[-1]) + np.repeat(first[codes] - total[:-1], n)] if len(codes) else flat[:0]
-                cuts = total[bounds]
-                end = np.array([end_id], f"<u{width}").tobytes()
+                p = pieces(tp.words(data, offsets, tp.SPACES))
+                ids, bounds = known.ids_of(p)
+                cuts = bounds[p.bounds]
                 raws = [ids[a:b].tobytes() + end for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array([compress(x) for x in raws], pa.binary()), pa.array(list(map(len, raws)), pa.int64()), pa.array(list(map(_checksum, raws)), pa.int64())],
