@@ -4,8 +4,8 @@ Sets of one size band hash their shingles into the same m segments. Two sets wit
 differ in at most H = (1 - t) / (1 + t) * (r + s) shingles, so with more than H segments some segment holds the same
 subset in both; and if the subsets with one shingle deleted are indexed as well, each segment of two shingles or more
 counts twice. The allocation decides per band between many segments with exact subsets and half as many with
-one-deletion neighbourhoods, and per document whether it can do without its costly signatures: subsets that a great
-many documents share, and empty ones. Candidates are verified on their texts.
+one-deletion neighbourhoods, and per document which of its signatures to keep: the rarest, as many as the pigeonhole
+needs. Candidates are verified on their texts.
 """
 
 from __future__ import annotations
@@ -26,9 +26,12 @@ from ratingloom.session import materialise
 SHINGLE = 5
 #: The similarity as a fraction, for whole-number arithmetic.
 ABOVE, BELOW = 3, 4
-SLACK = 1.2  # segments over the number that the pigeonhole needs
-NEIGHBOURHOOD_TOP = 32  # largest band whose sets index their one-deletion neighbourhoods; a row per shingle costs little there
-HOT = 32  # documents that share a signature, from which it is costly
+SLACK = 1.35  # segments over the number that the pigeonhole needs
+NEIGHBOURHOOD_TOP = 16  # largest band whose sets index their one-deletion neighbourhoods; a row per shingle costs little there
+HOT = 32  # documents that share a signature, from which it counts as equally costly
+MORE = 2  # signatures kept beyond those needed, which a pair then has to share as well
+BINS = 128  # of the sketch that bounds the difference of two sets from below
+BLOCK = 2048  # documents of a group that are held against each other in one step
 FIRST_TRIES = 2  # partners that a document is compared with before the exact round
 
 _SEGMENT, _TABLE, _WRAP = np.uint64(0x9FB21C651E98DF25), 0xA24BAED4963EE407, (1 << 64) - 1
@@ -112,14 +115,17 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and two hashes that stand for the set."""
-    schema = "doc_id long, n_shingles long, h1 long, h2 long"
+    """doc_id, n_shingles, two hashes that stand for the set, and its sketch: how many shingles fall in each of BINS, 255 at most."""
+    schema = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary"
+
+    def sketch(s: np.ndarray) -> bytes:
+        return np.minimum(np.bincount((tp.mixed(s) % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [(len(s), s.sum(dtype=np.uint64), tp.mixed(s + np.uint64(1)).sum(dtype=np.uint64)) for s in shingle_sets(batch.column(1))]
+            sets = [(len(s), s.sum(dtype=np.uint64), tp.mixed(s + np.uint64(1)).sum(dtype=np.uint64), sketch(s)) for s in shingle_sets(batch.column(1))]
             n, h1, h2 = (np.array([x[i] for x in sets], np.uint64).view(np.int64) for i in range(3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(h1), pa.array(h2)], schema=tp.arrow_schema(schema))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(h1), pa.array(h2), pa.array([x[3] for x in sets], pa.binary())], schema=tp.arrow_schema(schema))
 
     return _texts(docs).mapInArrow(work, schema)
 
@@ -165,11 +171,11 @@ def index(docs: DataFrame) -> DataFrame:
     return _texts(docs).filter("doc_id IS NOT NULL").mapInArrow(work, INDEX)
 
 
-SHARED = "sig long, doc_id long, about long, first long, hot boolean"
+SHARED = "sig long, doc_id long, about long, first long, n long"
 
 
 def shared(rows: DataFrame) -> DataFrame:
-    """The index rows whose signature more than one document has, with the first of these, and whether more than HOT have it.
+    """The index rows whose signature more than one document has, with the first of these, and how many have it, HOT + 1 for more than HOT.
 
     The rows are sorted by signature inside each partition and streamed; of a group never more than HOT rows are held.
     """
@@ -180,15 +186,15 @@ def shared(rows: DataFrame) -> DataFrame:
         begun: int | None = None  # first document of a hot group that goes on
         tail: int | None = None  # and its signature
 
-        def out(table: np.ndarray, first: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(table[:, i])) for i in range(3)], pa.array(first), pa.array(hot)], schema=schema)
+        def out(table: np.ndarray, first: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(table[:, i])) for i in range(3)], pa.array(first), pa.array(n)], schema=schema)
 
         def groups(table: np.ndarray) -> Iterator[pa.RecordBatch]:
             start = np.flatnonzero(np.concatenate([[True], table[1:, 0] != table[:-1, 0]]))
             n = np.diff(np.append(start, len(table)))
             keep = np.repeat(n > 1, n)
             if keep.any():
-                yield out(table[keep], np.repeat(table[start, 1], n)[keep], np.repeat(n > HOT, n)[keep])
+                yield out(table[keep], np.repeat(table[start, 1], n)[keep], np.repeat(np.minimum(n, HOT + 1), n)[keep])
 
         for batch in batches:
             table = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
@@ -197,7 +203,7 @@ def shared(rows: DataFrame) -> DataFrame:
             if begun is not None:
                 more = int(np.searchsorted(table[:, 0] != tail, True))
                 if more:
-                    yield out(table[:more], np.full(more, begun), np.ones(more, bool))
+                    yield out(table[:more], np.full(more, begun), np.full(more, HOT + 1))
                 table = table[more:]
                 if not len(table):
                     continue
@@ -208,7 +214,7 @@ def shared(rows: DataFrame) -> DataFrame:
             held = table[cut:]
             if len(held) > HOT:
                 begun, tail = int(held[0, 1]), int(held[0, 0])
-                yield out(held, np.full(len(held), begun), np.ones(len(held), bool))
+                yield out(held, np.full(len(held), begun), np.full(len(held), HOT + 1))
                 held = held[:0]
         if len(held):
             yield from groups(held)
@@ -216,14 +222,19 @@ def shared(rows: DataFrame) -> DataFrame:
     return rows.repartition("sig").sortWithinPartitions("sig", "doc_id").mapInArrow(work, SHARED)
 
 
-def _useful(rows: DataFrame, hot_rows: DataFrame) -> DataFrame:
-    """Shared rows without the hot ones of documents that have more exact subsets to spare than hot ones.
+def _useful(rows: DataFrame) -> DataFrame:
+    """The shared rows among the rarest signatures of their document, with ``least``, the number that a pair has to share.
 
-    Such a document shares a signature that is not hot with each of its partners, by its own count; one without keeps
-    all its rows, and so finds each partner that keeps its own.
+    All documents order signatures alike, by how many have them and then by value; those that nobody else has come
+    first. Two sets that link differ in at most H segments, so with w exact subsets each has at least w - H in common
+    with the other; hence, as for any prefix filter, the first H + 1 + k of both have k + 1 in common. A document
+    without subsets to spare, or with one-deletion neighbourhoods, keeps all its rows and only has to share one.
     """
-    enough = hot_rows.filter(F.col("hots") <= _spare("about")).select("doc_id", "about", F.lit(True).alias("_enough"))
-    return rows.join(enough, ["doc_id", "about"], "left").filter("NOT hot OR _enough IS NULL").drop("_enough")
+    mine = Window.partitionBy("doc_id", "about")
+    ranked = rows.withColumn("_k", F.row_number().over(mine.orderBy("n", "sig"))).withColumn("_all", F.count("*").over(mine))
+    more = F.least(_spare("about"), F.lit(MORE))
+    kept = ranked.filter((_spare("about") == 0) | (F.col("_k") <= F.col("_all") - _spare("about") + more))
+    return kept.withColumn("least", more + 1).drop("_k", "_all")
 
 
 def _size(about: str):
@@ -274,26 +285,74 @@ def _first_pairs(rows: DataFrame) -> DataFrame:
     return met.withColumn("_k", F.row_number().over(best)).filter(F.col("_k") <= FIRST_TRIES).select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
 
 
-def _open_pairs(rows: DataFrame, hot_rows: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-    """Every pair of documents with a signature in common, not yet in one component and not yet compared, that can still link.
+def _near(rows: DataFrame) -> DataFrame:
+    """(a, b, ax, bx, least): pairs of a group with different labels, fitting sizes and sketches no further apart than a link allows.
+
+    ``rows`` has the groups (sig, i, j): the blocks i and j of the documents with a signature, in one group.
+    """
+    schema = "a long, b long, ax long, bx long, least int"
+
+    def pairs(table: list[np.ndarray], sketches: np.ndarray, i: int, j: int) -> Iterator[pa.RecordBatch]:
+        doc, about, least, label, block = table
+        size = about >> 32
+        x = np.flatnonzero(block == i)
+        y = x if i == j else np.flatnonzero(block == j)
+        for k in x.tolist():
+            near = y[(label[y] != label[k]) & ((doc[y] > doc[k]) | (i != j))]
+            most = (size[near] + size[k]) * (BELOW - ABOVE) // (BELOW + ABOVE)
+            near, most = near[np.abs(size[near] - size[k]) <= most], most[np.abs(size[near] - size[k]) <= most]
+            apart = np.abs(sketches[near] - sketches[k]).sum(axis=1, dtype=np.int64)
+            near = near[apart <= most]
+            if len(near):
+                swap = doc[near] < doc[k]
+                a, b = np.where(swap, doc[near], doc[k]), np.where(swap, doc[k], doc[near])
+                ax, bx = np.where(swap, about[near], about[k]), np.where(swap, about[k], about[near])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, (a, b, ax, bx)), pa.array(np.minimum(least[near], least[k]), pa.int32())], schema=tp.arrow_schema(schema))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def run() -> Iterator[pa.RecordBatch]:
+            whole = pa.Table.from_batches(held).combine_chunks()
+            sig, i, j, *rest = (whole.column(c).to_numpy().astype(np.int64) for c in range(8))
+            sketches = np.frombuffer(b"".join(whole.column(8).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+            start = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+            for lo, hi in zip(start, np.append(start[1:], len(sig)), strict=True):
+                yield from pairs([c[lo:hi] for c in rest], sketches[lo:hi], int(i[lo]), int(j[lo]))
+
+        for batch in batches:
+            # groups of at most two blocks; all but the last of a batch are complete
+            keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in range(3)], axis=1)
+            last = int(np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)]))[-1]) if len(keys) else 0
+            if last == 0 and held and [held[-1].column(c)[-1].as_py() for c in range(3)] == keys[0].tolist():
+                held.append(batch)
+                continue
+            if last:
+                held.append(batch.slice(0, last))
+            if held:
+                yield from run()
+            held = [batch.slice(last)] if batch.num_rows else []
+        if held:
+            yield from run()
+
+    ordered = rows.select("sig", "i", "j", "doc_id", "about", "least", "label", "block", "sketch")
+    return ordered.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(work, schema)
+
+
+def _open_pairs(rows: DataFrame, sketches: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
+    """Every pair of documents that shares enough kept signatures, not yet in one component and not yet compared, and not too far apart by its sketches.
 
-    Two sets that link differ in at most H segments, so they share all but H of the exact subsets that each of them
-    kept; pairs that share fewer are left out.
+    The documents of a signature are held against each other block by block, so a group of any size is dealt over many tasks.
     """
     known = rows.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-    mixed = known.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
-    known = materialise(known.join(mixed, "sig", "left_semi").select("sig", "doc_id", "about", "hot", "label"), "open")
-    cool = F.sum(F.when(F.col("hot"), 0).otherwise(1))
-    x = known.select("sig", F.col("doc_id").alias("a"), F.col("about").alias("ax"), F.col("label").alias("lx"), "hot")
-    y = known.select("sig", F.col("doc_id").alias("b"), F.col("about").alias("ay"), F.col("label").alias("ly"))
-    size_fits = (BELOW * F.least(_size("ax"), _size("ay")) >= ABOVE * F.greatest(_size("ax"), _size("ay")))
-    met = x.join(y, "sig").filter("a < b AND lx <> ly").filter(size_fits).groupBy("a", "b", "ax", "ay").agg(cool.alias("n"))
-    for side, about in (("a", "ax"), ("b", "ay")):
-        met = met.join(hot_rows.select(F.col("doc_id").alias(side), F.col("about").alias(about), F.col("hots").alias(f"h{side}")), [side, about], "left")
-        # exact subsets beyond those needed, less the hot ones, have to be shared, and one more
-        met = met.withColumn(f"m{side}", F.when(_spare(about) > 0, _spare(about) + 1 - F.coalesce(f"h{side}", F.lit(0))).otherwise(F.lit(0)))
-    met = met.filter((F.col("n") >= F.col("ma")) & (F.col("n") >= F.col("mb"))).select("a", "b").distinct()
-    return met.join(tested, ["a", "b"], "left_anti")
+    known = materialise(known.select("sig", "doc_id", "about", "least", "label"), "open")
+    mixed = known.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")).filter("lo <> hi")
+    known = known.join(mixed.select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "sig").join(sketches, "doc_id")
+    known = known.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    known = known.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    known = known.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    met = _near(known).groupBy("a", "b", "ax", "bx").agg(F.count("*").alias("n"), F.min("least").alias("least"))
+    return met.filter("n >= least").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def link(docs: DataFrame) -> DataFrame:
@@ -312,16 +371,15 @@ def link(docs: DataFrame) -> DataFrame:
     about = materialise(profiles(docs), "profiles")
     same = ["n_shingles", "h1", "h2"]
     classes = about.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("head"))
-    members = materialise(about.join(classes, same, "left").withColumn("head", F.coalesce("head", "doc_id")), "classes")
+    members = materialise(about.drop("sketch").join(classes, same, "left").withColumn("head", F.coalesce("head", "doc_id")), "classes")
     heads = only_ids(docs, "doc_id", members.filter("doc_id <> head").select("doc_id"), "left_anti")
 
     found = materialise(shared(index(heads)), "shared")
-    hot_rows = materialise(found.filter("hot").groupBy("doc_id", "about").agg(F.count("*").alias("hots")), "hot")
-    useful = materialise(_useful(found, hot_rows), "useful")
+    useful = materialise(_useful(found), "useful")
     first = materialise(verified(docs, _first_pairs(useful)), "verified")
     links = first.filter("links").select("a", "b")
     labels = components(links)
-    late = verified(docs, _open_pairs(useful, hot_rows, labels, first.select("a", "b"))).filter("links").select("a", "b")
+    late = verified(docs, _open_pairs(useful, about.filter("doc_id IS NOT NULL").select("doc_id", "sketch").dropDuplicates(["doc_id"]), labels, first.select("a", "b"))).filter("links").select("a", "b")
     labels = components(links.union(late))
     out = members.join(labels.withColumnRenamed("id", "head"), "head", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("label", "head").alias("component_id"))
