@@ -30,7 +30,7 @@ SLACK = 1.35  # segments over the number that the pigeonhole needs
 NEIGHBOURHOOD_TOP = 16  # largest band whose sets index their one-deletion neighbourhoods; a row per shingle costs little there
 HOT = 32  # documents that share a signature, from which it counts as equally costly
 MORE = 2  # signatures kept beyond those needed, which a pair then has to share as well
-BINS = 128  # of the sketch that bounds the difference of two sets from below
+BINS = 2048  # of the sketch that bounds the difference of two sets from below
 BLOCK = 2048  # documents of a group that are held against each other in one step
 FIRST_TRIES = 2  # partners that a document is compared with before the exact round
 
@@ -115,11 +115,14 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, two hashes that stand for the set, and its sketch: how many shingles fall in each of BINS, 255 at most."""
+    """doc_id, n_shingles, two hashes that stand for the set, and its sketch: a bit for each of BINS, set if an odd number of shingles falls there.
+
+    Sketches differ in no more bits than the sets differ in shingles.
+    """
     schema = "doc_id long, n_shingles long, h1 long, h2 long, sketch binary"
 
     def sketch(s: np.ndarray) -> bytes:
-        return np.minimum(np.bincount((tp.mixed(s) % np.uint64(BINS)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+        return np.packbits(np.bincount((tp.mixed(s) % np.uint64(BINS)).astype(np.int64), minlength=BINS) & 1).tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,7 +304,7 @@ def _near(rows: DataFrame) -> DataFrame:
             near = y[(label[y] != label[k]) & ((doc[y] > doc[k]) | (i != j))]
             most = (size[near] + size[k]) * (BELOW - ABOVE) // (BELOW + ABOVE)
             near, most = near[np.abs(size[near] - size[k]) <= most], most[np.abs(size[near] - size[k]) <= most]
-            apart = np.abs(sketches[near] - sketches[k]).sum(axis=1, dtype=np.int64)
+            apart = np.bitwise_count(sketches[near] ^ sketches[k]).sum(axis=1, dtype=np.int64)
             near = near[apart <= most]
             if len(near):
                 swap = doc[near] < doc[k]
@@ -315,7 +318,7 @@ def _near(rows: DataFrame) -> DataFrame:
         def run() -> Iterator[pa.RecordBatch]:
             whole = pa.Table.from_batches(held).combine_chunks()
             sig, i, j, *rest = (whole.column(c).to_numpy().astype(np.int64) for c in range(8))
-            sketches = np.frombuffer(b"".join(whole.column(8).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+            sketches = np.frombuffer(b"".join(whole.column(8).to_pylist()), np.uint64).reshape(-1, BINS // 64)
             start = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
             for lo, hi in zip(start, np.append(start[1:], len(sig)), strict=True):
                 yield from pairs([c[lo:hi] for c in rest], sketches[lo:hi], int(i[lo]), int(j[lo]))
