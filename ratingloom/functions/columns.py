@@ -20,8 +20,9 @@ def mix(user: str | Column, item: str | Column, seed: int | Column = 0) -> Colum
     user = F.col(user) if isinstance(user, str) else user
     item = F.col(item) if isinstance(item, str) else item
     seed = F.lit(seed) if isinstance(seed, int) else seed
-    size = F.lit(HASH_RANGE)
-    base = F.pmod(user * 7919 + item * 104729 + seed * 31, size).cast("long")
+    size = F.lit(HASH_RANGE).cast("long")
+    # each part is reduced first, so that any 64-bit id fits
+    base = F.pmod(F.pmod(user, size) * 7919 + F.pmod(item, size) * 104729 + F.pmod(seed, size) * 31, size).cast("long")
     square = F.pmod(base * base, size)
     return F.pmod(F.pmod(square * square, size) * base, size)
 
