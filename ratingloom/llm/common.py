@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,9 @@ def text_frame(docs: DataFrame) -> DataFrame:
     Python workers hold a batch several times over; by the default, rows alone would let long texts fill them.
     """
     spark: SparkSession = docs.sparkSession
-    if int(spark.conf.get(_BATCH_SETTING).rstrip("b")) > BATCH_BYTES:
+    number, unit = re.fullmatch(r"(-?\d+)([a-z]?)b?", spark.conf.get(_BATCH_SETTING).strip().lower()).groups()
+    now = int(number) << {"k": 10, "m": 20, "g": 30}.get(unit, 0)
+    if now <= 0 or now > BATCH_BYTES:
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     return docs
 
