@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from ratingloom.functions.columns import HASH_RANGE, mix
 from ratingloom.operators.gradient import ITEM, Factors, Layout, apply_step, gradient_sums, inner
 from ratingloom.operators.pairs import mirrored, pair_stats
-from ratingloom.operators.prepare import history_chunks
+from ratingloom.operators.prepare import histories, history_chunks
 from ratingloom.operators.recommend import score_blocks, top_n
 from ratingloom.session import materialise
 from ratingloom.skew import hot_keys, running_totals, salted_join
@@ -43,25 +43,14 @@ def skip_gram_pairs(liked: DataFrame) -> DataFrame:
     )
 
 
-def cbow_examples(liked: DataFrame, limit: int = 1024) -> DataFrame:
-    """user_id, center, part, context: the other items of the history, in parts of bounded length.
+def cbow_examples(liked: DataFrame) -> DataFrame:
+    """user_id, center, context: each item of a history with all its others, one row per user and centre.
 
-    A history of up to ``limit`` items gives one row per centre. A longer one is cut into chunks; every
-    chunk of centres meets every chunk of context items, spread over the cluster by chunk pair.
+    A history of one item gives no row. By definition the output of a history grows with the square of its length.
     """
-    tiles = history_chunks(liked.select("user_id", "item_id").distinct(), limit=limit)
-    centres = tiles.select(
-        "user_id", F.col("chunk").alias("_c"), F.col("items").alias("centers"),
-        F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("part"),
-    )
-    contexts = tiles.select(
-        "user_id", F.col("chunk").alias("part"), "items",
-        F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)).alias("_c"),
-    )
-    met = centres.join(contexts, ["user_id", "_c", "part"])
-    rows = met.select("user_id", "part", F.explode("centers").alias("center"), "items")
-    context = F.filter("items", lambda x: x != F.col("center"))
-    return rows.select("user_id", "center", "part", context.alias("context")).filter(F.size("context") > 0)
+    rows = histories(liked.select("user_id", "item_id").distinct())
+    rows = rows.filter(F.size("items") > 1).select("user_id", F.explode("items").alias("center"), "items")
+    return rows.select("user_id", "center", F.array_remove("items", F.col("center")).alias("context"))
 
 
 def draw_noise(rows: DataFrame, noise: DataFrame, a: str, b: str, per: int, seed: int, buckets: int) -> DataFrame:

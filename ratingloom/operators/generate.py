@@ -16,7 +16,7 @@ from ratingloom.operators.recommend import BLOCK_ROWS, _packed, spread_meetings
 from ratingloom.session import materialise
 from ratingloom.skew import global_rank
 
-SAMPLING_THRESHOLD = 5000
+SAMPLE_ITEMS = 5000
 PREFERENCE_NOISE = 0.05
 
 
@@ -26,15 +26,11 @@ def hash_normal(a: str | Column, b: str | Column, seed: int) -> Column:
     return F.sqrt(-2 * F.log(first)) * F.cos(F.lit(2 * math.pi) * mix_unit(b, a, seed + 1))
 
 
-def sample_items(
-    items: DataFrame, n: int, seed: int = 42, popular: DataFrame | None = None, threshold: int = SAMPLING_THRESHOLD
-) -> DataFrame:
-    """Seeded sample of ``n`` items without replacement, where there are more than ``threshold`` of them.
+def sample_items(items: DataFrame, n: int = SAMPLE_ITEMS, seed: int = 42, popular: DataFrame | None = None) -> DataFrame:
+    """Seeded sample of ``n`` items without replacement.
 
-    ``popular`` (item_id) restricts the choice first. Fewer items than ``n`` are all kept.
+    ``popular`` (item_id) restricts the choice first. If ``n`` or fewer are left, all of them are kept.
     """
-    if items.count() <= threshold:
-        return items
     pool = items if popular is None else items.join(popular.select("item_id"), "item_id", "left_semi")
     return pool.orderBy(mix("item_id", F.lit(1), seed), "item_id").limit(n)
 

@@ -15,8 +15,16 @@ def observed(ratings: DataFrame) -> DataFrame:
     return ratings.filter(F.col("rating") > 0)
 
 
-def to_wide(ratings: DataFrame, items: Sequence) -> DataFrame:
-    """One row per user, one column per listed item, missing = 0. For small catalogues."""
+def to_wide(ratings: DataFrame, items: Sequence | None = None) -> DataFrame:
+    """One row per user, one column per item, missing = 0. For small catalogues.
+
+    Without ``items`` the columns are all rated items; Spark refuses more than ``spark.sql.pivotMaxValues`` of them.
+    """
+    if items is None:
+        limit = int(ratings.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        items = sorted(r[0] for r in ratings.select("item_id").distinct().limit(limit + 1).collect())
+        if len(items) > limit:
+            raise ValueError(f"more than {limit} items for one column each")
     wide = ratings.groupBy("user_id").pivot("item_id", list(items)).agg(F.first("rating"))
     return wide.fillna(0.0, [str(i) for i in items])
 
@@ -75,6 +83,11 @@ def resolve_titles(df: DataFrame, catalogue: DataFrame, ref: str) -> DataFrame:
     )
 
 
+def histories(ratings: DataFrame) -> DataFrame:
+    """user_id, items: every user's items in order, one row per user whatever their number."""
+    return ratings.groupBy("user_id").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+
+
 def history_chunks(ratings: DataFrame, values: Sequence[str] = (), limit: int = 1024) -> DataFrame:
     """User histories as item arrays of about ``limit`` entries at most.
 

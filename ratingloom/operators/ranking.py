@@ -248,8 +248,11 @@ def fit_cml(ratings, k, iterations=100, lr=0.01, lam=0.0, margin=0.5, **kw) -> P
     return fit_pairwise(ratings, k, iterations, lr, lam, lam, kind="margin", margin=margin, **kw)
 
 
-def train_auc(model: PairModel, ratings: DataFrame, samples: int | None = 10_000, seed: int = 7) -> DataFrame:
-    """Share of sampled (positive, negative) pairs ordered rightly; 0.5 without positives."""
+def train_auc(model: PairModel, ratings: DataFrame, samples: int | None = None, seed: int = 7) -> DataFrame:
+    """Share of (positive, sampled negative) pairs ordered rightly; 0.5 without positives.
+
+    Every positive is taken once, or ``samples`` of them.
+    """
     positives = ratings.select("user_id", "item_id")
     if samples is not None:
         positives = positives.orderBy(mix("user_id", "item_id", seed), "user_id", "item_id").limit(samples)

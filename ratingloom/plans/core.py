@@ -15,7 +15,7 @@ from ratingloom.sources import views
 from ratingloom.sources.views import stored
 
 r6 = sp.r6
-BRAND_COUNT = 25  # brands of the part table, fixed by its generator
+BRAND_COUNT = 25  # brands of the part table, for the columns that the comparison SQL has to name
 
 
 def _scores(df: DataFrame, value: str = "score") -> DataFrame:
@@ -31,14 +31,14 @@ _wide_cols = ", ".join(
 
 @query("p1_wide_pivot", sp.with_ratings(sp.BRANDS, f" SELECT user_id, {_wide_cols} FROM r GROUP BY user_id"))
 def _(spark, sf):
-    wide = prepare.to_wide(views.ratings_brands(spark, sf), range(1, BRAND_COUNT + 1))
-    return wide.select("user_id", *[rounded(f"`{b}`").alias(str(b)) for b in range(1, BRAND_COUNT + 1)])
+    wide = prepare.to_wide(stored(views.ratings_brands(spark, sf)))
+    return wide.select("user_id", *[rounded(f"`{b}`").alias(b) for b in wide.columns if b != "user_id"])
 
 
 @query("p2_long_unpivot", sp.with_ratings(
     sp.BRANDS, f" SELECT user_id, CAST(item_id AS VARCHAR) AS item_id, {r6('rating')} AS rating FROM r"))
 def _(spark, sf):
-    wide = prepare.to_wide(views.ratings_brands(spark, sf), range(1, BRAND_COUNT + 1))
+    wide = prepare.to_wide(stored(views.ratings_brands(spark, sf)))
     return prepare.to_long(wide).withColumn("rating", rounded("rating"))
 
 
@@ -91,7 +91,7 @@ def _(spark, sf):
   FROM r WHERE rating >= 4 GROUP BY 1"""))
 def _(spark, sf):
     liked = prepare.binarise(views.ratings_events(spark, sf), threshold=4)
-    return prepare.history_chunks(liked).select(
+    return prepare.histories(liked).select(
         "user_id", F.array_join(F.col("items").cast("array<string>"), ",").alias("items"),
         F.size("items").cast("long").alias("n_items"),
     )

@@ -109,13 +109,13 @@ def _(spark, sf):
     return prepare.feature_matrix(item_map, known, features)
 
 
-@query("s8_rule_records", itemset_sql(3) + rules_sql("confidence", 0.5) + f""" SELECT 'itemset' AS kind, array_to_string(items, ',') AS a, '' AS b,
+@query("s8_rule_records", itemset_sql() + rules_sql("confidence", 0.5) + f""" SELECT 'itemset' AS kind, array_to_string(items, ',') AS a, '' AS b,
     {r6('support')} AS value FROM (SELECT * FROM sets ORDER BY round(support, 9) DESC, items LIMIT 50)
   UNION ALL SELECT 'rule', array_to_string(a, ','), array_to_string(b, ','), {r6('confidence')} FROM (SELECT * FROM rules
     ORDER BY round(confidence, 9) DESC, a, b LIMIT 100)""")
 def _(spark, sf):
     folder = scratch_path(spark, "records")
-    sets = rules.apriori(views.ratings_brands(spark, sf), SUPPORT, 3)
+    sets = rules.apriori(views.ratings_brands(spark, sf), SUPPORT)
     files.write_rule_records(sets, rules.association_rules(sets), folder)
 
     def text(col):

@@ -14,23 +14,18 @@ r6 = sp.r6
 SUPPORT = 0.42
 
 
-def itemset_sql(size: int, support: float = SUPPORT, view: str = sp.BRANDS) -> str:
-    """Tables f1..f<size> of frequent itemsets as columns i1..ik and count c, and sets (sorted list)."""
-    body = f"""WITH r AS MATERIALIZED (SELECT DISTINCT user_id, item_id FROM ({view}))
+def itemset_sql(support: float = SUPPORT, view: str = sp.BRANDS) -> str:
+    """Table sets (items sorted, count, support) of all frequent itemsets, and r with the distinct ratings.
+
+    Each set is extended by every larger item, until no extension is frequent.
+    """
+    return f"""WITH RECURSIVE r AS MATERIALIZED (SELECT DISTINCT user_id, item_id FROM ({view}))
 , n AS (SELECT count(DISTINCT user_id) AS n, ceil({support}::DOUBLE * count(DISTINCT user_id) - 1e-9) AS least FROM r)
-, f1 AS MATERIALIZED (SELECT item_id AS i1, count(*) AS c FROM r GROUP BY 1 HAVING count(*) >= (SELECT least FROM n))
-, t AS MATERIALIZED (SELECT * FROM r WHERE item_id IN (SELECT i1 FROM f1))"""
-    for k in range(2, size + 1):
-        cols = ", ".join(f"t{x}.item_id AS i{x}" for x in range(1, k + 1))
-        joins = " ".join(
-            f"JOIN t t{x} ON t{x}.user_id = t1.user_id AND t{x}.item_id > t{x - 1}.item_id" for x in range(2, k + 1))
-        group = ", ".join(str(x) for x in range(1, k + 1))
-        body += f"""
-, f{k} AS MATERIALIZED (SELECT {cols}, count(*) AS c FROM t t1 {joins} GROUP BY {group}
-    HAVING count(*) >= (SELECT least FROM n))"""
-    sets = " UNION ALL ".join(
-        f"SELECT [{', '.join(f'i{x}' for x in range(1, k + 1))}] AS items, c FROM f{k}" for k in range(1, size + 1))
-    return body + f"\n, sets AS MATERIALIZED (SELECT items, c AS count, c / (SELECT n FROM n)::DOUBLE AS support FROM ({sets}))"
+, one AS MATERIALIZED (SELECT item_id, list(user_id) AS users FROM r GROUP BY 1 HAVING count(*) >= (SELECT least FROM n))
+, grown(items, users) AS (SELECT [item_id], users FROM one UNION ALL
+    SELECT items, users FROM (SELECT list_append(g.items, o.item_id) AS items, list_intersect(g.users, o.users) AS users
+      FROM grown g JOIN one o ON o.item_id > g.items[-1]) WHERE len(users) >= (SELECT least FROM n))
+, sets AS MATERIALIZED (SELECT items, len(users) AS count, len(users) / (SELECT n FROM n)::DOUBLE AS support FROM grown)"""
 
 
 def rules_sql(metric: str, threshold: float) -> str:
@@ -51,22 +46,21 @@ def _itemsets_out(sets):
 
 
 _SETS_OUT = f" SELECT array_to_string(items, ',') AS items, count, {r6('support')} AS support FROM sets"
-DEEPEST = 4
 
 
-@query("f1_apriori", itemset_sql(DEEPEST) + _SETS_OUT)
+@query("f1_apriori", itemset_sql() + _SETS_OUT)
 def _(spark, sf):
-    return _itemsets_out(rules.apriori(views.ratings_brands(spark, sf), SUPPORT, DEEPEST))
+    return _itemsets_out(rules.apriori(views.ratings_brands(spark, sf), SUPPORT))
 
 
-@query("f2_eclat", itemset_sql(DEEPEST) + _SETS_OUT)
+@query("f2_eclat", itemset_sql() + _SETS_OUT)
 def _(spark, sf):
-    return _itemsets_out(rules.eclat(views.ratings_brands(spark, sf), SUPPORT, DEEPEST))
+    return _itemsets_out(rules.eclat(views.ratings_brands(spark, sf), SUPPORT))
 
 
-@query("f3_fp_growth", itemset_sql(3, 0.55) + _SETS_OUT + " WHERE len(items) <= 3")
+@query("f3_fp_growth", itemset_sql(0.55) + _SETS_OUT)
 def _(spark, sf):
-    return _itemsets_out(rules.fp_growth(views.ratings_brands(spark, sf), 0.55).filter(F.size("items") <= 3))
+    return _itemsets_out(rules.fp_growth(views.ratings_brands(spark, sf), 0.55))
 
 
 _RULES_OUT = f""" SELECT array_to_string(a, ',') AS antecedent, array_to_string(b, ',') AS consequent,
@@ -79,34 +73,34 @@ def _rules_out(found):
     return found.select(_text("antecedent"), _text("consequent"), *[rounded(c).alias(c) for c in numbers])
 
 
-@query("f4_association_rules", itemset_sql(3) + rules_sql("confidence", 0.5) + _RULES_OUT)
+@query("f4_association_rules", itemset_sql() + rules_sql("confidence", 0.5) + _RULES_OUT)
 def _(spark, sf):
-    return _rules_out(rules.association_rules(rules.apriori(views.ratings_brands(spark, sf), SUPPORT, 3)))
+    return _rules_out(rules.association_rules(rules.apriori(views.ratings_brands(spark, sf), SUPPORT)))
 
 
-@query("f5_rule_metric_choice", itemset_sql(3) + rules_sql("lift", 1.0) + _RULES_OUT)
+@query("f5_rule_metric_choice", itemset_sql() + rules_sql("lift", 1.0) + _RULES_OUT)
 def _(spark, sf):
-    sets = rules.eclat(views.ratings_brands(spark, sf), SUPPORT, 3)
+    sets = rules.eclat(views.ratings_brands(spark, sf), SUPPORT)
     return _rules_out(rules.association_rules(sets, "lift", 1.0))
 
 
-@query("f6_rule_scores", itemset_sql(3) + rules_sql("confidence", 0.8) + f""", ants AS (SELECT DISTINCT a FROM rules)
+@query("f6_rule_scores", itemset_sql() + rules_sql("confidence", 0.8) + f""", ants AS (SELECT DISTINCT a FROM rules)
 , held AS (SELECT r.user_id, a FROM ants JOIN r ON list_contains(a, r.item_id) GROUP BY 1, 2 HAVING count(*) = len(a))
   SELECT user_id, item_id, {r6('max(confidence)')} AS score FROM (SELECT h.user_id, confidence, unnest(b) AS item_id
     FROM held h JOIN rules USING (a)) x
   WHERE NOT EXISTS (SELECT 1 FROM r s WHERE s.user_id = x.user_id AND s.item_id = x.item_id) GROUP BY 1, 2""")
 def _(spark, sf):
     ratings = views.stored(views.ratings_brands(spark, sf))
-    found = views.stored(rules.association_rules(rules.apriori(ratings, SUPPORT, 3), "confidence", 0.8))
+    found = views.stored(rules.association_rules(rules.apriori(ratings, SUPPORT), "confidence", 0.8))
     return rules.rule_scores(ratings, found).select("user_id", "item_id", rounded("score").alias("score"))
 
 
-@query("f7_named_itemsets", itemset_sql(2) + f""", names AS ({sp.TITLES})
+@query("f7_named_itemsets", itemset_sql() + f""", names AS ({sp.TITLES})
   SELECT titles, count FROM (SELECT items, any_value(count) AS count,
     string_agg(coalesce(title, 'Movie ID: ' || id || ' (Unknown)'), ','
       ORDER BY coalesce(title, 'Movie ID: ' || id || ' (Unknown)')) AS titles
   FROM (SELECT items, count, unnest(items) AS id FROM sets) LEFT JOIN names ON item_id = id GROUP BY 1)""")
 def _(spark, sf):
-    sets = rules.apriori(views.ratings_brands(spark, sf), SUPPORT, 2)
+    sets = rules.apriori(views.ratings_brands(spark, sf), SUPPORT)
     named = rules.named_itemsets(sets, views.brand_titles(spark, sf))
     return named.select(F.array_join("titles", ",").alias("titles"), F.col("count").cast("long").alias("count"))

@@ -26,7 +26,7 @@ def _hash_normal(a: str, b: str, seed: int) -> str:
 def _(spark, sf):
     items = views.table(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
     bought = views.table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("item_id")).agg(F.count("*").alias("n"))
-    return generate.sample_items(items, 500, 42, bought.filter("n >= 30"), threshold=1000)
+    return generate.sample_items(items, 500, 42, bought.filter("n >= 30"))
 
 
 @query("g2_dimension_cut", """SELECT c_custkey + 1 AS user_id, printf('User_%03d', c_custkey + 1) AS name FROM customer

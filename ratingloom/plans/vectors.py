@@ -142,14 +142,14 @@ def _(spark, sf):
     return embeddings.similar_items(vectors, 10).withColumn("sim", rounded("sim"))
 
 
-@query("e7_mean_feature_vectors", f"""SELECT label AS item_id, {r6('avg(embedding[1]::DOUBLE)')} AS v0,
-  {r6('avg(embedding[32]::DOUBLE)')} AS v31, {r6('avg(embedding[64]::DOUBLE)')} AS v63 FROM embeddings GROUP BY 1""")
+@query("e7_mean_feature_vectors", "SELECT label AS item_id, " + ", ".join(
+    f"{r6(f'avg(embedding[{c + 1}]::DOUBLE)')} AS v{c}" for c in range(64)) + " FROM embeddings GROUP BY 1")
 def _(spark, sf):
     table = views.table(spark, sf, "embeddings")
     features = table.select(F.col("label").alias("item_id"), F.col("vec_id").alias("feature"))
     vectors = table.select(F.col("vec_id").alias("feature"), F.col("embedding").cast("array<double>").alias("v"))
     means = embeddings.mean_feature_vectors(features, vectors, 64)
-    return means.select("item_id", *[rounded(F.col("v")[c]).alias(f"v{c}") for c in (0, 31, 63)])
+    return means.select("item_id", *[rounded(F.col("v")[c]).alias(f"v{c}") for c in range(64)])
 
 
 @query("u4_sequences", sp.with_ratings(sp.EVENTS, """, s AS (SELECT user_id, list(item_id + 1 ORDER BY ts, item_id) AS ids FROM (

@@ -207,3 +207,25 @@ def test_archetypes_and_reports(spark, tmp_path):
     assert [r.run_time for r in files.list_reports(spark, root).collect()] == ["20250101_000000", "20240101_000000"]
     back = files.read_report(spark, root, "best-hp.csv").filter("algorithm = 'A'").first()
     assert back.params == {"k": "9"} and back.metrics == {"rmse": 1.1}
+
+
+def test_a_user_of_3000_items_has_one_history(spark):
+    df = spark.range(3000).selectExpr("7L AS user_id", "2999 - id AS item_id")
+    (row,) = prepare.histories(df).collect()
+    assert row.user_id == 7 and row["items"] == list(range(3000))
+
+
+def test_wide_columns_come_from_the_data(spark):
+    df = spark.createDataFrame([(1, 30, 2.0), (1, 4, 1.0), (2, 99, 5.0)], "user_id long, item_id long, rating double")
+    wide = prepare.to_wide(df)
+    assert wide.columns == ["user_id", "4", "30", "99"]
+    assert {tuple(r) for r in prepare.to_long(wide).collect()} == {(1, "30", 2.0), (1, "4", 1.0), (2, "99", 5.0)}
+
+
+def test_item_sample_is_the_same_rule_at_every_size(spark):
+    items = spark.range(100).selectExpr("id AS item_id")
+    popular = items.filter("item_id < 50")
+    assert generate.sample_items(items, 10).count() == 10
+    found = [r.item_id for r in generate.sample_items(items, 10, popular=popular).collect()]
+    assert len(set(found)) == 10 and max(found) < 50
+    assert generate.sample_items(items, 80, popular=popular).count() == 50
