@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from ratingloom.operators import gradient, linear, neighbors, ranking, rules, solvers
 from ratingloom.operators.prepare import binarise
 from ratingloom.operators.recommend import score_blocks, top_n
+from ratingloom.session import materialise
 
 
 @dataclass(frozen=True)
@@ -71,8 +72,21 @@ def _from_scores(scores: DataFrame, ratings: DataFrame) -> Fitted:
     )
 
 
+def _from_blocks(score: Callable[[DataFrame], DataFrame], factors: Callable[[], tuple[DataFrame, DataFrame]], ratings: DataFrame) -> Fitted:
+    """Blocks of factors find each user's best items; the n found get the model's own score.
+
+    The factors may leave out terms that are the same for all items of a user, and monotone links.
+    """
+
+    def recommend(n: int) -> DataFrame:
+        best = materialise(score_blocks(*factors(), n, ratings).select("user_id", "item_id", "rank"), "best")
+        return best.join(score(best.select("user_id", "item_id")), ["user_id", "item_id"]).select("user_id", "item_id", "score", "rank")
+
+    return Fitted(score, recommend)
+
+
 def _from_factors(model, ratings: DataFrame) -> Fitted:
-    return Fitted(model.score, lambda n: score_blocks(*model.block_factors(), n, ratings))
+    return _from_blocks(model.score, model.block_factors, ratings)
 
 
 def _popular(ratings):
@@ -134,18 +148,19 @@ def _svd(scale_sigma):
 
             shrink = [F.col("p")[c] / F.lit(float(s)) for c, s in enumerate(model.sigma)]
             users = users.select("user_id", F.array(*shrink).alias("p"))
-        return Fitted(lambda pairs: model.score(pairs, scale_sigma), lambda n: score_blocks(users, items, n, ratings))
+        return _from_blocks(lambda pairs: model.score(pairs, scale_sigma), lambda: (users, items), ratings)
 
     return fit
 
 
 def _mllib(ratings, k, iterations, lambda_reg):
     model = solvers.fit_mllib_als(ratings, int(k), int(iterations), lambda_reg)
-    return Fitted(
+    return _from_blocks(
         lambda pairs: model.transform(pairs.select("user_id", "item_id")).selectExpr(
             "user_id", "item_id", "double(prediction) AS score"
         ),
-        lambda n: score_blocks(*solvers.mllib_factors(model), n, ratings),
+        lambda: solvers.mllib_factors(model),
+        ratings,
     )
 
 
@@ -170,7 +185,7 @@ def _click(kind):
             p = F.concat(p, F.array(f.user.get("uv", "b"), F.lit(1.0)))
             q = F.concat(q, F.array(F.lit(1.0), f.item.get("iv", "b")))
         users, items = f.users().select("user_id", p.alias("p")), f.items().select("item_id", q.alias("q"))
-        return Fitted(model.score, lambda n: score_blocks(users, items, n, ratings))
+        return _from_blocks(model.score, lambda: (users, items), ratings)
 
     return fit
 
@@ -184,7 +199,7 @@ def _fism(ratings, k, iterations, learning_rate, lambda_reg, alpha):
     norm = gradient.fism_norm(F.col("n_u"), alpha)
     users = sums.select("user_id", F.concat(F.transform("s", lambda x: x * norm), F.array(F.lit(1.0))).alias("p"))
     items = f.items().select("item_id", F.concat(f.item.slice("iv", "q"), F.array(f.item.get("iv", "b"))).alias("q"))
-    return Fitted(model.score, lambda n: score_blocks(users, items, n, ratings))
+    return _from_blocks(model.score, lambda: (users, items), ratings)
 
 
 def _renamed(fit, **names):
@@ -303,7 +318,7 @@ ALGORITHMS: dict[str, Algorithm] = {
         ),
         Algorithm(
             "FM", True, "matrix_factorization", _click("fm"),
-            {"k": _K32, "epochs": Range(1, 100, 1, 10), "learning_rate": _rate(0.05), "lambda_reg": _l2(0.0)},
+            {"k": _K32, "epochs": Range(1, 100, 1, 10), "learning_rate": _rate(0.05), "lambda_reg": Range(0.0, 0.1, 0.001, 0.01)},
         ),
         Algorithm(
             "SimpleX", True, "matrix_factorization",
@@ -329,4 +344,4 @@ def _scored(fit, ratings: DataFrame, params: dict) -> Fitted:
         vec = F.zip_with("z", f.user.slice("uv", "p"), lambda a, b: a + b)
     users = z.select("user_id", F.concat(vec, F.array(F.lit(1.0))).alias("p"))
     items = f.items().select("item_id", F.concat(f.item.slice("iv", "q"), F.array(f.item.get("iv", "b"))).alias("q"))
-    return Fitted(model.score, lambda n: score_blocks(users, items, n, ratings))
+    return _from_blocks(model.score, lambda: (users, items), ratings)

@@ -96,14 +96,19 @@ def _each_row(fn: Callable, schema: str, df: DataFrame) -> DataFrame:
 def invert_blocks(blocks: DataFrame, n_items: int, block: int) -> DataFrame:
     """Inverse of a symmetric positive definite block matrix by block Gauss-Jordan elimination.
 
-    One step per block row: the pivot block is inverted, its row and column are joined to all other
+    One step per block row: the pivot block is inverted once, its row and column are joined to all other
     blocks on their block index, and each block is updated on its own. A single block needs one step.
     """
     n_blocks = -(-n_items // block)
     current = blocks
     for p in range(n_blocks):
         side = _block_side(n_items, block, p)
-        pivot = current.filter((F.col("bi") == p) & (F.col("bj") == p)).select(F.col("data").alias("pivot"), F.lit(p).alias("_p"))
+
+        def inverted(r, p=p, side=side):
+            return (p, np.linalg.inv(np.frombuffer(r.data).reshape(side, side)).tobytes())
+
+        corner = current.filter((F.col("bi") == p) & (F.col("bj") == p)).select("data")
+        pivot = materialise(_each_row(inverted, "_p int, inverse binary", corner), "pivot")
         row = current.filter((F.col("bi") == p)).select("bj", F.col("data").alias("row"))
         col = current.filter((F.col("bj") == p)).select("bi", F.col("data").alias("col"))
         met = (
@@ -111,12 +116,12 @@ def invert_blocks(blocks: DataFrame, n_items: int, block: int) -> DataFrame:
             .join(col, "bi")
             .withColumn("_p", F.lit(p))
             .join(F.broadcast(pivot), "_p")  # one block of at most block x block doubles
-            .select("bi", "bj", "data", "row", "col", "pivot")
+            .select("bi", "bj", "data", "row", "col", "inverse")
         )
         met = spread_meetings(met, n_blocks * n_blocks, "bi", "bj")
 
         def update(r, p=p, side=side):
-            inverse = np.linalg.inv(np.frombuffer(r.pivot).reshape(side, side))
+            inverse = np.frombuffer(r.inverse).reshape(side, side)
             if r.bi == p and r.bj == p:
                 out = inverse
             elif r.bi == p:

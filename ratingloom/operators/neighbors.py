@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -165,17 +165,15 @@ def user_knn_scores(
     hot = hot_keys(offsets, "other_id")
     met = salted_join(edges.filter(F.col("sim") != 0), offsets, "other_id", "user_id", hot)
     met = drop_seen(met, ratings).withColumn("sign", F.signum(tie_safe(F.col("sim")))).filter(F.col("sign") != 0)
-    order = Window.partitionBy("user_id", "item_id", "sign").orderBy(tie_safe(F.col("sim")).desc(), "other_id")
-    near = met.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= k)
-    below = met.filter(F.col("sign") < 0).groupBy("user_id", "item_id").agg(F.count("*").alias("_neg"))
+    # the largest table of the query: one window gives both the places and the number of negatives
+    group = Window.partitionBy("user_id", "item_id", "sign")
+    order = group.orderBy(tie_safe(F.col("sim")).desc(), "other_id")
+    placed = met.withColumn("_rn", F.row_number().over(order)).withColumn("_same", F.count("*").over(group))
     raters = ratings.groupBy("item_id").agg(F.count("*").alias("_raters"))
     admitted = (
-        near.join(below, ["user_id", "item_id"], "left")
+        placed.filter(F.col("_rn") <= k)
         .join(raters, "item_id")
-        .filter(
-            (F.col("sign") > 0)
-            | (F.col("_rn") <= F.lit(k) - (F.col("_raters") - F.coalesce(F.col("_neg"), F.lit(0))))
-        )
+        .filter((F.col("sign") > 0) | (F.col("_rn") <= F.lit(k) - (F.col("_raters") - F.col("_same"))))
     )
     return _mean_offset_scores(admitted, means, low, high)
 
@@ -308,8 +306,3 @@ def cooccurrence_pagerank(
     if not high > low:
         return ranks.select("item_id", F.lit(0.0).alias("weight"))
     return ranks.select("item_id", ((F.col("pr") - F.lit(low)) / F.lit(high - low)).alias("weight"))
-
-
-def score_column(name: str = "score") -> Column:
-    """NaN scores count as 0."""
-    return F.nanvl(F.col(name), F.lit(0.0))

@@ -15,6 +15,7 @@ from ratingloom.operators.prepare import with_titles
 
 BLOCK_ROWS = 2048
 MEETINGS_PER_TASK = 64
+BROADCAST_BLOCKS = 4  # blocks of BLOCK_ROWS factor rows that every task may be sent
 
 
 def top_n(
@@ -109,7 +110,15 @@ def score_blocks(
         "_ib", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1)))
     )
     right = _packed(items, "item_id", "q", "_ib", item_blocks, "i")
-    met = left.join(right, "_ib")
+    meetings = user_blocks * item_blocks
+    few = item_blocks <= BROADCAST_BLOCKS and block_rows <= BLOCK_ROWS
+    if few:
+        met = left.join(F.broadcast(right), "_ib")
+    else:
+        # both sides are repeated and meet by both numbers, so no task gets all user blocks of an item block
+        tasks = -(-meetings // MEETINGS_PER_TASK)
+        right = right.withColumn("_ub", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
+        met = left.repartition(tasks, "_ub", "_ib").join(right.repartition(tasks, "_ub", "_ib").hint("merge"), ["_ub", "_ib"])
     if seen is not None:
         known = (
             seen.select("user_id", "item_id")
@@ -129,7 +138,8 @@ def score_blocks(
             for row in frame.itertuples(index=False):
                 yield _best_rows(row, n)
 
-    met = spread_meetings(met, user_blocks * item_blocks, "_ub", "_ib")
+    if few:
+        met = spread_meetings(met, meetings, "_ub", "_ib")
     partial = met.select("u_ids", "u_flat", "i_ids", "i_flat", "s_users", "s_items").mapInPandas(
         best_of_meeting, "user_id long, item_id long, score double"
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import time
 from collections.abc import Callable, Iterator, Sequence
@@ -19,6 +20,42 @@ REPORT_SCHEMA = (
     "algorithm string, trial int, runtime double, params map<string,string>, type string, metrics map<string,double>"
 )
 
+_K = Range(2, 100, 4, 32)
+_K10 = Range(10, 100, 10, 32)
+_RATE = Range(0.0001, 0.01, 0.001, 0.001)
+_METRIC = Choice(("cosine", "adjusted_cosine", "pearson"), "cosine")
+_SVDPP_L2 = Range(0.001, 0.5, 0.01, 0.02)
+_BIAS_L2 = Range(0.1, 20.0, 0.5, 5.0)
+
+# The search space of each model that is tuned (low, high, step, default).
+SPACES: dict[str, dict[str, Range | Choice]] = {
+    "TruncatedSVD": {"k": _K},
+    "ALS": {"k": _K, "iterations": Range(5, 30, 5, 10), "lambda_reg": Range(0.01, 0.5, 0.05, 0.1)},
+    "ALS (Improved)": {
+        "k": _K, "iterations": Range(5, 30, 5, 10), "lambda_reg": Range(0.01, 0.5, 0.05, 0.05), "lambda_biases": Range(1.0, 20.0, 2.0, 10.0),
+    },
+    "ALS (PySpark)": {"k": _K, "iterations": Range(5, 25, 5, 10), "lambda_reg": Range(0.01, 0.2, 0.05, 0.05)},
+    "BPR": {
+        "k": _K10, "iterations": Range(500, 5000, 500, 1000), "learning_rate": Range(0.001, 0.1, 0.005, 0.01), "lambda_reg": Range(0.001, 0.1, 0.005, 0.01),
+    },
+    "ItemKNN": {"k": Range(5, 100, 5, 20), "similarity_metric": _METRIC, "min_support": Range(0, 10, 1, 2), "shrinkage": Range(0.0, 100.0, 10.0, 0.0)},
+    "UserKNN": {"k": Range(5, 100, 5, 20), "similarity_metric": _METRIC},
+    "NMF": {"k": _K, "iterations": Range(50, 500, 50, 200)},
+    "FunkSVD": {
+        "k": _K, "iterations": Range(5, 30, 5, 10), "learning_rate": Range(0.001, 0.01, 0.001, 0.005), "lambda_reg": Range(0.01, 0.5, 0.05, 0.02),
+    },
+    "SVD++": {
+        "k": Range(10, 200, 5, 30), "iterations": Range(5, 30, 5, 20), "learning_rate": Range(0.0001, 0.1, 0.01, 0.005),
+        "lambda_p": _SVDPP_L2, "lambda_q": _SVDPP_L2, "lambda_y": _SVDPP_L2, "lambda_bu": _BIAS_L2, "lambda_bi": _BIAS_L2,
+    },
+    "WRMF": {"k": _K10, "iterations": Range(5, 30, 5, 10), "lambda_reg": Range(0.01, 1.0, 0.1, 0.1), "alpha": Range(1, 100, 10, 40)},
+    "FM": {"k": Range(8, 64, 8, 32), "epochs": Range(5, 50, 5, 10), "learning_rate": _RATE, "lambda_reg": Range(0.0, 0.1, 0.01, 0.01)},
+    "SimpleX": {
+        "k": Range(8, 128, 8, 32), "epochs": Range(10, 100, 10, 30), "learning_rate": _RATE, "lambda_reg": Range(0.0, 1.0, 0.1, 0.1), "tau": Range(0.05, 1.0, 0.05, 0.1),
+    },
+    "EASE": {"lambda_reg": Range(10, 5000, 50, 100)},
+}
+
 
 def grid(**options: Sequence) -> list[dict]:
     """Every combination of the listed values, in order."""
@@ -34,7 +71,7 @@ def sampled(space: dict[str, Range | Choice], n: int, seed: int) -> Iterator[dic
             if isinstance(spec, Choice):
                 chosen[name] = rng.choice(spec.options)
             else:
-                steps = int(round((spec.high - spec.low) / spec.step))
+                steps = math.floor((spec.high - spec.low) / spec.step + 1e-9)
                 value = spec.low + spec.step * rng.randint(0, steps)
                 chosen[name] = int(value) if spec.is_int else round(value, 10)
         yield chosen
@@ -61,11 +98,11 @@ def search(
 ) -> DataFrame:
     """Random search: one row per trial. Each fit and each metric is a Spark job over the whole split.
 
-    ``spaces``: algorithm -> parameter space, None for the catalogue's own.
+    ``spaces``: algorithm -> parameter space, None for the one in SPACES, else the catalogue's own.
     """
     rows = []
     for name, space in spaces.items():
-        space = ALGORITHMS[name].parameters if space is None else space
+        space = SPACES.get(name, ALGORITHMS[name].parameters) if space is None else space
         for number, params in enumerate(sampled(space, trials, seed), 1):
             began = time.monotonic()
             kind, metrics = run_trial(name, params, train, test)

@@ -449,9 +449,6 @@ def _(spark, sf):
 
 # ---- output and metrics ------------------------------------------------------------------------
 
-_KNN_R0 = f"WITH r0 AS MATERIALIZED ({{view}}){{split}}{sp.COSINE}{{scores}}"
-
-
 def _on_split(view: str, split: str, body: str, k: int = 10) -> str:
     return f"WITH r0 AS MATERIALIZED ({view}){split}{sp.COSINE}{sp.knn_scores(k)}{body}"
 

@@ -27,7 +27,8 @@ def test_every_model_scores_and_recommends_unseen_items(ratings, matrix, name):
     pairs = fitted.recommend(2).select("user_id", "item_id")
     scored = fitted.score(pairs).collect()
     assert len(scored) == len(best)
-    assert all(r.score == r.score for r in scored)
+    own = {(r.user_id, r.item_id): r.score for r in scored}
+    assert all(abs(own[r.user_id, r.item_id] - r.score) < 1e-6 for r in best)
 
 
 def test_unknown_parameters_are_refused():
@@ -35,6 +36,14 @@ def test_unknown_parameters_are_refused():
         ALGORITHMS["NMF"].checked({"max_iter": 5})
 
 
+def test_search_spaces_name_parameters_of_their_models():
+    for name, space in tuning.SPACES.items():
+        assert set(space) <= set(ALGORITHMS[name].parameters)
+        for params in tuning.sampled(space, 20, 3):
+            for key, value in params.items():
+                assert isinstance(space[key], Choice) or space[key].low <= value <= space[key].high
+
+
 def test_sampled_parameters_stay_in_range():
     space = {"k": Range(5, 100, 5, 20), "metric": Choice(("a", "b"), "a"), "rate": Range(0.0, 1.0, 0.25, 0.5)}
     for params in tuning.sampled(space, 50, random.randint(0, 9)):

@@ -158,11 +158,11 @@ def test_bpr_orders_train_pairs_better_than_chance(spark):
     assert ranking.train_auc(model, df).first()[0] > 0.6
 
 
-@pytest.mark.parametrize("kind", ["plain", "margin"])
-def test_block_scores_rank_like_the_model(ratings, matrix, kind):
+@pytest.mark.parametrize("kind, rows", [("plain", 5), ("margin", 5), ("plain", 2)])
+def test_block_scores_rank_like_the_model(ratings, matrix, kind, rows):
     model = ranking.fit_pairwise(ratings, 2, 1, 0.5, kind=kind)
     users, items = model.block_factors()
-    best = recommend.score_blocks(users, items, 3, ratings, block_rows=5).collect()
+    best = recommend.score_blocks(users, items, 3, ratings, block_rows=rows).collect()
     pairs = ratings.select("user_id").distinct().crossJoin(ratings.select("item_id").distinct())
     score = cells(model.score(pairs), "user_id", "item_id", "score")
     for u in {r.user_id for r in best}:
