@@ -7,7 +7,7 @@ A window of WINDOW words is removed where the same words also start earlier. Thr
    each with its owner, the first document that has it.
 2. Automata. Regions of text around kept anchors go to the shard of their owner. Its own phrases, confirmed as
    recurring candidates by their anchors, are compiled into an Aho-Corasick automaton, and all regions of the shard
-   are streamed through it to locate every occurrence. Windows the owner does not have are compared among themselves.
+   are streamed through it to locate every occurrence. Windows of others that stay are compared among themselves.
 3. Removal. The located spans are merged per document and the other words kept.
 
 An owner whose anchors are very frequent has its regions spread over many automata, each with the owner's phrases.
@@ -223,7 +223,9 @@ def _locate(owner: np.ndarray, spread: np.ndarray, doc: np.ndarray, lo: np.ndarr
         first_doc, first_lo = np.array(phrase_doc)[number[located]], np.array(phrase_lo)[number[located]]
         remove[located] = (first_doc < d[located]) | ((first_doc == d[located]) & (first_lo < p[located]))
 
-    rest = np.flatnonzero(~located)
+    # Another owner's phrase may be a later occurrence than the first, so what stays is compared whether located or not.
+    # A window in a region of the owner itself need not be: where its anchor is the owner's, all others were removed.
+    rest = np.flatnonzero(~remove & ~own[row[starts]])
     keys = tp.signed(tp.window_hashes(hashes, window)[starts[rest]])
     far = spread[row[starts[rest]]] > 1
     here, here_keys = rest[~far], keys[~far]

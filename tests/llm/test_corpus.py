@@ -107,6 +107,20 @@ def test_substring_dedup_with_frequent_anchors(spark):
     same(got.select("doc_id", "n_words", "n_removed", sha("kept")), by_sql(rows, queries.ORACLES["op1_substring_dedup"]))
 
 
+def test_substring_dedup_beside_an_unrelated_owner(spark):
+    """Documents 5 and 9 share a passage whose anchors document 3 owns; 9 owns the text around it, as 12 repeats it."""
+    for seed in range(4):
+        rng = random.Random(seed)
+        prose = lambda k: " ".join(f"w{rng.randrange(10**9)}" for _ in range(k))  # noqa: E731, B023
+        passage = prose(20 + 2 * seed).split(" ")
+        runs = " ".join(f"{' '.join(passage[i : i + 6])} {prose(1)}" for i in range(len(passage) - 5))
+        long = f"{prose(40)} {' '.join(passage)} {prose(40)}"
+        texts = {3: runs, 5: f"{prose(30)} {' '.join(passage)} {prose(30)}", 9: long, 12: long}
+        rows = [(i, t, "en", "a", 1, "", "", "") for i, t in texts.items()]
+        got = substring_dedup.dedup(spark.createDataFrame(rows, SCHEMA))
+        same(got.select("doc_id", "n_words", "n_removed", sha("kept")), by_sql(rows, queries.ORACLES["op1_substring_dedup"]))
+
+
 def test_jaccard_join(docs, rows):
     same(jaccard_join.link(docs), by_sql(rows, queries.ORACLES["op6_jaccard_join"]))
 
