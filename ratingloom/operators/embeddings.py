@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,7 +11,7 @@ from pyspark.sql.window import Window
 from ratingloom.functions.columns import HASH_RANGE, mix
 from ratingloom.operators.gradient import ITEM, Factors, Layout, apply_step, gradient_sums, inner
 from ratingloom.operators.pairs import mirrored, pair_stats
-from ratingloom.operators.prepare import histories, history_chunks
+from ratingloom.operators.prepare import histories
 from ratingloom.operators.recommend import score_blocks, top_n
 from ratingloom.session import materialise
 from ratingloom.skew import hot_keys, running_totals, salted_join
@@ -202,14 +201,6 @@ def item_vectors(model: Factors) -> DataFrame:
     return _named(model, "item_id", "v", "v")
 
 
-def fit_word2vec(liked: DataFrame, k: int = 50, epochs: int = 1, seed: int = 0) -> Word2VecModel:
-    """MLlib's skip-gram over histories in item order; sentences longer than its limit are cut by MLlib."""
-    sentences = history_chunks(liked.select("user_id", "item_id").distinct()).select(
-        F.col("items").cast("array<string>").alias("sentence")
-    )
-    return Word2Vec(vectorSize=k, minCount=1, maxIter=epochs, seed=seed, inputCol="sentence", outputCol="vector").fit(sentences)
-
-
 def similar_items(vectors: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` most cosine-similar other items of every item; a zero vector is similar to nothing (0)."""
     size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))

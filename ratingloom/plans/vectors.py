@@ -15,6 +15,7 @@ from ratingloom.sources import views
 r6 = sp.r6
 LR = 0.05
 STEPS = 2
+WORD2VEC_RANK = 16
 
 _LIKED = ", l AS MATERIALIZED (SELECT user_id, item_id FROM r WHERE rating >= 4)"
 
@@ -120,8 +121,9 @@ def _(spark, sf):
 
 @query("e4_word2vec")
 def _(spark, sf):
-    vectors = embeddings.fit_word2vec(_liked(spark, sf)[1], 16).getVectors()
-    return vectors.select(F.col("word").cast("long").alias("item_id"), F.col("vector").cast("string").alias("vector"))
+    liked = _liked(spark, sf)[1]
+    vectors = embeddings.item_vectors(embeddings.fit_skip_gram(liked.select("item_id"), liked, WORD2VEC_RANK))
+    return vectors.select("item_id", F.col("v").cast("string").alias("vector"))
 
 
 @query("e5_cbow_training", sp.with_ratings(sp.EVENTS, _cbow_sql() + _VECTORS))
