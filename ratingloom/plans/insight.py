@@ -144,7 +144,7 @@ def _(spark, sf):
 
 @query("d6_scree")
 def _(spark, sf):
-    model = solvers.fit_svd(views.ratings_brands(spark, sf), 5, iterations=8)
+    model = solvers.fit_svd(views.ratings_brands(spark, sf), 5)
     return diagnostics.scree(model.variance(spark).select("component", "sigma"))
 
 

@@ -144,7 +144,7 @@ def _(spark, sf):
 @query("m10_truncated_svd_rank_10")
 def _(spark, sf):
     ratings = views.ratings_brands(spark, sf)
-    return _out(solvers.fit_svd(ratings, 10, iterations=8).score(ratings))
+    return _out(solvers.fit_svd(ratings, 10).score(ratings))
 
 
 @query("m11_pure_svd", _power_sql(14) + f""" SELECT user_id, item_id, {r6('p * v / (SELECT s FROM sigma)')} AS score
