@@ -93,7 +93,8 @@ def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, sha
     rows = rows.withColumn("_rest", F.col("target") - F.col("_sure") * F.col("source_size"))
     odds = (F.col("_u") / (1 - F.col("_u"))) / (F.col("_p") / (1 - F.col("_p")))
     rows = rows.withColumn("_odds", F.when(F.col("_p") > 0, odds).otherwise(F.col("_u")))
-    rows = rows.withColumn("_bucket", F.floor(F.col("_odds") / (1 + F.col("_odds")) * BUCKETS).cast("long"))
+    # inside a source the odds grow with _u, which spreads evenly whatever the fraction
+    rows = rows.withColumn("_bucket", F.floor(F.col("_u") * BUCKETS).cast("long"))
 
     buckets = rows.groupBy("number", "_bucket").agg(F.sum("size").alias("_sum"))
     earlier = Window.partitionBy("number").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -236,6 +236,24 @@ def test_mixing_repeated_rows_and_nulls(spark):
     assert mixing.mix(df).count() == copies
 
 
+def test_mixing_spreads_a_source_at_small_fractions(spark, monkeypatch):
+    """Every bucket of a source stays small where almost nothing of it is taken, and the plan agrees with one bucket."""
+    docs = spark.range(8000).selectExpr("id AS doc_id", "'a' AS source", "concat('w ', id) AS text")
+    sizes = []
+    joined = type(docs).join
+
+    def join(self, other, on=None, how=None):
+        if isinstance(on, list) and on == ["number", "_bucket"]:
+            sizes.append(self.groupBy(*on).count().agg(F.max("count")).first()[0])
+        return joined(self, other, on, how)
+
+    monkeypatch.setattr(type(docs), "join", join)
+    spread = {tuple(r) for r in mixing.plan(docs, share=0.001).collect()}
+    assert sizes[0] < 20
+    monkeypatch.setattr(mixing, "BUCKETS", 1)
+    assert {tuple(r) for r in mixing.plan(docs, share=0.001).collect()} == spread
+
+
 @pytest.mark.parametrize("seed", [3, 8])
 def test_line_dedup(spark, seed):
     rows = corpus(seed)
