@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import decontamination, jaccard_join, language_id, line_dedup, mixing, quality_rules, substring_dedup, token_counts, token_files, url_rules
+from ratingloom.llm import (
+    conversation_repair, decontamination, embedding_dedup, jaccard_join, language_id, line_dedup, mixing, quality_rules, substring_dedup, token_counts, token_files,
+    url_rules, whitening,
+)
 from ratingloom.session import scratch_path
 
 
@@ -65,11 +68,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), "kept")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audit(_table(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_language_id, op3_token_files, op4_token_counts, op5_url_rules, op6_jaccard_join, op7_decontamination, op8_mixing, op9_line_dedup,
-        op10_quality_rules,
+        op10_quality_rules, op11_conversation_repair, op12_whitening, op13_embedding_dedup,
     )
 }
 
@@ -191,4 +206,66 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_substring_dedup": _OP1, "op5_url_rules": _OP5, "op6_jaccard_join": _OP6, "op7_decontamination": _OP7, "op8_mixing": _OP8, "op9_line_dedup": _OP9, "op10_quality_rules": _OP10}
+_OP11 = """
+WITH RECURSIVE coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+crc AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda c: ord(c)::BIGINT)),
+    lambda r, c: list_reduce([xor(r, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS kind FROM coded),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM crc, range(0, 2) AS t(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, row_number() OVER w AS k,
+    regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS said, left(role, 1) AS ini
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role COLLATE "C", text COLLATE "C")),
+again AS (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY k) > 1 AS dup, lag(ini) OVER (PARTITION BY c ORDER BY k) AS prev FROM placed),
+r AS (SELECT *, CASE WHEN said = '' THEN 'blank' WHEN dup THEN 'duplicate' WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM again),
+counts AS (
+  SELECT c, any_value(conv_id) AS conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (k > 1 AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY c),
+pre(st, ins, mid, pay) AS (VALUES (0, '', 0, 0), (0, 'I', 2, 3), (0, 'II', 3, 6), (1, '', 1, 0), (1, 'I', 2, 3), (1, 'II', 3, 6), (2, '', 2, 0), (2, 'I', 3, 3), (3, '', 3, 0), (3, 'I', 2, 3)),
+act(mid, edit, ini, st2, pay2) AS (VALUES (0, 'D', '', 0, 4), (1, 'D', '', 1, 4), (2, 'D', '', 2, 4), (3, 'D', '', 3, 4), (0, 'R', '', 2, 3), (1, 'R', '', 2, 3), (2, 'R', '', 3, 3), (3, 'R', '', 2, 3),
+  (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0), (3, 'K', 'u', 2, 0)),
+dp(c, k, st, best) AS (
+  SELECT DISTINCT c, 0::BIGINT, 0, lpad('0', 9, '0') FROM r
+  UNION ALL
+  SELECT r.c, r.k, act.st2, min(lpad(CAST(CAST(left(dp.best, 9) AS INTEGER) + pre.pay + act.pay2 + CASE WHEN act.edit <> 'D' AND r.fault = 'truncated' THEN 3 ELSE 0 END AS VARCHAR), 9, '0')
+    || substr(dp.best, 10) || pre.ins || act.edit)
+  FROM dp JOIN r ON r.c = dp.c AND r.k = dp.k + 1 JOIN pre ON pre.st = dp.st JOIN act ON act.mid = pre.mid
+  WHERE act.edit = 'D' OR (r.fault NOT IN ('blank', 'duplicate') AND (act.edit = 'R' OR act.ini = r.ini))
+  GROUP BY r.c, r.k, act.st2),
+fin(st, ins, pay) AS (VALUES (0, '', 0), (1, 'II', 6), (2, 'I', 3), (3, '', 0)),
+paths AS (
+  SELECT c, CAST(left(b, 9) AS BIGINT) AS cost, substr(b, 10) AS audit FROM (
+    SELECT c, min(lpad(CAST(CAST(left(best, 9) AS INTEGER) + pay AS VARCHAR), 9, '0') || substr(best, 10) || ins) AS b
+    FROM dp JOIN counts USING (c) JOIN fin USING (st) WHERE k = n GROUP BY c)),
+steps AS (SELECT c, audit, p, substr(audit, p, 1) AS edit, p - length(replace(left(audit, p), 'I', '')) AS inserted FROM (SELECT c, audit, unnest(range(1, length(audit) + 1)) AS p FROM paths)),
+used AS (SELECT s.c, p, edit, role, text, row_number() OVER (PARTITION BY s.c ORDER BY p) AS e FROM steps s LEFT JOIN r ON r.c = s.c AND edit <> 'I' AND r.k = p - inserted WHERE edit <> 'D'),
+lead AS (SELECT c, max(CASE WHEN e = 1 AND edit = 'K' AND left(role, 1) = 's' THEN 1 ELSE 0 END) AS sys FROM used GROUP BY c),
+spoken AS (
+  SELECT c, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (e - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS h
+  FROM used JOIN lead USING (c) GROUP BY c),
+done AS (SELECT conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, h FROM counts JOIN paths USING (c) LEFT JOIN spoken USING (c))
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN done d ON o.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
+_OP13 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda c: coalesce(c::DOUBLE, 0)) AS e,
+    len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) AS bad FROM embeddings),
+good AS (SELECT * FROM v WHERE label IS NOT NULL AND bad = 0 AND len(list_filter(e, lambda c: c <> 0)) > 0),
+links AS (SELECT a.r AS x, b.r AS y FROM good a JOIN good b ON a.label = b.label AND len(a.e) = len(b.e) AND a.r <> b.r WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(x, y) AS (SELECT r, r FROM v UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
+sets AS (SELECT x AS r, min(vec_id) AS component_id FROM reach JOIN v ON v.r = y GROUP BY x),
+counts AS (SELECT x AS r, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN sets USING (r) LEFT JOIN counts USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op1_substring_dedup": _OP1, "op5_url_rules": _OP5, "op6_jaccard_join": _OP6, "op7_decontamination": _OP7, "op8_mixing": _OP8, "op9_line_dedup": _OP9, "op10_quality_rules": _OP10, "op11_conversation_repair": _OP11, "op13_embedding_dedup": _OP13}
