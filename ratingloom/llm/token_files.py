@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.llm import textpack as tp
 from ratingloom.llm.common import text_frame
+from ratingloom.session import materialise
 
 #: Fixed values of the zstandard formats.
 SKIPPABLE, SEEK_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -36,7 +37,7 @@ EMPTY = struct.pack("<II", SKIPPABLE, 0)
 
 FILE_TEXT_BYTES = 48 << 20  # of text that one file holds the ids of
 SLICE_BYTES = 1 << 20
-REMEMBERED = 2_000_000  # pieces of text whose ids a worker keeps, about 30 bytes each
+REMEMBERED = 2_000_000  # pieces of text whose ids a worker process keeps from task to task, about 30 bytes each
 ENCODED_AT_ONCE = 2_000
 LEVEL = 3
 
@@ -113,19 +114,30 @@ class _Known:
         return ids[np.arange(bounds[-1]) + np.repeat(first[at] - bounds[:-1], n)], bounds
 
 
+_memories: dict[tuple[str, int], _Known] = {}
+
+
+def _memory(tokenizer_file: str, width: int) -> _Known:
+    """What this worker process knows of the tokenizer; Spark gives a process one task after another."""
+    if (tokenizer_file, width) not in _memories:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        _memories.clear()  # one at a time, so that memory stays bounded
+        _memories[tokenizer_file, width] = _Known(Tokenizer.from_file(tokenizer_file), f"<u{width}")
+    return _memories[tokenizer_file, width]
+
+
 def encode(docs: DataFrame, tokenizer_file: str, end_id: int, width: int = 2) -> DataFrame:
     """doc_id and the frame of its ids, ``end_id`` last.
 
-    Text is cut at ASCII white space and each distinct piece is encoded once, told by a 64-bit hash, as long as a
-    worker can keep its ids. This is exact for tokenizers that lower-case, drop white space, split letters from
+    Text is cut at ASCII white space and each distinct piece is encoded once in a worker process, told by a 64-bit
+    hash, as long as the process can keep its ids. This is exact for tokenizers that lower-case, drop white space, split letters from
     punctuation and never join what stands on two sides of a cut.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        known = _Known(Tokenizer.from_file(tokenizer_file), f"<u{width}")
+        known = _memory(tokenizer_file, width)
         compress = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True).compress
         end = np.array([end_id], known.kind).tobytes()
         for batch in batches:
@@ -159,16 +171,12 @@ def _trailer(ids: list, sizes: list[int], raws: list[int], checksums: list[int],
 def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, width: int = 2, file_text_bytes: int = FILE_TEXT_BYTES) -> None:
     """Write the ids of every whole text (null: empty) in ascending doc_id order, null ids first, rows of one id in any order.
 
-    Files follow each other by name and hold ranges of ids; their number follows the bytes of text. Texts are
-    encoded once and their compressed frames shuffled once, straight to the file of their id.
+    Files follow each other by name and hold ranges of ids; their number follows the bytes of text. Texts are encoded
+    once into a table of compressed frames, from whose ids Spark samples the ranges; the frames are shuffled once,
+    straight to the file of their id. An empty table gives files without documents; other columns are ignored.
     """
-    totals = docs.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.col("text").cast("string"))).alias("b")).first()
-    files = max(1, -(-(totals.b or 0) // file_text_bytes))
-    edges: Sequence[float] = docs.select(F.col("doc_id").cast("long").alias("doc_id")).approxQuantile("doc_id", [i / files for i in range(1, files)], 0.1 / files) if files > 1 and totals.n else []
-    edges = sorted({int(x) for x in edges})
-    place = F.lit(0)
-    if edges:
-        place = F.coalesce(F.aggregate(F.array(*[F.lit(e).cast("long") for e in edges]), F.lit(0), lambda n, e: n + (F.col("doc_id") > e).cast("int")), F.lit(0))
+    bytes_of_text = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    files = max(1, -(-bytes_of_text // file_text_bytes))
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = tp.arrow_schema("value binary")
@@ -186,8 +194,8 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, width: i
         if ids:
             yield pa.RecordBatch.from_arrays([pa.array([_trailer(ids, sizes, raws, checksums, width)], pa.binary())], schema=schema)
 
-    frames = encode(docs, tokenizer_file, end_id, width).withColumn("_file", place)
-    ordered = frames.repartitionById(len(edges) + 1, F.col("_file").cast("int")).sortWithinPartitions("doc_id").drop("_file")
+    frames = materialise(encode(docs, tokenizer_file, end_id, width), "frames")
+    ordered = frames.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
     records = ordered.mapInArrow(assemble, "value binary").select(F.col("value").cast("string").alias("value"))
     records.write.option("lineSep", EMPTY.decode("latin-1")).text(path)
 
@@ -280,8 +288,7 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
         if rows:
             yield _batch(rows, schema)
 
-    rows = _files(spark, path).mapInArrow(sums, schema)
-    rows = rows.withColumn("file", F.element_at(F.split("file", "/"), -1))
+    rows = materialise(_files(spark, path).mapInArrow(sums, schema).withColumn("file", F.element_at(F.split("file", "/"), -1)), "sums")  # one pass over the files
     ends = rows.groupBy("file").agg(F.max(F.col("before") + F.col("n_tokens")).alias("total"))
     # one row per file
     starts = ends.select("file", F.coalesce(F.sum("total").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
