@@ -34,11 +34,15 @@ FREQUENT, MOST_FREQUENT = 0.002, 1_000  # share of the sample's anchors from whi
 SPREAD = 64  # parts of a frequent anchor's rows
 HOT_HITS = 10_000  # anchors that point to one owner, from which its regions are spread
 CHUNK_WORDS = 200_000  # of regions whose owners share an automaton
+PHRASES = 200_000  # of an automaton
+ONE_CHARACTER = 30_000  # words of a vocabulary, up to which a word is one character
 _NULL_ID = -(1 << 63)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return text_frame(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """doc, doc_id, text; rows with a null id have a ``doc`` of their own, by their text, below all usual ids."""
+    unnamed = F.lit(_NULL_ID) + F.coalesce(F.xxhash64(F.col("text").cast("string")), F.lit(0)).bitwiseAND(F.lit((1 << 61) - 1))
+    return text_frame(docs).select(F.coalesce(F.col("doc_id").cast("long"), unnamed).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def anchors(docs: DataFrame, window: int = WINDOW, size: int = ANCHOR, frequent: Sequence[int] = ()) -> DataFrame:
@@ -171,57 +175,68 @@ SPANS = "doc long, a int, b int, key long"
 
 
 def _characters(codes: np.ndarray) -> str:
-    """One character per word: its number in the vocabulary, past the surrogates, 0 for a word outside."""
+    """One character per code, past the surrogates."""
     codes = np.where(codes >= 0xD800, codes + 0x800, codes)
     return codes.astype("<u4").tobytes().decode("utf-32-le")
 
 
+def _phrases_at(w: tp.Words, hashes: np.ndarray, phrases: np.ndarray, window: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word numbers where a window equals one of the phrases, and the word number where that phrase first starts.
+
+    ``phrases`` are word numbers in order of precedence, compiled into one automaton. A character stands for a word's
+    number in the vocabulary, 0 for a word outside. As a trie node searches its children one by one, large vocabularies
+    have two characters a word, from two alphabets, so that matches begin at words.
+    """
+    covered = np.zeros(len(hashes) + 1, np.int64)
+    np.add.at(covered, phrases, 1)
+    np.add.at(covered, phrases + window, -1)
+    vocabulary = np.unique(hashes[np.cumsum(covered[:-1]) > 0])
+    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1)
+    codes = np.where(vocabulary[at] == hashes, at + 1, 0)
+    size = 1
+    if len(vocabulary) > ONE_CHARACTER:
+        size, base = 2, int(len(vocabulary) ** 0.5) + 2
+        codes = np.column_stack([codes // base, base + codes % base]).ravel()
+    text = _characters(codes)
+    automaton = ahocorasick.Automaton()
+    for j in phrases.tolist():
+        phrase = text[j * size : (j + window) * size]
+        if phrase not in automaton:
+            automaton.add_word(phrase, j)
+    automaton.make_automaton()
+    for begin, end in zip(w.bounds[:-1].tolist(), w.bounds[1:].tolist(), strict=True):
+        found = list(automaton.iter(text[begin * size : end * size]))
+        if found:
+            ends, first = zip(*found, strict=True)
+            yield np.array(ends) // size + (begin - window + 1), np.array(first)
+
+
 def _locate(owner: np.ndarray, spread: np.ndarray, doc: np.ndarray, lo: np.ndarray, words: pa.Array, window: int):
     """Spans to remove in regions of some owners, and the windows of spread owners that are still open."""
     data, offsets = tp.buffers(words)
     w = tp.words(data, offsets, tp.SPACES)
     hashes = tp.word_hashes(w)
     own = doc == owner
-    word_own = np.repeat(own, w.counts)
-    vocabulary = np.unique(hashes[word_own])
-    at = np.minimum(np.searchsorted(vocabulary, hashes), len(vocabulary) - 1) if len(vocabulary) else np.zeros(len(hashes), np.int64)
-    codes = np.where(vocabulary[at] == hashes, at + 1, 0) if len(vocabulary) else at
-    text = _characters(codes)
-
-    automaton = ahocorasick.Automaton()
-    phrase_doc: list[int] = []
-    phrase_lo: list[int] = []
-    for i in np.flatnonzero(own).tolist():
-        d, begin = int(doc[i]), int(w.bounds[i])
-        for j in range(begin, int(w.bounds[i + 1]) - window + 1):
-            phrase, place = text[j : j + window], int(lo[i]) + j - begin
-            known = automaton.get(phrase, None)
-            if known is None:
-                automaton.add_word(phrase, len(phrase_doc))
-                phrase_doc.append(d)
-                phrase_lo.append(place)
-            elif (d, place) < (phrase_doc[known], phrase_lo[known]):
-                phrase_doc[known], phrase_lo[known] = d, place
-
     row = w.doc_of_word()
     starts = tp.window_starts(w.bounds, window)
-    place = lo[row[starts]] + starts - w.bounds[row[starts]]
-    number = np.full(len(hashes) + 1, -1, np.int64)
-    if len(phrase_doc):
-        automaton.make_automaton()
-        for i in range(len(doc)):
-            begin = int(w.bounds[i])
-            found = list(automaton.iter(text[begin : int(w.bounds[i + 1])]))
-            if found:
-                ends, numbers = zip(*found, strict=True)
-                number[np.array(ends) + (begin - window + 1)] = numbers
-    number = number[starts]
-    located = number >= 0
+    d = doc[row[starts]]
+    p = lo[row[starts]] + starts - w.bounds[row[starts]]
+
+    # rank of a window by document and place; of equal phrases the first is the one to keep
+    rank = np.empty(len(hashes) + 1, np.int64)
+    rank[starts[np.lexsort((p, d))]] = np.arange(len(starts))
+    phrases = starts[own[row[starts]]]
+    phrases = phrases[np.argsort(rank[phrases])]
+    first = np.full(len(hashes) + 1, -1, np.int64)
+    for k in range(0, len(phrases), PHRASES):  # long regions have several automata, which bounds phrases and vocabulary
+        for at, phrase in _phrases_at(w, hashes, phrases[k : k + PHRASES], window):
+            known = first[at]
+            first[at] = np.where((known < 0) | (rank[phrase] < rank[known]), phrase, known)
+    first = first[starts]
     remove = np.zeros(len(starts), bool)
-    d, p = doc[row[starts]], place
-    if located.any():
-        first_doc, first_lo = np.array(phrase_doc)[number[located]], np.array(phrase_lo)[number[located]]
-        remove[located] = (first_doc < d[located]) | ((first_doc == d[located]) & (first_lo < p[located]))
+    located = np.flatnonzero(first >= 0)
+    phrase_doc, phrase_lo = doc[row[first[located]]], lo[row[first[located]]] + first[located] - w.bounds[row[first[located]]]
+    remove[located] = (phrase_doc < d[located]) | ((phrase_doc == d[located]) & (phrase_lo < p[located]))
 
     # Another owner's phrase may be a later occurrence than the first, so what stays is compared whether located or not.
     # A window in a region of the owner itself need not be: where its anchor is the owner's, all others were removed.
@@ -313,8 +328,8 @@ def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Words are `[^\\x20\\x09-\\x0D]+`, unchanged. A word goes if it lies in a window of ``window`` words that also
     starts earlier: in a document with a smaller id, or earlier in the same one. Windows are judged on the input.
-    A null or empty text has no words; texts shorter than a window keep all. A null id is the smallest. Rows that
-    repeat an id must repeat its text; none of them is earlier than the other, and each comes back. An empty table
+    A null or empty text has no words; texts shorter than a window keep all. Null ids are the smallest, in the
+    order of a hash of their texts. Rows that repeat an id must repeat its text, null-id rows needn't; none of them is earlier than the other, and each comes back. An empty table
     gives no rows; other columns are ignored. Words and windows are told apart by 64-bit hashes.
     """
     gone = spans(docs, window).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
