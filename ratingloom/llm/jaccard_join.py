@@ -374,7 +374,7 @@ def link(docs: DataFrame) -> DataFrame:
     about = materialise(profiles(docs), "profiles")
     same = ["n_shingles", "h1", "h2"]
     classes = about.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(F.min("doc_id").alias("head"))
-    members = materialise(about.drop("sketch").join(classes, same, "left").withColumn("head", F.coalesce("head", "doc_id")), "classes")
+    members = materialise(about.drop("sketch").join(classes, same, "left").withColumn("head", F.when(F.col("doc_id").isNotNull(), F.coalesce("head", "doc_id"))), "classes")
     heads = only_ids(docs, "doc_id", members.filter("doc_id <> head").select("doc_id"), "left_anti")
 
     found = materialise(shared(index(heads)), "shared")
