@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Pareto order sampling.
 
-Each source has a target number of words. A document first gets the whole copies that are certain; the rest of the
-target is a sample without replacement in which documents are ranked by random odds over inclusion odds and the first
-ones that fill the target are taken. DataFrame functions only.
+Each source has a target number of words, and each document an expected number of copies, which grows with the binary
+digits of its size. A document first gets the whole copies that are certain; the fraction left is its inclusion
+probability in a sample without replacement, in which documents are ranked by random odds over inclusion odds and the
+first ones that fill the target are taken. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratingloom.llm.common import BROADCAST_IDS
 from ratingloom.session import materialise
 
 #: Modulus of the hash that gives the random odds; products of two residues fit a long.
@@ -72,53 +74,84 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3,
     return levels.withColumn("target", target).select("source", "number", "source_size", "target")
 
 
+def _expected(classes: DataFrame, most: int) -> DataFrame:
+    """number, digits, sure, p, rest and spread of every source and size class; ``classes`` has few rows a source.
+
+    Expected copies are min(most, level * digits), the level being such that they sum to the target: larger classes
+    reach ``most`` first, and the level is right at the first class, from the largest on, that does not. ``sure`` are
+    the whole copies, ``p`` is the fraction left, ``rest`` the words that the fractions sum to, ``spread`` the odds of
+    the mean fraction.
+    """
+    source = Window.partitionBy("number")
+    larger = source.orderBy(F.desc("digits")).rowsBetween(Window.unboundedPreceding, -1)
+    own = source.orderBy(F.desc("digits")).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    weighed = F.sum(F.col("words") * F.col("digits")).over(own)
+    level = F.when(weighed > 0, (F.col("target") - F.coalesce(F.sum(F.col("words") * most).over(larger), F.lit(0))) / weighed)
+    rows = classes.withColumn("level", level)
+    right = F.max(F.when(F.col("level") * F.col("digits") <= most, F.struct("digits", "level"))).over(source)["level"]
+    rows = rows.withColumn("m", F.when(right.isNull(), F.lit(float(most))).otherwise(F.least(F.lit(float(most)), right * F.col("digits"))))
+    rows = rows.withColumn("sure", F.floor("m").cast("long")).withColumn("p", F.col("m") - F.floor("m"))
+    rows = rows.withColumn("rest", F.col("target") - F.sum(F.col("sure") * F.col("words")).over(source))
+    open_words = F.sum(F.when(F.col("p") > 0, F.col("words")).otherwise(0)).over(source)
+    mean = F.when(open_words > 0, F.greatest(F.lit(1e-9), F.least(F.lit(1 - 1e-9), F.col("rest") / open_words))).otherwise(0.5)
+    return rows.withColumn("mean", mean).select(F.col("source").alias("_source"), "number", "digits", "source_size", "target", "sure", "p", "rest", (F.col("mean") / (1 - F.col("mean"))).alias("spread"))
+
+
 def plan(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, share: float = 1.0) -> DataFrame:
     """doc_id, source, size, source_size, target, copies (whole times the mix takes the document), taken (its words).
 
-    A source with target t and s words gives every document floor(t / s) copies. The words still missing are filled
-    by one more copy of documents in the order of random odds over inclusion odds, the inclusion probability being
-    the fraction of t / s; a document is taken if this brings the sum nearer to the target. So the sum misses the
-    target by half a document at most, and reruns agree.
+    The copies expected of a document are proportional to the number of binary digits of its size, up to ``most``, so
+    that long documents are preferred, but far less than in proportion to their size. Its whole copies are certain.
+    The words still missing are filled by one more copy of documents in the order of random odds over inclusion odds,
+    the inclusion probability being the fraction left; a document is taken if this brings the sum nearer to the
+    target. So the sum misses the target by half a document at most, and reruns agree.
 
     Ranks are taken bucket by bucket of the ranking, shifted by the sums of the buckets before, so a source with a
     third of all rows is ranked by many tasks. Null texts have size 0; a source without words gets nothing; repeated
     rows of an id are ranked next to each other and may be taken apart; an empty table gives no rows. Extra columns
     are ignored.
     """
-    sizes = materialise(sized(docs).withColumn("_u", random_unit()), "sizes")
+    digits = F.length(F.bin("size")).cast("long")
+    sizes = materialise(sized(docs).withColumn("_u", random_unit()).withColumn("_digits", digits), "sizes")
     goals = targets(sizes, weights, most, share)
-    rows = sizes.join(goals.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    factor = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = rows.withColumn("_sure", F.floor(factor).cast("long")).withColumn("_p", factor - F.floor(factor))
-    rows = rows.withColumn("_rest", F.col("target") - F.col("_sure") * F.col("source_size"))
-    odds = (F.col("_u") / (1 - F.col("_u"))) / (F.col("_p") / (1 - F.col("_p")))
-    rows = rows.withColumn("_odds", F.when(F.col("_p") > 0, odds).otherwise(F.col("_u")))
-    # inside a source the odds grow with _u, which spreads evenly whatever the fraction
-    rows = rows.withColumn("_bucket", F.floor(F.col("_u") * BUCKETS).cast("long"))
+    sums = sizes.groupBy("source", F.col("_digits").alias("digits")).agg(F.sum("size").alias("words"))
+    classes = sums.join(goals.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    expected = materialise(_expected(classes, most), "expected")
+    rows = sizes.join(expected, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_digits") == F.col("digits"))).drop("_source", "_digits", "digits")
+    ratio = F.when(F.col("p") > 0, (F.col("_u") / (1 - F.col("_u"))) / (F.col("p") / (1 - F.col("p"))))
+    rows = rows.withColumn("_ratio", ratio)
+    # the ratio times the odds of the mean fraction is about the odds of a uniform number, which spreads evenly
+    even = F.col("_ratio") * F.col("spread")
+    rows = rows.withColumn("_bucket", F.coalesce(F.floor(even / (1 + even) * BUCKETS), F.lit(BUCKETS)).cast("long"))
 
     buckets = rows.groupBy("number", "_bucket").agg(F.sum("size").alias("_sum"))
     earlier = Window.partitionBy("number").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = buckets.select("number", "_bucket", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
-    inside = Window.partitionBy("number", "_bucket").orderBy("_odds", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = rows.join(shifts, ["number", "_bucket"]).withColumn("_before", F.col("_shift") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    more = (F.col("_p") > 0) & (2 * F.col("_before") + F.col("size") <= 2 * F.col("_rest"))
-    copies = F.col("_sure") + F.when(more, 1).otherwise(0)
+    # documents without a fraction are all in the last bucket and need no rank
+    certain = rows.filter("_ratio IS NULL").withColumn("_before", F.lit(0).cast("long"))
+    inside = Window.partitionBy("number", "_bucket").orderBy("_ratio", F.col("doc_id").asc_nulls_first(), "size").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.filter("_ratio IS NOT NULL").join(shifts, ["number", "_bucket"]).withColumn("_before", F.col("_shift") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    ranked = ranked.drop("_shift").unionByName(certain)
+    more = F.col("_ratio").isNotNull() & (2 * F.col("_before") + F.col("size") <= 2 * F.col("rest"))
+    copies = F.col("sure") + F.when(more, 1).otherwise(0)
     return ranked.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), most: int = 3, share: float = 1.0) -> DataFrame:
-    """The rows of ``docs``, each as often as the plan takes it.
+    """The rows of ``docs``, each as often as the plan takes it, with all their columns, whatever the names.
 
     A document without words is left out where its source has no whole copies. Rows with the same id get the copies
-    planned for that id together, the extra ones for the rows that come first by text.
+    planned for that id together, the extra ones for the rows that come first by text; only such rows are shuffled with
+    their texts if the plan may be sent to every task. An empty table gives no rows.
     """
-    wanted = plan(docs, weights, most, share).groupBy(F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("doc_id").isNull().alias("_none")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    marked = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).withColumn("_none", F.col("doc_id").isNull())
-    joined = marked.join(wanted, ["_id", "_none"])
-    once = joined.filter("_rows = 1").withColumn("_n", F.col("_copies"))
-    place = F.row_number().over(Window.partitionBy("_id", "_none").orderBy("text"))
-    again = joined.filter("_rows > 1").withColumn("_place", place)
-    share_of = F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_place") <= F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    again = again.withColumn("_n", share_of.cast("long")).drop("_place")
-    rows = once.unionByName(again).filter("_n > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int")))).select(*docs.columns)
+    wanted = plan(docs, weights, most, share).groupBy(F.coalesce("doc_id", F.lit(-1)).alias("id"), F.col("doc_id").isNull().alias("none")).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    wanted = materialise(wanted.filter("copies > 0"), "wanted")
+    marked = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"), F.col("doc_id").isNull().alias("none"))
+    joined = marked.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, ["id", "none"])
+    rows = joined.filter("rows = 1").select("row", F.col("copies").alias("n"))
+    if not wanted.filter("rows > 1").isEmpty():
+        place = F.row_number().over(Window.partitionBy("id", "none").orderBy("row.text"))
+        again = joined.filter("rows > 1").withColumn("place", place)
+        share_of = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("place") <= F.col("copies") % F.col("rows"), 1).otherwise(0)
+        rows = rows.unionByName(again.select("row", share_of.cast("long").alias("n")))
+    return rows.filter("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("row.*")
