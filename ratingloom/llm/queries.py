@@ -138,12 +138,17 @@ s4 AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(source_size * 3) OVER
   FROM s3 WINDOW w AS (ORDER BY stop, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 s5 AS (SELECT *, (SELECT arg_min(level, (stop, number)) FROM s4 WHERE stop >= level) AS lv FROM s4),
 goals AS (SELECT source, source_size, CASE WHEN lv IS NULL OR stop <= lv THEN (source_size * 3)::DOUBLE ELSE lv * weight END AS target FROM s5),
-r1 AS (SELECT h5.*, g.source_size, g.target, CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0::DOUBLE END AS f
-  FROM h5 JOIN goals g ON h5.source IS NOT DISTINCT FROM g.source),
-r2 AS (SELECT *, floor(f)::BIGINT AS sure, f - floor(f) AS p FROM r1),
-r3 AS (SELECT *, target - sure * source_size AS rest, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) ELSE u END AS odds FROM r2),
-r4 AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM r3)
-SELECT doc_id, size, source_size, target, ((sure + CASE WHEN p > 0 AND 2 * before + size <= 2 * rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM r4
+c1 AS (SELECT g.source, g.source_size, g.target, length(bin(size))::BIGINT AS digits, sum(size)::BIGINT AS words
+  FROM sizes JOIN goals g ON sizes.source IS NOT DISTINCT FROM g.source GROUP BY ALL),
+c2 AS (SELECT *, (target - coalesce(sum(words * 3) OVER (PARTITION BY source ORDER BY digits DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+  / nullif(sum(words * digits) OVER (PARTITION BY source ORDER BY digits DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0)::DOUBLE AS level FROM c1),
+c3 AS (SELECT *, arg_max(level, digits) FILTER (level * digits <= 3) OVER (PARTITION BY source) AS lv FROM c2),
+c4 AS (SELECT *, CASE WHEN lv IS NULL THEN 3.0::DOUBLE ELSE least(3.0::DOUBLE, lv * digits) END AS m FROM c3),
+c5 AS (SELECT *, floor(m)::BIGINT AS sure, m - floor(m) AS p, target - (sum(floor(m)::BIGINT * words) OVER (PARTITION BY source))::DOUBLE AS rest FROM c4),
+r3 AS (SELECT h5.*, source_size, target, sure, p, rest, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS odds
+  FROM h5 JOIN c5 ON h5.source IS NOT DISTINCT FROM c5.source AND length(bin(h5.size)) = c5.digits),
+r4 AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds NULLS LAST, doc_id NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM r3)
+SELECT doc_id, size, source_size, target, ((sure + CASE WHEN odds IS NOT NULL AND 2 * before + size <= 2 * rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM r4
 """
 
 _OP9 = """

@@ -229,6 +229,22 @@ def test_mixing(docs, rows):
     assert sorted(got) == sorted(d for d, n in copies.items() for _ in range(n))
 
 
+def test_mixing_prefers_long_documents_by_the_ratio(spark):
+    """Documents are drawn with unequal probabilities: a ranking by the random number alone gives another plan."""
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'a' AS source", "repeat('w ', CASE WHEN id % 2 = 0 THEN 3 ELSE 1000 END) AS text")
+    plan = mixing.plan(docs, share=0.3).withColumn("u", mixing.random_unit()).toPandas()
+    short, long = (plan[plan["size"] == n] for n in (3, 1000))
+    assert abs(long["copies"].mean() / short["copies"].mean() - 10 / 2) < 1  # 10 and 2 binary digits
+    taken = plan[plan["copies"] > 0]["u"].max()
+    assert (plan[plan["copies"] == 0]["u"] < taken).any()
+    assert abs(plan["taken"].sum() - plan["target"].iloc[0]) <= 501
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", 77, 78, 79, 80, 81)], "doc_id long, text string, source string, _copies int, rows int, id int, n int, row int")
+    assert [tuple(r) for r in mixing.mix(docs).collect()] == [(1, "a b", "s", 77, 78, 79, 80, 81)]
+
+
 def test_mixing_repeated_rows_and_nulls(spark):
     rows = [(1, "a b c", None), (1, "a b c", None), (None, "d e", "s"), (None, None, "s"), (-7, "f", "t")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -266,7 +282,19 @@ def test_line_runs_are_compacted(spark):
     for i in range(5, 0, -1):
         runs.add(spark.createDataFrame([(7, i), (i * 100, i)], "line long, doc long"))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
-    assert [tuple(r) for r in runs.repeated(3).collect()] == [(7, 5)]
+    lines = spark.createDataFrame([(7, i) for i in range(5, 0, -1)] + [(500, 5), (400, 4), (400, 3)], "line long, doc long")
+    assert sorted(map(tuple, runs.table().filter("line = 7").collect())) == [(7, 5)]
+    assert sorted(map(tuple, runs.repeats(lines, 3).collect())) == [(7, i) for i in range(1, 5)]
+    assert sorted(map(tuple, runs.repeats(lines, 2).collect())) == [(7, i) for i in range(1, 5)] + [(400, 3)]
+
+
+def test_line_dedup_needs_the_anti_join(spark, monkeypatch):
+    rows = [(i, "a line that stands in all of them", None, None, 0) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert line_dedup.dedup_lines(docs).agg(F.sum("n_dropped")).first()[0] == 11
+    joined = type(docs).join
+    monkeypatch.setattr(type(docs), "join", lambda self, other, on=None, how=None: self if how == "left_anti" else joined(self, other, on, how))
+    assert line_dedup.dedup_lines(docs).agg(F.sum("n_dropped")).first()[0] != 11
 
 
 def test_quality_rules(docs, rows):
@@ -440,7 +468,7 @@ def test_pipeline(spark, tmp_path):
 def test_query_equals_its_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for table in ("documents", "pages", "benchmark"):
+    for table in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     cursor = con.execute(queries.ORACLES[name])
     names = [c[0] for c in cursor.description]
@@ -449,3 +477,33 @@ def test_query_equals_its_sql(spark, name):
     assert sorted(map(str, (tuple(r) for r in got.select(*names).collect()))) == sorted(map(str, cursor.fetchall()))
 
 
+
+
+def test_null_ids_with_different_texts(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, f"x y {words} z"), (None, words), (3, f"{words} {words}"), (None, "a b c d e f"), (1, "a b c d e f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    removed = substring_dedup.dedup(docs).groupBy(F.col("doc_id").isNull()).agg(F.sum("n_removed")).collect()
+    assert sorted(r[1] for r in removed) == [30, 60]  # one of the null ids is the first
+    linked = {(r.doc_id, r.component_id) for r in jaccard_join.link(docs).collect()}
+    assert linked == {(None, None), (3, 3), (1, 1)}
+
+
+@pytest.mark.parametrize(("phrases", "one_character"), [(7, 30_000), (50, 3)])
+def test_long_regions_have_several_automata(monkeypatch, phrases, one_character):
+    monkeypatch.setattr(substring_dedup, "PHRASES", phrases)
+    monkeypatch.setattr(substring_dedup, "ONE_CHARACTER", one_character)
+    rng = random.Random(1)
+    words = [str(rng.randint(0, 9)) for _ in range(300)]
+    numbers = np.array([1, 1, 1]), np.array([1, 1, 1]), np.array([1, 2, 2]), np.array([0, 5, 400])
+    texts = [" ".join(words + words[50:90]), " ".join(words[100:160]), " ".join(words[10:29] + ["x"] + words[30:50])]
+    (doc, a, b), _ = substring_dedup._locate(*numbers, pa.array(texts), 20)
+    assert sorted(zip(doc.tolist(), a.tolist(), b.tolist(), strict=True)) == [(1, 300, 340), (2, 5, 65), (2, 420, 440)]
+
+
+def test_more_shared_words_than_characters():
+    n = 1_150_000
+    text = " ".join(map(str, range(n)))
+    numbers = np.array([1, 1]), np.array([1, 1]), np.array([1, 2]), np.array([0, 0])
+    (doc, a, b), _ = substring_dedup._locate(*numbers, pa.array([text, text]), 20)
+    assert doc.tolist() == [2] and a.tolist() == [0] and b.tolist() == [n]
