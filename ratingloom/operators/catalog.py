@@ -101,7 +101,7 @@ def _item_knn(ratings, k, similarity_metric, min_support, shrinkage):
     edges = neighbors.item_similarity(ratings, similarity_metric, int(min_support), shrinkage)
     return Fitted(
         lambda pairs: neighbors.item_knn_scores(ratings, edges, int(k), targets=pairs, include_seen=True),
-        lambda n: top_n(neighbors.item_knn_scores(ratings, edges, int(k)), ratings, n),
+        lambda n: top_n(neighbors.item_knn_scores(ratings, edges, int(k), n=n), None, n),
     )
 
 
@@ -115,12 +115,25 @@ def _user_knn(ratings, k, similarity_metric):
 
 
 def _slope_one(ratings):
-    return _from_scores(neighbors.slope_one_scores(ratings, neighbors.slope_one_deviations(ratings)), ratings)
+    deviations = neighbors.slope_one_deviations(ratings)
+    return Fitted(
+        lambda pairs: neighbors.slope_one_scores(ratings, deviations, targets=pairs),
+        lambda n: top_n(neighbors.slope_one_scores(ratings, deviations, n=n), None, n),
+    )
+
+
+def _propagated(ratings, edges) -> Fitted:
+    """Edges are found once and serve every call; asked pairs and the n best are computed block by block."""
+    edges = materialise(edges, "edges")
+    return Fitted(
+        lambda pairs: neighbors.propagate(ratings, edges, targets=pairs),
+        lambda n: top_n(neighbors.propagate(ratings, edges, n=n, unseen=True), None, n),
+    )
 
 
 def _cooccurrence(ratings, threshold):
     edges = neighbors.jaccard_edges(ratings, int(threshold))
-    return _from_scores(neighbors.propagate(binarise(ratings), edges), ratings)
+    return _propagated(binarise(ratings), edges)
 
 
 def _rules(miner):
@@ -132,11 +145,11 @@ def _rules(miner):
 
 
 def _ease(ratings, lambda_reg):
-    return _from_scores(neighbors.propagate(ratings, linear.fit_ease(ratings, lambda_reg)), ratings)
+    return _propagated(ratings, linear.fit_ease(ratings, lambda_reg))
 
 
 def _slim(ratings, l1_reg, l2_reg):
-    return _from_scores(neighbors.propagate(ratings, linear.fit_slim(ratings, l1_reg, l2_reg)), ratings)
+    return _propagated(ratings, linear.fit_slim(ratings, l1_reg, l2_reg))
 
 
 def _svd(scale_sigma):

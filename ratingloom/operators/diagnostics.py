@@ -135,10 +135,15 @@ def popularity_bar(scores: DataFrame, n: int = 50) -> DataFrame:
     return scores.orderBy(tie_safe(F.col("score")).desc(), "item_id").limit(n)
 
 
+def grid_ids(ratings: DataFrame, n_users: int = 20, n_items: int = 20) -> tuple[DataFrame, DataFrame]:
+    """The first users and items, as one-column tables."""
+    users = ratings.select("user_id").distinct().orderBy("user_id").limit(n_users)
+    return users, ratings.select("item_id").distinct().orderBy("item_id").limit(n_items)
+
+
 def prediction_grid(ratings: DataFrame, scores: DataFrame, n_users: int = 20, n_items: int = 20) -> DataFrame:
     """Original and predicted values on the first users and items; a prediction without rating is new."""
-    users = ratings.select("user_id").distinct().orderBy("user_id").limit(n_users)
-    items = ratings.select("item_id").distinct().orderBy("item_id").limit(n_items)
+    users, items = grid_ids(ratings, n_users, n_items)
 
     def cut(df):
         return df.join(users, "user_id", "left_semi").join(items, "item_id", "left_semi")

@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from ratingloom.functions.columns import tie_safe
 from ratingloom.operators.pairs import mirrored, pair_stats
 from ratingloom.operators.prepare import binarise, centred
+from ratingloom.operators.sparse_scores import Rule, sparse_scores
 from ratingloom.session import materialise
 from ratingloom.skew import hot_keys, salted_join
 
@@ -86,16 +87,6 @@ def item_similarity(
     return mirrored(edges, flip=())
 
 
-def expand_history(ratings: DataFrame, edges: DataFrame, min_rows: int | None = None) -> DataFrame:
-    """Every rating carried to the neighbours of its item: user_id, item_i (target), item_j (rated).
-
-    A popular item has many raters and many neighbours; its raters are spread over salts.
-    """
-    history = ratings.select("user_id", F.col("item_id").alias("item_j"), "rating")
-    hot = hot_keys(history, "item_j", **({} if min_rows is None else {"min_rows": min_rows}))
-    return salted_join(history, edges, "item_j", "user_id", hot)
-
-
 def drop_seen(scores: DataFrame, ratings: DataFrame) -> DataFrame:
     return scores.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
 
@@ -107,31 +98,16 @@ def item_knn_scores(
     include_seen: bool = False,
     epsilon: float = 1e-8,
     targets: DataFrame | None = None,
+    n: int | None = None,
 ) -> DataFrame:
     """sum(sim * r) / (sum |sim| + epsilon) over the k rated items with largest |sim| to the target.
 
     With ``epsilon`` = 0 the score is emitted only where the denominator exceeds 1e-8. ``targets``
-    limits the work to given (user_id, item_id) pairs. A pair without neighbours has score 0 and no row.
+    limits the work to given (user_id, item_id) pairs, ``n`` to what the best n of a user are taken from.
+    A pair without neighbours has score 0 and no row.
     """
-    if targets is None:
-        met = expand_history(ratings, edges.select("item_i", "item_j", "sim"))
-    else:
-        history = ratings.select("user_id", F.col("item_id").alias("item_j"), "rating")
-        wanted = targets.select("user_id", F.col("item_id").alias("item_i"))
-        met = salted_join(
-            history, wanted, "user_id", "item_j", hot_keys(history, "user_id")
-        ).join(edges.select("item_i", "item_j", "sim"), ["item_i", "item_j"])
-    met = met.withColumnRenamed("item_i", "item_id").filter(F.col("sim") != 0)
-    if not include_seen:
-        met = drop_seen(met, ratings)
-    order = Window.partitionBy("user_id", "item_id").orderBy(tie_safe(F.abs("sim")).desc(), "item_j")
-    top = met.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= k)
-    sums = top.groupBy("user_id", "item_id").agg(
-        F.sum(F.col("sim") * F.col("rating")).alias("_num"), F.sum(F.abs("sim")).alias("_den")
-    )
-    if epsilon == 0:
-        sums = sums.filter(F.col("_den") > 1e-8)
-    return sums.select("user_id", "item_id", (F.col("_num") / (F.col("_den") + F.lit(epsilon))).alias("score"))
+    weighed = edges.select("item_i", "item_j", F.col("sim").alias("w"), F.lit(1.0).alias("f"))
+    return sparse_scores(ratings, weighed, Rule("neighbours", k, epsilon), targets, n, unseen=not include_seen)
 
 
 def user_similarity(ratings: DataFrame, metric: str = "cosine") -> DataFrame:
@@ -234,13 +210,10 @@ def slope_one_deviations(ratings: DataFrame) -> DataFrame:
     return mirrored(pairs, flip=("dev",))
 
 
-def slope_one_scores(ratings: DataFrame, deviations: DataFrame) -> DataFrame:
-    """sum((r + dev) * freq) / sum(freq) over the user's rated items, for unseen items."""
-    met = expand_history(ratings, deviations).withColumnRenamed("item_i", "item_id")
-    sums = met.groupBy("user_id", "item_id").agg(
-        F.sum((F.col("rating") + F.col("dev")) * F.col("freq")).alias("_num"), F.sum("freq").alias("_den")
-    )
-    return drop_seen(sums, ratings).select("user_id", "item_id", (F.col("_num") / F.col("_den")).alias("score"))
+def slope_one_scores(ratings: DataFrame, deviations: DataFrame, targets: DataFrame | None = None, n: int | None = None) -> DataFrame:
+    """sum((r + dev) * freq) / sum(freq) over the user's rated items, for unseen items; ``targets`` and ``n`` as above."""
+    weighed = deviations.select("item_i", "item_j", F.col("dev").alias("w"), F.col("freq").alias("f"))
+    return sparse_scores(ratings, weighed, Rule("deviation"), targets, n)
 
 
 def jaccard_edges(ratings: DataFrame, threshold: int = 2) -> DataFrame:
@@ -255,12 +228,12 @@ def jaccard_edges(ratings: DataFrame, threshold: int = 2) -> DataFrame:
     return mirrored(joined.select("item_i", "item_j", sim.alias("sim"), "support"), flip=())
 
 
-def propagate(ratings: DataFrame, edges: DataFrame, weight: str = "sim") -> DataFrame:
+def propagate(
+    ratings: DataFrame, edges: DataFrame, weight: str = "sim", targets: DataFrame | None = None, n: int | None = None, unseen: bool = False
+) -> DataFrame:
     """history @ S: score of an item = sum over the user's ratings of r * weight(item_j -> item_i)."""
-    met = expand_history(ratings, edges.select("item_i", "item_j", F.col(weight).alias("_w")))
-    return met.groupBy("user_id", F.col("item_i").alias("item_id")).agg(
-        F.sum(F.col("rating") * F.col("_w")).alias("score")
-    )
+    weighed = edges.select("item_i", "item_j", F.col(weight).alias("w"), F.lit(1.0).alias("f"))
+    return sparse_scores(ratings, weighed, Rule("sum"), targets, n, unseen)
 
 
 def cooccurrence_pagerank(

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ratingloom.operators.pairs import pair_stats
 from ratingloom.operators.prepare import binarise, with_titles
+from ratingloom.operators.rule_trie import fired
 from ratingloom.session import materialise
-from ratingloom.skew import dense_ids, hot_keys, salted_join
+from ratingloom.skew import dense_ids
 
 
 def min_count(n_users: int, min_support: float) -> int:
@@ -162,7 +163,7 @@ def association_rules(itemsets: DataFrame, metric: str = "confidence", min_thres
     kept where ``metric`` (confidence, support or lift) reaches the threshold.
     """
     big = itemsets.filter(F.size("items") >= 2).select("items", "support")
-    masks = F.expr("sequence(1, shiftleft(1, size(items)) - 2)")
+    masks = F.expr("sequence(1L, shiftleft(1L, size(items)) - 2)")
     split = big.select("items", "support", F.explode(masks).alias("_mask"))
 
     def chosen(bit: int):
@@ -186,23 +187,15 @@ def association_rules(itemsets: DataFrame, metric: str = "confidence", min_thres
 def rule_scores(ratings: DataFrame, rules: DataFrame) -> DataFrame:
     """Score of an unseen item = highest confidence of a rule whose antecedent the user has.
 
-    Antecedents are matched once each, however many rules share them: a user has an antecedent when the
-    number of its items found in the history equals its size.
+    Antecedents are matched once each, however many rules share them, by walking a trie of them.
     """
-    seen = binarise(ratings).select("user_id", "item_id")
+    seen = binarise(ratings).select("user_id", "item_id").distinct()
     best = (
         rules.select("antecedent", "confidence", F.explode("consequent").alias("item_id"))
         .groupBy("antecedent", "item_id")
         .agg(F.max("confidence").alias("confidence"))
     )
-    parts = rules.select("antecedent").distinct().select("antecedent", F.explode("antecedent").alias("item_id"))
-    met = salted_join(seen, parts, "item_id", "user_id", hot_keys(seen, "item_id"))
-    held = (
-        met.groupBy("user_id", "antecedent").agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") == F.size("antecedent")).select("user_id", "antecedent")
-    )
-    fired = held.join(best, "antecedent").groupBy("user_id", "item_id").agg(F.max("confidence").alias("score"))
-    return fired.join(seen, ["user_id", "item_id"], "left_anti")
+    return fired(seen, best)
 
 
 def named_itemsets(itemsets: DataFrame, catalogue: DataFrame) -> DataFrame:

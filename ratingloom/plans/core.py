@@ -459,18 +459,26 @@ def _on_split(view: str, split: str, body: str, k: int = 10) -> str:
   FROM best LEFT JOIN t ON t.item_id = best.item_id"""))
 def _(spark, sf):
     ratings = stored(views.ratings_brands(spark, sf))
-    scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), k=10)
+    scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), k=10, n=10)
     best = recommend.top_n(scores, ratings, 10, views.brand_titles(spark, sf))
     return best.select("user_id", "item_id", rounded("score").alias("score"), "rank", "title")
 
 
+@query("k1_top_n_parts", sp.with_ratings(sp.PARTS, sp.COSINE + sp.knn_scores(20) + sp.top_scores(10) + f"""
+  SELECT user_id, item_id, {r6('score')} AS score, rank FROM best"""))
+def _(spark, sf):
+    ratings = stored(views.ratings_parts(spark, sf))
+    best = recommend.top_n(neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), k=20, n=10), None, 10)
+    return best.select("user_id", "item_id", rounded("score").alias("score"), "rank")
+
+
 _EVENT_TOP = sp.COSINE + sp.knn_scores(20) + sp.top_scores(10)
 
 
 def _event_top(spark, sf, n=10):
     ratings = stored(views.ratings_events(spark, sf))
-    scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), k=20)
-    return ratings, scores, recommend.top_n(scores, ratings, n)
+    scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), k=20, n=n)
+    return ratings, scores, recommend.top_n(scores, None, n)
 
 
 @query("k2_known_characteristics", sp.with_ratings(sp.EVENTS, _EVENT_TOP + f""", f AS ({sp.EVENT_FEATURES})
@@ -518,9 +526,9 @@ _METRIC_SQL = f""" SELECT {r6('sqrt(avg((rating - p) ^ 2))')} AS rmse, {r6('avg(
   {r6('1 - var_pop(rating - p) / var_pop(rating)')} AS explained_variance"""
 
 
-def _split_scores(spark, sf, view, split, k=10):
+def _split_scores(spark, sf, view, split, k=10, n=10):
     train, test = splits.sides(stored(split(stored(view(spark, sf)))))
-    return neighbors.item_knn_scores(train, neighbors.item_similarity(train), k=k), train, test
+    return neighbors.item_knn_scores(train, neighbors.item_similarity(train), k=k, n=n), train, test
 
 
 @query("v1_regression_metrics", _on_split(sp.BRANDS, sp.HOLDOUT, _METRIC_SQL + """ FROM (SELECT t.rating,
@@ -544,6 +552,13 @@ def _(spark, sf):
     return out.select(rounded("precision").alias("precision"), rounded("recall").alias("recall"), "n_users")
 
 
+@query("v2_precision_recall_parts", _on_split(sp.PARTS, sp.HOLDOUT, sp.top_scores(10) + _PR_SQL))
+def _(spark, sf):
+    scores, train, test = _split_scores(spark, sf, views.ratings_parts, splits.holdout)
+    out = metrics.precision_recall(scores, test, train)
+    return out.select(rounded("precision").alias("precision"), rounded("recall").alias("recall"), "n_users")
+
+
 @query("v3_leave_one_out_metrics", _on_split(sp.EVENTS, sp.LOO, sp.top_scores(10) + f""" SELECT
   {r6('avg(CASE WHEN rank IS NULL THEN 0 ELSE 0.1::DOUBLE END)')} AS precision_loo,
   {r6('avg(CASE WHEN rank IS NULL THEN 0 ELSE 1 END)')} AS recall_loo,
@@ -561,7 +576,7 @@ def _(spark, sf):
   {sp.top_scores(10, drop_seen=False)}{_PR_SQL}""")
 def _(spark, sf):
     train, test = splits.sides(stored(splits.holdout(stored(views.ratings_events(spark, sf)))))
-    scores = neighbors.propagate(prepare.binarise(train), neighbors.jaccard_edges(train))
+    scores = neighbors.propagate(prepare.binarise(train), neighbors.jaccard_edges(train), n=10)
     out = metrics.precision_recall(scores, test, train, exclude_seen=False)
     return out.select(rounded("precision").alias("precision"), rounded("recall").alias("recall"), "n_users")
 
@@ -608,8 +623,10 @@ def _(spark, sf):
   UNION ALL SELECT user_id, item_id, 'top_k', {r6('score')} FROM best WHERE user_id IN (SELECT user_id FROM pick)"""))
 def _(spark, sf):
     ratings = stored(views.ratings_events(spark, sf).select("user_id", "item_id", "rating"))
-    scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), k=20, include_seen=True)
-    shown = recommend.breakdown(ratings, scores, recommend.sample_user(ratings), 10)
+    picked = recommend.sample_user(ratings)
+    history = ratings.join(picked.select("user_id"), "user_id", "left_semi")
+    scores = neighbors.item_knn_scores(history, neighbors.item_similarity(ratings), k=20, include_seen=True)
+    shown = recommend.breakdown(history, scores, picked, 10)
     return shown.withColumn("value", rounded("value"))
 
 

@@ -181,7 +181,10 @@ def _(spark, sf):
   FROM r FULL JOIN scores USING (user_id, item_id) WHERE user_id IN (SELECT user_id FROM us) AND item_id IN (SELECT item_id FROM its)"""))
 def _(spark, sf):
     ratings = views.stored(_events(spark, sf))
-    scores = neighbors.item_knn_scores(ratings, neighbors.item_similarity(ratings), 20, include_seen=True)
+    edges = neighbors.item_similarity(ratings)
+    users, items = diagnostics.grid_ids(ratings)
+    history, near = ratings.join(users, "user_id", "left_semi"), edges.join(items.withColumnRenamed("item_id", "item_i"), "item_i", "left_semi")
+    scores = neighbors.item_knn_scores(history, near, 20, include_seen=True)
     grid = diagnostics.prediction_grid(ratings, scores)
     return grid.select("user_id", "item_id", rounded("original").alias("original"), rounded("predicted").alias("predicted"),
                        F.col("is_new").cast("int").alias("is_new"))

@@ -84,6 +84,7 @@ def _(spark, sf):
   UNION ALL SELECT user_id, item_id, 0.0, {r6('score')} FROM best"""))
 def _(spark, sf):
     ratings = views.stored(views.ratings_events(spark, sf))
-    scores = neighbors.propagate(ratings, neighbors.item_similarity(ratings))
+    edges = views.stored(neighbors.item_similarity(ratings))
+    scores = neighbors.propagate(ratings, edges, targets=ratings).unionByName(neighbors.propagate(ratings, edges, n=10, unseen=True))
     view = embeddings.reconstruction_view(ratings, scores, 10)
     return view.select("user_id", "item_id", rounded("original").alias("original"), rounded("reconstructed").alias("reconstructed"))
