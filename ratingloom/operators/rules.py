@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +18,10 @@ from ratingloom.session import materialise
 from ratingloom.skew import dense_ids
 
 
+CANDIDATES_PER_BLOCK = 50_000
+PREFIXES_AT_ONCE = 1024  # intersections held at once, 4 KB each
+
+
 def min_count(n_users: int, min_support: float) -> int:
     """Smallest user count that reaches the support, without float trouble at the boundary."""
     return max(1, math.ceil(min_support * n_users - 1e-9))
@@ -61,33 +68,83 @@ def _prune(candidates: DataFrame, level: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _levels(ratings: DataFrame, min_support: float, max_size: int | None, count_level) -> DataFrame:
-    """Level-wise search; ``count_level(candidates, size, frequent_level, bitmaps)`` adds the counts."""
-    seen = materialise(binarise(ratings), "transactions")
+def _buckets(seen: DataFrame, frequent: DataFrame) -> DataFrame:
+    """One row per bucket of users: its frequent items and the bitmap of each."""
+    bits = _user_bitmaps(seen, frequent)
+    return bits.groupBy("bucket").agg(F.collect_list(F.struct("item_id", "bits")).alias("_r")).select("bucket", F.col("_r.item_id").alias("ids"), F.col("_r.bits").alias("bits"))
+
+
+def _count_block(ids: np.ndarray, bits: np.ndarray, sets: np.ndarray) -> np.ndarray:
+    """How many of a bucket's users have each candidate; candidates with the same prefix share its intersection."""
+    order = np.argsort(ids)
+    at = np.minimum(np.searchsorted(ids[order], sets), len(ids) - 1)
+    known = (ids[order][at] == sets).all(axis=1)
+    codes, counts = order[at[known]], np.zeros(len(sets), np.int64)
+    prefixes, of = np.unique(codes[:, :-1], axis=0, return_inverse=True)
+    by = np.argsort(of.ravel(), kind="stable")
+    found = np.zeros(len(codes), np.int64)
+    for lo in range(0, len(prefixes), PREFIXES_AT_ONCE):
+        some = prefixes[lo : lo + PREFIXES_AT_ONCE]
+        both = bits[some[:, 0]]
+        for k in range(1, some.shape[1]):
+            both = both & bits[some[:, k]]
+        a, b = np.searchsorted(of.ravel()[by], (lo, lo + len(some)))
+        for x in range(a, b, PREFIXES_AT_ONCE):
+            rows = by[x : min(b, x + PREFIXES_AT_ONCE)]
+            found[rows] = np.bitwise_count(both[of.ravel()[rows] - lo] & bits[codes[rows, -1]]).sum(axis=1)
+    counts[known] = found
+    return counts
+
+
+def _counted(candidates: DataFrame, buckets: DataFrame, n_buckets: int, least: int) -> DataFrame:
+    """(items, count) of the candidates that reach ``least``: bitmaps stay where they are, only counts are shuffled."""
+    candidates = materialise(candidates, "candidates")
+    blocks = max(1, -(-candidates.count() // CANDIDATES_PER_BLOCK))
+    packed = candidates.groupBy(F.pmod(F.xxhash64("items"), F.lit(blocks)).alias("_cb")).agg(F.collect_list("items").alias("sets"))
+    met = buckets.select("ids", "bits").join(F.broadcast(packed.select("sets"))) if blocks == 1 else None
+    if met is None:
+        left = buckets.withColumn("_cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+        right = packed.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_buckets).cast("long"))))
+        tasks = blocks * n_buckets
+        met = left.repartition(tasks, "bucket", "_cb").join(right.repartition(tasks, "bucket", "_cb").hint("merge"), ["bucket", "_cb"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids = batch.column(0)[i].values.to_numpy(zero_copy_only=False)
+                bits = np.frombuffer(b"".join(batch.column(1)[i].values.to_pylist()), np.uint64).reshape(len(ids), -1)
+                lists = batch.column(2)[i].values
+                sets = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+                counts = _count_block(ids, bits, sets)
+                some = counts > 0
+                yield pa.RecordBatch.from_arrays([lists.filter(pa.array(some)), pa.array(counts[some])], ["items", "count"])
+
+    counts = met.select("ids", "bits", "sets").mapInArrow(work, "items array<long>, count long").groupBy("items").agg(F.sum("count").alias("count"))
+    return materialise(counts.filter(F.col("count") >= least), "itemsets")
+
+
+def _levels(ratings: DataFrame, min_support: float, max_size: int | None, prune: bool) -> DataFrame:
+    """Level-wise search: sets one larger from sets that share a prefix, counted over the bitmaps of all users."""
+    seen = materialise(binarise(ratings).select("user_id", F.col("item_id").cast("long").alias("item_id"), "rating"), "transactions")
     n_users = seen.agg(F.count_distinct("user_id")).first()[0]
     least = min_count(n_users, min_support)
     items = materialise(_frequent_items(seen, least), "frequent")
     kept = seen.join(items.select("item_id"), "item_id", "left_semi")
     levels = [items.select(F.array("item_id").alias("items"), "count")]
-    pairs = materialise(
-        pair_stats(kept).filter(F.col("n_co") >= least).select(
-            F.array("item_i", "item_j").alias("items"), F.col("n_co").alias("count")
-        ),
-        "itemsets",
-    )
-    state = None
+    pairs = pair_stats(kept).filter(F.col("n_co") >= least).select(F.array("item_i", "item_j").alias("items"), F.col("n_co").alias("count"))
+    level = materialise(pairs, "itemsets")
+    buckets = None
     size = 2
-    level = pairs
-    bitmaps = None
     while (max_size is None or size <= max_size) and not level.isEmpty():
         levels.append(level)
         size += 1
         if max_size is not None and size > max_size:
             break
-        if bitmaps is None:
-            bitmaps = materialise(_user_bitmaps(seen, items), "bitmaps")
+        if buckets is None:
+            buckets = materialise(_buckets(seen, items), "bitmaps")
+            n_buckets = (buckets.agg(F.max("bucket")).first()[0] or 0) + 1
         candidates = _joined_candidates(level)
-        level, state = count_level(candidates, size, level, bitmaps, state, least)
+        level = _counted(_prune(candidates, level, size) if prune else candidates, buckets, n_buckets, least)
     out = levels[0]
     for nxt in levels[1:]:
         out = out.unionByName(nxt)
@@ -96,45 +153,12 @@ def _levels(ratings: DataFrame, min_support: float, max_size: int | None, count_
 
 def apriori(ratings: DataFrame, min_support: float = 0.1, max_size: int | None = None) -> DataFrame:
     """Frequent itemsets (items sorted, count, support) by candidate generation, pruning and counting."""
-
-    def count_level(candidates, size, level, bitmaps, _state, least):
-        pruned = _prune(candidates, level, size)
-        cells = pruned.select("items", F.explode("items").alias("item_id")).join(bitmaps, "item_id")
-        met = cells.groupBy("items", "bucket").agg(
-            F.bitmap_and_agg("bits").alias("bits"), F.count("*").alias("_n")
-        ).filter(F.col("_n") == size)
-        counts = met.groupBy("items").agg(F.sum(F.bitmap_count("bits")).alias("count"))
-        return materialise(counts.filter(F.col("count") >= least), "itemsets"), None
-
-    return _levels(ratings, min_support, max_size, count_level)
+    return _levels(ratings, min_support, max_size, prune=True)
 
 
 def eclat(ratings: DataFrame, min_support: float = 0.1, max_size: int | None = None) -> DataFrame:
-    """Frequent itemsets by intersecting the user sets of the previous level with one more item."""
-
-    def count_level(candidates, size, _level, bitmaps, state, least):
-        if state is None:  # user sets of the pairs
-            state = _intersect(_level.select("items"), bitmaps, bitmaps.withColumn("_p", F.array("item_id")))
-        sets = _intersect(candidates, bitmaps, state)
-        counts = sets.groupBy("_p").agg(F.sum(F.bitmap_count("bits")).alias("count")).filter(F.col("count") >= least)
-        level = materialise(counts.select(F.col("_p").alias("items"), "count"), "itemsets")
-        kept = sets.join(level.select(F.col("items").alias("_p")), "_p", "left_semi")
-        return level, materialise(kept, "userSets")
-
-    return _levels(ratings, min_support, max_size, count_level)
-
-
-def _intersect(candidates: DataFrame, bitmaps: DataFrame, sets: DataFrame) -> DataFrame:
-    """User set of each candidate = set of its prefix AND set of its last item, per bucket."""
-    split = candidates.select(
-        "items", F.slice("items", 1, F.size("items") - 1).alias("_p"), F.element_at("items", -1).alias("item_id")
-    )
-    prefix = split.join(sets.select("_p", "bucket", "bits"), "_p").select("items", "bucket", "bits")
-    last = split.join(bitmaps, "item_id").select("items", "bucket", "bits")
-    both = prefix.unionByName(last).groupBy("items", "bucket").agg(
-        F.bitmap_and_agg("bits").alias("bits"), F.count("*").alias("_n")
-    )
-    return both.filter(F.col("_n") == 2).select(F.col("items").alias("_p"), "bucket", "bits")
+    """Frequent itemsets by intersecting the user set of a prefix with those of further items, without pruning."""
+    return _levels(ratings, min_support, max_size, prune=False)
 
 
 def fp_growth(ratings: DataFrame, min_support: float = 0.1) -> DataFrame:
