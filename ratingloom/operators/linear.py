@@ -20,6 +20,8 @@ from ratingloom.skew import dense_ids
 
 BLOCK = 512
 BLOCK_SCHEMA = "bi int, bj int, data binary"
+SLIM_SCHEMA = BLOCK_SCHEMA + ", moved double"
+CYCLES = 2000  # coordinate cycles of one visit to a block; the next round goes on where they end
 
 
 def item_gram(ratings: DataFrame) -> DataFrame:
@@ -165,32 +167,46 @@ def fit_slim(
     ratings: DataFrame,
     l1: float = 1e-3,
     l2: float = 1e-4,
-    sweeps: int = 20,
+    tol: float = 1e-6,
+    rounds: int = 1000,
     block: int = BLOCK,
 ) -> DataFrame:
     """Edges item_j (rated) -> item_i (scored) of the non-negative elastic net of every item on the others.
 
-    Minimises |r_i - R w|^2 / (2 n) + l1 |w| + l2 |w|^2 / 2 over w >= 0, w_i = 0, by cyclic coordinate
-    descent on the Gram matrix: block rows of W are updated in turn, all targets at once. The result does
-    not depend on the block size.
+    Minimises |r_i - R w|^2 / (2 n) + l1 |w| + l2 |w|^2 / 2 over w >= 0, w_i = 0, by block coordinate descent
+    on the Gram matrix. A visit to a block row of W repeats the coordinate cycle inside its task until the
+    block is at rest, all targets at once. Targets do not depend on each other: a block column whose weights
+    moved by ``tol`` at most over a whole round is finished and leaves the loop. The minimum is unique for
+    l2 > 0, so the result depends on the block size within the tolerance only; ``rounds`` is a backstop.
+    Empty ratings give no edges.
     """
     n_users = ratings.select("user_id").distinct().count()
     places, n_items, gram = _gram_blocks(ratings, block)
     n_blocks = -(-n_items // block)
 
     def zeros(r):
-        return (r.bi, r.bj, np.zeros(len(r.data) // 8).tobytes())
+        return (r.bi, r.bj, np.zeros(len(r.data) // 8).tobytes(), 0.0)
 
-    weights = materialise(_each_row(zeros, BLOCK_SCHEMA, gram), "weights")
-    for _ in range(sweeps):
+    moving = materialise(_each_row(zeros, SLIM_SCHEMA, gram), "weights")
+    finished = []
+    for _ in range(rounds):
         for b in range(n_blocks):
-            weights = _slim_block_step(gram, weights, b, n_items, block, n_users, l1, l2)
+            moving = _slim_block_step(gram, moving, b, n_items, block, n_users, l1, l2, tol)
+        moved = moving.groupBy("bj").agg((F.max("moved") <= tol).alias("_rest"))  # one row per block column
+        state = materialise(moving.join(moved, "bj").select("bi", "bj", "data", "moved", "_rest"), "slim_round")
+        finished.append(state.filter("_rest").drop("_rest"))
+        moving = state.filter("NOT _rest").drop("_rest")
+        if moving.isEmpty():
+            break
+    weights = moving
+    for part in finished:
+        weights = weights.unionByName(part)
     # the cell (k, j) is the weight of rated k for target j
-    cells = from_blocks(weights, places, n_items, block)
+    cells = from_blocks(weights.drop("moved"), places, n_items, block)
     return cells.select(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), F.col("value").alias("sim"))
 
 
-def _slim_block_step(gram, weights, b, n_items, block, n_users, l1, l2) -> DataFrame:
+def _slim_block_step(gram, weights, b, n_items, block, n_users, l1, l2, tol) -> DataFrame:
     side = _block_side(n_items, block, b)
     across = gram.filter((F.col("bi") == b) & (F.col("bj") != b)).select(F.col("bj").alias("bi"), F.col("data").alias("g"))
 
@@ -221,18 +237,23 @@ def _slim_block_step(gram, weights, b, n_items, block, n_users, l1, l2) -> DataF
     )
 
     def descend(r):
-        w = np.frombuffer(r.data).reshape(side, -1).copy()
+        old = np.frombuffer(r.data).reshape(side, -1)
+        w = old.copy()
         g = np.frombuffer(r.gbb).reshape(side, side)
         aim = np.frombuffer(r.gbj).reshape(side, -1)
         if r.pull is not None:
             aim = aim - np.frombuffer(r.pull).reshape(side, -1)
-        for k in range(side):
-            gap = aim[k] - g[k] @ w + g[k, k] * w[k]
-            new = np.maximum(gap / n_users - l1, 0.0) / (g[k, k] / n_users + l2)
-            if r.bi == r.bj:
-                new[k] = 0.0
-            w[k] = new
-        return (r.bi, r.bj, w.tobytes())
-
-    changed = _each_row(descend, BLOCK_SCHEMA, met)
+        for _ in range(CYCLES):
+            before = w.copy()
+            for k in range(side):
+                gap = aim[k] - g[k] @ w + g[k, k] * w[k]
+                new = np.maximum(gap / n_users - l1, 0.0) / (g[k, k] / n_users + l2)
+                if r.bi == r.bj:
+                    new[k] = 0.0
+                w[k] = new
+            if np.abs(w - before).max() <= tol / 10:
+                break
+        return (r.bi, r.bj, w.tobytes(), float(np.abs(w - old).max()))
+
+    changed = _each_row(descend, SLIM_SCHEMA, met)
     return materialise(weights.filter(F.col("bi") != b).unionByName(changed), "weights")

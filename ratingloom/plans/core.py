@@ -427,6 +427,9 @@ def _(spark, sf):
     return _scores(neighbors.propagate(ratings, neighbors.item_similarity(ratings)))
 
 
+ROUNDS = 40  # of the comparison SQL, which has no stop rule; the operator stops by its tolerance
+
+
 def _pagerank_sql(steps: int) -> str:
     body = """, links AS MATERIALIZED (SELECT a.item_id AS i, b.item_id AS j, count(*) AS n FROM r a JOIN r b
   ON a.user_id = b.user_id AND a.item_id <> b.item_id GROUP BY 1, 2)
@@ -440,10 +443,10 @@ def _pagerank_sql(steps: int) -> str:
     return body
 
 
-@query("n17_cooccurrence_pagerank", sp.with_ratings(sp.EVENTS, _pagerank_sql(8) + f""" SELECT item_id,
-  {r6('(pr - (SELECT min(pr) FROM p8)) / (SELECT max(pr) - min(pr) FROM p8)')} AS weight FROM p8"""))
+@query("n17_cooccurrence_pagerank", sp.with_ratings(sp.EVENTS, _pagerank_sql(ROUNDS) + f""" SELECT item_id,
+  {r6(f'(pr - (SELECT min(pr) FROM p{ROUNDS})) / (SELECT max(pr) - min(pr) FROM p{ROUNDS})')} AS weight FROM p{ROUNDS}"""))
 def _(spark, sf):
-    ranked = neighbors.cooccurrence_pagerank(stored(views.ratings_events(spark, sf)), max_iter=8, tol=0.0)
+    ranked = neighbors.cooccurrence_pagerank(stored(views.ratings_events(spark, sf)), tol=1e-12)
     return ranked.select("item_id", rounded("weight").alias("weight"))
 
 

@@ -10,7 +10,7 @@ from ratingloom.operators.catalog import Range
 from ratingloom.plans import sqlparts as sp
 from ratingloom.plans import sqltrain as st
 from ratingloom.plans.core import _JACCARD, _METRIC_SQL
-from ratingloom.plans.linearmodels import SWEEPS, slim_sql
+from ratingloom.plans.linearmodels import slim_sql
 from ratingloom.plans.registry import query
 from ratingloom.sources import views
 
@@ -199,7 +199,7 @@ def _(spark, sf):
 @query("d13_slim_coefficients", f"""SELECT count(*) AS non_zero, {r6('avg(sim)', 4)} AS mean, {r6('min(sim)', 4)} AS low, {r6('max(sim)', 4)} AS high
   FROM ({sp.with_ratings(sp.BRANDS, slim_sql(0.001, 0.0001, digits=12))})""")
 def _(spark, sf):
-    edges = linear.fit_slim(views.stored(views.ratings_brands(spark, sf)), 0.001, 0.0001, SWEEPS)
+    edges = linear.fit_slim(views.stored(views.ratings_brands(spark, sf)), 0.001, 0.0001)
     out = diagnostics.coefficient_summary(edges)
     return out.select("non_zero", *[rounded(c, 4).alias(c) for c in ("mean", "low", "high")])
 

@@ -10,7 +10,8 @@ from ratingloom.sources import views
 
 r6 = sp.r6
 BRANDS = 25  # items of the dense ratings
-SWEEPS = 3
+TOL = 1e-11
+SWEEPS = 1500  # of the comparison SQL, which has no stop rule; the operator stops by its tolerance
 
 _GRAM = """, items AS MATERIALIZED (SELECT item_id, row_number() OVER (ORDER BY item_id) AS p FROM (SELECT DISTINCT item_id FROM r))
 , gram AS MATERIALIZED (SELECT a.p AS i, b.p AS j, sum(x.rating * y.rating) AS v FROM r x JOIN r y ON x.user_id = y.user_id
@@ -32,20 +33,19 @@ def inverse_sql(lam: float) -> str:
 
 
 def slim_sql(l1: float, l2: float, digits: int = 6) -> str:
-    """Cyclic coordinate descent, one table per coordinate update."""
-    body = f"{_GRAM}, n AS (SELECT count(DISTINCT user_id) AS n FROM r), w0 AS MATERIALIZED (SELECT i, j, 0.0::DOUBLE AS w FROM gram)"
-    step = 0
-    for _ in range(SWEEPS):
-        for k in range(1, BRANDS + 1):
-            body += f"""
-, w{step + 1} AS MATERIALIZED (SELECT w.i, w.j, CASE WHEN w.i <> {k} THEN w.w WHEN w.j = {k} THEN 0 ELSE
-    greatest((t.v - c.s + d.v * w.w) / n - {l1}, 0) / (d.v / n + {l2}) END AS w
-  FROM w{step} w JOIN gram t ON t.i = {k} AND t.j = w.j JOIN gram d ON d.i = {k} AND d.j = {k}
-  JOIN (SELECT x.j, sum(g.v * x.w) AS s FROM w{step} x JOIN gram g ON g.i = {k} AND g.j = x.i GROUP BY 1) c ON c.j = w.j, n)"""
-            step += 1
-    return body + f"""
-  SELECT t.item_id AS item_i, s.item_id AS item_j, {r6('w', digits)} AS sim FROM w{step} JOIN items s ON s.p = i
-  JOIN items t ON t.p = j WHERE w > 0"""
+    """Cyclic coordinate descent to rest: one row and one list of weights per target, one sweep a recursion."""
+    return f"""{_GRAM}, n AS (SELECT count(DISTINCT user_id) AS n FROM r)
+, rows AS MATERIALIZED (SELECT i, list(v ORDER BY j) || [i::DOUBLE] AS g FROM (SELECT a.p AS i, b.p AS j, coalesce(v, 0) AS v
+    FROM items a CROSS JOIN items b LEFT JOIN gram ON gram.i = a.p AND gram.j = b.p) GROUP BY 1)
+, sweep AS MATERIALIZED (SELECT list(g ORDER BY i) AS gs FROM rows)
+, slim AS (WITH RECURSIVE w(t, step, x) AS (
+    SELECT i, 0, list_transform(g[:-2], lambda v: 0.0::DOUBLE) FROM rows
+    UNION ALL SELECT t, step + 1, list_reduce([x] || gs, lambda y, d: list_transform(y, lambda v, k: CASE WHEN k <> d[-1] THEN v WHEN k = t THEN 0
+      ELSE greatest((d[t] - list_dot_product(d[:-2], y) + d[k] * v) / n - {l1}, 0) / (d[k] / n + {l2}) END))
+    FROM w, sweep, n WHERE step < {SWEEPS})
+  SELECT t, unnest(x) AS w, generate_subscripts(x, 1) AS i FROM w WHERE step = {SWEEPS})
+  SELECT t.item_id AS item_i, s.item_id AS item_j, {r6('w', digits)} AS sim FROM slim JOIN items s ON s.p = slim.i
+  JOIN items t ON t.p = slim.t WHERE w > 0"""
 
 
 @query("n14_ease_weights", sp.with_ratings(sp.BRANDS, inverse_sql(100.0) + f" SELECT item_i, item_j, {r6('sim')} AS sim FROM ease"))
@@ -64,7 +64,7 @@ def _(spark, sf):
 
 @query("n15_slim_weights", sp.with_ratings(sp.BRANDS, slim_sql(0.001, 0.0001)))
 def _(spark, sf):
-    edges = linear.fit_slim(views.stored(views.ratings_brands(spark, sf)), 0.001, 0.0001, SWEEPS)
+    edges = linear.fit_slim(views.stored(views.ratings_brands(spark, sf)), 0.001, 0.0001, tol=TOL)
     return edges.withColumn("sim", rounded("sim"))
 
 
@@ -72,7 +72,7 @@ def _(spark, sf):
   FROM r JOIN ({sp.with_ratings(sp.BRANDS, slim_sql(0.001, 0.0001, digits=12))}) w ON w.item_j = r.item_id GROUP BY 1, 2"""))
 def _(spark, sf):
     ratings = views.stored(views.ratings_brands(spark, sf))
-    scores = neighbors.propagate(ratings, linear.fit_slim(ratings, 0.001, 0.0001, SWEEPS))
+    scores = neighbors.propagate(ratings, linear.fit_slim(ratings, 0.001, 0.0001, TOL))
     return scores.select("user_id", "item_id", rounded("score", 3).alias("score"))
 
 

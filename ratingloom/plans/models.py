@@ -11,7 +11,7 @@ from ratingloom.operators.prepare import binarise
 from ratingloom.operators.splits import holdout, sides
 from ratingloom.plans import sqlparts as sp
 from ratingloom.plans import sqltrain as st
-from ratingloom.plans.core import _pagerank_sql
+from ratingloom.plans.core import ROUNDS, _pagerank_sql
 from ratingloom.plans.registry import query
 from ratingloom.sources import views
 
@@ -220,15 +220,15 @@ def _(spark, sf):
     return _out(ranking.fit_bpr_svdpp(ratings, 2, STEPS, LR).score(ratings))
 
 
-_WEIGHTS = _pagerank_sql(4) + """, w AS MATERIALIZED (SELECT item_id,
-  (pr - (SELECT min(pr) FROM p4)) / (SELECT max(pr) - min(pr) FROM p4) AS w FROM p4)"""
+_WEIGHTS = _pagerank_sql(ROUNDS) + f""", w AS MATERIALIZED (SELECT item_id,
+  (pr - (SELECT min(pr) FROM p{ROUNDS})) / (SELECT max(pr) - min(pr) FROM p{ROUNDS}) AS w FROM p{ROUNDS})"""
 
 
 @query("r4_wmfbpr", st.pairwise(sp.EVENTS, STEPS, LR, 0.01, "weighted", prefix=_WEIGHTS)
        + _score_sql("p1 * (q1 + w) + p2 * (q2 + w)", _BOTH + " JOIN w USING (item_id)"))
 def _(spark, sf):
     ratings = _events(spark, sf)
-    weights = cooccurrence_pagerank(ratings, max_iter=4, tol=0.0)
+    weights = cooccurrence_pagerank(ratings, tol=1e-12)
     return _out(ranking.fit_wmfbpr(ratings, 2, STEPS, LR, weights=weights).score(ratings))
 
 
