@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ratingloom.functions.columns import HASH_RANGE, mix, mix_unit
+from ratingloom.functions.columns import HASH_RANGE, mix, mix_unit, tie_safe
 from ratingloom.operators.recommend import BLOCK_ROWS, _packed, spread_meetings
 from ratingloom.session import materialise
 from ratingloom.skew import global_rank
@@ -35,14 +35,9 @@ def sample_items(items: DataFrame, n: int = SAMPLE_ITEMS, seed: int = 42, popula
     return pool.orderBy(mix("item_id", F.lit(1), seed), "item_id").limit(n)
 
 
-def user_names(spark, n: int) -> DataFrame:
-    """user_id 1..n with names User_001..."""
-    return spark.range(1, n + 1).select(F.col("id").alias("user_id"), F.format_string("User_%03d", "id").alias("name"))
-
-
 def cut_dimensions(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """First ``n`` rows in the given order."""
-    return df.orderBy(*order).limit(n)
+    """First ``n`` rows in the given order, ranked by a range sort, so a large ``n`` does not end in one task."""
+    return global_rank(df, [F.col(c) for c in order], "_rank").filter(F.col("_rank") <= n).drop("_rank")
 
 
 def resize_profiles(profiles: DataFrame, users: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -53,17 +48,24 @@ def resize_profiles(profiles: DataFrame, users: DataFrame, features: Sequence[st
 
 
 def random_preferences(
-    users: DataFrame, features: Sequence[str], peaks: int, variability: int = 0, contrast: float = 1.0, seed: int = 0
+    profiles: DataFrame, features: Sequence[str], peaks: int, variability: int = 0, contrast: float = 1.0, seed: int = 0
 ) -> DataFrame:
-    """Per user: ``peaks`` (+- variability) features at +contrast, the others at -contrast, noise, clipped to [-1, 1]."""
+    """Sharpened preferences of every user of ``profiles`` (user_id, feature, weight).
+
+    The ``peaks`` (+- variability) features with the user's largest weights stand at +contrast, the others at -contrast,
+    with noise, clipped to [-1, 1]. A feature without a weight comes after those with one; ties are drawn by hash.
+    """
     k = len(features)
-    grid = users.select("user_id").select("user_id", F.posexplode(F.array(*[F.lit(f) for f in features])).alias("_f", "feature"))
+    users = profiles.select("user_id").distinct()
+    grid = users.select("user_id", F.posexplode(F.array(*[F.lit(f) for f in features])).alias("_f", "feature"))
+    known = grid.join(profiles.select("user_id", "feature", "weight"), ["user_id", "feature"], "left")
     spread = F.pmod(mix("user_id", F.lit(0), seed + 2), F.lit(2 * variability + 1)) - F.lit(variability)
     wanted = F.greatest(F.lit(0), F.least(F.lit(k), F.lit(peaks) + spread))
-    order = Window.partitionBy("user_id").orderBy(mix("user_id", "_f", seed), "_f")  # at most one row per feature
+    # at most one row per feature
+    order = Window.partitionBy("user_id").orderBy(tie_safe(F.col("weight")).desc_nulls_last(), mix("user_id", "_f", seed), "_f")
     level = F.when(F.row_number().over(order) <= wanted, F.lit(contrast)).otherwise(F.lit(-contrast))
     noisy = level + F.lit(PREFERENCE_NOISE) * hash_normal(F.col("user_id"), F.col("_f"), seed + 3)
-    return grid.select("user_id", "feature", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), noisy)).alias("weight"))
+    return known.select("user_id", "feature", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), noisy)).alias("weight"))
 
 
 def _vectors(cells: DataFrame, key: str, value: Column, features: Sequence[str], ids: DataFrame) -> DataFrame:

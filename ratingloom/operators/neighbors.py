@@ -11,7 +11,7 @@ from ratingloom.operators.pairs import mirrored, pair_stats
 from ratingloom.operators.prepare import binarise, centred
 from ratingloom.operators.sparse_scores import Rule, sparse_scores
 from ratingloom.session import materialise
-from ratingloom.skew import hot_keys, salted_join
+from ratingloom.skew import global_rank, hot_keys, salted_join
 
 
 def popularity(ratings: DataFrame) -> DataFrame:
@@ -22,17 +22,19 @@ def popularity(ratings: DataFrame) -> DataFrame:
 def popular_for_users(ratings: DataFrame, n: int) -> DataFrame:
     """The ``n`` most popular unseen items of every user.
 
-    A user with h seen items finds them among the first n + h popular ones, so each user is only
-    matched with that many places of the popularity list, never with the whole catalogue.
+    A user with h seen items finds them among the first n + h places of the popularity list. Histories are
+    turned into places once; which of the first n + h are free is decided inside the user's row, so only n
+    places a user are looked up again, and the places that all users want are spread over many tasks.
+    Users who have seen everything have no row; fewer than ``n`` come back where fewer are left.
     """
-    from ratingloom.skew import global_rank
-
     places = global_rank(popularity(ratings), [tie_safe(F.col("score")).desc(), F.col("item_id")], "place")
-    users = ratings.groupBy("user_id").agg((F.count("*") + n).alias("reach"))
-    wanted = users.select("user_id", F.explode(F.sequence(F.lit(1).cast("long"), "reach")).alias("place"))
-    unseen = wanted.join(places, "place").join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy("user_id").orderBy("place"))
-    return unseen.withColumn("rank", rank).filter(F.col("rank") <= n).select("user_id", "item_id", "score", "rank")
+    seen = salted_join(ratings.select("user_id", "item_id"), places.select("item_id", "place"), "item_id", "user_id", hot_keys(ratings, "item_id"))
+    histories = seen.groupBy("user_id").agg(F.collect_set("place").alias("_seen"))  # at most the catalogue
+    prefix = F.sequence(F.lit(1).cast("long"), F.size("_seen").cast("long") + F.lit(n))
+    free = F.slice(F.array_except(prefix, "_seen"), 1, n)
+    wanted = materialise(histories.select("user_id", F.posexplode(free).alias("_at", "place")), "places")
+    met = salted_join(wanted, places, "place", "user_id", hot_keys(wanted, "place"))
+    return met.select("user_id", "item_id", "score", (F.col("_at") + 1).alias("rank"))
 
 
 def _unit_columns(ratings: DataFrame, value: str) -> DataFrame:

@@ -8,7 +8,7 @@ from ratingloom.functions.columns import rounded
 from ratingloom.operators import prepare, rules, tuning
 from ratingloom.plans import sqlparts as sp
 from ratingloom.plans.core import MOVIES, _movies
-from ratingloom.plans.insight import EVENT_TYPES, REPORT_SQL, order_report
+from ratingloom.plans.insight import REPORT_SQL, order_report
 from ratingloom.plans.patterns import SUPPORT, itemset_sql, rules_sql
 from ratingloom.plans.registry import query
 from ratingloom.session import scratch_path
@@ -68,7 +68,7 @@ def _generated(spark, sf):
     folder = scratch_path(spark, "generated")
     ratings = views.stored(_events(spark, sf))
     items = [row[0] for row in ratings.select("item_id").distinct().orderBy("item_id").collect()]  # columns of the wide file
-    files.write_generated(folder, ratings, items, views.segment_profiles(spark, sf), views.event_features(spark, sf), EVENT_TYPES)
+    files.write_generated(folder, ratings, items, views.segment_profiles(spark, sf), views.event_features(spark, sf), views.event_types(spark, sf))
     return files.read_generated(spark, folder)
 
 

@@ -15,7 +15,6 @@ from ratingloom.plans.registry import query
 from ratingloom.sources import views
 
 r6 = sp.r6
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 def _events(spark, sf):
@@ -45,7 +44,7 @@ _RAW = f""", pr AS MATERIALIZED ({sp.PROFILES}), fe AS MATERIALIZED ({sp.EVENT_F
 
 def _raw(spark, sf, ratings):
     return generate.raw_ideal(
-        views.segment_profiles(spark, sf), views.event_features(spark, sf), EVENT_TYPES,
+        views.segment_profiles(spark, sf), views.event_features(spark, sf), views.event_types(spark, sf),
         ratings.select("user_id"), ratings.select("item_id"),
     )
 

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from ratingloom.functions.columns import rounded
 from ratingloom.operators import generate
 from ratingloom.plans import sqlparts as sp
-from ratingloom.plans.insight import _RAW, EVENT_TYPES, _events, _raw
+from ratingloom.plans.insight import _RAW, _events, _raw
 from ratingloom.plans.registry import query
 from ratingloom.sources import views
 
 r6 = sp.r6
-FEATURE_LIST = ", ".join(f"('{f}', {n})" for n, f in enumerate(EVENT_TYPES))
+FEATURE_LIST = "SELECT event_type AS feature, row_number() OVER (ORDER BY event_type) - 1 AS f FROM (SELECT DISTINCT event_type FROM events)"
 
 
 def _hash_normal(a: str, b: str, seed: int) -> str:
@@ -29,11 +29,10 @@ def _(spark, sf):
     return generate.sample_items(items, 500, 42, bought.filter("n >= 30"))
 
 
-@query("g2_dimension_cut", """SELECT c_custkey + 1 AS user_id, printf('User_%03d', c_custkey + 1) AS name FROM customer
-  WHERE c_custkey + 1 <= least(5000, (SELECT count(*) FROM customer)) ORDER BY c_custkey LIMIT 1000""")
+@query("g2_dimension_cut", """SELECT c_custkey AS user_id, c_name AS name FROM customer ORDER BY c_custkey LIMIT 1000""")
 def _(spark, sf):
-    n = min(5000, views.table(spark, sf, "customer").count())
-    return generate.cut_dimensions(generate.user_names(spark, n), ["user_id"], 1000)
+    users = views.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
+    return generate.cut_dimensions(users, ["user_id"], 1000)
 
 
 @query("g3_profile_resize", f"""WITH pr AS ({sp.PROFILES}) SELECT u.user_id, f.feature, {r6('coalesce(weight, 0)')} AS weight
@@ -47,16 +46,16 @@ def _(spark, sf):
 
 _PREFERENCES = f"""SELECT user_id, feature, greatest(-1, least(1, CASE WHEN rn <= greatest(0, least(5, 2 +
     ({sp.mix('user_id', '0', 2)} % 3) - 1)) THEN 0.8::DOUBLE ELSE -0.8::DOUBLE END + 0.05::DOUBLE * {_hash_normal('user_id', 'f', 3)})) AS weight
-  FROM (SELECT c_custkey AS user_id, feature, f, row_number() OVER (PARTITION BY c_custkey ORDER BY {sp.mix('c_custkey', 'f', 0)}, f) AS rn
-    FROM customer CROSS JOIN (VALUES {FEATURE_LIST}) x(feature, f))"""
+  FROM (SELECT user_id, feature, f, row_number() OVER (PARTITION BY user_id
+      ORDER BY round(weight, 9) DESC NULLS LAST, {sp.mix('user_id', 'f', 0)}, f) AS rn
+    FROM (SELECT DISTINCT user_id FROM pr) CROSS JOIN ({FEATURE_LIST}) x LEFT JOIN pr USING (user_id, feature))"""
 
 
 def _preferences(spark, sf):
-    users = views.table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"))
-    return generate.random_preferences(users, EVENT_TYPES, peaks=2, variability=1, contrast=0.8)
+    return generate.random_preferences(views.segment_profiles(spark, sf), views.event_types(spark, sf), peaks=2, variability=1, contrast=0.8)
 
 
-@query("g4_random_preferences", f"SELECT user_id, feature, {r6('weight')} AS weight FROM ({_PREFERENCES})")
+@query("g4_random_preferences", f"WITH pr AS MATERIALIZED ({sp.PROFILES}) SELECT user_id, feature, {r6('weight')} AS weight FROM ({_PREFERENCES})")
 def _(spark, sf):
     return _preferences(spark, sf).select("user_id", "feature", rounded("weight").alias("weight"))
 

@@ -102,6 +102,17 @@ def event_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MAX_EVENT_TYPES = 1000  # they become columns and vector entries
+
+
+def event_types(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All event types of the table, sorted; an error beyond MAX_EVENT_TYPES."""
+    found = table(spark, sf_dir, "events").select("event_type").filter("event_type IS NOT NULL").distinct().limit(MAX_EVENT_TYPES + 1).collect()
+    if len(found) > MAX_EVENT_TYPES:
+        raise ValueError(f"more than {MAX_EVENT_TYPES} event types")
+    return sorted(row[0] for row in found)
+
+
 def segment_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long user profiles (user_id, feature, weight in [-1, 1]) from the event mix of each user."""
     events = table(spark, sf_dir, "events").select("user_id", "event_type")

@@ -128,6 +128,15 @@ def test_popular_for_users_skips_seen(toy):
     assert all(TOY[u][i] == 0 for u, items in best.items() for i in items)
 
 
+def test_popular_for_users_at_the_edges(spark, monkeypatch):
+    schema = "user_id long, item_id long, rating double"
+    assert neighbors.popular_for_users(spark.createDataFrame([], schema), 3).isEmpty()
+    monkeypatch.setattr(neighbors, "hot_keys", lambda df, key: [r[0] for r in df.select(key).distinct().collect() if r[0] is not None])  # all are hot
+    rows = spark.createDataFrame([(1, 10, 2.0), (1, 11, 1.0), (2, 10, 2.0), (None, 11, 5.0)], schema)
+    got = {(r.user_id, r.item_id, r.score, r["rank"]) for r in neighbors.popular_for_users(rows, 5).collect()}
+    assert got == {(2, 11, 6.0, 1), (None, 10, 4.0, 1)}  # user 1 has seen everything
+
+
 def test_pagerank_weights(ratings, matrix):
     seen = (matrix > 0).astype(float)
     c = seen.T @ seen

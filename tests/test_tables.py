@@ -124,11 +124,15 @@ def test_factor_correlation(spark):
 def test_generated_ratings(spark):
     users = spark.range(1, 21).select(F.col("id").alias("user_id"))
     names = ["a", "b", "c"]
-    p = generate.random_preferences(users, names, peaks=1, variability=1, contrast=0.9)
+    known = users.select("user_id", F.lit("b").alias("feature"), F.lit(0.5).alias("weight"))
+    p = generate.random_preferences(known, names, peaks=1, variability=1, contrast=0.9)
     rows = p.collect()
     assert len(rows) == 60 and all(-1 <= r.weight <= 1 for r in rows)
     per_user = {u: sum(r.weight > 0 for r in rows if r.user_id == u) for u in range(1, 21)}
     assert set(per_user.values()) <= {0, 1, 2}
+    assert all(r.weight > 0 for r in rows if r.feature == "b" and per_user[r.user_id])  # the known weight comes first
+    assert generate.random_preferences(known.limit(0), names, peaks=1).isEmpty()
+    assert [r.user_id for r in generate.cut_dimensions(users, ["user_id"], 3).orderBy("user_id").collect()] == [1, 2, 3]
     items = spark.range(5).select(F.col("id").alias("item_id"))
     q = spark.createDataFrame([(0, "a"), (1, "b"), (2, "a"), (2, "c")], "item_id long, feature string")
     raw = generate.raw_ideal(p, q, names, users, items)
