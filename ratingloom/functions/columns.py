@@ -7,22 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HASH_RANGE = 1_000_003
+HASH_RANGE = 2_147_483_647  # a prime, 2^31 - 1; products of two values below it fit a long
 TIE_DIGITS = 9
 
 
 def mix(user: str | Column, item: str | Column, seed: int | Column = 0) -> Column:
     """Arithmetic hash of a pair in [0, HASH_RANGE), the same in every SQL engine.
 
-    A linear sum alone would keep the order of the pairs when the seed changes. Its fifth power modulo
-    the prime is a permutation of the range that does not.
+    Any 64-bit ids fit: an id is first folded from its upper and lower 31 bits, so ids below the range differ from
+    each other and larger ones do not repeat with the range. A linear sum alone would keep the order of the pairs
+    when the seed changes. Its fifth power modulo the prime is a permutation of the range that does not.
     """
-    user = F.col(user) if isinstance(user, str) else user
-    item = F.col(item) if isinstance(item, str) else item
-    seed = F.lit(seed) if isinstance(seed, int) else seed
     size = F.lit(HASH_RANGE).cast("long")
-    # each part is reduced first, so that any 64-bit id fits
-    base = F.pmod(F.pmod(user, size) * 7919 + F.pmod(item, size) * 104729 + F.pmod(seed, size) * 31, size).cast("long")
+
+    def folded(part: Column) -> Column:
+        part = part.cast("long")
+        return F.pmod(F.pmod(part, size) + F.pmod(F.shiftright(part, 31), size) * 48271, size)
+
+    user = folded(F.col(user) if isinstance(user, str) else user)
+    item = folded(F.col(item) if isinstance(item, str) else item)
+    seed = folded(F.lit(seed) if isinstance(seed, int) else seed)
+    # the three products together stay below 2^63
+    base = F.pmod(user * 1103515245 + item * 998244353 + seed * 715225739, size)
     square = F.pmod(base * base, size)
     return F.pmod(F.pmod(square * square, size) * base, size)
 

@@ -239,7 +239,7 @@ def _(spark, sf):
 
 
 @query("l4_global_split", sp.with_ratings(
-    sp.PARTS, f" SELECT user_id, item_id, CAST({sp.mix('user_id', 'item_id', 42)} < 200000 AS INTEGER) AS is_test FROM r"))
+    sp.PARTS, f" SELECT user_id, item_id, CAST({sp.mix('user_id', 'item_id', 42)} < {sp.HASH_RANGE // 5} AS INTEGER) AS is_test FROM r"))
 def _(spark, sf):
     return _split_out(splits.global_split(views.ratings_parts(spark, sf)))
 

@@ -214,8 +214,8 @@ _SHRUNK = """, norms AS (SELECT item_id, sqrt(sum(rating * rating)) AS nrm FROM
 def _fold_sql(setting: dict, fold: int) -> str:
     hashed = sp.mix("user_id", "item_id", 42)
     return f"""SELECT {setting['k']}.0::DOUBLE AS k, {setting['shrinkage']}.0::DOUBLE AS shrinkage, {fold} AS fold, rmse, r2, mae, var FROM (
-  WITH r0 AS MATERIALIZED ({sp.EVENTS}), test AS (SELECT * FROM r0 WHERE {hashed} < 200000),
-  r AS MATERIALIZED (SELECT * FROM r0 WHERE {hashed} >= 200000 AND {hashed} % 3 <> {fold}){sp.PAIRS}{_SHRUNK.format(s=setting['shrinkage'])}
+  WITH r0 AS MATERIALIZED ({sp.EVENTS}), test AS (SELECT * FROM r0 WHERE {hashed} < {sp.HASH_RANGE // 5}),
+  r AS MATERIALIZED (SELECT * FROM r0 WHERE {hashed} >= {sp.HASH_RANGE // 5} AND {hashed} % 3 <> {fold}){sp.PAIRS}{_SHRUNK.format(s=setting['shrinkage'])}
   , met AS (SELECT t.user_id, t.item_id, any_value(t.rating) AS rating, e.sim, h.rating AS hr,
       row_number() OVER (PARTITION BY t.user_id, t.item_id ORDER BY round(abs(e.sim), 9) DESC, h.item_id) AS rn
     FROM test t JOIN r h ON h.user_id = t.user_id JOIN edges e ON e.i = t.item_id AND e.j = h.item_id WHERE e.sim <> 0

@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-HASH_BASE = "CAST((({u}) * 7919 + ({i}) * 104729 + ({s}) * 31) % 1000003 AS BIGINT)"
-HASH_SQUARE = f"(({HASH_BASE} * {HASH_BASE}) % 1000003)"
-HASH = f"(((({HASH_SQUARE} * {HASH_SQUARE}) % 1000003) * {HASH_BASE}) % 1000003)"
+HASH_RANGE = 2147483647
+FOLDED = f"(((CAST({{}} AS BIGINT) % {HASH_RANGE}) + (CAST({{}} AS BIGINT) >> 31) * 48271) % {HASH_RANGE})"
+
+
+def _hash_sql() -> str:
+    u, i, s = (FOLDED.format("{" + x + "}", "{" + x + "}") for x in "uis")
+    base = f"(({u} * 1103515245 + {i} * 998244353 + {s} * 715225739) % {HASH_RANGE})"
+    square = f"(({base} * {base}) % {HASH_RANGE})"
+    return f"(((({square} * {square}) % {HASH_RANGE}) * {base}) % {HASH_RANGE})"
+
+
+HASH = _hash_sql()
 
 RATED = "1 + 4 * (avg(l_quantity) - 1) / 49 AS rating"
 BRAND = "CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS BIGINT)"
@@ -36,7 +45,7 @@ def mix(u: str, i: str, seed: int | str = 0) -> str:
 
 
 def unit(u: str, i: str, seed: int | str = 0) -> str:
-    return f"({mix(u, i, seed)} / 1000003.0::DOUBLE)"
+    return f"({mix(u, i, seed)} / {HASH_RANGE}.0::DOUBLE)"
 
 
 def r6(x: str, digits: int = 6) -> str:

@@ -112,7 +112,7 @@ def negatives(table: str, seed: str, per: int = 1) -> str:
     return f"""
 , {table} AS MATERIALIZED (SELECT d.user_id, d.item_id, d.draw, o.item_id AS neg FROM (
     SELECT d.user_id, d.item_id, d.draw, any_value(d.t) + count(m.coord) AS ord FROM (
-      SELECT r.user_id, r.item_id, x.draw, ({mix('r.user_id', 'r.item_id', f'{seed} + x.draw * 101')} * 1000003
+      SELECT r.user_id, r.item_id, x.draw, ({mix('r.user_id', 'r.item_id', f'{seed} + x.draw * 101')} * 2147483647
           + {mix('r.item_id', 'r.user_id', f'{seed} + x.draw * 101 + 1')}) % h.free AS t
       FROM r JOIN holes h USING (user_id), range(1, {per + 1}) x(draw) WHERE h.free > 0) d
     LEFT JOIN marks m ON m.user_id = d.user_id AND m.coord <= d.t GROUP BY 1, 2, 3) d

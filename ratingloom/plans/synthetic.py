@@ -16,7 +16,7 @@ FEATURE_LIST = "SELECT event_type AS feature, row_number() OVER (ORDER BY event_
 
 
 def _hash_normal(a: str, b: str, seed: int) -> str:
-    first = f"(({sp.mix(a, b, seed)} + 0.5::DOUBLE) / 1000003.0::DOUBLE)"
+    first = f"(({sp.mix(a, b, seed)} + 0.5::DOUBLE) / {sp.HASH_RANGE}.0::DOUBLE)"
     return f"(sqrt(-2 * ln({first})) * cos(2 * pi() * {sp.unit(b, a, seed + 1)}))"
 
 

@@ -28,8 +28,8 @@ def _noise_sql(eps: str) -> str:
 
 
 def _noise_draws(rows: str, a: str, b: str, seed: int, per: int = 5) -> str:
-    wide = f"""({sp.mix(a, b, f'{seed} + x.draw * 101')} * 1000003 + {sp.mix(b, a, f'{seed} + x.draw * 101 + 1')})
-      / (1000003.0::DOUBLE * 1000003.0::DOUBLE)"""
+    wide = f"""({sp.mix(a, b, f'{seed} + x.draw * 101')} * {sp.HASH_RANGE} + {sp.mix(b, a, f'{seed} + x.draw * 101 + 1')})
+      / ({sp.HASH_RANGE}.0::DOUBLE * {sp.HASH_RANGE}.0::DOUBLE)"""
     return f"(SELECT t.*, x.draw, {wide} AS u FROM {rows} t, range(1, {per + 1}) x(draw))"
 
 

@@ -137,7 +137,7 @@ def test_salted_training_equals_plain(ratings, monkeypatch):
 
 
 def hashed(a, b, seed):
-    return pow(int(a) * 7919 + int(b) * 104729 + seed * 31, 5, 1000003)
+    return pow(int(a) * 1103515245 + int(b) * 998244353 + seed * 715225739, 5, 2147483647)
 
 
 @pytest.mark.parametrize("width", [65_536, 4])
@@ -153,7 +153,7 @@ def test_negatives_are_the_drawn_unseen_items(spark, width, monkeypatch):
         free = [i for i in items if row[i] == 0]
         for i in np.flatnonzero(row):
             for draw in (1, 2, 3):
-                wide = hashed(u, i, 4 + draw * 101) * 1000003 + hashed(i, u, 4 + draw * 101 + 1)
+                wide = hashed(u, i, 4 + draw * 101) * 2147483647 + hashed(i, u, 4 + draw * 101 + 1)
                 if free:
                     want.add((u, int(i), draw, free[wide % len(free)]))
     assert {(r.user_id, r.item_id, r.draw, r.neg) for r in got} == want
