@@ -16,6 +16,7 @@ from ratingloom.llm.common import text_frame
 
 PROFILE = 300  # n-grams of a profile
 SAMPLE = 500  # labelled documents per language that a profile is fitted on
+BUCKETS = 256  # parts that the labelled rows of a language are ranked in
 BROADCAST_LANGUAGES = 256  # up to which the list of sampled documents is sent to all tasks
 PIECE = 1 << 20  # characters counted at once
 UNDETERMINED = "und"
@@ -69,12 +70,17 @@ def fit(docs: DataFrame, size: int = PROFILE, sample: int = SAMPLE) -> Profiles:
     """Profiles from ``text`` and ``lang`` of ``docs``: per language the ``size`` most frequent n-grams.
 
     At most ``sample`` documents of a language are used, those with the smallest hash of their id, so a hot language
-    costs no more than another. Rows without a language or text are left out. What comes back to the driver has
+    costs no more than another. Rows without a language or text are left out, other columns are ignored, and a table
+    without labelled rows gives no profile. Repeated rows count once each towards the sample. What comes back to the driver has
     ``size`` rows per language.
     """
     labelled = text_frame(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= sample).select("doc_id", "lang").distinct()
+    # a language's sample is among the first ``sample`` rows of its buckets, so no task ranks all rows of a hot language
+    keyed = labelled.select("doc_id", "lang", F.xxhash64("doc_id").alias("_hash")).withColumn("_bucket", F.pmod("_hash", F.lit(BUCKETS)))
+    for group in (["lang", "_bucket"], ["lang"]):
+        order = Window.partitionBy(*group).orderBy("_hash", "doc_id")
+        keyed = keyed.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") <= sample)
+    chosen = keyed.select("doc_id", "lang").distinct()
     few = labelled.select("lang").distinct().limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES
     texts = labelled.join(F.broadcast(chosen) if few else chosen, ["doc_id", "lang"], "left_semi")
 
@@ -130,7 +136,10 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
 
 
 def accepted(docs: DataFrame, profiles: Profiles, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose language can be told: not ``und`` and with at least ``min_score``. All columns come back."""
+    """The rows of ``docs`` whose language can be told: not ``und`` and with at least ``min_score``.
+
+    All columns come back, whatever their names; rows are taken one by one, and an empty table stays empty.
+    """
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

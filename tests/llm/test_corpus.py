@@ -4,6 +4,7 @@ import itertools
 import random
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -345,6 +346,50 @@ def test_language_id(spark):
     assert language_id.predict(df, none).filter("lang_pred <> 'und'").isEmpty()
 
 
+def test_language_id_equals_brute_force(spark):
+    rng = np.random.default_rng(11)
+    words = {"a": ["the", "then", "other", "of"], "b": ["der", "dort", "oder", "öde"], "c": ["les", "lot", "sel", "été"]}
+    rows = [(n, lang, " 7-".join(rng.choice(words[lang], rng.integers(1, 9)))) for n, lang in enumerate(rng.choice(list("abc"), 60).tolist())]
+    rows += [(None, "a", "the the"), (3, "a", "THE oder"), (3, "a", "THE oder"), (70, None, "der été"), (71, "b", None), (72, "c", ""), (73, None, "42")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, lang string, text string, _hash string, _place int")
+    size, sample = 12, 8
+
+    def grams(text):
+        found = Counter()
+        for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            marked = "\0" + word + "\0"
+            for width in (1, 2, 3):
+                found.update(g for g in (marked[i : i + width] for i in range(len(marked) - width + 1)) if g.strip("\0") and "\0" not in g[1:-1])
+        merged = Counter()  # a mark in front has no weight in a code
+        for g, n in found.items():
+            merged[sum(ord(c) << 21 * k for k, c in enumerate(reversed(g)))] += n
+        return merged
+
+    def ranked(counts):
+        return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size]]
+
+    hashes = {r.doc_id: r.h for r in df.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    profile = {}
+    for lang in "abc":
+        of = sorted((r for r in rows if r[1] == lang and r[2] is not None), key=lambda r: (hashes[r[0]], r[0] or 0))
+        ids = {r[0] for r in of[:sample]} - {None}
+        profile[lang] = ranked(sum((grams(r[2]) for r in of if r[0] in ids), Counter()))
+
+    def label(text):
+        top = ranked(grams(text))
+        if not top:
+            return "und", 0.0
+        far = {x: sum(abs(p.index(g) - k) if g in p else size for k, g in enumerate(top)) for x, p in profile.items()}
+        best = min(far, key=lambda x: (far[x], x))
+        return best, pytest.approx(1 - far[best] / (size * len(top)))
+
+    got = language_id.predict(df, language_id.fit(df, size, sample)).collect()
+    want = {(r[0], i): label(r[2]) for i, r in enumerate(rows)}
+    assert len(got) == len(rows)
+    for (doc_id, _), expected in want.items():
+        assert any(r.doc_id == doc_id and (r.lang_pred, r.score) == expected for r in got), (doc_id, expected)
+
+
 def test_language_id_counts_long_texts_in_pieces(monkeypatch):
     text = "Ab, cé 1x abc " * 50
     whole = dict(zip(*map(np.ndarray.tolist, language_id.count_grams(text)), strict=True))
