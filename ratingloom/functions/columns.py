@@ -73,4 +73,5 @@ def vector_agg(fn: Callable[[Column], Column], element: Callable[[int], Column],
 def initial_vector(id_col: str | Column, k: int, seed: int, scale: float = 0.2, low: float = -0.5) -> Column:
     """Reproducible starting factors: scale * (hash(id, factor, seed) + low)."""
     id_col = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.array(*[F.lit(scale) * (mix_unit(id_col, F.lit(f), seed) + F.lit(low)) for f in range(k)])
+    places = F.sequence(F.lit(0), F.lit(k - 1))
+    return F.transform(places, lambda f: F.lit(scale) * (mix_unit(id_col, f, seed) + F.lit(low)))

@@ -14,7 +14,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.functions.columns import mix_unit
+from ratingloom.functions.columns import dot, mix_unit
+from ratingloom.operators import routed
 from ratingloom.session import materialise
 from ratingloom.skew import hot_keys, salted_join
 
@@ -63,6 +64,7 @@ class Factors:
     item: Layout
     mean: float = 0.0
     history: list[dict] = field(default_factory=list)
+    snapshots: DataFrame | None = None
 
     def users(self) -> DataFrame:
         return self.state.filter(F.col("side") == USER).select(F.col("id").alias("user_id"), F.col("v").alias("uv"))
@@ -85,13 +87,16 @@ def start(
     """First state: scale * (hash + low) per entry, zero for bias slices."""
 
     def side(ids: DataFrame, key: str, layout: Layout, name: str, offset: int) -> DataFrame:
-        entries = []
+        def drawn(f: Column) -> Column:
+            return F.lit(scale) * (mix_unit(F.col(key), f, seed + offset) + F.lit(low))
+
+        slices = []
         for slice_name, width in layout.widths.items():
             at = layout.starts[slice_name]
-            for f in range(width):
-                drawn = F.lit(scale) * (mix_unit(F.col(key), F.lit(at + f), seed + offset) + F.lit(low))
-                entries.append(F.lit(0.0) if slice_name in zero else drawn)
-        vec = F.array(*entries) if entries else F.array().cast("array<double>")
+            entry = (lambda f: F.lit(0.0)) if slice_name in zero else drawn
+            if width:
+                slices.append(F.transform(F.sequence(F.lit(at), F.lit(at + width - 1)), entry))
+        vec = F.concat(*slices) if slices else F.array().cast("array<double>")
         return ids.select(F.lit(name).alias("side"), F.col(key).alias("id"), vec.alias("v"))
 
     users = side(ratings.select("user_id").distinct(), "user_id", user, USER, 0)
@@ -235,6 +240,25 @@ def _run(
     return model
 
 
+def _routed_run(
+    model: RatingModel,
+    kernel: routed.Kernel,
+    iterations: int,
+    lr: float,
+    reg: dict[str, float],
+    floor_zero: bool,
+    track: bool,
+    tol: float,
+    keep: Sequence[int],
+) -> RatingModel:
+    """Trains over routed blocks; users and items have vectors of one width."""
+    f = model.factors
+    blocks = routed.Blocks.of(model.joiner.ratings)
+    done = routed.train(blocks, f.state, f.user.width, kernel, iterations, lr, reg, floor_zero, track, tol, keep)
+    model.factors = replace(f, state=done.state, history=done.history, snapshots=done.snapshots)
+    return model
+
+
 def _mean(ratings: DataFrame) -> float:
     return float(ratings.agg(F.avg("rating")).first()[0] or 0.0)
 
@@ -254,10 +278,13 @@ def fit_funk_svd(
     non_negative: bool = False,
     scale: float | None = None,
     track: bool = False,
+    tol: float = 0.0,
+    keep: Sequence[int] = (),
 ) -> RatingModel:
     """Squared error with L2 on both factors; with ``non_negative`` the factors are clipped at 0 (NMF).
 
-    Separate lambdas make it probabilistic matrix factorisation.
+    Separate lambdas make it probabilistic matrix factorisation. ``tol`` ends the training at rest, ``keep`` names
+    the iterations whose factors stay in ``factors.snapshots``.
     """
     joiner = Joiner.of(ratings)
     ratings = joiner.ratings
@@ -265,21 +292,8 @@ def fit_funk_svd(
     scale = scale if scale is not None else (1.0 if non_negative else 2.0 / k)
     state = start(ratings, user, item, seed, scale, 0.0 if non_negative else -0.5)
     model = RatingModel(Factors(state, user, item), joiner, _plain_prediction)
-
-    def step(m: RatingModel) -> Factors:
-        f = m.factors
-        rows = m.joined(m.joiner.ratings).withColumn("err", F.col("rating") - m.predict(f))
-        p, q = f.user.vector("uv", "p"), f.item.vector("iv", "q")
-        sums = gradient_sums(
-            rows,
-            [
-                (USER, F.col("user_id"), [F.col("err") * x for x in q], None),
-                (ITEM, F.col("item_id"), [F.col("err") * x for x in p], None),
-            ],
-        )
-        return apply_step(f, sums, lr, {USER: {"p": lambda_p}, ITEM: {"q": lambda_q}}, non_negative)
-
-    return _run(model, step, iterations, track)
+    kernel, reg = routed.squared_error(k), {USER: lambda_p, ITEM: lambda_q}
+    return _routed_run(model, kernel, iterations, lr, reg, non_negative, track, tol, keep)
 
 
 def fit_nmf(ratings: DataFrame, k: int, iterations: int = 50, lr: float = 0.005, lam: float = 0.02, **kw) -> RatingModel:
@@ -292,6 +306,33 @@ def fit_pmf(
     return fit_funk_svd(ratings, k, iterations, lr, lambda_u, lambda_v, **kw)
 
 
+def pmf_loss(model: RatingModel, rows: DataFrame, lambda_u: float = 0.1, lambda_v: float = 0.1) -> DataFrame:
+    """Half the squared error over ``rows`` plus half the weighted squared lengths of all users and of all items.
+
+    Rows with an id the model does not know are left out; without any rows the error is 0.
+    """
+    f = model.factors
+    length = F.aggregate(F.col("v"), F.lit(0.0), lambda total, x: total + x * x)
+    weight = F.when(F.col("side") == USER, F.lit(lambda_u)).otherwise(F.lit(lambda_v))
+    prior = f.state.filter(F.col("side").isin(USER, ITEM)).agg(F.coalesce(F.sum(weight * length), F.lit(0.0)).alias("prior"))
+    err = F.col("rating") - model.predict(f)
+    error = model.joined(rows).agg(F.coalesce(F.sum(err * err), F.lit(0.0)).alias("error"))
+    return error.join(F.broadcast(prior)).select(((F.col("error") + F.col("prior")) / 2).alias("loss"))
+
+
+def error_curve(model: RatingModel, rows: DataFrame) -> DataFrame:
+    """iteration, n, rmse over ``rows`` for every kept state of a plain p.q model (``keep`` at training)."""
+    kept = model.factors.snapshots
+
+    def side(name: str, key: str, vec: str) -> DataFrame:
+        return kept.filter(F.col("side") == name).select("iteration", F.col("id").alias(key), F.col("v").alias(vec))
+
+    met = rows.select("user_id", "item_id", "rating").join(side(USER, "user_id", "p"), "user_id")
+    met = met.join(side(ITEM, "item_id", "q"), ["item_id", "iteration"])
+    err = F.col("rating") - dot("p", "q")
+    return met.groupBy("iteration").agg(F.count("*").alias("n"), F.sqrt(F.avg(err * err)).alias("rmse"))
+
+
 def _biased_prediction(f: Factors) -> Column:
     return F.lit(f.mean) + f.user.get("uv", "b") + f.item.get("iv", "b") + _plain_prediction(f)
 
@@ -304,6 +345,8 @@ def fit_biased_mf(
     lam: float = 0.02,
     seed: int = 0,
     track: bool = False,
+    tol: float = 0.0,
+    keep: Sequence[int] = (),
 ) -> RatingModel:
     """mean + b_u + b_i + p.q with one L2 weight."""
     joiner = Joiner.of(ratings)
@@ -312,20 +355,8 @@ def fit_biased_mf(
     factors = Factors(start(ratings, user, item, seed, 2.0 / k, -0.5), user, item, _mean(ratings))
     model = RatingModel(factors, joiner, _biased_prediction)
 
-    def step(m: RatingModel) -> Factors:
-        f = m.factors
-        rows = m.joined(m.joiner.ratings).withColumn("err", F.col("rating") - m.predict(f))
-        err = F.col("err")
-        sums = gradient_sums(
-            rows,
-            [
-                (USER, F.col("user_id"), [err * x for x in f.item.vector("iv", "q")] + [err], None),
-                (ITEM, F.col("item_id"), [err * x for x in f.user.vector("uv", "p")] + [err], None),
-            ],
-        )
-        return apply_step(f, sums, lr, {USER: {"p": lam, "b": lam}, ITEM: {"q": lam, "b": lam}})
-
-    return _run(model, step, iterations, track)
+    kernel = routed.squared_error(k, biased=True, mean=factors.mean)
+    return _routed_run(model, kernel, iterations, lr, {USER: lam, ITEM: lam}, False, track, tol, keep)
 
 
 def implicit_profile(joiner: Joiner, f: Factors) -> DataFrame:

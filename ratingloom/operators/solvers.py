@@ -13,121 +13,8 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions.columns import initial_vector
 from ratingloom.operators.gradient import Joiner, inner
+from ratingloom.operators.routed import Blocks, least_squares, vectors
 from ratingloom.session import materialise
-from ratingloom.skew import salt_count
-
-STEP_ROWS = 4096
-
-
-def _normal_sums(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Streams of (ids, statistics) over rows sorted by id: A (k*k), b, sum v, sum wb, n.
-
-    Only the statistics of the last id are carried on, whatever the number of its rows.
-    """
-    last_id, last = None, None
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
-        wa = batch.column(2).to_numpy(zero_copy_only=False)
-        wb = batch.column(3).to_numpy(zero_copy_only=False)
-        for at in range(0, ids.size, STEP_ROWS):
-            part = slice(at, at + STEP_ROWS)
-            v, i = flat[part], ids[part]
-            outer = (v[:, :, None] * v[:, None, :]).reshape(len(v), k * k) * wa[part][:, None]
-            rows = np.concatenate([outer, v * wb[part][:, None], v, wb[part][:, None], np.ones((len(v), 1))], axis=1)
-            heads = np.flatnonzero(np.concatenate(([True], i[1:] != i[:-1])))
-            names, sums = i[heads], np.add.reduceat(rows, heads, axis=0)
-            if last_id is not None:
-                if names[0] == last_id:
-                    sums[0] += last
-                else:
-                    yield np.array([last_id]), last[None, :]
-            if names.size > 1:
-                yield names[:-1], sums[:-1]
-            last_id, last = names[-1], sums[-1]
-    if last_id is not None:
-        yield np.array([last_id]), last[None, :]
-
-
-def _merged_sums(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Adds up the partial statistics of an id (at most one row per salt)."""
-    last_id, last = None, None
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-        if ids.size == 0:
-            continue
-        heads = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-        names, sums = ids[heads], np.add.reduceat(rows, heads, axis=0)
-        if last_id is not None:
-            if names[0] == last_id:
-                sums[0] += last
-            else:
-                yield np.array([last_id]), last[None, :]
-        if names.size > 1:
-            yield names[:-1], sums[:-1]
-        last_id, last = names[-1], sums[-1]
-    if last_id is not None:
-        yield np.array([last_id]), last[None, :]
-
-
-def _solved(stats: Iterator[tuple[np.ndarray, np.ndarray]], k: int, base: np.ndarray, lambda_bias: float):
-    for ids, rows in stats:
-        a = rows[:, : k * k].reshape(-1, k, k) + base
-        b = rows[:, k * k : k * k + k]
-        v_sum = rows[:, k * k + k : k * k + 2 * k]
-        x = np.linalg.solve(a, b[:, :, None])[:, :, 0]
-        bias = (rows[:, -2] - (x * v_sum).sum(axis=1)) / (rows[:, -1] + lambda_bias)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), _lists(x), pa.array(bias, pa.float64())], names=["id", "f", "b"]
-        )
-
-
-def _lists(rows: np.ndarray) -> pa.Array:
-    offsets = np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows).ravel()))
-
-
-def solve_normal(
-    rows: DataFrame, k: int, lam: float, hot: list, spread: str, base: np.ndarray | None = None, lambda_bias: float = 0.0
-) -> DataFrame:
-    """Per id: f = (base + lam I + sum wa v v')^-1 sum wb v, b = (sum wb - f . sum v) / (n + lambda_bias).
-
-    ``rows``: id, v, wa, wb and the column ``spread``. Rows are sorted by id and streamed, so a group is
-    never held in memory; the rows of a hot id are spread over salts and its partial sums merged.
-    """
-    fixed = (np.zeros((k, k)) if base is None else base) + lam * np.eye(k)
-    width = k * k + 2 * k + 2
-    out = "id long, f array<double>, b double"
-
-    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _solved(_normal_sums(k, batches), k, fixed, lambda_bias)
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, sums in _normal_sums(k, batches):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), _lists(sums)], names=["id", "s"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _solved(_merged_sums(batches, width), k, fixed, lambda_bias)
-
-    wanted = rows.select(
-        F.col("id").cast("long").alias("id"), "v", F.col("wa").cast("double").alias("wa"), F.col("wb").cast("double").alias("wb"), spread
-    )
-    if not hot:
-        return wanted.drop(spread).repartition("id").sortWithinPartitions("id").mapInArrow(solve, out)
-    salt = F.when(
-        F.col("id").isin(hot), F.pmod(F.xxhash64(spread), F.lit(salt_count(rows.sparkSession)))
-    ).otherwise(F.lit(0))
-    return (
-        wanted.withColumn("_salt", salt)
-        .repartition("id", "_salt")
-        .sortWithinPartitions("id")
-        .select("id", "v", "wa", "wb")
-        .mapInArrow(partial, "id long, s array<double>")
-        .repartition("id")
-        .sortWithinPartitions("id")
-        .mapInArrow(merge, out)
-    )
 
 
 @dataclass
@@ -193,16 +80,17 @@ def fit_als(
     mean = float(ratings.agg(F.avg("rating")).first()[0] or 0.0) if biases else 0.0
     items = _first_items(ratings, k, seed)
     users = None
+    by_user, by_item = Blocks.of(ratings), Blocks.of(ratings, "item_id", "user_id")
     model = LinearFactors(None, items, joiner, mean, k, [])
     for number in range(1, iterations + 1):
         old = users, items
         users = materialise(
-            _half_step(joiner, items, "item_id", "q", "bi", "user_id", k, lam, mean, biases, lambda_biases, alpha)
+            _half_step(by_user, items, "item_id", "q", "bi", k, lam, mean, biases, lambda_biases, alpha)
             .select(F.col("id").alias("user_id"), F.col("f").alias("p"), F.col("b").alias("bu")),
             "users",
         )
         items = materialise(
-            _half_step(joiner, users, "user_id", "p", "bu", "item_id", k, lam, mean, biases, lambda_biases, alpha)
+            _half_step(by_item, users, "user_id", "p", "bu", k, lam, mean, biases, lambda_biases, alpha)
             .select(F.col("id").alias("item_id"), F.col("f").alias("q"), F.col("b").alias("bi")),
             "items",
         )
@@ -216,23 +104,16 @@ def fit_als(
     return model
 
 
-def _half_step(joiner, other, other_key, vec, other_bias, key, k, lam, mean, biases, lambda_biases, alpha):
-    if other_key == "item_id":
-        rows, hot, spread = joiner.with_items(joiner.ratings, other), joiner.hot_users, "item_id"
-    else:
-        rows, hot, spread = joiner.with_users(joiner.ratings, other), joiner.hot_items, "user_id"
-    base = None
-    wa: Column = F.lit(1.0)
-    wb: Column = F.col("rating")
-    if alpha is not None:
-        base = gram(other, vec, k)
-        wa, wb = F.lit(alpha) * F.col("rating"), F.lit(1.0) + F.lit(alpha) * F.col("rating")
-    elif biases:
-        wb = F.col("rating") - F.lit(mean) - F.col(other_bias)
-    solved = solve_normal(
-        rows.select(F.col(key).alias("id"), F.col(vec).alias("v"), wa.alias("wa"), wb.alias("wb"), spread),
-        k, lam, hot, spread, base, lambda_biases,
-    )
+def _half_step(blocks, other, other_key, vec, other_bias, k, lam, mean, biases, lambda_biases, alpha):
+    base = gram(other, vec, k) if alpha is not None else None
+
+    def weights(rating: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray | None, np.ndarray]:
+        if alpha is not None:
+            return alpha * rating, 1.0 + alpha * rating
+        return None, rating - mean - bias if biases else rating
+
+    rows = other.select(F.col(other_key).alias("id"), F.concat(vec, F.array(other_bias)).alias("v"))
+    solved = least_squares(blocks, rows, k, lam, weights, base, lambda_biases)
     return solved if biases else solved.withColumn("b", F.lit(0.0))
 
 
@@ -294,7 +175,7 @@ def _rotated(table: DataFrame, key: str, vec: str, matrix: np.ndarray) -> DataFr
             if batch.num_rows == 0:
                 continue
             rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) @ matrix
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(rows)], names=[key, vec])
+            yield pa.RecordBatch.from_arrays([batch.column(0), vectors(rows)], names=[key, vec])
 
     return table.select(key, vec).mapInArrow(turn, f"{key} long, {vec} array<double>")
 

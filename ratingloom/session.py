@@ -55,8 +55,12 @@ def _scratch_root(spark: SparkSession) -> str:
 
 def clear_scratch(spark: SparkSession) -> bool:
     """Delete this application's intermediate tables; call it once the results are saved elsewhere."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return delete_path(spark, _scratch_root(spark))
+
+
+def delete_path(spark: SparkSession, name: str) -> bool:
+    """Delete a folder this application wrote, on whatever file system it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
     files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(files.delete(path, True))
 

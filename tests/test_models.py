@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratingloom.operators import embeddings, gradient, linear, ranking, recommend, rules, solvers
+from ratingloom.operators import embeddings, gradient, linear, ranking, recommend, routed, rules, solvers
 from tests.conftest import cells, random_matrix, to_ratings
 
 
@@ -89,16 +89,13 @@ def test_als_matches_numpy(ratings, matrix):
         assert score == pytest.approx(p[u] @ q[i], abs=1e-8)
 
 
-def test_hot_ids_get_the_same_solution(spark, ratings):
-    items = solvers._first_items(ratings, 2, 0)
-    rows = ratings.join(items, "item_id").select(
-        F.col("user_id").alias("id"), F.col("q").alias("v"), F.lit(1.0).alias("wa"), F.col("rating").alias("wb"), "item_id"
-    )
-    plain = cells(solvers.solve_normal(rows, 2, 0.1, [], "item_id"), "id", "f")
-    salted = cells(solvers.solve_normal(rows, 2, 0.1, [0, 3, 7], "item_id"), "id", "f")
-    assert plain.keys() == salted.keys()
-    for key in plain:
-        assert salted[key] == pytest.approx(plain[key])
+@pytest.mark.parametrize("how", [{}, {"biases": True}, {"alpha": 40.0}])
+def test_hot_ids_get_the_same_solution(ratings, monkeypatch, how):
+    plain = cells(solvers.fit_als(ratings, 2, 2, 0.1, **how).score(ratings), "user_id", "item_id", "score")
+    monkeypatch.setattr(routed, "BLOCK_ROWS", 4)  # most ids lie in several blocks
+    monkeypatch.setattr(routed, "SOLVE_ROWS", 3)
+    split = cells(solvers.fit_als(ratings, 2, 2, 0.1, **how).score(ratings), "user_id", "item_id", "score")
+    assert split == pytest.approx(plain)
 
 
 def test_als_objective_falls(ratings):
