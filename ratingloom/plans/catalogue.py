@@ -1,3 +1,13 @@
 """Imports every module that registers queries."""
 
-from ratingloom.plans import core, exchange, insight, linearmodels, models, patterns, synthetic, vectors  # noqa: F401
+from ratingloom.plans import (  # noqa: F401
+    core,
+    exchange,
+    insight,
+    linearmodels,
+    models,
+    patterns,
+    synthetic,
+    trained,
+    vectors,
+)

@@ -278,6 +278,14 @@ def _(spark, sf):
     return solvers.implicit_loss(model, 40.0, 0.1).select(rounded("loss", 3).alias("loss"))
 
 
+@query("x4_pmf_loss", st.rated_mf(sp.EVENTS, STEPS, LR, 0.1, 0.2, 1.0, -0.5) + f""" SELECT {r6(f'''(sum((rating - ({_PQ})) ^ 2)
+  + 0.1 * (SELECT sum(p1 * p1 + p2 * p2) FROM u{STEPS}) + 0.2 * (SELECT sum(q1 * q1 + q2 * q2) FROM i{STEPS})) / 2''', 4)} AS loss FROM r {_BOTH}""")
+def _(spark, sf):
+    ratings = _events(spark, sf)
+    model = gradient.fit_pmf(ratings, 2, STEPS, LR, 0.1, 0.2)
+    return gradient.pmf_loss(model, ratings, 0.1, 0.2).select(rounded("loss", 4).alias("loss"))
+
+
 @query("x4_fism_loss", st.fism(sp.EVENTS, STEPS, LR, LAM) + _FISM_SCORE + f""" SELECT {r6(f'''sum((1 - (bi + c * ((s1 - p1) * q1 + (s2 - p2) * q2))) ^ 2)
   + 0.01 * (SELECT sum(q1 * q1 + q2 * q2 + bi * bi + p1 * p1 + p2 * p2) FROM i{STEPS})''', 4)} AS loss
   FROM r JOIN i{STEPS} USING (item_id) JOIN s USING (user_id) JOIN nu USING (user_id)""")
