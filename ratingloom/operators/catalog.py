@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ratingloom.operators import gradient, linear, neighbors, ranking, rules, solvers
+from ratingloom.operators import gradient, linear, neighbors, profiles, ranking, rules, solvers
 from ratingloom.operators.prepare import binarise
 from ratingloom.operators.recommend import score_blocks, top_n
 from ratingloom.session import materialise
@@ -204,12 +204,12 @@ def _click(kind):
 
 
 def _fism(ratings, k, iterations, learning_rate, lambda_reg, alpha):
-    model = gradient.fit_fism(ratings, int(k), int(iterations), learning_rate, lambda_reg, alpha)
+    model = profiles.fit_fism(ratings, int(k), int(iterations), learning_rate, lambda_reg, alpha)
     from pyspark.sql import functions as F
 
     f = model.factors
-    sums = gradient.history_sum(model.joiner, f)
-    norm = gradient.fism_norm(F.col("n_u"), alpha)
+    sums = model.sums()
+    norm = profiles.fism_norm(F.col("n_u"), alpha)
     users = sums.select("user_id", F.concat(F.transform("s", lambda x: x * norm), F.array(F.lit(1.0))).alias("p"))
     items = f.items().select("item_id", F.concat(f.item.slice("iv", "q"), F.array(f.item.get("iv", "b"))).alias("q"))
     return _from_blocks(model.score, lambda: (users, items), ratings)
@@ -303,14 +303,14 @@ ALGORITHMS: dict[str, Algorithm] = {
         ),
         Algorithm(
             "SVD++", False, "matrix_factorization",
-            lambda ratings, **p: _scored(gradient.fit_svdpp, ratings, p),
+            lambda ratings, **p: _scored(profiles.fit_svdpp, ratings, p),
             {"k": Range(2, 200, 1, 100), "iterations": Range(5, 100, 1, 26), "learning_rate": _rate(0.0884),
              "lambda_p": _l2(0.0457), "lambda_q": _l2(0.00998), "lambda_y": _l2(0.35),
              "lambda_bu": Range(0.0, 20.0, 0.01, 8.23), "lambda_bi": Range(0.0, 20.0, 0.01, 12.9)},
         ),
         Algorithm(
             "ASVD", False, "matrix_factorization",
-            lambda ratings, **p: _scored(gradient.fit_asvd, ratings, p),
+            lambda ratings, **p: _scored(profiles.fit_asvd, ratings, p),
             {"k": Range(2, 100, 1, 20), "iterations": Range(5, 100, 1, 20), "learning_rate": _rate(0.005),
              "lambda_q": _l2(0.02), "lambda_x": _l2(0.02), "lambda_y": _l2(0.02), "lambda_bu": _l2(0.02), "lambda_bi": _l2(0.02)},
         ),

@@ -1,4 +1,4 @@
-"""Factor models trained by gradient steps over joined tables.
+"""Factor models trained by gradient steps (T1, M3, M5, M6, M8, X3-X5); helpers of the ranking models.
 
 One iteration is one pass: ratings meet the parameter rows of their user and item, every rating yields a
 gradient row per side, and the rows are summed per id (map-side combined) and applied. Gradients are
@@ -223,21 +223,19 @@ class RatingModel:
         )
 
 
-def _run(
-    model: RatingModel,
-    step: Callable[[RatingModel], Factors],
-    iterations: int,
-    track: bool,
-) -> RatingModel:
+def run_iterations(
+    factors: Factors, step: Callable[[Factors], Factors], iterations: int, track: bool = False, model: RatingModel | None = None
+) -> Factors:
+    """Applies ``step`` to the factors again and again; ``track`` records the error of ``model`` and the changes."""
     for number in range(1, iterations + 1):
-        old = model.factors.state
-        model.factors = step(model)
+        old = factors.state
+        factors = step(factors)
         if track:
-            changes = {r["side"]: r["change"] for r in change_norms(old, model.factors.state).collect()}
-            rmse = model.train_rmse().first()["rmse"]
+            changes = {r["side"]: r["change"] for r in change_norms(old, factors.state).collect()}
+            rmse = replace(model, factors=factors).train_rmse().first()["rmse"]
             entry = {"iteration": number, "rmse": rmse, "p_change": changes.get(USER), "q_change": changes.get(ITEM)}
-            model.factors.history.append(entry)
-    return model
+            factors.history.append(entry)
+    return factors
 
 
 def _routed_run(
@@ -369,16 +367,6 @@ def implicit_profile(joiner: Joiner, f: Factors) -> DataFrame:
     )
 
 
-def _profiled(f: Factors) -> list[Column]:
-    return [p + F.col("z")[x] for x, p in enumerate(f.user.vector("uv", "p"))]
-
-
-def _svdpp_prediction(f: Factors) -> Column:
-    return (
-        F.lit(f.mean) + f.user.get("uv", "b") + f.item.get("iv", "b") + inner(_profiled(f), f.item.vector("iv", "q"))
-    )
-
-
 def history_gradients(
     joiner: Joiner, user_sums: DataFrame, k: int, weights: Sequence[Callable[[], Column]], sums: DataFrame, at: Sequence[int]
 ) -> DataFrame:
@@ -398,230 +386,3 @@ def history_gradients(
         placed.append(F.col("g")[f] if slot is None else F.col("h")[slot * k + f - at[slot]] * F.col("n"))
     items = sums.filter(F.col("side") == ITEM).join(extra, "id").select("side", "id", "n", F.array(*placed).alias("g"))
     return sums.filter(F.col("side") != ITEM).unionByName(items)
-
-
-def fit_svdpp(
-    ratings: DataFrame,
-    k: int = 2,
-    iterations: int = 20,
-    lr: float = 0.005,
-    lambda_p: float = 0.02,
-    lambda_q: float = 0.02,
-    lambda_y: float = 0.02,
-    lambda_bu: float = 0.02,
-    lambda_bi: float = 0.02,
-    seed: int = 0,
-    track: bool = False,
-) -> RatingModel:
-    """mean + b_u + b_i + q_i . (p_u + |N|^-1/2 sum y_j)."""
-    joiner = Joiner.of(ratings)
-    ratings = joiner.ratings
-    user, item = Layout(p=k, b=1), Layout(q=k, b=1, y=k)
-    factors = Factors(start(ratings, user, item, seed, 2.0 / k, -0.5), user, item, _mean(ratings))
-    model = RatingModel(factors, joiner, _svdpp_prediction, implicit_profile)
-
-    def step(m: RatingModel) -> Factors:
-        f = m.factors
-        rows = m.joined(m.joiner.ratings).withColumn("err", F.col("rating") - m.predict(f))
-        err = F.col("err")
-        sums = materialise(
-            gradient_sums(
-                rows,
-                [
-                    (USER, F.col("user_id"), [err * x for x in f.item.vector("iv", "q")] + [err], None),
-                    (ITEM, F.col("item_id"), [err * x for x in _profiled(f)] + [err], None),
-                ],
-            ),
-            "gradients",
-        )
-        user_sums = sums.filter(F.col("side") == USER).select(
-            F.col("id").alias("user_id"), F.col("n").alias("n_u"), F.col("g").alias("gu")
-        )
-        full = history_gradients(
-            m.joiner, user_sums, k, [lambda: F.pow(F.col("n_u"), F.lit(-0.5))], sums, [f.item.starts["y"]]
-        )
-        reg = {USER: {"p": lambda_p, "b": lambda_bu}, ITEM: {"q": lambda_q, "b": lambda_bi, "y": lambda_y}}
-        return apply_step(f, full, lr, reg)
-
-    return _run(model, step, iterations, track)
-
-
-def asymmetric_profile(joiner: Joiner, f: Factors) -> DataFrame:
-    """user_id, z = |R|^-1/2 sum (r - b_uj) x_j + |N|^-1/2 sum y_j."""
-    k = f.item.widths["y"]
-    rows = joiner.with_both(joiner.ratings.select("user_id", "item_id", "rating"), f)
-    gap = F.col("rating") - (F.lit(f.mean) + f.user.get("uv", "b") + f.item.get("iv", "b"))
-    x, y = f.item.vector("iv", "x"), f.item.vector("iv", "y")
-    return (
-        rows.withColumn("_gap", gap)
-        .groupBy("user_id")
-        .agg(
-            F.array(*[F.sum(F.col("_gap") * x[c] + y[c]) / F.sqrt(F.count("*")) for c in range(k)]).alias("z"),
-            F.first(f.user.get("uv", "b")).alias("b_u"),
-        )
-    )
-
-
-def _asvd_prediction(f: Factors) -> Column:
-    z = [F.col("z")[c] for c in range(f.item.widths["q"])]
-    return F.lit(f.mean) + f.user.get("uv", "b") + f.item.get("iv", "b") + inner(z, f.item.vector("iv", "q"))
-
-
-def fit_asvd(
-    ratings: DataFrame,
-    k: int = 20,
-    iterations: int = 20,
-    lr: float = 0.005,
-    lambda_q: float = 0.02,
-    lambda_x: float = 0.02,
-    lambda_y: float = 0.02,
-    lambda_bu: float = 0.02,
-    lambda_bi: float = 0.02,
-    seed: int = 0,
-    track: bool = False,
-) -> RatingModel:
-    """No user factor: the profile comes from the residuals and the items of the history."""
-    joiner = Joiner.of(ratings)
-    ratings = joiner.ratings
-    user, item = Layout(b=1), Layout(q=k, b=1, x=k, y=k)
-    factors = Factors(start(ratings, user, item, seed, 2.0 / k, -0.5), user, item, _mean(ratings))
-    model = RatingModel(factors, joiner, _asvd_prediction, asymmetric_profile)
-
-    def step(m: RatingModel) -> Factors:
-        f = m.factors
-        rows = m.joined(m.joiner.ratings).withColumn("err", F.col("rating") - m.predict(f))
-        err = F.col("err")
-        z = [F.col("z")[c] for c in range(k)]
-        # the user's gradient carries sum(err) for the bias and, behind it, sum(err * q) for the second pass
-        sums = materialise(
-            gradient_sums(
-                rows,
-                [
-                    (USER, F.col("user_id"), [err] + [err * x for x in f.item.vector("iv", "q")], None),
-                    (ITEM, F.col("item_id"), [err * x for x in z] + [err], None),
-                ],
-            ),
-            "gradients",
-        )
-        user_sums = (
-            sums.filter(F.col("side") == USER)
-            .select(F.col("id").alias("user_id"), F.col("n").alias("n_u"), F.slice("g", 2, k).alias("gu"))
-            .join(f.users(), "user_id")
-        )
-        keyed = Joiner(
-            m.joiner.with_items(m.joiner.ratings, f.items()), m.joiner.hot_items, m.joiner.hot_users
-        )
-        root = lambda: F.pow(F.col("n_u"), F.lit(-0.5))
-        gap = lambda: root() * (
-            F.col("rating") - (F.lit(f.mean) + f.user.get("uv", "b") + f.item.get("iv", "b"))
-        )
-        full = history_gradients(keyed, user_sums, k, [gap, root], sums, [f.item.starts["x"], f.item.starts["y"]])
-        reg = {USER: {"b": lambda_bu}, ITEM: {"q": lambda_q, "b": lambda_bi, "x": lambda_x, "y": lambda_y}}
-        return apply_step(f, full, lr, reg)
-
-    return _run(model, step, iterations, track)
-
-
-# ---- FISM --------------------------------------------------------------------------------------
-
-
-def history_sum(joiner: Joiner, f: Factors) -> DataFrame:
-    """user_id, s = sum of the p vectors of the user's items, n_u."""
-    p = f.item.vector("iv", "p")
-    rows = joiner.with_items(joiner.ratings.select("user_id", "item_id"), f.items())
-    return rows.groupBy("user_id").agg(F.array(*[F.sum(x) for x in p]).alias("s"), F.count("*").alias("n_u"))
-
-
-def fism_norm(n: Column, alpha: float) -> Column:
-    return F.when(n > 0, F.pow(n.cast("double"), F.lit(-alpha))).otherwise(F.lit(0.0))
-
-
-def _fism_seen_prediction(f: Factors, alpha: float) -> Column:
-    others = [F.col("s")[c] - x for c, x in enumerate(f.item.vector("iv", "p"))]
-    return f.item.get("iv", "b") + fism_norm(F.col("n_u") - 1, alpha) * inner(others, f.item.vector("iv", "q"))
-
-
-@dataclass
-class HistoryModel:
-    """Item-only model: an item's score comes from the sum of the history's p vectors."""
-
-    factors: Factors
-    joiner: Joiner
-    alpha: float
-
-    def seen_rows(self) -> DataFrame:
-        met = self.joiner.with_items(self.joiner.ratings.select("user_id", "item_id"), self.factors.items())
-        return self.joiner.with_users(met, history_sum(self.joiner, self.factors))
-
-    def score(self, pairs: DataFrame) -> DataFrame:
-        """Own vector taken out of the sum for items of the history, whole sum for others."""
-        f = self.factors
-        marked = pairs.select("user_id", "item_id").join(
-            self.joiner.ratings.select("user_id", "item_id", F.lit(True).alias("_seen")), ["user_id", "item_id"], "left"
-        )
-        met = self.joiner.with_users(self.joiner.with_items(marked, f.items()), history_sum(self.joiner, f))
-        whole = [F.col("s")[c] for c in range(f.item.widths["p"])]
-        new = f.item.get("iv", "b") + fism_norm(F.col("n_u"), self.alpha) * inner(whole, f.item.vector("iv", "q"))
-        value = F.when(F.col("_seen"), _fism_seen_prediction(f, self.alpha)).otherwise(new)
-        return met.select("user_id", "item_id", value.alias("score"))
-
-    def similarity(self, pairs: DataFrame) -> DataFrame:
-        """Learned similarity p_i . q_j of given (item_i, item_j) pairs."""
-        f = self.factors
-        left = f.items().select(F.col("item_id").alias("item_i"), f.item.slice("iv", "p").alias("_p"))
-        right = f.items().select(F.col("item_id").alias("item_j"), f.item.slice("iv", "q").alias("_q"))
-        k = f.item.widths["p"]
-        value = inner([F.col("_p")[c] for c in range(k)], [F.col("_q")[c] for c in range(k)])
-        return pairs.join(left, "item_i").join(right, "item_j").select("item_i", "item_j", value.alias("sim"))
-
-    def loss(self, lam: float) -> DataFrame:
-        """Sum of squared errors on the positives plus lambda/2 times the squared parameters."""
-        err = F.lit(1.0) - _fism_seen_prediction(self.factors, self.alpha)
-        fit = self.seen_rows().agg(F.sum(err * err).alias("fit"))
-        size = self.factors.items().agg(
-            F.sum(F.aggregate("iv", F.lit(0.0), lambda a, x: a + x * x)).alias("size")
-        )
-        return fit.select((F.col("fit") + F.lit(0.5 * lam) * size.scalar()).alias("loss"))
-
-
-def fit_fism(
-    ratings: DataFrame,
-    k: int,
-    iterations: int = 100,
-    lr: float = 0.01,
-    lam: float = 0.01,
-    alpha: float = 0.5,
-    seed: int = 0,
-) -> HistoryModel:
-    """b_i + (n - 1)^-alpha * (sum of the other items' p) . q_i with target 1 on the positives."""
-    joiner = Joiner.of(ratings)
-    ratings = joiner.ratings
-    user, item = Layout(), Layout(q=k, b=1, p=k)
-    state = start(ratings, user, item, seed, 2.0 / k, -0.5).filter(F.col("side") == ITEM)
-    model = HistoryModel(Factors(state, user, item), joiner, alpha)
-    for _ in range(iterations):
-        f = model.factors
-        err, q, p = F.col("err"), f.item.vector("iv", "q"), f.item.vector("iv", "p")
-        rows = model.seen_rows().withColumn("err", F.lit(1.0) - _fism_seen_prediction(f, alpha))
-        scale = fism_norm(F.col("n_u") - 1, alpha)
-        rows = materialise(rows.select("user_id", "item_id", "iv", "s", "n_u", "err", scale.alias("c")), "errors")
-        per_user = rows.groupBy("user_id").agg(F.array(*[F.sum(err * x) for x in q]).alias("gu"))
-        met = model.joiner.with_users(rows, per_user)
-        others = [F.col("s")[x] - p[x] for x in range(k)]
-        entries = (
-            [F.sum(err * F.col("c") * o) for o in others]
-            + [F.sum(err)]
-            + [
-                # the other items of each history push on this one: (all errors - own error), over n_u - 1 updates
-                F.try_divide(F.sum(F.col("c") * (F.col("gu")[x] - err * q[x])), F.sum(F.col("n_u") - 1)) * F.count("*")
-                for x in range(k)
-            ]
-        )
-        sums = met.groupBy(F.col("item_id").alias("id")).agg(
-            F.count("*").cast("double").alias("n"),
-            F.array(*[F.coalesce(e, F.lit(0.0)) for e in entries]).alias("g"),
-            F.sum(F.col("n_u") - 1).alias("others"),
-        )
-        sums = sums.withColumn("side", F.lit(ITEM)).select("side", "id", "n", "g")
-        model.factors = apply_step(f, sums, lr, {ITEM: {"q": lam, "b": lam, "p": lam}})
-    return model

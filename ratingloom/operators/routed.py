@@ -1,4 +1,4 @@
-"""Factor training over routed blocks.
+"""Factor training over routed blocks.
 
 Ratings are cut once into blocks of about BLOCK_ROWS rows by one side's id, packed with block-local positions
 and written with a routing table: which block needs which factor row. A step sends every factor row once to
@@ -179,8 +179,17 @@ def squared_error(k: int, biased: bool = False, mean: float = 0.0) -> Kernel:
     return kernel
 
 
-def gradient_pass(blocks: Blocks, state: DataFrame, width: int, kernel: Kernel) -> DataFrame:
-    """side, id, n, g: sums of the gradients per id, still in parts; side "loss" holds the squared error."""
+PassKernel = Callable[..., tuple[np.ndarray | None, dict[str, tuple[np.ndarray | None, np.ndarray]]]]
+
+
+def sums_pass(
+    blocks: Blocks, owners: DataFrame, others: DataFrame, widths: tuple[int, int], kernel: PassKernel, loss_width: int = 1
+) -> DataFrame:
+    """side, id, n, g: sums per id over all ratings, still in parts; side "loss" holds the squared error.
+
+    ``owners`` and ``others``: id, v with a row for every id of the blocks, ``widths`` entries long. ``kernel(p, q,
+    o, t, r)`` gives the error per rating (or None) and per side a weight per rating (None for 1) and its rows.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, list] = {USER: [], ITEM: []}
@@ -193,25 +202,37 @@ def gradient_pass(blocks: Blocks, state: DataFrame, width: int, kernel: Kernel)
                     yield _sum_batch(side, ids, sums[:, -1], sums[:, :-1])
                 parts.clear()
 
-        for ids, (p, q), (o, t, r) in _blocks(batches, (width, width)):
-            err, to_owner, to_other = kernel(p, q, o, t, r)
-            one = np.ones((r.size, 1))
-            for side, at, names, g in ((USER, o, ids[0], to_owner), (ITEM, t, ids[1], to_other)):
-                places, sums = segment_sums(at, np.concatenate([g, one], axis=1))
+        for ids, (p, q), (o, t, r) in _blocks(batches, widths):
+            err, found = kernel(p, q, o, t, r)
+            for side, (weight, g) in found.items():
+                at, names = (o, ids[0]) if side == USER else (t, ids[1])
+                n = np.ones(r.size) if weight is None else weight
+                places, sums = segment_sums(at, np.concatenate([g, n[:, None]], axis=1))
                 kept[side].append((names[places], sums))
                 rows += places.size
-            loss += (float(err @ err), r.size)
+            if err is not None:
+                loss += (float(err @ err), r.size)
             if rows > PARTIAL_ROWS:
                 yield from flush()
                 rows = 0
         yield from flush()
         if loss[1]:
-            g = np.zeros((1, width))
+            g = np.zeros((1, loss_width))
             g[0, 0] = loss[0]
             yield _sum_batch("loss", np.zeros(1, np.int64), loss[1:], g)
 
-    sides = {name: state.filter(F.col("side") == s).select("id", "v") for name, s in (("owners", USER), ("others", ITEM))}
-    return blocks.met(sides).mapInArrow(work, SUMS)
+    return blocks.met({"owners": owners, "others": others}).mapInArrow(work, SUMS)
+
+
+def gradient_pass(blocks: Blocks, state: DataFrame, width: int, kernel: Kernel) -> DataFrame:
+    """side, id, n, g of one step on ``state``, whose vectors all have ``width`` entries."""
+
+    def both(p, q, o, t, r):
+        err, to_owner, to_other = kernel(p, q, o, t, r)
+        return err, {USER: (None, to_owner), ITEM: (None, to_other)}
+
+    users, items = (state.filter(F.col("side") == s).select("id", "v") for s in (USER, ITEM))
+    return sums_pass(blocks, users, items, (width, width), both, width)
 
 
 def _sum_batch(side: str, ids: np.ndarray, n: np.ndarray, g: np.ndarray) -> pa.RecordBatch:
@@ -247,6 +268,22 @@ def merged_rows(batches: Iterator[pa.RecordBatch], keys: int, rows_of: Callable)
         yield names_carried, carried
 
 
+def whole_sums(sums: DataFrame, side: str, width: int) -> DataFrame:
+    """id, n, g of one side of a pass, added up over its parts."""
+
+    def rows_of(batch: pa.RecordBatch) -> np.ndarray:
+        return np.concatenate([matrix(batch.column(2), width), batch.column(1).to_numpy(zero_copy_only=False)[:, None]], axis=1)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (ids,), rows in merged_rows(batches, 1, rows_of):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(rows[:, -1]), vectors(rows[:, :-1])], names=["id", "n", "g"]
+            )
+
+    parts = sums.filter(F.col("side") == side).select("id", "n", "g").repartition("id").sortWithinPartitions("id")
+    return parts.mapInArrow(work, "id long, n double, g array<double>")
+
+
 def stepped(state: DataFrame, sums: DataFrame, width: int, lr: float, reg: dict[str, float], floor_zero: bool) -> DataFrame:
     """side, id, v, moved: v + lr * (g / n - reg * v) and the squared length of the change; "loss" keeps (error, n)."""
 

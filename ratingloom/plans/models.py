@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ratingloom.functions.columns import rounded
-from ratingloom.operators import gradient, ranking, recommend, solvers
+from ratingloom.operators import gradient, profiles, ranking, recommend, solvers
 from ratingloom.operators.neighbors import cooccurrence_pagerank
 from ratingloom.operators.prepare import binarise
 from ratingloom.operators.splits import holdout, sides
@@ -103,7 +103,7 @@ def _(spark, sf):
        + _score_sql("(SELECT mu FROM g) + bu + bi + (p1 + z1) * q1 + (p2 + z2) * q2", _BOTH + " JOIN z USING (user_id)"))
 def _(spark, sf):
     ratings = _events(spark, sf)
-    return _out(gradient.fit_svdpp(ratings, 2, STEPS, LR).score(ratings))
+    return _out(profiles.fit_svdpp(ratings, 2, STEPS, LR).score(ratings))
 
 
 @query("m8_biased_mf", st.biased_mf(sp.EVENTS, STEPS, LR, LAM) + _score_sql(f"(SELECT mu FROM g) + bu + bi + {_PQ}", _BOTH))
@@ -118,7 +118,7 @@ def _(spark, sf):
        + _score_sql("(SELECT mu FROM g) + bu + bi + z1 * q1 + z2 * q2", _BOTH + " JOIN z USING (user_id)"))
 def _(spark, sf):
     ratings = _events(spark, sf)
-    return _out(gradient.fit_asvd(ratings, 2, STEPS, LR).score(ratings))
+    return _out(profiles.fit_asvd(ratings, 2, STEPS, LR).score(ratings))
 
 
 def _power_sql(steps: int) -> str:
@@ -171,7 +171,7 @@ def _(spark, sf):
 
 
 def ranking_input_fism(ratings):
-    return gradient.fit_fism(ratings, 2, STEPS, LR, LAM)
+    return profiles.fit_fism(ratings, 2, STEPS, LR, LAM)
 
 
 @query("m13_fism_similarity", st.fism(sp.EVENTS, STEPS, LR, LAM) + f""" SELECT DISTINCT a.item_id AS item_i, b.item_id AS item_j,

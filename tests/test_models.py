@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratingloom.operators import embeddings, gradient, linear, ranking, recommend, routed, rules, solvers
+from ratingloom.operators import embeddings, gradient, linear, profiles, ranking, recommend, routed, rules, solvers
 from tests.conftest import cells, random_matrix, to_ratings
 
 
@@ -115,7 +115,7 @@ def test_svd_matches_numpy(spark, scale):
         assert score == pytest.approx(want[a, b], abs=1e-6)
 
 
-@pytest.mark.parametrize("fit", [gradient.fit_funk_svd, gradient.fit_biased_mf, gradient.fit_svdpp, gradient.fit_asvd])
+@pytest.mark.parametrize("fit", [gradient.fit_funk_svd, gradient.fit_biased_mf, profiles.fit_svdpp, profiles.fit_asvd])
 def test_training_error_falls(ratings, fit):
     errors = [fit(ratings, 2, steps, 0.1).train_rmse().first()[0] for steps in (1, 4)]
     assert errors[1] < errors[0]
