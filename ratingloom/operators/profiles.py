@@ -1,9 +1,10 @@
 """Models whose user vector comes from the history, trained over routed blocks.
 
-One iteration is three passes over the blocks of ``routed``: item vectors are added up per user into a profile;
-errors give the gradients of both sides; each user's summed gradient goes back to the items of the history. A
-vector travels once per block that needs it, never with a rating, and a user may lie in many blocks. Gradients are
-means per id, and a history vector takes the mean over the ratings of all histories that hold the item.
+An iteration adds item vectors up per user into a profile, takes the gradients of both sides from the errors, and
+gives each user's summed gradient back to the items of the history. Where every history lies in one block of
+``routed``, that is one pass; where a history is spread over several blocks, it is three, with the sums per user
+added up in between. A vector travels once per block that needs it, never with a rating. Gradients are means per
+id, and a history vector takes the mean over the ratings of all histories that hold the item.
 
 Defined results: rows with a null id or rating (for FISM a null id) are left out, and an id that has only such rows
 keeps its first vector; an empty table trains to an empty state; a pair that occurs twice counts twice.
@@ -59,6 +60,31 @@ def _descended(side: str, rows: DataFrame, layout: Layout, lr: float, reg: dict[
     return rows.select(F.lit(side).alias("side"), "id", F.coalesce(moved, F.col("v")).alias("v"))
 
 
+def _by_owner(o: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of the rows per owner of a block; ratings are in the order of their owners."""
+    return np.add.reduceat(rows, np.flatnonzero(np.diff(o, prepend=-1)), axis=0)
+
+
+def _one_pass(
+    blocks: Blocks, keep: Keep, users: DataFrame, items: DataFrame, widths: tuple[int, int], kernel: routed.PassKernel, parts: tuple[int, int]
+) -> tuple[DataFrame, DataFrame]:
+    """Users' sums (id, n, g) and items' sums (id, n, g, m, h) where no history is spread over blocks.
+
+    An item's row of the kernel is g, then h, ``parts`` entries long, then m, the weight of h.
+    """
+    sums = keep(sums_pass(blocks, users, items, widths, kernel), "sums")
+    whole = whole_sums(sums, ITEM, sum(parts) + 1)
+    last = F.element_at("g", -1).alias("m")
+    split = whole.select("id", "n", F.slice("g", 1, parts[0]).alias("g"), last, F.slice("g", parts[0] + 1, parts[1]).alias("h"))
+    return sums.filter(F.col("side") == USER).select("id", "n", "g"), split
+
+
+def _with_returned(sums: DataFrame, width: int, returned: DataFrame) -> DataFrame:
+    """Items' sums (id, n, g, m, h) of the second and the third pass."""
+    back = returned.select("id", F.col("n").alias("m"), F.col("g").alias("h"))
+    return whole_sums(sums, ITEM, width).join(back, "id")
+
+
 def _iterate(factors: Factors, step: Callable[[Factors, Keep], DataFrame], iterations: int, track, model=None) -> Factors:
     """Each iteration's tables lie in one folder, which goes once the next state is written."""
     spark = factors.state.sparkSession
@@ -126,8 +152,15 @@ def fit_svdpp(
     def back(p, q, o, t, r):
         return None, {ITEM: (p[o, k], p[o, :k])}
 
-    def step(f: Factors, keep: Keep) -> DataFrame:
-        old_users, old_items = _side(f.state, USER), _side(f.state, ITEM)
+    def whole(p, q, o, t, r):
+        n = np.bincount(o).astype(float)[:, None]
+        z = _by_owner(o, q[t, k + 1 :]) / np.sqrt(n)
+        err, found = errors(np.concatenate([p[:, :k] + z, p[:, k:]], axis=1), q[:, : k + 1], o, t, r)
+        pushed = np.concatenate([_by_owner(o, found[USER][1])[:, :k] / np.sqrt(n), n], axis=1)
+        m, h = back(pushed, q, o, t, r)[1][ITEM]
+        return err, {USER: found[USER], ITEM: (None, np.concatenate([found[ITEM][1], h, m[:, None]], axis=1))}
+
+    def passes(f: Factors, keep: Keep, old_users: DataFrame) -> tuple[DataFrame, DataFrame]:
         profiled = old_users.join(_implicit(blocks, f), "id").select(
             "id", F.concat(F.zip_with(f.user.slice("v", "p"), "z", lambda a, b: a + b), F.array(f.user.get("v", "b"))).alias("v")
         )
@@ -137,7 +170,14 @@ def fit_svdpp(
         pushed = users.select("id", F.concat(F.transform(F.slice("g", 1, k), lambda x: x / F.sqrt("n")), F.array("n")).alias("v"))
         none = _side(f.state, ITEM, F.array(F.lit(0.0)))
         returned = whole_sums(sums_pass(blocks, pushed, none, (k + 1, 1), back), ITEM, k)
-        items = whole_sums(sums, ITEM, k + 1).join(returned.select("id", F.col("n").alias("m"), F.col("g").alias("h")), "id")
+        return users, _with_returned(sums, k + 1, returned)
+
+    def step(f: Factors, keep: Keep) -> DataFrame:
+        old_users, old_items = _side(f.state, USER), _side(f.state, ITEM)
+        if blocks.any_split:
+            users, items = passes(f, keep, old_users)
+        else:
+            users, items = _one_pass(blocks, keep, old_users, old_items, (k + 1, 2 * k + 1), whole, (k + 1, k))
         return _descended(USER, old_users.join(users, "id", "left"), user, lr, reg[USER], _share("g", "n")).unionByName(
             _descended(ITEM, old_items.join(items, "id", "left"), item, lr, reg[ITEM], F.concat(_share("g", "n"), _share("h", "m")))
         )
@@ -203,8 +243,16 @@ def fit_asvd(
         given = p[o, :k]
         return None, {ITEM: (p[o, k], np.concatenate([gap[:, None] * given, given], axis=1))}
 
-    def step(f: Factors, keep: Keep) -> DataFrame:
-        old_users, old_items = _side(f.state, USER), _side(f.state, ITEM)
+    def whole(p, q, o, t, r):
+        n = np.bincount(o).astype(float)[:, None]
+        gap = r - mean - p[o, 0] - q[t, k]
+        z = _by_owner(o, gap[:, None] * q[t, k + 1 : 2 * k + 1] + q[t, 2 * k + 1 :]) / np.sqrt(n)
+        err, found = errors(np.concatenate([z, p], axis=1), q[:, : k + 1], o, t, r)
+        pushed = np.concatenate([_by_owner(o, found[USER][1])[:, :k] / np.sqrt(n), n, p], axis=1)
+        m, h = back(pushed, q[:, k : k + 1], o, t, r)[1][ITEM]
+        return err, {USER: found[USER], ITEM: (None, np.concatenate([found[ITEM][1], h, m[:, None]], axis=1))}
+
+    def passes(f: Factors, keep: Keep, old_users: DataFrame) -> tuple[DataFrame, DataFrame]:
         profiled = old_users.join(_asymmetric(blocks, f), "id").select("id", F.concat("z", "v").alias("v"))
         scored = _side(f.state, ITEM, f.item.slice("v", "q"), f.item.slice("v", "b"))
         sums = keep(sums_pass(blocks, profiled, scored, (k + 1, k + 1), errors), "sums")
@@ -214,7 +262,14 @@ def fit_asvd(
         )
         biases = _side(f.state, ITEM, f.item.slice("v", "b"))
         returned = whole_sums(sums_pass(blocks, pushed, biases, (k + 2, 1), back), ITEM, 2 * k)
-        items = whole_sums(sums, ITEM, k + 1).join(returned.select("id", F.col("n").alias("m"), F.col("g").alias("h")), "id")
+        return users, _with_returned(sums, k + 1, returned)
+
+    def step(f: Factors, keep: Keep) -> DataFrame:
+        old_users, old_items = _side(f.state, USER), _side(f.state, ITEM)
+        if blocks.any_split:
+            users, items = passes(f, keep, old_users)
+        else:
+            users, items = _one_pass(blocks, keep, old_users, old_items, (1, 3 * k + 1), whole, (k + 1, 2 * k))
         bias = F.slice(_share("g", "n"), k + 1, 1)
         return _descended(USER, old_users.join(users, "id", "left"), user, lr, reg[USER], bias).unionByName(
             _descended(ITEM, old_items.join(items, "id", "left"), item, lr, reg[ITEM], F.concat(_share("g", "n"), _share("h", "m")))
@@ -335,13 +390,26 @@ def fit_fism(
         err, norm, _ = _fism_errors(k, alpha, p[:, : k + 1], q, o, t)
         return None, {ITEM: (p[o, k] - 1, norm[:, None] * (p[o, k + 1 :] - err[:, None] * q[t, :k]))}
 
-    def step(f: Factors, keep: Keep) -> DataFrame:
-        items = _side(f.state, ITEM)
+    def whole(p, q, o, t, r):
+        n = np.bincount(o).astype(float)[:, None]
+        x = np.concatenate([_by_owner(o, q[t, k + 1 :]), n], axis=1)
+        found = errors(x, q, o, t, r)[1]
+        m, h = back(np.concatenate([x, _by_owner(o, found[USER][1])], axis=1), q, o, t, r)[1][ITEM]
+        return None, {ITEM: (None, np.concatenate([found[ITEM][1], h, m[:, None]], axis=1))}
+
+    def passes(f: Factors, keep: Keep, items: DataFrame) -> DataFrame:
         users = keep(replace(model, factors=f).profiled(), "profiles")
         sums = keep(sums_pass(blocks, users, items, (k + 1, 2 * k + 1), errors), "sums")
         pushed = users.join(whole_sums(sums, USER, k), "id").select("id", F.concat("v", "g").alias("v"))
         returned = whole_sums(sums_pass(blocks, pushed, items, (2 * k + 1, 2 * k + 1), back), ITEM, k)
-        met = whole_sums(sums, ITEM, k + 1).join(returned.select("id", F.col("n").alias("m"), F.col("g").alias("h")), "id")
+        return _with_returned(sums, k + 1, returned)
+
+    def step(f: Factors, keep: Keep) -> DataFrame:
+        items = _side(f.state, ITEM)
+        if blocks.any_split:
+            met = passes(f, keep, items)
+        else:
+            met = _one_pass(blocks, keep, blocks.flags, items, (1, 2 * k + 1), whole, (k + 1, k))[1]
         gradient = F.concat(_share("g", "n"), _share("h", "m"))
         return _descended(ITEM, items.join(met, "id", "left"), item, lr, {"q": lam, "b": lam, "p": lam}, gradient)
 

@@ -10,7 +10,7 @@ from tests.test_routed import arrays
 LR = 0.1
 
 
-@pytest.fixture(params=[3, 40, 32768])
+@pytest.fixture(params=[3, 32768])
 def small_blocks(request, monkeypatch):
     monkeypatch.setattr(routed, "BLOCK_ROWS", request.param)
     monkeypatch.setattr(routed, "ROUTE_BLOCKS", 2)
