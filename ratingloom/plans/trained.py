@@ -37,7 +37,11 @@ def _recommended(name: str, **params):
 query("m1_als_trained")(_recommended("ALS"))
 query("m2_als_biases_trained")(_recommended("ALS (Improved)"))
 query("m3_funk_svd_trained")(_recommended("FunkSVD", learning_rate=RATE))
+query("m6_nmf_trained")(_recommended("NMF", learning_rate=RATE))
+query("m7_svdpp_trained")(_recommended("SVD++"))
+query("m9_asymmetric_svd_trained")(_recommended("ASVD", learning_rate=RATE))
 query("m12_wrmf_trained")(_recommended("WRMF"))
+query("m13_fism_trained")(_recommended("FISM", learning_rate=RATE))
 
 
 def _biased(spark: SparkSession, sf: str, **kept) -> gradient.RatingModel:

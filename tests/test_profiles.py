@@ -18,8 +18,9 @@ def small_blocks(request, monkeypatch):
     monkeypatch.setattr(routed, "PARTIAL_ROWS", 7)
 
 
-def svdpp(r, p, q, steps, lam, mean):
-    """Users p, b; items q, b, y."""
+def svdpp(r, p, q, steps, lam, mean, lr=LR):
+    """Users p, b; items q, b, y; ``lam``: one weight, or one per entry of either side."""
+    lam_p, lam_q = lam if isinstance(lam, tuple) else (lam, lam)
     seen, k = r > 0, p.shape[1] - 1
     nu, ni = seen.sum(axis=1)[:, None], seen.sum(axis=0)[:, None]
     pushes = seen.T @ nu
@@ -37,8 +38,8 @@ def svdpp(r, p, q, steps, lam, mean):
         to_p = np.concatenate([gu, err.sum(axis=1)[:, None]], axis=1) / nu
         to_q = np.concatenate([err.T @ x, err.sum(axis=0)[:, None]], axis=1) / ni
         to_y = seen.T @ (gu / np.sqrt(nu)) / pushes
-        p = p + LR * (to_p - lam * p)
-        q = q + LR * (np.concatenate([to_q, to_y], axis=1) - lam * q)
+        p = p + lr * (to_p - lam_p * p)
+        q = q + lr * (np.concatenate([to_q, to_y], axis=1) - lam_q * q)
     return p, q, guess()
 
 
