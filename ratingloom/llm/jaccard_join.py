@@ -345,14 +345,20 @@ def _near(rows: DataFrame) -> DataFrame:
 def _open_pairs(rows: DataFrame, sketches: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
     """Every pair of documents that shares enough kept signatures, not yet in one component and not yet compared, and not too far apart by its sketches.
 
-    The documents of a signature are held against each other block by block, so a group of any size is dealt over many tasks.
+    Documents with the commonest label of a signature need no comparison among themselves. The others are cut into
+    blocks, which are held against each other and against the blocks of the commonest label, so a group of any size
+    is dealt over many tasks, and a document of the commonest label is copied only once for each block of the others.
     """
     known = rows.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     known = materialise(known.select("sig", "doc_id", "about", "least", "label"), "open")
-    mixed = known.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("m")).filter("lo <> hi")
-    known = known.join(mixed.select("sig", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "sig").join(sketches, "doc_id")
-    known = known.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    known = known.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    mixed = known.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("sig")
+    known = materialise(known.join(mixed, "sig"), "mixed")
+    sizes = known.groupBy("sig", "label").agg(F.count("*").alias("m")).groupBy("sig").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("all"))
+    few, many = (F.ceil(n / BLOCK).cast("int") for n in (F.col("all") - F.col("top.m"), F.col("top.m")))
+    known = known.join(sizes.select("sig", F.col("top.label").alias("common"), few.alias("few"), many.alias("many")), "sig").join(sketches, "doc_id")
+    alike, spread = F.col("label") == F.col("common"), F.xxhash64("doc_id")
+    known = known.withColumn("block", F.when(alike, F.col("few") + F.pmod(spread, F.col("many"))).otherwise(F.pmod(spread, F.col("few"))).cast("int"))
+    known = known.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("few") - 1 + F.when(alike, 0).otherwise(F.col("many")))))
     known = known.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     met = _near(known).groupBy("a", "b", "ax", "bx").agg(F.count("*").alias("n"), F.min("least").alias("least"))
     return met.filter("n >= least").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")

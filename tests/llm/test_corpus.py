@@ -126,8 +126,10 @@ def test_jaccard_join(docs, rows):
     same(jaccard_join.link(docs), by_sql(rows, queries.ORACLES["op6_jaccard_join"]))
 
 
-def test_jaccard_join_with_hot_signatures(spark, monkeypatch):
+@pytest.mark.parametrize("block", [2048, 2])
+def test_jaccard_join_with_hot_signatures(spark, monkeypatch, block):
     monkeypatch.setattr(jaccard_join, "HOT", 3)
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     rng = random.Random(5)
     base = [f"w{i}" for i in range(60)]
     rows = []
