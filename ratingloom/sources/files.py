@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.operators.prepare import to_long, to_wide
@@ -20,8 +20,8 @@ GENRE_FLAGS = [
 ]
 
 
-def _canonical(df: DataFrame) -> DataFrame:
-    out = df.select(F.col("userId").alias("user_id"), F.col("movieId").alias("item_id"), "rating")
+def _canonical(df: DataFrame, *more: Column) -> DataFrame:
+    out = df.select(F.col("userId").alias("user_id"), F.col("movieId").alias("item_id"), "rating", *more)
     return out.filter(F.col("rating") > 0)
 
 
@@ -31,11 +31,11 @@ def read_long_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_movielens(spark: SparkSession, ratings_path: str, movies_path: str) -> tuple[DataFrame, DataFrame]:
-    """Ratings (with timestamp) and the movie list of a MovieLens folder."""
+    """Ratings with their time ``ts`` (null where the file has none) and the movie list of a MovieLens folder."""
     ratings = spark.read.schema(RATINGS_SCHEMA).csv(ratings_path, header=True)
     movies = spark.read.schema("movieId long, title string, genres string").csv(movies_path, header=True)
     return (
-        _canonical(ratings),
+        _canonical(ratings, F.timestamp_seconds("timestamp").alias("ts")),
         movies.select(F.col("movieId").alias("item_id"), "title", "genres"),
     )
 
