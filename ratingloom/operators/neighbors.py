@@ -75,12 +75,13 @@ def item_similarity(
     Pairs below ``min_support`` have similarity 0 and are left out; so is the diagonal. Only co-rated
     pairs are produced (a Pearson value of a pair nobody rated together needs min_support = 0).
     """
+    wanted = {"least": max(1, min_support), "diff": False}
     if metric == "cosine":
-        pairs = pair_stats(_unit_columns(ratings, "rating")).withColumn("raw", F.col("dot"))
+        pairs = pair_stats(_unit_columns(ratings, "rating"), **wanted).withColumn("raw", F.col("dot"))
     elif metric == "adjusted_cosine":
-        pairs = pair_stats(_unit_columns(centred(ratings, mean_over), "centred")).withColumn("raw", F.col("dot"))
+        pairs = pair_stats(_unit_columns(centred(ratings, mean_over), "centred"), **wanted).withColumn("raw", F.col("dot"))
     elif metric == "pearson":
-        pairs = _pearson(ratings, pair_stats(ratings))
+        pairs = _pearson(ratings, pair_stats(ratings, **wanted))
     else:
         raise ValueError(f"unknown metric {metric}")
     weight = F.col("n_co") / (F.col("n_co") + F.lit(float(shrinkage))) if shrinkage > 0 else F.lit(1.0)
@@ -241,7 +242,7 @@ def jaccard_edges(ratings: DataFrame, threshold: int = 2) -> DataFrame:
     """Co-occurrence similarity c_ij / (c_i + c_j - c_ij) of pairs with c_ij >= threshold."""
     seen = binarise(ratings)
     counts = seen.groupBy("item_id").agg(F.count("*").alias("_c"))
-    pairs = pair_stats(seen).filter(F.col("n_co") >= threshold).select("item_i", "item_j", F.col("n_co").alias("support"))
+    pairs = pair_stats(seen, least=threshold, diff=False).select("item_i", "item_j", F.col("n_co").alias("support"))
     joined = pairs.join(counts.select(F.col("item_id").alias("item_i"), F.col("_c").alias("_ci")), "item_i").join(
         counts.select(F.col("item_id").alias("item_j"), F.col("_c").alias("_cj")), "item_j"
     )

@@ -15,26 +15,108 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.operators.prepare import history_chunks
+from ratingloom.session import bounded_batches
 
 CHUNK = 1024
 PAIRS_PER_STEP = 2_000_000
 DENSE_ITEMS = 512
+PACKED_PAIRS = 10_000_000  # pairs of ratings of one user
+BUCKET_PAIRS = 2_000_000  # of a bucket, before equal pairs are added up
+HELD_PAIRS = 4_000_000  # sums that a task holds before it sends them
+MOST_TASKS = 4_096
 
 PAIR_SCHEMA = "item_i long, item_j long, n_co long, dot double, diff double"
 
 
-def pair_stats(ratings: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """One row per co-rated pair item_i < item_j.
+def pair_stats(ratings: DataFrame, chunk: int = CHUNK, least: int = 1, diff: bool = True) -> DataFrame:
+    """One row per pair item_i < item_j that at least ``least`` users rated both.
 
-    n_co: users who rated both; dot: sum of r_i * r_j; diff: sum of r_i - r_j.
+    n_co: users who rated both; dot: sum of r_i * r_j; diff: sum of r_i - r_j, left out unless ``diff``.
+    From PACKED_PAIRS pairs of ratings on, the sums of many histories travel as packed columns of one bucket of items
+    and are added up there; a row per pair would take several times the space.
     """
-    tiles = history_chunks(ratings.select("user_id", "item_id", "rating"), ["rating"], chunk)
+    rows = ratings.select("user_id", "item_id", "rating")
+    tiles = history_chunks(rows, ["rating"], chunk)
     partial = _tile_pairs(tiles).mapInArrow(_multiply, PAIR_SCHEMA)
-    return partial.groupBy("item_i", "item_j").agg(
-        F.sum("n_co").alias("n_co"), F.sum("dot").alias("dot"), F.sum("diff").alias("diff")
+    values = ["n_co", "dot", "diff"] if diff else ["n_co", "dot"]
+    size = F.col("n").cast("double")
+    met = rows.groupBy("user_id").agg(F.count("*").alias("n")).agg(F.sum(size * (size - 1) / 2)).first()[0] or 0
+    if met < PACKED_PAIRS:
+        sums = partial.groupBy("item_i", "item_j").agg(*[F.sum(c).alias(c) for c in values])
+        return sums.filter(F.col("n_co") >= least) if least > 1 else sums
+    bounded_batches(ratings.sparkSession)
+    buckets = int(met // BUCKET_PAIRS) + 1
+    width = len(values)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in _multiply(batches):
+            held.append([batch.column(c).to_numpy() for c in range(2 + width)])
+            count += batch.num_rows
+            if count > HELD_PAIRS:
+                held = [_added([np.concatenate(c) for c in zip(*held)])]
+                count = held[0][0].size
+                if count > HELD_PAIRS // 2:
+                    yield _pack(held[0], buckets)
+                    held, count = [], 0
+        if count:
+            yield _pack(_added([np.concatenate(c) for c in zip(*held)]), buckets)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, []
+        for batch in batches:
+            for n in range(batch.num_rows):
+                if batch.column(0)[n].as_py() != bucket:
+                    if held:
+                        yield _whole(held, least, values)
+                    bucket, held = batch.column(0)[n].as_py(), []
+                held.append(_unpack(batch.column(1)[n].as_py(), batch.column(2)[n].as_buffer(), width))
+        if held:
+            yield _whole(held, least, values)
+
+    sent = _tile_pairs(tiles).mapInArrow(packed, "bucket long, size long, data binary")
+    sent = sent.repartition(min(buckets, MOST_TASKS), "bucket").sortWithinPartitions("bucket")
+    return sent.mapInArrow(summed, "item_i long, item_j long, " + ", ".join(f"{v} {'long' if v == 'n_co' else 'double'}" for v in values))
+
+
+def _added(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Rows (item_i, item_j, sums...) in order of the pair, one per pair."""
+    order = np.lexsort((columns[1], columns[0]))
+    columns = [c[order] for c in columns]
+    i, j = columns[:2]
+    heads = np.flatnonzero(np.concatenate(([True], (i[1:] != i[:-1]) | (j[1:] != j[:-1]))))
+    return [i[heads], j[heads], *[np.add.reduceat(c, heads) for c in columns[2:]]]
+
+
+def _pack(columns: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """One row per bucket of item_i; the bytes of equal weight stand together, so that they compress."""
+    bucket = ((columns[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket, columns = bucket[order], [c[order] for c in columns]
+    heads = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+    ends, data = np.append(heads[1:], bucket.size), []
+    for low, high in zip(heads, ends):
+        i, j, *sums = (c[low:high] for c in columns)
+        parts = [np.diff(i, prepend=0), np.diff(j, prepend=0), *sums]
+        raw = b"".join(np.ascontiguousarray(p).view(np.uint8).reshape(-1, 8).T.tobytes() for p in parts)
+        data.append(pa.compress(raw, codec="zstd", asbytes=True))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[heads].astype(np.int64)), pa.array(ends - heads), pa.array(data, pa.binary())], names=["bucket", "size", "data"]
     )
 
 
+def _unpack(size: int, data: pa.Buffer, width: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data, (2 + width) * 8 * size, codec="zstd"), np.uint8).reshape(2 + width, 8, size)
+    columns = [np.ascontiguousarray(part.T).view(np.int64 if n < 3 else np.float64).ravel() for n, part in enumerate(raw)]
+    return [np.cumsum(columns[0]), np.cumsum(columns[1]), *columns[2:]]
+
+
+def _whole(held: list, least: int, values: list[str]) -> pa.RecordBatch:
+    columns = _added([np.concatenate(c) for c in zip(*held)])
+    enough = columns[2] >= least
+    return pa.RecordBatch.from_arrays([pa.array(c[enough]) for c in columns], names=["item_i", "item_j", *values])
+
+
 def _tile_pairs(tiles: DataFrame) -> DataFrame:
     """Rows (items, rating, cut): cut = 0 for a chunk with itself, else the length of the first chunk.
 
