@@ -89,25 +89,34 @@ def _added(columns: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def _pack(columns: list[np.ndarray], buckets: int) -> pa.RecordBatch:
-    """One row per bucket of item_i; the bytes of equal weight stand together, so that they compress."""
+    """One row per bucket of item_i."""
     bucket = ((columns[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     bucket, columns = bucket[order], [c[order] for c in columns]
     heads = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
     ends, data = np.append(heads[1:], bucket.size), []
     for low, high in zip(heads, ends):
-        i, j, *sums = (c[low:high] for c in columns)
-        parts = [np.diff(i, prepend=0), np.diff(j, prepend=0), *sums]
-        raw = b"".join(np.ascontiguousarray(p).view(np.uint8).reshape(-1, 8).T.tobytes() for p in parts)
-        data.append(pa.compress(raw, codec="zstd", asbytes=True))
+        data.append(squeezed([c[low:high] for c in columns]))
     return pa.RecordBatch.from_arrays(
         [pa.array(bucket[heads].astype(np.int64)), pa.array(ends - heads), pa.array(data, pa.binary())], names=["bucket", "size", "data"]
     )
 
 
 def _unpack(size: int, data: pa.Buffer, width: int) -> list[np.ndarray]:
-    raw = np.frombuffer(pa.decompress(data, (2 + width) * 8 * size, codec="zstd"), np.uint8).reshape(2 + width, 8, size)
-    columns = [np.ascontiguousarray(part.T).view(np.int64 if n < 3 else np.float64).ravel() for n, part in enumerate(raw)]
+    return unsqueezed(size, data, [np.int64] * 3 + [np.float64] * (width - 1))
+
+
+def squeezed(columns: list[np.ndarray]) -> bytes:
+    """Columns of 8 bytes compressed, the first two by their steps, with the bytes of equal weight together."""
+    i, j, *others = columns
+    parts = [np.diff(i, prepend=0), np.diff(j, prepend=0), *others]
+    raw = b"".join(np.ascontiguousarray(p).view(np.uint8).reshape(-1, 8).T.tobytes() for p in parts)
+    return pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueezed(size: int, data: pa.Buffer, kinds: list) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data, len(kinds) * 8 * size, codec="zstd"), np.uint8).reshape(len(kinds), 8, size)
+    columns = [np.ascontiguousarray(part.T).view(kind).ravel() for kind, part in zip(kinds, raw)]
     return [np.cumsum(columns[0]), np.cumsum(columns[1]), *columns[2:]]
 
 

@@ -1,6 +1,7 @@
 """Scores of items from a user's history and item-item edges, block against block.
 
-Packed histories of some users meet the packed edges of some target items in one task. A task expands one bounded step
+Packed histories of some users meet the packed edges of some target items in one task; where there are many edges, only
+those of the items that these users have rated are sent to it. A task expands one bounded step
 of ratings to their neighbours at a time, in arrays, and returns what is asked: all scored pairs, the n best of each of
 its users, or the pairs given as targets. Rows for (user, target, rated item) never exist in Spark. A history is held
 whole, and is no longer than the catalogue.
@@ -17,12 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.functions.columns import TIE_DIGITS
-from ratingloom.session import materialise
+from ratingloom.operators.pairs import squeezed, unsqueezed
+from ratingloom.session import bounded_batches, materialise
 
 RATINGS_PER_BLOCK = 200_000
 EDGES_PER_BLOCK = 500_000  # of a target block, 16 MB; a single block of them may be sent to every task
-STEP = 2_000_000  # entries and cells that a task holds expanded
+HELD_BLOCKS = 5  # blocks of ratings, and of edges, that a task holds where edges are routed
+STEP = 2_000_000  # entries that a task holds expanded
 SCHEMA = "user_id long, item_id long, score double"
+PIECES = "_ub int, _tb int, size long, data binary"
 
 
 @dataclass(frozen=True)
@@ -39,21 +43,16 @@ class Rule:
 
 
 class _Edges:
-    """Edges of some targets by rated item, and their place in the order of their target's neighbours."""
+    """Edges of some targets by rated item."""
 
     def __init__(self, target: np.ndarray, source: np.ndarray, weight: np.ndarray, freq: np.ndarray, rule: Rule):
         if rule.kind == "neighbours":
             some = weight != 0
             target, source, weight, freq = target[some], source[some], weight[some], freq[some]
-        self.targets, code = np.unique(target, return_inverse=True)
-        order = np.lexsort((source, -np.round(np.abs(weight), TIE_DIGITS), code))
-        starts = np.searchsorted(code[order], np.arange(len(self.targets)))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order)) - starts[code[order]]
-        self.depth = int(place.max(initial=0)) + 1
-        by = np.lexsort((code, source))
-        self.code, self.weight, self.freq, self.place = code[by], weight[by], freq[by], place[by]
-        self.sources, self.first = np.unique(source[by], return_index=True)
+        by = np.argsort(source, kind="stable")
+        self.targets, self.code = np.unique(target[by], return_inverse=True)
+        self.source, self.weight, self.freq = source[by], weight[by], freq[by]
+        self.sources, self.first = np.unique(self.source, return_index=True)
         self.count = np.diff(np.append(self.first, len(by)))
 
     def of(self, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,79 +63,109 @@ class _Edges:
         return self.first[at], np.where(self.sources[at] == items, self.count[at], 0)
 
 
+class _Histories:
+    """Ratings of some users, user by user."""
+
+    def __init__(self, users: np.ndarray, items: np.ndarray, ratings: np.ndarray):
+        order = np.argsort(users, kind="stable")
+        self.names, start = np.unique(users[order], return_index=True)
+        self.start = np.append(start, len(users))
+        self.row = np.repeat(np.arange(len(self.names)), np.diff(self.start))
+        self.ratings = ratings[order]
+        self.items, self.item = np.unique(items[order], return_inverse=True)
+
+
 def _scored(edges: _Edges, cell: np.ndarray, edge: np.ndarray, rating: np.ndarray, rule: Rule, cells: int) -> tuple[np.ndarray, np.ndarray]:
-    """Cells that have entries, in order, and their scores."""
+    """Cells that have a score, in order, and their scores; entries come cell by cell."""
     w = edges.weight[edge]
     if rule.kind == "neighbours":
-        order = np.argsort(cell * edges.depth + edges.place[edge])
-        cell, w, rating = cell[order], w[order], rating[order]
-        head = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
-        place = np.arange(len(cell)) - np.repeat(head, np.diff(np.append(head, len(cell))))
-        near = place < rule.k
-        cell, w, rating = cell[near], w[near], rating[near]
+        size = np.bincount(cell, minlength=cells)
+        if size.max(initial=0) > rule.k:
+            many = np.flatnonzero(size[cell] > rule.k)
+            order = np.lexsort((edges.source[edge[many]], -np.round(np.abs(w[many]), TIE_DIGITS), cell[many]))
+            many = many[order]
+            place = np.arange(len(many)) - np.searchsorted(cell[many], cell[many])
+            near = np.ones(len(cell), bool)
+            near[many[place >= rule.k]] = False
+            cell, w, rating = cell[near], w[near], rating[near]
         above, below = np.bincount(cell, w * rating, cells), np.bincount(cell, np.abs(w), cells)
         found = np.flatnonzero(below > 1e-8 if rule.epsilon == 0 else below > 0)
         return found, above[found] / (below[found] + rule.epsilon)
     if rule.kind == "sum":
-        found = np.flatnonzero(np.bincount(cell, minlength=cells))
-        return found, np.bincount(cell, w * rating, cells)[found]
+        return np.arange(cells), np.bincount(cell, w * rating, cells)
     f = edges.freq[edge]
     below = np.bincount(cell, f, cells)
     found = np.flatnonzero(below > 0)
     return found, np.bincount(cell, (rating + w) * f, cells)[found] / below[found]
 
 
+def _among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Which of ``keys`` are in ``some``."""
+    if not len(some):
+        return np.zeros(len(keys), bool)
+    some = np.sort(some)
+    return some[np.minimum(np.searchsorted(some, keys), len(some) - 1)] == keys
+
+
+def _best(user: np.ndarray, item: np.ndarray, score: np.ndarray, n: int) -> np.ndarray:
+    """Places of the ``n`` best of each user, ties by item."""
+    order = np.lexsort((item, -np.round(score, TIE_DIGITS), user))
+    user = user[order]
+    return order[np.arange(len(order)) - np.searchsorted(user, user) < n]
+
+
 def _meeting(row: dict, rule: Rule, n: int | None, unseen: bool) -> Iterator[pa.RecordBatch]:
     edges = _Edges(*(row[c] for c in ("targets", "sources", "weights", "freqs")), rule)
-    width = len(edges.targets)
+    asked = None if row["asked_users"] is None else (row["asked_users"], row["asked_items"])
+    for found in _met(_Histories(row["users"], row["items"], row["ratings"]), edges, asked, rule, n, unseen):
+        yield _batch(*found)
+
+
+def _batch(*columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["user_id", "item_id", "score"])
+
+
+def _met(histories: _Histories, edges: _Edges, asked: tuple | None, rule: Rule, n: int | None, unseen: bool) -> Iterator[tuple]:
+    """Users, items and scores; the time and space of a step follow its entries, not its users and targets."""
+    names, start, width = histories.names, histories.start, len(edges.targets)
     if not width:
         return
-    order = np.argsort(row["users"], kind="stable")
-    users, items, ratings = (row[c][order] for c in ("users", "items", "ratings"))
-    names, start = np.unique(users, return_index=True)
-    start = np.append(start, len(users))
-    first, count = edges.of(items)
+    first, count = (x[histories.item] for x in edges.of(histories.items))
     total = np.concatenate([[0], np.cumsum(count)])
-    asked = None
-    if row["asked_users"] is not None:
-        asked = np.unique(np.column_stack([row["asked_users"], row["asked_items"]]), axis=0)
+    if unseen:
+        at = np.minimum(np.searchsorted(edges.targets, histories.items), width - 1)
+        column = np.where(edges.targets[at] == histories.items, at, -1)[histories.item]
+    if asked is not None:
+        u = np.minimum(np.searchsorted(names, asked[0]), len(names) - 1)
+        t = np.minimum(np.searchsorted(edges.targets, asked[1]), width - 1)
+        known = (names[u] == asked[0]) & (edges.targets[t] == asked[1])
+        wanted = np.unique(u[known] * width + t[known])
     lo = 0
     while lo < len(names):
-        most = min(len(names), lo + max(1, STEP // width))
-        hi = max(lo + 1, int(np.searchsorted(total[start[lo : most + 1]], total[start[lo]] + STEP, "right")) - 1 + lo)
+        hi = max(lo + 1, int(np.searchsorted(total[start], total[start[lo]] + STEP, "right")) - 1)
         a, b = start[lo], start[hi]
         rated = np.repeat(np.arange(a, b), count[a:b])
         edge = np.repeat(first[a:b] - (total[a:b] - total[a]), count[a:b]) + np.arange(total[b] - total[a])
-        local = np.searchsorted(names[lo:hi], users[a:b])
-        cell = local[rated - a] * width + edges.code[edge]
-        cells = (hi - lo) * width
-        wanted = None
+        cell = histories.row[rated] * width + edges.code[edge]
+        order = np.argsort(cell)
+        cell, edge, rated = cell[order], edge[order], rated[order]
+        heads = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+        size, cells = np.diff(np.append(heads, len(cell))), cell[heads]
+        keep = np.ones(len(cells), bool)
         if unseen:
-            at = np.minimum(np.searchsorted(edges.targets, items[a:b]), width - 1)
-            wanted = np.ones(cells, bool)
-            wanted[(local * width + at)[edges.targets[at] == items[a:b]]] = False
+            seen = np.flatnonzero(column[a:b] >= 0) + a
+            keep &= ~_among(cells, histories.row[seen] * width + column[seen])
         if asked is not None:
-            u = np.minimum(np.searchsorted(names[lo:hi], asked[:, 0]), hi - lo - 1)
-            t = np.minimum(np.searchsorted(edges.targets, asked[:, 1]), width - 1)
-            known = (names[lo:hi][u] == asked[:, 0]) & (edges.targets[t] == asked[:, 1])
-            here = np.zeros(cells, bool)
-            here[(u * width + t)[known]] = True
-            wanted = here if wanted is None else wanted & here
-        if wanted is not None:
-            keep = wanted[cell]
-            cell, edge, rated = cell[keep], edge[keep], rated[keep]
-        found, score = _scored(edges, cell, edge, ratings[rated], rule, cells)
+            keep &= _among(cells, wanted[slice(*np.searchsorted(wanted, [lo * width, hi * width]))])
+        kept = np.repeat(keep, size)
+        cells, run = cells[keep], np.repeat(np.arange(int(keep.sum())), size[keep])
+        found, score = _scored(edges, run, edge[kept], histories.ratings[rated[kept]], rule, len(cells))
+        user, item = cells[found] // width, cells[found] % width
         if n is not None:
-            user = found // width
-            best = np.lexsort((found, -np.round(score, TIE_DIGITS), user))
-            user = user[best]
-            head = np.searchsorted(user, np.arange(hi - lo))
-            best = best[np.arange(len(best)) - head[user] < n]
-            found, score = found[best], score[best]
-        if len(found):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[lo:hi][found // width]), pa.array(edges.targets[found % width]), pa.array(score)], ["user_id", "item_id", "score"]
-            )
+            best = _best(user, item, score, n)
+            user, item, score = user[best], item[best], score[best]
+        if len(score):
+            yield names[user], edges.targets[item], score
         lo = hi
 
 
@@ -168,22 +197,19 @@ def sparse_scores(ratings: DataFrame, edges: DataFrame, rule: Rule, targets: Dat
         edges = edges.join(targets.select(F.col("item_id").alias("item_i")).distinct(), "item_i", "left_semi")
     edges = materialise(edges, "edges")
     rows = history.count()
+    n_edges = edges.count()
     cores = spark.sparkContext.defaultParallelism
+    item_blocks = max(1, -(-n_edges // EDGES_PER_BLOCK))
+    if item_blocks > 1:
+        return _routed_scores(history, edges, item_blocks, rows, rule, targets, n, unseen)
     user_blocks = max(1, -(-rows // RATINGS_PER_BLOCK), min(cores, rows // 5_000))
-    item_blocks = max(1, -(-edges.count() // EDGES_PER_BLOCK))
     left = _packed(history.withColumn("_ub", _block("user_id", user_blocks)), "_ub", {"user_id": "users", "item_id": "items", "rating": "ratings"})
-    right = _packed(edges.withColumn("_ib", _block("item_i", item_blocks)), "_ib", {"item_i": "targets", "item_j": "sources", "w": "weights", "f": "freqs"})
-    meetings = user_blocks * item_blocks
-    if item_blocks == 1:  # at most about EDGES_PER_BLOCK edges, so every task may have them
-        met = left.repartition(user_blocks, "_ub").join(F.broadcast(right.drop("_ib"))).withColumn("_ib", F.lit(0))
-    else:
-        left = left.withColumn("_ib", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))))
-        right = right.withColumn("_ub", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
-        met = left.repartition(meetings, "_ub", "_ib").join(right.repartition(meetings, "_ub", "_ib").hint("merge"), ["_ub", "_ib"])
+    right = _packed(edges.withColumn("_ib", F.lit(0)), "_ib", {"item_i": "targets", "item_j": "sources", "w": "weights", "f": "freqs"})
+    # at most about EDGES_PER_BLOCK edges, so every task may have them
+    met = left.repartition(user_blocks, "_ub").join(F.broadcast(right.drop("_ib")))
     if targets is not None:
-        blocks = targets.distinct().withColumn("_ub", _block("user_id", user_blocks)).withColumn("_ib", _block("item_id", item_blocks))
-        pairs = blocks.groupBy("_ub", "_ib").agg(F.collect_list(F.struct("user_id", "item_id")).alias("_t"))
-        met = met.join(pairs.select("_ub", "_ib", F.col("_t.user_id").alias("asked_users"), F.col("_t.item_id").alias("asked_items")), ["_ub", "_ib"])
+        pairs = _packed(targets.distinct().withColumn("_ub", _block("user_id", user_blocks)), "_ub", {"user_id": "asked_users", "item_id": "asked_items"})
+        met = met.join(pairs, "_ub")
     else:
         met = met.withColumn("asked_users", F.lit(None).cast("array<long>")).withColumn("asked_items", F.lit(None).cast("array<long>"))
     columns = ["users", "items", "ratings", "targets", "sources", "weights", "freqs", "asked_users", "asked_items"]
@@ -191,7 +217,139 @@ def sparse_scores(ratings: DataFrame, edges: DataFrame, rule: Rule, targets: Dat
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                cells = {c: batch.column(k)[i] for k, c in enumerate(columns)}
-                yield from _meeting({c: v.values.to_numpy(zero_copy_only=False) if v.is_valid else None for c, v in cells.items()}, rule, n, unseen)
+                yield from _meeting({c: _array(batch.column(k)[i]) for k, c in enumerate(columns)}, rule, n, unseen)
 
     return met.select(*columns).mapInArrow(work, SCHEMA)
+
+
+def _array(cell: pa.Scalar) -> np.ndarray | None:
+    return cell.values.to_numpy(zero_copy_only=False) if cell.is_valid else None
+
+
+def _routed_scores(
+    history: DataFrame, edges: DataFrame, item_blocks: int, rows: int, rule: Rule, targets: DataFrame | None, n: int | None, unseen: bool
+) -> DataFrame:
+    """The scores where there are many edges: a block of users is sent the edges of the items it has rated, no others.
+
+    Edges lie in blocks of rated items. A block packs the edges of an item once for every block of users that rated it,
+    so what is shuffled grows with the ratings and the edges of an item, not with all users times all edges. A task
+    holds one block of users and takes the edges of one block of targets after the other.
+    """
+    bounded_batches(history.sparkSession)
+    cores = history.sparkSession.sparkContext.defaultParallelism
+    user_blocks = max(1, -(-rows // (HELD_BLOCKS * RATINGS_PER_BLOCK)), min(2 * cores, rows // 5_000))
+    parts = max(1, -(-rows // (user_blocks * RATINGS_PER_BLOCK)))
+    place = _block("user_id", user_blocks * parts)
+    history = history.withColumn("_part", place).withColumn("_ub", F.floor(place / parts).cast("int"))
+    edges = edges.dropna(subset=["item_i", "item_j"])
+    sizes = edges.groupBy(F.col("item_j").alias("item_id")).agg(F.count("*").alias("size"))
+    raters = history.groupBy("item_id").agg(F.collect_set("_ub").alias("_ubs"))  # at most all blocks of users
+    needed = materialise(raters.join(sizes, "item_id").select("item_id", "size", F.explode("_ubs").alias("_ub")), "needed")
+    most = needed.groupBy("_ub").agg(F.sum("size").alias("n")).agg(F.max("n")).first()[0] or 0
+    target_blocks = max(1, -(-most // (HELD_BLOCKS * EDGES_PER_BLOCK)))
+    placed = edges.withColumn("_sb", _block("item_j", item_blocks)).withColumn("tb", _block("item_i", target_blocks).cast("long"))
+    lists = _packed(placed, "_sb", {"item_i": "targets", "item_j": "sources", "w": "weights", "f": "freqs", "tb": "blocks"})
+    sought = needed.withColumn("_sb", _block("item_id", item_blocks)).groupBy("_sb", "_ub").agg(F.collect_list("item_id").alias("sources"))
+    sent = lists.withColumn("_ub", F.lit(-1)).unionByName(sought, allowMissingColumns=True)
+    sent = sent.repartitionById(item_blocks, F.col("_sb")).sortWithinPartitions("_sb", "_ub")
+    pieces = sent.select("_ub", "targets", "sources", "weights", "freqs", "blocks").mapInArrow(lambda batches: _send(batches, rule), PIECES)
+    mine = (
+        history.groupBy("_ub", "_part")
+        .agg(F.collect_list(F.struct("user_id", "item_id", "rating")).alias("_r"))
+        .select("_ub", F.lit(-1).alias("_tb"), F.col("_r.user_id").alias("users"), F.col("_r.item_id").alias("items"), F.col("_r.rating").alias("ratings"))
+    )
+    met = mine.unionByName(pieces, allowMissingColumns=True)
+    if targets is not None:
+        asked = targets.distinct().withColumn("_ub", F.floor(place / parts).cast("int")).withColumn("_tb", _block("item_id", target_blocks))
+        asked = asked.groupBy("_ub", "_tb").agg(F.collect_list(F.struct("user_id", "item_id")).alias("_t"))
+        asked = asked.select("_ub", "_tb", F.col("_t.user_id").alias("users"), F.col("_t.item_id").alias("items"))
+        met = met.unionByName(asked, allowMissingColumns=True)
+    met = met.repartitionById(user_blocks, F.col("_ub")).sortWithinPartitions("_ub", "_tb")
+    ask = targets is not None
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _receive(batches, rule, ask, n, unseen)
+
+    return met.select("_ub", "_tb", "users", "items", "ratings", "size", "data").mapInArrow(work, SCHEMA)
+
+
+def _send(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """For each block of users the packed edges of the rated items it needs, one row per block of targets."""
+    edges, blocks = None, None
+    for batch in batches:
+        for i in range(batch.num_rows):
+            block = batch.column(0)[i].as_py()
+            if block < 0:
+                cells = [_array(batch.column(c)[i]) for c in range(1, 6)]
+                order = np.lexsort((cells[0], cells[4]))
+                *columns, tb = (c[order] for c in cells)
+                if rule.kind == "neighbours":
+                    some = columns[2] != 0
+                    columns, tb = [c[some] for c in columns], tb[some]
+                edges = _Edges(*columns, rule)
+                blocks = tb[np.argsort(columns[1], kind="stable")]
+                continue
+            first, count = edges.of(np.sort(_array(batch.column(2)[i])))
+            at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+            at = at[np.argsort(blocks[at], kind="stable")]
+            heads = np.flatnonzero(np.diff(blocks[at], prepend=-1))
+            ends = np.append(heads[1:], len(at))
+            data = [
+                squeezed([edges.source[x], edges.targets[edges.code[x]], edges.weight[x], edges.freq[x]]) for x in (at[a:b] for a, b in zip(heads, ends))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(heads), block, np.int32)), pa.array(blocks[at[heads]].astype(np.int32)), pa.array(ends - heads), pa.array(data, pa.binary())],
+                ["_ub", "_tb", "size", "data"],
+            )
+
+
+def _receive(batches: Iterator[pa.RecordBatch], rule: Rule, ask: bool, n: int | None, unseen: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of a block of users: its histories, then target block by target block the pairs asked for and the edges."""
+    kinds = [np.int64, np.int64, np.float64, np.float64]
+    here = None
+    parts: list[tuple] = []
+    asked: list[tuple] = []
+    pieces: list[list] = []
+    best: list[tuple] = []
+    histories = None
+
+    def meet() -> Iterator[tuple]:
+        if pieces and histories is not None and (asked or not ask):
+            source, target, w, f = (np.concatenate(c) for c in zip(*pieces))
+            pairs = tuple(np.concatenate(c) for c in zip(*asked)) if ask else None
+            yield from _met(histories, _Edges(target, source, w, f, rule), pairs, rule, n, unseen)
+
+    def met() -> Iterator[pa.RecordBatch]:
+        for found in meet():
+            if n is None:
+                yield _batch(*found)
+            else:
+                best.append(found)
+        if len(best) > 1:  # the best of all blocks of targets so far
+            users, items, scores = (np.concatenate(c) for c in zip(*best))
+            keep = _best(users, items, scores, n)
+            best[:] = [(users[keep], items[keep], scores[keep])]
+        asked.clear()
+        pieces.clear()
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            block, target_block = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            if here != (block, target_block):
+                yield from met()
+                if here is None or here[0] != block:
+                    yield from (_batch(*found) for found in best)
+                    best.clear()
+                    parts, histories = [], None
+                here = block, target_block
+            if target_block < 0:
+                parts.append(tuple(_array(batch.column(c)[i]) for c in (2, 3, 4)))
+                continue
+            if histories is None and parts:
+                histories, parts = _Histories(*(np.concatenate(c) for c in zip(*parts))), []
+            if batch.column(6)[i].is_valid:
+                pieces.append(unsqueezed(batch.column(5)[i].as_py(), batch.column(6)[i].as_buffer(), kinds))
+            else:
+                asked.append((_array(batch.column(2)[i]), _array(batch.column(3)[i])))
+    yield from met()
+    yield from (_batch(*found) for found in best)
