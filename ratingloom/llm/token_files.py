@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
@@ -41,8 +42,20 @@ REMEMBERED = 2_000_000  # pieces of text whose ids a worker process keeps from t
 ENCODED_AT_ONCE = 2_000
 LEVEL = 3
 
-_STOPS = np.zeros(256, bool)
-_STOPS[list(b".,;:!?")] = True
+MARK = "\x01"  # stands between pieces that are encoded together
+WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")  # one word to the tokenizer
+
+#: Bytes by what a cut next to them needs: letters and digits 1, punctuation 2, the apostrophe, which may begin a token with letters, 3.
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = 2
+_KINDS[0x27] = 3
+_KINDS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+_CUTS = np.zeros(16, bool)
+_CUTS[[1 * 4 + 2, 1 * 4 + 3, 2 * 4 + 1]] = True
+#: `<`, and first bytes of other characters than U+00C0 to U+00FF and U+0140 to U+017F.
+_FOREIGN = np.zeros(256, bool)
+_FOREIGN[[0x3C, *range(0xC0, 0x100)]] = True
+_FOREIGN[[0xC3, 0xC5]] = False
 _ENTRY = np.dtype([("compressed", "<u4"), ("raw", "<u4"), ("checksum", "<u4")])
 _DOC = np.dtype([("doc_id", "<i8"), ("known", "u1")])
 
@@ -51,29 +64,41 @@ def _checksum(raw: bytes) -> int:
     return xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 def pieces(w: tp.Words) -> tp.Words:
     """The words as pieces to encode.
 
-    Two steps make more of them equal. A word of ASCII bytes without `<`, where special tokens begin, is lower-cased,
-    as the tokenizer does anyway. One of `.,;:!?` at its end is cut off behind a letter or digit, where the tokenizer
-    cuts too.
+    Two steps make more of them equal, in words of ASCII bytes without `<`, where special tokens begin, and letters of
+    Latin-1 and U+0140 to U+017F, whose small forms are letters without marks. Letters up to U+00DE are lower-cased,
+    as the tokenizer does anyway. Punctuation is cut from the letters and digits before and behind it, where the
+    tokenizer cuts too; but not behind an apostrophe, which may take letters along.
     """
-    foreign = np.concatenate([[0], np.cumsum((w.data >= 0x80) | (w.data == 0x3C))])
-    plain = foreign[w.ends] == foreign[w.starts]
-    lowered = w.data.copy()
-    lower_at = np.zeros(len(w.data) + 1, np.int8)
-    lower_at[w.starts[plain]] += 1
-    lower_at[w.ends[plain]] -= 1
-    inside = np.cumsum(lower_at[:-1], dtype=np.int8) > 0
-    lowered[inside] = tp.LOWER[lowered[inside]]
-    last, before = lowered[w.ends - 1], lowered[np.maximum(w.ends - 2, 0)]
-    cut = plain & (w.ends - w.starts > 1) & _STOPS[last] & ~tp.NOT_ALNUM[before]
-    n = 1 + cut.astype(np.int64)
-    first = np.cumsum(n) - n
-    starts, ends = np.repeat(w.starts, n), np.repeat(w.ends, n)
-    ends[first[cut]] -= 1
-    starts[first[cut] + 1] = ends[first[cut]]
-    return tp.Words(lowered, starts, ends, np.concatenate([[0], np.cumsum(n)])[w.bounds])
+    data = w.data
+    if not len(w.starts):
+        return w
+    latin = np.flatnonzero(data == 0xC3) + 1
+    latin = latin[latin < len(data)]
+    signs = latin[(data[latin] == 0x97) | (data[latin] == 0xB7)]
+    foreign = np.concatenate([np.flatnonzero(_FOREIGN[data]), signs])
+    word = np.searchsorted(w.starts, foreign, "right") - 1
+    plain = np.ones(len(w.starts), bool)
+    plain[word[(word >= 0) & (foreign < w.ends[word])]] = False
+    lowered = tp.LOWER[data]
+    lowered[latin[(data[latin] >= 0x80) & (data[latin] < 0x9F)]] += 0x20
+    other = np.flatnonzero(~plain)
+    at = _ranges(w.starts[other], w.ends[other] - w.starts[other])
+    lowered[at] = data[at]
+    kinds = _KINDS[data]
+    inner = np.flatnonzero(_CUTS[kinds[:-1] * 4 + kinds[1:]]) + 1
+    word = np.searchsorted(w.starts, inner, "right") - 1
+    inner = inner[(word >= 0) & plain[word] & (inner > w.starts[word]) & (inner < w.ends[word])]
+    edge = np.zeros((2, len(data) + 1), bool)
+    edge[0, w.starts], edge[1, w.ends], edge[:, inner] = True, True, True
+    before = np.append(np.searchsorted(inner, w.starts), len(inner))
+    return tp.Words(lowered, np.flatnonzero(edge[0]), np.flatnonzero(edge[1]), w.bounds + before[w.bounds])
 
 
 class _Known:
@@ -82,25 +107,31 @@ class _Known:
     def __init__(self, tokenizer, kind: str):
         self.tokenizer, self.kind = tokenizer, np.dtype(kind)
         self.hashes, self.first, self.n, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind)
+        mark = tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.ends = None  # which ids end a word
+        suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+        if suffix:
+            vocabulary = tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
     def ids_of(self, p: tp.Words) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the pieces in order, and n + 1 bounds by piece."""
         hashes = tp.word_hashes(p)
-        distinct, at = np.unique(hashes, return_index=True)
+        distinct, at, back = np.unique(hashes, return_index=True, return_inverse=True)
         place = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
         new = self.hashes[place] != distinct if len(self.hashes) else np.ones(len(distinct), bool)
-        found = [np.zeros(0, np.uint32)]
-        sizes: list[int] = []
+        found, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         at = at[new]
         for lo in range(0, len(at), ENCODED_AT_ONCE):
             some = at[lo : lo + ENCODED_AT_ONCE]
-            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(tp.strings(p.data, p.starts[some], p.ends[some]).to_pylist(), add_special_tokens=False)]
-            sizes += map(len, encoded)
-            found.append(np.fromiter((i for ids in encoded for i in ids), np.uint32))
-        fresh = np.concatenate(found)
+            ids, n = self._encoded(tp.strings(p.data, p.starts[some], p.ends[some]).to_pylist())
+            found.append(ids)
+            sizes.append(n)
+        fresh, n = np.concatenate(found), np.concatenate(sizes)
         if fresh.max(initial=0) > np.iinfo(self.kind).max:
             raise ValueError("ids need a width of 4 bytes")
-        n = np.array(sizes, np.int64)
         where = np.searchsorted(self.hashes, distinct[new])
         all_hashes = np.insert(self.hashes, where, distinct[new])
         first = np.insert(self.first, where, len(self.ids) + np.cumsum(n) - n)
@@ -108,11 +139,46 @@ class _Known:
         ids = np.concatenate([self.ids, fresh.astype(self.kind)])
         if len(all_hashes) <= REMEMBERED:
             self.hashes, self.first, self.n, self.ids = all_hashes, first, total, ids
-        at = np.searchsorted(all_hashes, hashes)
+        at = np.searchsorted(all_hashes, distinct)[back]
         n = total[at]
         bounds = np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
         return ids[np.arange(bounds[-1]) + np.repeat(first[at] - bounds[:-1], n)], bounds
 
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts and their number by text.
+
+        Texts of letters are encoded as one, told apart by the ids that end a word, where the tokenizer has such; then
+        the others, told apart by the mark behind each. If there are not as many ends as texts, they are encoded one by one.
+        """
+        word = np.array([WORD.fullmatch(t) is not None for t in texts], bool)
+        if self.ends is None or word.all() or not word.any():
+            return self._split(texts, bool(word.all()))
+        parts = [self._split([t for t, x in zip(texts, word, strict=True) if x == kind], kind) for kind in (True, False)]
+        n, first = np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)
+        n[word], n[~word] = parts[0][1], parts[1][1]
+        first[word] = np.cumsum(parts[0][1]) - parts[0][1]
+        first[~word] = np.cumsum(parts[1][1]) - parts[1][1] + len(parts[0][0])
+        return np.concatenate([parts[0][0], parts[1][0]])[_ranges(first, n)], n
+
+    def _split(self, texts: list[str], words: bool) -> tuple[np.ndarray, np.ndarray]:
+        if words and self.ends is not None:
+            ids = self._ids(" ".join(texts))
+            ends = np.flatnonzero(self.ends[ids])
+            if len(ends) == len(texts) and ends[-1] == len(ids) - 1:
+                return ids, np.diff(ends, prepend=-1)
+        if self.mark is not None:
+            joined = f" {MARK} ".join([*texts, ""])
+            if joined.count(MARK) == len(texts):
+                ids = self._ids(joined)
+                ends = np.flatnonzero(ids == self.mark)
+                if len(ends) == len(texts):
+                    return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter((i for ids in encoded for i in ids), np.uint32), np.array([len(ids) for ids in encoded], np.int64)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
 
 _memories: dict[tuple[str, int], _Known] = {}
 
@@ -132,8 +198,8 @@ def encode(docs: DataFrame, tokenizer_file: str, end_id: int, width: int = 2) ->
     """doc_id and the frame of its ids, ``end_id`` last.
 
     Text is cut at ASCII white space and each distinct piece is encoded once in a worker process, told by a 64-bit
-    hash, as long as the process can keep its ids. This is exact for tokenizers that lower-case, drop white space, split letters from
-    punctuation and never join what stands on two sides of a cut.
+    hash, as long as the process can keep its ids. This is exact for tokenizers that lower-case, drop white space, split
+    letters from punctuation, never join what stands on two sides of a cut and leave out no character.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
