@@ -12,9 +12,11 @@ from pyspark.sql.window import Window
 
 from ratingloom.functions.columns import tie_safe
 from ratingloom.operators.prepare import with_titles
+from ratingloom.session import bounded_batches
 
 BLOCK_ROWS = 2048
 MEETINGS_PER_TASK = 64
+MOST_ROWS = 16_384  # of a block of a large table; BLOCK_ROWS of each side are multiplied at a time
 BROADCAST_BLOCKS = 4  # blocks of BLOCK_ROWS factor rows that every task may be sent
 
 
@@ -74,7 +76,7 @@ def apply_seen(scores: DataFrame, ratings: DataFrame, policy: str) -> DataFrame:
 
 
 def _packed(factors: DataFrame, key: str, vector: str, block: str, blocks: int, prefix: str) -> DataFrame:
-    """Factor rows packed into about BLOCK_ROWS per block, chosen by hash of the id."""
+    """Factor rows packed into blocks chosen by hash of the id."""
     entry = F.struct(F.col(key).alias("id"), F.col(vector).alias("v"))
     return (
         factors.withColumn(block, F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
@@ -104,8 +106,13 @@ def score_blocks(
     returns only the n best unseen items per user, so the full score matrix never exists as rows. The
     seen pairs of a meeting travel with it, so no over-fetching is needed.
     """
-    user_blocks = max(1, -(-users.count() // block_rows))
-    item_blocks = max(1, -(-items.count() // block_rows))
+    bounded_batches(users.sparkSession)
+    n_users, n_items = users.count(), items.count()
+    cores = users.sparkSession.sparkContext.defaultParallelism
+    if block_rows == BLOCK_ROWS and n_items > BROADCAST_BLOCKS * BLOCK_ROWS:  # larger blocks are shuffled less often
+        block_rows = max(BLOCK_ROWS, min(MOST_ROWS, int((n_users * n_items / (4 * cores)) ** 0.5)))
+    user_blocks = max(1, -(-n_users // block_rows))
+    item_blocks = max(1, -(-n_items // block_rows))
     left = _packed(users, "user_id", "p", "_ub", user_blocks, "u").withColumn(
         "_ib", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1)))
     )
@@ -116,7 +123,7 @@ def score_blocks(
         met = left.join(F.broadcast(right), "_ib")
     else:
         # both sides are repeated and meet by both numbers, so no task gets all user blocks of an item block
-        tasks = -(-meetings // MEETINGS_PER_TASK)
+        tasks = max(-(-meetings // MEETINGS_PER_TASK), min(meetings, 4 * cores))
         right = right.withColumn("_ub", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
         met = left.repartition(tasks, "_ub", "_ib").join(right.repartition(tasks, "_ub", "_ib").hint("merge"), ["_ub", "_ib"])
     if seen is not None:
@@ -152,23 +159,55 @@ def _best_rows(row, n: int) -> pd.DataFrame:
     items = items[by_id]
     p = np.asarray(row.u_flat, dtype=float).reshape(users.size, -1)
     q = np.asarray(row.i_flat, dtype=float).reshape(items.size, -1)[by_id]
-    scores = p @ q.T
+    r, c = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if row.s_users is not None and len(row.s_users):
         order = np.argsort(users)
         r = order[np.searchsorted(users[order], np.asarray(row.s_users))]
         c = np.searchsorted(items, np.asarray(row.s_items))
         known = (c < items.size) & (items[np.minimum(c, items.size - 1)] == np.asarray(row.s_items))
-        scores[r[known], c[known]] = -np.inf
-    top = np.argsort(-np.round(scores, 9), axis=1, kind="stable")[:, :n]
-    best = np.take_along_axis(scores, top, axis=1)
-    keep = np.isfinite(best)
-    return pd.DataFrame(
-        {
-            "user_id": np.repeat(users, top.shape[1])[keep.ravel()],
-            "item_id": items[top][keep],
-            "score": best[keep],
-        }
-    )
+        r, c = r[known], c[known]
+    out = [_best_of_tiles(p[low : low + BLOCK_ROWS], q, r[inside] - low, c[inside], n)
+           for low in range(0, users.size, BLOCK_ROWS) for inside in [(r >= low) & (r < low + BLOCK_ROWS)]]
+    height = np.concatenate([np.full(len(x[0]), k * BLOCK_ROWS) for k, x in enumerate(out)]) if out else r
+    user, item, score = (np.concatenate(x) for x in zip(*out)) if out else (r, c, np.zeros(0))
+    return pd.DataFrame({"user_id": users[user + height], "item_id": items[item], "score": score})
+
+
+def _best_of_tiles(p: np.ndarray, q: np.ndarray, r: np.ndarray, c: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """Row, column and value of the ``n`` best of every row of p.q without the cells (r, c), ties by column.
+
+    A tile only gives up what reaches the n-th best found so far, so no row of scores is sorted.
+    """
+    least, found = np.full(len(p), -np.inf), []
+    for low in range(0, len(q), BLOCK_ROWS):
+        scores = p @ q[low : low + BLOCK_ROWS].T
+        here = (c >= low) & (c < low + BLOCK_ROWS)
+        scores[r[here], c[here] - low] = -np.inf
+        scores[np.isnan(scores)] = -np.inf
+        least = np.maximum(least, _reached(scores, n))
+        row, column = np.nonzero(scores >= least[:, None])
+        found.append((row, column + low, scores[row, column]))
+    row, column, score = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((column, -np.round(score, 9), row))
+    row, column, score = row[order], column[order], score[order]
+    keep = (np.arange(len(row)) - np.searchsorted(row, row) < n) & np.isfinite(score)
+    return row[keep], column[keep], score[keep]
+
+
+def _reached(scores: np.ndarray, n: int) -> np.ndarray:
+    """Per row a bound that its n best values reach, also after rounding to nine digits."""
+    height, width = scores.shape
+    groups = max(128, 4 * n)
+    if width >= 4 * groups:  # the n largest maxima of groups of columns are n values of the row
+        deep = width // groups
+        scores = scores[:, : deep * groups].reshape(height, deep, groups).max(axis=1)
+        width = groups
+    if width <= n:
+        return np.full(height, -np.inf)
+    bound = np.partition(scores, width - n, axis=1)[:, width - n]
+    some = np.isfinite(bound)
+    bound[some] -= 1e-9 + np.abs(bound[some]) * 1e-15
+    return bound
 
 
 def sample_user(ratings: DataFrame, low: int = 5, high: int = 20) -> DataFrame:
