@@ -14,6 +14,7 @@ from ratingloom.plans import sqltrain as st
 from ratingloom.plans.core import ROUNDS, _pagerank_sql
 from ratingloom.plans.registry import query
 from ratingloom.sources import views
+from ratingloom.sources.views import stored
 
 r6 = sp.r6
 STEPS = 2
@@ -196,7 +197,8 @@ def _(spark, sf):
 
 @query("x1_negative_samples_parts", f"WITH r AS MATERIALIZED ({sp.PARTS}){st.NEGATIVE_TABLES}{st.negatives('n', '5', 1)} SELECT * FROM n")
 def _(spark, sf):
-    drawn = ranking.NegativeSampler(views.ratings_parts(spark, sf)).draw(1, seed=5)
+    positives = stored(views.ratings_parts(spark, sf).select("user_id", "item_id"))  # the sampler reads them four times
+    drawn = ranking.NegativeSampler(positives).draw(1, seed=5)
     return drawn.withColumn("draw", F.col("draw").cast("long"))
 
 
