@@ -2,8 +2,9 @@
 
 An iteration adds item vectors up per user into a profile, takes the gradients of both sides from the errors, and
 gives each user's summed gradient back to the items of the history. Where every history lies in one block of
-``routed``, that is one pass; where a history is spread over several blocks, it is three, with the sums per user
-added up in between. A vector travels once per block that needs it, never with a rating. Gradients are means per
+``routed``, that is one local pass, and user vectors stay with their block; where a history is spread over several
+blocks, it is three, with the sums per user added up in between. A vector travels once per block that needs it, never
+with a rating. Gradients are means per
 id, and a history vector takes the mean over the ratings of all histories that hold the item.
 
 Defined results: rows with a null id or rating (for FISM a null id) are left out, and an id that has only such rows
@@ -32,7 +33,7 @@ from ratingloom.operators.gradient import (
     run_iterations,
     start,
 )
-from ratingloom.operators.routed import Blocks, sums_pass, whole_sums
+from ratingloom.operators.routed import Blocks, sums_pass, whole_sums, with_ones
 from ratingloom.session import delete_path, materialise, scratch_path
 
 Keep = Callable[[DataFrame, str], DataFrame]
@@ -60,25 +61,6 @@ def _descended(side: str, rows: DataFrame, layout: Layout, lr: float, reg: dict[
     return rows.select(F.lit(side).alias("side"), "id", F.coalesce(moved, F.col("v")).alias("v"))
 
 
-def _by_owner(o: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sums of the rows per owner of a block; ratings are in the order of their owners."""
-    return np.add.reduceat(rows, np.flatnonzero(np.diff(o, prepend=-1)), axis=0)
-
-
-def _one_pass(
-    blocks: Blocks, keep: Keep, users: DataFrame, items: DataFrame, widths: tuple[int, int], kernel: routed.PassKernel, parts: tuple[int, int]
-) -> tuple[DataFrame, DataFrame]:
-    """Users' sums (id, n, g) and items' sums (id, n, g, m, h) where no history is spread over blocks.
-
-    An item's row of the kernel is g, then h, ``parts`` entries long, then m, the weight of h.
-    """
-    sums = keep(sums_pass(blocks, users, items, widths, kernel), "sums")
-    whole = whole_sums(sums, ITEM, sum(parts) + 1)
-    last = F.element_at("g", -1).alias("m")
-    split = whole.select("id", "n", F.slice("g", 1, parts[0]).alias("g"), last, F.slice("g", parts[0] + 1, parts[1]).alias("h"))
-    return sums.filter(F.col("side") == USER).select("id", "n", "g"), split
-
-
 def _with_returned(sums: DataFrame, width: int, returned: DataFrame) -> DataFrame:
     """Items' sums (id, n, g, m, h) of the second and the third pass."""
     back = returned.select("id", F.col("n").alias("m"), F.col("g").alias("h"))
@@ -103,6 +85,58 @@ def _iterate(factors: Factors, step: Callable[[Factors, Keep], DataFrame], itera
     return run_iterations(factors, one, iterations, track, model)
 
 
+def _iterate_locally(
+    factors: Factors, blocks: Blocks, kernel: routed.LocalKernel, parts: tuple[int, int], shrink: tuple, iterations: int, track, model=None
+) -> Factors:
+    """Iterations of one local pass each, for histories that lie in one block.
+
+    An item's sums of the kernel are g, then h, ``parts`` entries long, then m, the weight of h. ``shrink``: the learning
+    rate and the item weights by name.
+    """
+    spark, (lr, reg) = factors.state.sparkSession, shrink
+    known = factors.state.select("side", F.col("id").cast("long").alias("id"), "v")
+    widths = factors.user.width, factors.item.width
+    lam = np.array(factors.item.per_entry(reg))
+    users = _side(known, USER)
+    unrated = users.join(blocks.flags.select("id").hint("merge"), "id", "left_anti").select(F.lit(USER).alias("side"), "id", "v")
+    nameless = known.filter((F.col("side") == ITEM) & F.col("id").isNull())
+    still = materialise(unrated.unionByName(nameless), "still")
+    packed = materialise(blocks.placed(users, widths[0]), "placed") if widths[0] else None
+    items, folders, written = _side(known, ITEM).filter("id IS NOT NULL"), [], None
+
+    def update(v, g, n):
+        m = g[:, -1:]
+        pushed = np.where(m > 0, g[:, parts[0] : -1] / np.where(m > 0, m, 1.0), 0.0)
+        return v * (1.0 - lr * lam) + lr * np.concatenate([g[:, : parts[0]] / n, pushed], axis=1)
+
+    def state() -> DataFrame:
+        rows = items.select(F.lit(ITEM).alias("side"), "id", "v").unionByName(still)
+        if packed is None:
+            return rows
+        return routed.owner_rows(written, widths[0]).select(F.lit(USER).alias("side"), "id", "v").unionByName(rows)
+
+    def step(f: Factors) -> Factors:
+        nonlocal packed, items, written
+        folders.append(scratch_path(spark, "iteration"))
+        routed.local_pass(blocks, packed, items, widths, kernel).write.parquet(f"{folders[-1]}/pass")
+        written = spark.read.schema(routed.LOCAL).parquet(f"{folders[-1]}/pass")
+        sums = written.filter(F.col("side") == ITEM).select("id", "n", "g")
+        routed.descended(items, sums, widths[1], sum(parts) + 1, update).write.parquet(f"{folders[-1]}/items")
+        items = spark.read.schema("id long, v array<double>").parquet(f"{folders[-1]}/items")
+        if packed is not None:
+            packed = written.filter(F.col("side") == USER).select(F.col("id").alias("block"), "p")
+        if len(folders) > 2:  # the changes are taken from the last two states
+            delete_path(spark, folders[-3])
+        return replace(f, state=state())
+
+    done = run_iterations(factors, step, iterations, track, model)
+    if folders:
+        done = replace(done, state=materialise(done.state, "state"))
+        for folder in folders[-2:]:
+            delete_path(spark, folder)
+    return done
+
+
 # ---- SVD++ -------------------------------------------------------------------------------------
 
 
@@ -152,13 +186,16 @@ def fit_svdpp(
     def back(p, q, o, t, r):
         return None, {ITEM: (p[o, k], p[o, :k])}
 
-    def whole(p, q, o, t, r):
-        n = np.bincount(o).astype(float)[:, None]
-        z = _by_owner(o, q[t, k + 1 :]) / np.sqrt(n)
-        err, found = errors(np.concatenate([p[:, :k] + z, p[:, k:]], axis=1), q[:, : k + 1], o, t, r)
-        pushed = np.concatenate([_by_owner(o, found[USER][1])[:, :k] / np.sqrt(n), n], axis=1)
-        m, h = back(pushed, q, o, t, r)[1][ITEM]
-        return err, {USER: found[USER], ITEM: (None, np.concatenate([found[ITEM][1], h, m[:, None]], axis=1))}
+    lam_u = np.array(user.per_entry(reg[USER]))
+
+    def whole(p, q, cells, r):
+        n = cells.owner_counts[:, None]
+        x = p[:, :k] + cells.to_owners(None, q[:, k + 1 :]) / np.sqrt(n)
+        err = r - mean - p[cells.o, k] - q[cells.t, k] - cells.products(x, q[:, :k])
+        g = cells.to_owners(err, with_ones(q[:, :k]))
+        back = cells.to_others(None, g[:, :k] / np.sqrt(n)), cells.other_sums(n[cells.o, 0])[:, None]
+        new = p * (1.0 - lr * lam_u) + lr * (g / n)
+        return new, 0.0, None, cells.other_counts, np.concatenate([cells.to_others(err, with_ones(x)), *back], axis=1), None
 
     def passes(f: Factors, keep: Keep, old_users: DataFrame) -> tuple[DataFrame, DataFrame]:
         profiled = old_users.join(_implicit(blocks, f), "id").select(
@@ -174,10 +211,7 @@ def fit_svdpp(
 
     def step(f: Factors, keep: Keep) -> DataFrame:
         old_users, old_items = _side(f.state, USER), _side(f.state, ITEM)
-        if blocks.any_split:
-            users, items = passes(f, keep, old_users)
-        else:
-            users, items = _one_pass(blocks, keep, old_users, old_items, (k + 1, 2 * k + 1), whole, (k + 1, k))
+        users, items = passes(f, keep, old_users)
         return _descended(USER, old_users.join(users, "id", "left"), user, lr, reg[USER], _share("g", "n")).unionByName(
             _descended(ITEM, old_items.join(items, "id", "left"), item, lr, reg[ITEM], F.concat(_share("g", "n"), _share("h", "m")))
         )
@@ -186,7 +220,10 @@ def fit_svdpp(
         return _implicit(blocks, f).select(F.col("id").alias("user_id"), "z")
 
     model = RatingModel(factors, joiner, _svdpp_prediction, profile)
-    model.factors = _iterate(factors, step, iterations, track, model)
+    if blocks.any_split:
+        model.factors = _iterate(factors, step, iterations, track, model)
+    else:
+        model.factors = _iterate_locally(factors, blocks, whole, (k + 1, k), (lr, reg[ITEM]), iterations, track, model)
     return model
 
 
@@ -243,14 +280,16 @@ def fit_asvd(
         given = p[o, :k]
         return None, {ITEM: (p[o, k], np.concatenate([gap[:, None] * given, given], axis=1))}
 
-    def whole(p, q, o, t, r):
-        n = np.bincount(o).astype(float)[:, None]
-        gap = r - mean - p[o, 0] - q[t, k]
-        z = _by_owner(o, gap[:, None] * q[t, k + 1 : 2 * k + 1] + q[t, 2 * k + 1 :]) / np.sqrt(n)
-        err, found = errors(np.concatenate([z, p], axis=1), q[:, : k + 1], o, t, r)
-        pushed = np.concatenate([_by_owner(o, found[USER][1])[:, :k] / np.sqrt(n), n, p], axis=1)
-        m, h = back(pushed, q[:, k : k + 1], o, t, r)[1][ITEM]
-        return err, {USER: found[USER], ITEM: (None, np.concatenate([found[ITEM][1], h, m[:, None]], axis=1))}
+    def whole(p, q, cells, r):
+        n = cells.owner_counts[:, None]
+        gap = r - mean - p[cells.o, 0] - q[cells.t, k]
+        z = (cells.to_owners(gap, q[:, k + 1 : 2 * k + 1]) + cells.to_owners(None, q[:, 2 * k + 1 :])) / np.sqrt(n)
+        err = gap - cells.products(z, q[:, :k])
+        g = cells.to_owners(err, with_ones(q[:, :k]))
+        given = g[:, :k] / np.sqrt(n)
+        back = cells.to_others(gap, given), cells.to_others(None, given), cells.other_sums(n[cells.o, 0])[:, None]
+        new = p * (1.0 - lr * lambda_bu) + lr * (g[:, k:] / n)
+        return new, 0.0, None, cells.other_counts, np.concatenate([cells.to_others(err, with_ones(z)), *back], axis=1), None
 
     def passes(f: Factors, keep: Keep, old_users: DataFrame) -> tuple[DataFrame, DataFrame]:
         profiled = old_users.join(_asymmetric(blocks, f), "id").select("id", F.concat("z", "v").alias("v"))
@@ -266,10 +305,7 @@ def fit_asvd(
 
     def step(f: Factors, keep: Keep) -> DataFrame:
         old_users, old_items = _side(f.state, USER), _side(f.state, ITEM)
-        if blocks.any_split:
-            users, items = passes(f, keep, old_users)
-        else:
-            users, items = _one_pass(blocks, keep, old_users, old_items, (1, 3 * k + 1), whole, (k + 1, 2 * k))
+        users, items = passes(f, keep, old_users)
         bias = F.slice(_share("g", "n"), k + 1, 1)
         return _descended(USER, old_users.join(users, "id", "left"), user, lr, reg[USER], bias).unionByName(
             _descended(ITEM, old_items.join(items, "id", "left"), item, lr, reg[ITEM], F.concat(_share("g", "n"), _share("h", "m")))
@@ -279,7 +315,10 @@ def fit_asvd(
         return _asymmetric(blocks, f).select(F.col("id").alias("user_id"), "z")
 
     model = RatingModel(factors, joiner, _asvd_prediction, profile)
-    model.factors = _iterate(factors, step, iterations, track, model)
+    if blocks.any_split:
+        model.factors = _iterate(factors, step, iterations, track, model)
+    else:
+        model.factors = _iterate_locally(factors, blocks, whole, (k + 1, 2 * k), (lr, reg[ITEM]), iterations, track, model)
     return model
 
 
@@ -390,12 +429,17 @@ def fit_fism(
         err, norm, _ = _fism_errors(k, alpha, p[:, : k + 1], q, o, t)
         return None, {ITEM: (p[o, k] - 1, norm[:, None] * (p[o, k + 1 :] - err[:, None] * q[t, :k]))}
 
-    def whole(p, q, o, t, r):
-        n = np.bincount(o).astype(float)[:, None]
-        x = np.concatenate([_by_owner(o, q[t, k + 1 :]), n], axis=1)
-        found = errors(x, q, o, t, r)[1]
-        m, h = back(np.concatenate([x, _by_owner(o, found[USER][1])], axis=1), q, o, t, r)[1][ITEM]
-        return None, {ITEM: (None, np.concatenate([found[ITEM][1], h, m[:, None]], axis=1))}
+    def whole(p, q, cells, r):
+        rest = cells.owner_counts - 1
+        norm = np.where(rest > 0, np.maximum(rest, 1.0) ** -alpha, 0.0)[cells.o]
+        total, own = cells.to_owners(None, q[:, k + 1 :]), (q[:, :k] * q[:, k + 1 :]).sum(axis=1)
+        err = 1.0 - q[cells.t, k] - norm * (cells.products(total, q[:, :k]) - own[cells.t])
+        scaled = err * norm
+        less = cells.other_sums(scaled)[:, None]
+        to_q = cells.to_others(scaled, total) - less * q[:, k + 1 :]
+        to_p = cells.to_others(norm, cells.to_owners(err, q[:, :k])) - less * q[:, :k]
+        found = to_q, cells.other_sums(err)[:, None], to_p, cells.other_sums(rest[cells.o])[:, None]
+        return None, 0.0, None, cells.other_counts, np.concatenate(found, axis=1), None
 
     def passes(f: Factors, keep: Keep, items: DataFrame) -> DataFrame:
         users = keep(replace(model, factors=f).profiled(), "profiles")
@@ -406,12 +450,12 @@ def fit_fism(
 
     def step(f: Factors, keep: Keep) -> DataFrame:
         items = _side(f.state, ITEM)
-        if blocks.any_split:
-            met = passes(f, keep, items)
-        else:
-            met = _one_pass(blocks, keep, blocks.flags, items, (1, 2 * k + 1), whole, (k + 1, k))[1]
+        met = passes(f, keep, items)
         gradient = F.concat(_share("g", "n"), _share("h", "m"))
         return _descended(ITEM, items.join(met, "id", "left"), item, lr, {"q": lam, "b": lam, "p": lam}, gradient)
 
-    model.factors = _iterate(model.factors, step, iterations, False)
+    if blocks.any_split:
+        model.factors = _iterate(model.factors, step, iterations, False)
+    else:
+        model.factors = _iterate_locally(model.factors, blocks, whole, (k + 1, k), (lr, {"q": lam, "b": lam, "p": lam}), iterations, False)
     return model

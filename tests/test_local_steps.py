@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratingloom.operators import gradient, routed
+from ratingloom.operators import gradient, profiles, routed
 
 
 @pytest.fixture
@@ -48,6 +48,17 @@ def test_users_are_sent_once_however_many_steps(ratings, sent):
     assert sent.count("owners") == 1 and sent.count("others") == 3
 
 
+@pytest.mark.parametrize("fit", [profiles.fit_svdpp, profiles.fit_asvd, profiles.fit_fism])
+def test_profile_models_send_users_at_most_once(spark, sent, fit):
+    rows = [(1, 1, 2.0), (1, 2, 4.0), (2, 1, 5.0), (3, 2, 1.0), (None, 2, 3.0), (3, None, 3.0), (4, 9, None)]
+    model = fit(spark.createDataFrame(rows, "user_id long, item_id long, rating double"), 2, 2)
+    assert sent.count("owners") == (fit is not profiles.fit_fism) and sent.count("others") == 2
+    ids = {(r.side, r.id) for r in model.factors.state.collect()}
+    assert {("i", None), ("i", 9)} < ids  # ids without a rating keep a row
+    if fit is not profiles.fit_fism:
+        assert {("u", None), ("u", 4)} < ids
+
+
 def test_steps_broadcast_nothing(ratings):
     blocks = routed.Blocks.of(ratings)
     items = gradient.start(ratings, gradient.Layout(), gradient.Layout(q=2), 0, 1.0, 0.0).filter(F.col("side") == "i")
