@@ -110,15 +110,13 @@ def _packed_pairs(columns: list[np.ndarray]) -> bytes:
     whole = (n > 1) | np.isnan(a) | np.isnan(b)
     parts = [np.diff(i, prepend=0), np.diff(j, prepend=0), n, np.diff(np.flatnonzero(whole), prepend=0)]
     for value in (a[~whole], b[~whole], *(v[whole] for v in sums)):
-        bits = np.ascontiguousarray(value).view(np.int64)
-        table, code = np.unique(bits, return_inverse=True)
-        parts += [table, code] if 2 * len(table) <= len(bits) else [bits, bits[:0]]
+        parts += coded(value)
     return packed_arrays(parts)
 
 
 def _unpack(data: pa.Buffer) -> list[np.ndarray]:
-    i, j, n, at, *coded = unpacked_arrays(data)
-    a, b, *sums = ((table[code] if len(code) else table).view(np.float64) for table, code in zip(coded[::2], coded[1::2]))
+    i, j, n, at, *codes = unpacked_arrays(data)
+    a, b, *sums = (decoded(*c) for c in zip(codes[::2], codes[1::2]))
     whole = np.zeros(len(i), bool)
     whole[np.cumsum(at)] = True
     columns = [np.cumsum(i), np.cumsum(j), n]
@@ -129,6 +127,17 @@ def _unpack(data: pa.Buffer) -> list[np.ndarray]:
     return columns
 
 
+def coded(value: np.ndarray) -> list[np.ndarray]:
+    """Numbers as places in a table of the distinct ones, where that is shorter."""
+    bits = np.ascontiguousarray(value, np.float64).view(np.int64)
+    table, code = np.unique(bits, return_inverse=True)
+    return [table, code] if 2 * len(table) <= len(bits) else [bits, bits[:0]]
+
+
+def decoded(table: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return (table[code] if len(code) else table).view(np.float64)
+
+
 def packed_arrays(parts: list[np.ndarray]) -> bytes:
     """Arrays of 8-byte integers compressed, with the bytes of equal weight of an array together."""
     raw = np.array([len(parts), *map(len, parts)], np.int64).tobytes()
@@ -147,20 +156,6 @@ def unpacked_arrays(data: pa.Buffer) -> list[np.ndarray]:
     return parts
 
 
-def squeezed(columns: list[np.ndarray]) -> bytes:
-    """Columns of 8 bytes compressed, the first two by their steps, with the bytes of equal weight together."""
-    i, j, *others = columns
-    parts = [np.diff(i, prepend=0), np.diff(j, prepend=0), *others]
-    raw = b"".join(np.ascontiguousarray(p).view(np.uint8).reshape(-1, 8).T.tobytes() for p in parts)
-    return pa.compress(raw, codec="zstd", asbytes=True)
-
-
-def unsqueezed(size: int, data: pa.Buffer, kinds: list) -> list[np.ndarray]:
-    raw = np.frombuffer(pa.decompress(data, len(kinds) * 8 * size, codec="zstd"), np.uint8).reshape(len(kinds), 8, size)
-    columns = [np.ascontiguousarray(part.T).view(kind).ravel() for kind, part in zip(kinds, raw)]
-    return [np.cumsum(columns[0]), np.cumsum(columns[1]), *columns[2:]]
-
-
 def _whole(held: list, least: int, values: list[str]) -> pa.RecordBatch:
     columns = _added([np.concatenate(c) for c in zip(*held)])
     enough = columns[2] >= least

@@ -18,15 +18,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.functions.columns import TIE_DIGITS
-from ratingloom.operators.pairs import squeezed, unsqueezed
+from ratingloom.operators.pairs import coded, decoded, packed_arrays, unpacked_arrays
 from ratingloom.session import bounded_batches, materialise
 
 RATINGS_PER_BLOCK = 200_000
 EDGES_PER_BLOCK = 500_000  # of a target block, 16 MB; a single block of them may be sent to every task
-HELD_BLOCKS = 5  # blocks of ratings, and of edges, that a task holds where edges are routed
+HELD_BLOCKS = 5  # blocks of edges that a task holds where edges are routed
+HELD_PARTS = 200  # blocks of ratings that a task holds packed there,
+OPEN_PARTS = 20  # and unpacked
+HELD_ROWS = 1_000_000  # that a task bundles by block before it sends them
 STEP = 2_000_000  # entries that a task holds expanded
 SCHEMA = "user_id long, item_id long, score double"
-PIECES = "_ub int, _tb int, size long, data binary"
+PIECES = "_cell int, _tb int, data binary"
+SPREAD, PRIME = 1_103_515_245, 2**31 - 1
 
 
 @dataclass(frozen=True)
@@ -74,6 +78,18 @@ class _Histories:
         self.ratings = ratings[order]
         self.items, self.item = np.unique(items[order], return_inverse=True)
 
+    def packed(self) -> bytes:
+        return packed_arrays([np.diff(self.names, prepend=0), np.diff(self.start), np.diff(self.items, prepend=0), self.item, *coded(self.ratings)])
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> _Histories:
+        new = cls.__new__(cls)
+        names, count, items, new.item, *ratings = unpacked_arrays(pa.py_buffer(data))
+        new.names, new.items, new.ratings = np.cumsum(names), np.cumsum(items), decoded(*ratings)
+        new.start = np.concatenate([[0], np.cumsum(count)])
+        new.row = np.repeat(np.arange(len(names)), count)
+        return new
+
 
 def _scored(edges: _Edges, cell: np.ndarray, edge: np.ndarray, rating: np.ndarray, rule: Rule, cells: int) -> tuple[np.ndarray, np.ndarray]:
     """Cells that have a score, in order, and their scores; entries come cell by cell."""
@@ -226,18 +242,30 @@ def _array(cell: pa.Scalar) -> np.ndarray | None:
     return cell.values.to_numpy(zero_copy_only=False) if cell.is_valid else None
 
 
+def _target_block(item, blocks: int):
+    """Block of a target item, of a column or of an array."""
+    if isinstance(item, np.ndarray):
+        return item % PRIME * SPREAD % PRIME % blocks
+    prime = F.lit(PRIME).cast("long")
+    return F.pmod(F.pmod(F.pmod(item, prime) * F.lit(SPREAD), prime), F.lit(blocks).cast("long")).cast("int")
+
+
 def _routed_scores(
     history: DataFrame, edges: DataFrame, item_blocks: int, rows: int, rule: Rule, targets: DataFrame | None, n: int | None, unseen: bool
 ) -> DataFrame:
     """The scores where there are many edges: a block of users is sent the edges of the items it has rated, no others.
 
     Edges lie in blocks of rated items. A block packs the edges of an item once for every block of users that rated it,
-    so what is shuffled grows with the ratings and the edges of an item, not with all users times all edges. A task
-    holds one block of users and takes the edges of one block of targets after the other.
+    so what is shuffled grows with the ratings and the edges of an item, not with all users times all edges. A task is a
+    cell of a block of users and a group of target blocks: there are about as many groups as blocks of users, as an edge
+    goes to one group only and a history to all of them. It holds its users' histories packed and takes the edges of one
+    block of targets after the other.
     """
     bounded_batches(history.sparkSession)
     cores = history.sparkSession.sparkContext.defaultParallelism
-    user_blocks = max(1, -(-rows // (HELD_BLOCKS * RATINGS_PER_BLOCK)), min(2 * cores, rows // 5_000))
+    tasks = max(1, min(2 * cores, rows // 5_000))
+    user_blocks = max(1, -(-rows // (HELD_PARTS * RATINGS_PER_BLOCK)), round(tasks**0.5))
+    groups = -(-tasks // user_blocks)
     parts = max(1, -(-rows // (user_blocks * RATINGS_PER_BLOCK)))
     place = _block("user_id", user_blocks * parts)
     history = history.withColumn("_part", place).withColumn("_ub", F.floor(place / parts).cast("int"))
@@ -246,110 +274,157 @@ def _routed_scores(
     raters = history.groupBy("item_id").agg(F.collect_set("_ub").alias("_ubs"))  # at most all blocks of users
     needed = materialise(raters.join(sizes, "item_id").select("item_id", "size", F.explode("_ubs").alias("_ub")), "needed")
     most = needed.groupBy("_ub").agg(F.sum("size").alias("n")).agg(F.max("n")).first()[0] or 0
-    target_blocks = max(1, -(-most // (HELD_BLOCKS * EDGES_PER_BLOCK)))
-    placed = edges.withColumn("_sb", _block("item_j", item_blocks)).withColumn("tb", _block("item_i", target_blocks).cast("long"))
-    lists = _packed(placed, "_sb", {"item_i": "targets", "item_j": "sources", "w": "weights", "f": "freqs", "tb": "blocks"})
+    target_blocks = groups * max(1, -(-most // (groups * HELD_BLOCKS * EDGES_PER_BLOCK)))
+    placed = edges.select(_block("item_j", item_blocks).alias("_sb"), "item_j", "item_i", "w", "f")
+    lists = placed.mapInArrow(_bundles, "_sb int, data binary").withColumn("_ub", F.lit(-1))
     sought = needed.withColumn("_sb", _block("item_id", item_blocks)).groupBy("_sb", "_ub").agg(F.collect_list("item_id").alias("sources"))
-    sent = lists.withColumn("_ub", F.lit(-1)).unionByName(sought, allowMissingColumns=True)
+    sent = lists.unionByName(sought, allowMissingColumns=True)
     sent = sent.repartitionById(item_blocks, F.col("_sb")).sortWithinPartitions("_sb", "_ub")
-    pieces = sent.select("_ub", "targets", "sources", "weights", "freqs", "blocks").mapInArrow(lambda batches: _send(batches, rule), PIECES)
-    mine = (
-        history.groupBy("_ub", "_part")
-        .agg(F.collect_list(F.struct("user_id", "item_id", "rating")).alias("_r"))
-        .select("_ub", F.lit(-1).alias("_tb"), F.col("_r.user_id").alias("users"), F.col("_r.item_id").alias("items"), F.col("_r.rating").alias("ratings"))
-    )
+    pieces = sent.select("_ub", "sources", "data").mapInArrow(lambda batches: _send(batches, rule, target_blocks, groups), PIECES)
+
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _bundles(batches):
+            part, data = batch.column(0), batch.column(1)
+            first = part.to_numpy() // parts * groups
+            for group in range(groups):
+                yield pa.RecordBatch.from_arrays([pa.array((first + group).astype(np.int32)), part, data], ["_cell", "_part", "data"])
+
+    mine = history.select("_part", "user_id", "item_id", "rating").mapInArrow(copied, "_cell int, _part int, data binary").withColumn("_tb", F.lit(-1))
     met = mine.unionByName(pieces, allowMissingColumns=True)
     if targets is not None:
-        asked = targets.distinct().withColumn("_ub", F.floor(place / parts).cast("int")).withColumn("_tb", _block("item_id", target_blocks))
-        asked = asked.groupBy("_ub", "_tb").agg(F.collect_list(F.struct("user_id", "item_id")).alias("_t"))
-        asked = asked.select("_ub", "_tb", F.col("_t.user_id").alias("users"), F.col("_t.item_id").alias("items"))
+        asked = targets.distinct().withColumn("_ub", F.floor(place / parts).cast("int")).withColumn("_tb", _target_block(F.col("item_id"), target_blocks))
+        asked = asked.withColumn("_cell", F.col("_ub") * groups + F.pmod("_tb", F.lit(groups)))
+        asked = asked.groupBy("_cell", "_tb").agg(F.collect_list(F.struct("user_id", "item_id")).alias("_t"))
+        asked = asked.select("_cell", "_tb", F.col("_t.user_id").alias("users"), F.col("_t.item_id").alias("items"))
         met = met.unionByName(asked, allowMissingColumns=True)
-    met = met.repartitionById(user_blocks, F.col("_ub")).sortWithinPartitions("_ub", "_tb")
+    else:
+        met = met.withColumn("users", F.lit(None).cast("array<long>")).withColumn("items", F.lit(None).cast("array<long>"))
+    met = met.repartitionById(user_blocks * groups, F.col("_cell")).sortWithinPartitions("_cell", "_tb", "_part")
     ask = targets is not None
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _receive(batches, rule, ask, n, unseen)
 
-    return met.select("_ub", "_tb", "users", "items", "ratings", "size", "data").mapInArrow(work, SCHEMA)
+    return met.select("_cell", "_tb", "_part", "users", "items", "data").mapInArrow(work, SCHEMA)
+
+
+def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, id, id, numbers...) packed block by block; a block comes in several bundles."""
+    held, count, names = [], 0, None
+
+    def bundled() -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*held)]
+        order = np.lexsort(columns[2::-1])
+        block, *columns = (c[order] for c in columns)
+        heads = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        data = [
+            packed_arrays([np.diff(columns[0][a:b], prepend=0), np.diff(columns[1][a:b], prepend=0), *(x for c in columns[2:] for x in coded(c[a:b]))])
+            for a, b in zip(heads, np.append(heads[1:], len(block)))
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(block[heads], pa.int32()), pa.array(data, pa.binary())], names)
 
+    for batch in batches:
+        names = [batch.schema.names[0], "data"]
+        if batch.num_rows:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            count += batch.num_rows
+        if count >= HELD_ROWS:
+            yield bundled()
+            held, count = [], 0
+    if count:
+        yield bundled()
+
+
+def _unbundled(data: pa.Buffer) -> list[np.ndarray]:
+    first, second, *numbers = unpacked_arrays(data)
+    return [np.cumsum(first), np.cumsum(second), *(decoded(*c) for c in zip(numbers[::2], numbers[1::2]))]
 
-def _send(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+
+def _send(batches: Iterator[pa.RecordBatch], rule: Rule, target_blocks: int, groups: int) -> Iterator[pa.RecordBatch]:
     """For each block of users the packed edges of the rated items it needs, one row per block of targets."""
-    edges, blocks = None, None
+    edges, blocks, pieces = None, None, []
     for batch in batches:
         for i in range(batch.num_rows):
             block = batch.column(0)[i].as_py()
             if block < 0:
-                cells = [_array(batch.column(c)[i]) for c in range(1, 6)]
-                order = np.lexsort((cells[0], cells[4]))
-                *columns, tb = (c[order] for c in cells)
-                if rule.kind == "neighbours":
-                    some = columns[2] != 0
-                    columns, tb = [c[some] for c in columns], tb[some]
-                edges = _Edges(*columns, rule)
-                blocks = tb[np.argsort(columns[1], kind="stable")]
+                pieces.append(_unbundled(batch.column(2)[i].as_buffer()))
                 continue
-            first, count = edges.of(np.sort(_array(batch.column(2)[i])))
+            if pieces:
+                source, target, weight, freq = (np.concatenate(c) for c in zip(*pieces))
+                by = np.argsort(target, kind="stable")
+                edges = _Edges(target[by], source[by], weight[by], freq[by], rule)
+                blocks = _target_block(edges.targets, target_blocks)[edges.code]
+                pieces = []
+            first, count = edges.of(np.sort(_array(batch.column(1)[i])))
             at = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
             at = at[np.argsort(blocks[at], kind="stable")]
             heads = np.flatnonzero(np.diff(blocks[at], prepend=-1))
-            ends = np.append(heads[1:], len(at))
             data = [
-                squeezed([edges.source[x], edges.targets[edges.code[x]], edges.weight[x], edges.freq[x]]) for x in (at[a:b] for a, b in zip(heads, ends))
+                packed_arrays([np.diff(edges.source[x], prepend=0), np.diff(edges.targets[edges.code[x]], prepend=0), *coded(edges.weight[x]), *coded(edges.freq[x])])
+                for x in (at[a:b] for a, b in zip(heads, np.append(heads[1:], len(at))))
             ]
+            tb = blocks[at[heads]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(heads), block, np.int32)), pa.array(blocks[at[heads]].astype(np.int32)), pa.array(ends - heads), pa.array(data, pa.binary())],
-                ["_ub", "_tb", "size", "data"],
+                [pa.array((block * groups + tb % groups).astype(np.int32)), pa.array(tb.astype(np.int32)), pa.array(data, pa.binary())], ["_cell", "_tb", "data"]
             )
 
 
 def _receive(batches: Iterator[pa.RecordBatch], rule: Rule, ask: bool, n: int | None, unseen: bool) -> Iterator[pa.RecordBatch]:
-    """Rows of a block of users: its histories, then target block by target block the pairs asked for and the edges."""
-    kinds = [np.int64, np.int64, np.float64, np.float64]
-    here = None
-    parts: list[tuple] = []
+    """Rows of a cell: its histories, part by part, then target block by target block the pairs asked for and the edges."""
+    here, part = None, None
+    ratings: list[list] = []  # bundles of a part
+    histories: list = []  # packed from the OPEN_PARTS-th on
+    best: list[tuple | None] = []  # of each part
     asked: list[tuple] = []
     pieces: list[list] = []
-    best: list[tuple] = []
-    histories = None
 
-    def meet() -> Iterator[tuple]:
-        if pieces and histories is not None and (asked or not ask):
-            source, target, w, f = (np.concatenate(c) for c in zip(*pieces))
-            pairs = tuple(np.concatenate(c) for c in zip(*asked)) if ask else None
-            yield from _met(histories, _Edges(target, source, w, f, rule), pairs, rule, n, unseen)
+    def close() -> None:
+        if ratings:
+            one = _Histories(*(np.concatenate(c) for c in zip(*ratings)))
+            histories.append(one if len(histories) < OPEN_PARTS else one.packed())
+            best.append(None)
+            ratings.clear()
 
     def met() -> Iterator[pa.RecordBatch]:
-        for found in meet():
-            if n is None:
-                yield _batch(*found)
-            else:
-                best.append(found)
-        if len(best) > 1:  # the best of all blocks of targets so far
-            users, items, scores = (np.concatenate(c) for c in zip(*best))
-            keep = _best(users, items, scores, n)
-            best[:] = [(users[keep], items[keep], scores[keep])]
+        if pieces and (asked or not ask):
+            source, target, w, f = (np.concatenate(c) for c in zip(*pieces))
+            edges = _Edges(target, source, w, f, rule)
+            pairs = tuple(np.concatenate(c) for c in zip(*asked)) if ask else None
+            for p, one in enumerate(histories):
+                one = _Histories.unpacked(one) if isinstance(one, bytes) else one
+                found = _met(one, edges, pairs, rule, n, unseen)
+                if n is None:
+                    yield from (_batch(*x) for x in found)
+                    continue
+                found = [x for x in (best[p], *found) if x is not None]
+                if found:  # the best of all blocks of targets so far
+                    users, items, scores = (np.concatenate(c) for c in zip(*found))
+                    keep = _best(users, items, scores, n)
+                    best[p] = users[keep], items[keep], scores[keep]
         asked.clear()
         pieces.clear()
 
     for batch in batches:
         for i in range(batch.num_rows):
-            block, target_block = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-            if here != (block, target_block):
+            cell, target_block = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            if here != (cell, target_block):
+                close()
                 yield from met()
-                if here is None or here[0] != block:
-                    yield from (_batch(*found) for found in best)
+                if here is None or here[0] != cell:
+                    yield from (_batch(*x) for x in best if x is not None)
+                    histories.clear()
                     best.clear()
-                    parts, histories = [], None
-                here = block, target_block
+                here, part = (cell, target_block), None
+            data = batch.column(5)[i]
             if target_block < 0:
-                parts.append(tuple(_array(batch.column(c)[i]) for c in (2, 3, 4)))
-                continue
-            if histories is None and parts:
-                histories, parts = _Histories(*(np.concatenate(c) for c in zip(*parts))), []
-            if batch.column(6)[i].is_valid:
-                pieces.append(unsqueezed(batch.column(5)[i].as_py(), batch.column(6)[i].as_buffer(), kinds))
+                if batch.column(2)[i].as_py() != part:
+                    close()
+                    part = batch.column(2)[i].as_py()
+                ratings.append(_unbundled(data.as_buffer()))
+            elif data.is_valid:
+                pieces.append(_unbundled(data.as_buffer()))
             else:
-                asked.append((_array(batch.column(2)[i]), _array(batch.column(3)[i])))
+                asked.append((_array(batch.column(3)[i]), _array(batch.column(4)[i])))
+    close()
     yield from met()
-    yield from (_batch(*found) for found in best)
+    yield from (_batch(*x) for x in best if x is not None)

@@ -42,3 +42,33 @@ def test_edges_are_not_repeated_for_all_blocks_of_users(spark, small):
     scores = sparse_scores.sparse_scores(r, e, sparse_scores.Rule("sum"))
     assert "Generate" not in scores._jdf.queryExecution().executedPlan().toString()
     assert got(scores) == {(u, u * 10 + 5): 2.0 for u in range(20)}
+
+
+def test_cells_of_users_and_target_groups(spark, small, monkeypatch):
+    """Parts beyond the open ones are kept packed; an edge is sent to each block of users once, whatever the groups."""
+    for name, size in (("HELD_PARTS", 4), ("OPEN_PARTS", 1), ("HELD_ROWS", 50)):
+        monkeypatch.setattr(sparse_scores, name, size)
+    ratings, edges = table(11, 30, 16)
+    r = spark.createDataFrame(ratings, "user_id long, item_id long, rating double")
+    e = spark.createDataFrame(edges, "item_i long, item_j long, w double, f double")
+    rule = sparse_scores.Rule("neighbours", 3, 1e-8)
+    want = expected(ratings, edges, "neighbours", 3, 1e-8)
+    for groups in (1, 3):
+        have = got(routed(spark, r, e, rule, groups, monkeypatch))
+        assert have.keys() == want.keys() and np.allclose([have[p] for p in want], list(want.values()))
+
+
+def routed(spark, r, e, rule, groups, monkeypatch):
+    if groups > 1:  # as if there were rows for that many tasks
+        monkeypatch.setattr(sparse_scores, "HELD_PARTS", 10**6)
+        rows = (groups * groups) * 5_000
+    else:
+        rows = r.count()
+    return sparse_scores._routed_scores(r, e, 3, rows, rule, None, None, True)
+
+
+def test_edges_travel_packed_from_where_they_are_read(spark, small):
+    r = spark.createDataFrame([(u, i, 1.0) for u in range(9) for i in range(4)], "user_id long, item_id long, rating double")
+    e = spark.createDataFrame([(i, j, 0.5, 1.0) for i in range(4) for j in range(4) if i != j], "item_i long, item_j long, w double, f double")
+    plan = sparse_scores.sparse_scores(r, e, sparse_scores.Rule("sum"))._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list(struct" not in plan and "collect_list(named_struct" not in plan
